@@ -1,0 +1,277 @@
+"""Block sparse products on Spark.
+
+The similarity of two users is a sum over the items both rated, i.e. an entry
+of the sparse product R·Rᵀ. Joining the rating table with itself on the item
+would put every pair of raters of a popular item into one task; instead the
+product is cut into blocks, as in a distributed block-matrix multiply:
+
+* each row is hash-assigned to a key block and an inner (item) block;
+* a task owns one (row block, column block, inner block) cell and receives
+  the rows of those blocks, replicated once per partner block;
+* inside the task pandas multiplies the two sparse blocks and emits one row
+  per (row key, column key) with the partial sums (pre-aggregated);
+* a final ``groupBy`` adds the partial sums of the inner blocks.
+
+A hot item is split over the key blocks and a hot user over the inner blocks,
+so no task sees a whole hot group. Block counts come from a small statistics
+job (row counts, degree maxima, the sum of squared inner degrees = the work).
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, types as T
+
+# Per-task budgets. Rows are Arrow-shipped to a Python worker and held as one
+# pandas frame; products are enumerated in chunks of at most CHUNK_PAIRS.
+TARGET_ROWS = 2_000_000
+TARGET_PAIRS = 40_000_000
+CHUNK_PAIRS = 4_000_000
+MAX_BLOCKS = 4096
+
+
+def _block(col, n: int, seed: int):
+    if n <= 1:
+        return F.lit(0)
+    return F.pmod(F.xxhash64(F.lit(seed), col), F.lit(n)).cast("int")
+
+
+def _parallelism(df: DataFrame) -> int:
+    try:
+        return max(1, df.sparkSession.sparkContext.defaultParallelism)
+    except Exception:  # Spark Connect has no SparkContext
+        return 8
+
+
+# ------------------------------------------------------------------ Gram
+@dataclass(frozen=True)
+class GramPlan:
+    key_blocks: int
+    inner_blocks: int
+
+    @property
+    def tasks(self) -> int:
+        return self.key_blocks * (self.key_blocks + 1) // 2 * self.inner_blocks
+
+
+def plan_gram(df: DataFrame, key: str, inner: str, group: tuple[str, ...] = (),
+              min_tasks: int | None = None) -> GramPlan:
+    """Pick block counts for ``gram`` from the data (one small aggregate job)."""
+    deg = df.groupBy(*group, inner).agg(F.count(F.lit(1)).alias("d"))
+    s = deg.agg(F.sum("d").alias("n"), F.sum(F.col("d") * F.col("d")).alias("w"),
+                F.max("d").alias("dmax")).first()
+    kmax = (df.groupBy(*group, key).agg(F.count(F.lit(1)).alias("c"))
+            .agg(F.max("c").alias("m")).first()["m"])
+    n, w, dmax = (s["n"] or 0), float(s["w"] or 0), (s["dmax"] or 0)
+    kmax = kmax or 0
+    min_tasks = min_tasks or _parallelism(df)
+    # A hot inner key splits over key blocks: its pairs in one task ~ (dmax/b)^2.
+    b = max(1, math.ceil(dmax / math.sqrt(TARGET_PAIRS)))
+    # Input rows per task ~ 2n/(b*l); a hot key's rows split over inner blocks.
+    l_rows = math.ceil(2 * n / (b * TARGET_ROWS)) if n else 1
+    l_hot = math.ceil(kmax / TARGET_ROWS) if kmax else 1
+    # Work per task ~ w/(b^2 * l)
+    l_work = math.ceil(w / (b * b * TARGET_PAIRS)) if w else 1
+    l = max(1, l_rows, l_hot, l_work)
+    while b * (b + 1) // 2 * l < min_tasks and b * (b + 1) // 2 * l < MAX_BLOCKS:
+        # Prefer more key blocks while they are few (cheap replication), then inner.
+        if b < 4:
+            b += 1
+        else:
+            l += 1
+    return GramPlan(min(b, MAX_BLOCKS), min(l, MAX_BLOCKS))
+
+
+def _gram_task(pdf: pd.DataFrame, group: tuple[str, ...], nvals: int) -> pd.DataFrame:
+    vals = [f"x{i}" for i in range(nvals)]
+    cols = list(group) + ["a", "b"] + [f"s{i}" for i in range(nvals)]
+    if pdf.empty:
+        return pd.DataFrame(columns=cols)
+    diag = pdf["rb"].iat[0] == pdf["cb"].iat[0]
+    left = pdf[pdf["side"] == 0][["key", "inner"] + vals]
+    right = left if diag else pdf[pdf["side"] == 1][["key", "inner"] + vals]
+    if left.empty or right.empty:
+        return pd.DataFrame(columns=cols)
+    # Chunk the left side by key so that each merge stays under CHUNK_PAIRS;
+    # chunks hold disjoint left keys, so their aggregates never overlap.
+    rdeg = right.groupby("inner").size()
+    w = left["inner"].map(rdeg).fillna(0).to_numpy()
+    left = left.assign(_w=w).sort_values("key", kind="stable")
+    per_key = left.groupby("key", sort=True)["_w"].sum()
+    chunk_of_key = (per_key.cumsum() // CHUNK_PAIRS).astype(np.int64)
+    left = left.assign(_c=left["key"].map(chunk_of_key).to_numpy())
+    r = right.rename(columns={"key": "b", **{v: v + "_r" for v in vals}})
+    out = []
+    for _, chunk in left.groupby("_c", sort=False):
+        m = chunk.drop(columns=["_w", "_c"]).rename(columns={"key": "a"}).merge(r, on="inner")
+        if diag:
+            m = m[m["a"] < m["b"]]
+        if m.empty:
+            continue
+        prods = {f"s{i}": m[f"x{i}"].to_numpy() * m[f"x{i}_r"].to_numpy() for i in range(nvals)}
+        agg = pd.DataFrame({"a": m["a"].to_numpy(), "b": m["b"].to_numpy(), **prods})
+        out.append(agg.groupby(["a", "b"], sort=False, as_index=False).sum())
+    if not out:
+        return pd.DataFrame(columns=cols)
+    res = pd.concat(out, ignore_index=True)
+    for i, g in enumerate(group):
+        res.insert(i, g, pdf[g].iat[0])
+    return res[cols]
+
+
+def gram(df: DataFrame, key: str, inner: str, values: list[str],
+         group: tuple[str, ...] = (), plan: GramPlan | None = None,
+         out_names: tuple[str, str] = ("user_id", "other_id")) -> DataFrame:
+    """Unordered pairs of ``key`` sharing an ``inner`` value (within ``group``)
+    with Σ over shared inner values of x(a)·x(b), for each column in ``values``.
+
+    Returns (group..., a, b, <value>...) with each unordered pair once; pairs
+    with no shared inner value are absent. Each pair's orientation is fixed
+    by its blocks, so partial sums from different inner blocks line up.
+    """
+    plan = plan or plan_gram(df, key, inner, group)
+    b, l = plan.key_blocks, plan.inner_blocks
+    x = df.select(*group, F.col(key).cast("long").alias("key"),
+                  F.col(inner).cast("long").alias("inner"),
+                  *[F.col(v).cast("double").alias(f"x{i}") for i, v in enumerate(values)])
+    x = x.withColumn("kb0", _block(F.col("key"), b, 17)).withColumn("ib", _block(F.col("inner"), l, 29))
+    # Row in key block k goes to cells (k, o) for o >= k as the left side and
+    # to (o, k) for o < k as the right side.
+    x = x.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
+    x = (x.withColumn("side", F.when(F.col("o") >= F.col("kb0"), 0).otherwise(1))
+          .withColumn("rb", F.least("kb0", "o")).withColumn("cb", F.greatest("kb0", "o"))
+          .drop("kb0", "o"))
+    schema = T.StructType(
+        [df.schema[g] for g in group]
+        + [T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]
+        + [T.StructField(f"s{i}", T.DoubleType()) for i in range(len(values))])
+    grp, nv = tuple(group), len(values)
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _gram_task(pdf, grp, nv)
+    parts = x.groupBy(*group, "rb", "cb", "ib").applyInPandas(fn, schema)
+    sums = [F.col(f"s{i}") for i in range(len(values))]
+    if l > 1:
+        parts = parts.groupBy(*group, "a", "b").agg(*[F.sum(s).alias(f"s{i}") for i, s in
+                                                       enumerate(sums)])
+    return parts.select(*group, F.col("a").alias(out_names[0]), F.col("b").alias(out_names[1]),
+                        *[F.col(f"s{i}").alias(v) for i, v in enumerate(values)])
+
+
+# ------------------------------------------------------------------ masked product
+@dataclass(frozen=True)
+class ProductPlan:
+    row_blocks: int
+    inner_blocks: int
+    col_blocks: int
+
+
+def plan_product(n_left: int, n_right: int, n_mask: int, min_tasks: int = 8) -> ProductPlan:
+    """Choose (R, I, C) blocks for ``masked_product``.
+
+    Minimises the replicated volume |L|·C + |Rt|·R + |M|·I under a per-task
+    input budget that also holds if one key of any side carries a third of
+    that side's rows (such a key is split by the side's other block dimension).
+    """
+    best = None
+    sizes = [1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256]
+    for r in sizes:
+        for i in sizes:
+            for c in sizes:
+                if r * i * c > MAX_BLOCKS * 4:
+                    continue
+                load = (n_left / (r * i) + n_right / (i * c) + n_mask / (r * c))
+                hot = max(n_left / 3 / min(r, i), n_right / 3 / min(i, c), n_mask / 3 / min(r, c))
+                big = max(n_left, n_right, n_mask) > TARGET_ROWS
+                if big and max(load, hot) > TARGET_ROWS:
+                    continue
+                tasks = r * i * c
+                vol = n_left * c + n_right * r + n_mask * i
+                penalty = 0 if tasks >= min_tasks else (min_tasks - tasks) * (vol / max(tasks, 1))
+                key = (vol + penalty, tasks)
+                if best is None or key < best[0]:
+                    best = (key, ProductPlan(r, i, c))
+    return best[1] if best else ProductPlan(16, 16, 16)
+
+
+def _product_task(pdf: pd.DataFrame, nl: int, nr: int, terms: tuple[tuple[int, int], ...]
+                  ) -> pd.DataFrame:
+    cols = ["row", "col"] + [f"t{j}" for j in range(len(terms))]
+    lv = [f"l{i}" for i in range(nl)]
+    rv = [f"r{i}" for i in range(nr)]
+    mask = pdf[pdf["side"] == 2][["row", "col"]]
+    left = pdf[pdf["side"] == 0][["row", "inner"] + lv]
+    right = pdf[pdf["side"] == 1][["inner", "col"] + rv]
+    if mask.empty or left.empty or right.empty:
+        return pd.DataFrame(columns=cols)
+    # Enumerate (mask pair, inner) through the cheaper side first.
+    via_left = mask["row"].map(left.groupby("row").size()).fillna(0).sum()
+    via_right = mask["col"].map(right.groupby("col").size()).fillna(0).sum()
+    first, key1, second, key2 = ((left, "row", right, ["inner", "col"]) if via_left <= via_right
+                                 else (right, "col", left, ["row", "inner"]))
+    fdeg = mask[key1].map(first.groupby(key1).size()).fillna(0).to_numpy()
+    chunk = (np.cumsum(fdeg) // CHUNK_PAIRS).astype(np.int64)
+    out = []
+    for _, mpart in mask.assign(_c=chunk).groupby("_c", sort=False):
+        m = mpart.drop(columns="_c").merge(first, on=key1).merge(second, on=key2)
+        if m.empty:
+            continue
+        data = {"row": m["row"].to_numpy(), "col": m["col"].to_numpy()}
+        for j, (li, ri) in enumerate(terms):
+            data[f"t{j}"] = m[f"l{li}"].to_numpy() * m[f"r{ri}"].to_numpy()
+        out.append(pd.DataFrame(data).groupby(["row", "col"], sort=False, as_index=False).sum())
+    if not out:
+        return pd.DataFrame(columns=cols)
+    return pd.concat(out, ignore_index=True)[cols]
+
+
+def masked_product(left: DataFrame, right: DataFrame, mask: DataFrame,
+                   row: str, inner: str, col: str,
+                   left_vals: list[str], right_vals: list[str],
+                   terms: dict[str, tuple[str, str]],
+                   plan: ProductPlan | None = None) -> DataFrame:
+    """Σ over ``inner`` of left[row, inner]·right[inner, col], only at the
+    (row, col) pairs listed in ``mask`` (sampled sparse product).
+
+    ``terms`` maps an output name to a (left value, right value) pair. Mask
+    pairs without any shared inner key are absent from the output.
+    """
+    if plan is None:
+        plan = plan_product(left.count(), right.count(), mask.count(), _parallelism(left))
+    R, I, C = plan.row_blocks, plan.inner_blocks, plan.col_blocks
+    lcols = [F.col(v).cast("double").alias(f"l{i}") for i, v in enumerate(left_vals)]
+    rcols = [F.col(v).cast("double").alias(f"r{i}") for i, v in enumerate(right_vals)]
+    nulls_l = [F.lit(None).cast("double").alias(f"l{i}") for i in range(len(left_vals))]
+    nulls_r = [F.lit(None).cast("double").alias(f"r{i}") for i in range(len(right_vals))]
+    rid, iid, cid = (F.col(row).cast("long"), F.col(inner).cast("long"), F.col(col).cast("long"))
+    L = left.select(F.lit(0).alias("side"), rid.alias("row"), iid.alias("inner"),
+                    F.lit(None).cast("long").alias("col"), *lcols, *nulls_r,
+                    _block(rid, R, 17).alias("rb"), _block(iid, I, 29).alias("ib"),
+                    F.explode(F.sequence(F.lit(0), F.lit(C - 1))).alias("cb"))
+    Rt = right.select(F.lit(1).alias("side"), F.lit(None).cast("long").alias("row"),
+                      iid.alias("inner"), cid.alias("col"), *nulls_l, *rcols,
+                      F.explode(F.sequence(F.lit(0), F.lit(R - 1))).alias("rb"),
+                      _block(iid, I, 29).alias("ib"), _block(cid, C, 31).alias("cb"))
+    M = mask.select(F.lit(2).alias("side"), rid.alias("row"), F.lit(None).cast("long").alias("inner"),
+                    cid.alias("col"), *nulls_l, *nulls_r,
+                    _block(rid, R, 17).alias("rb"),
+                    F.explode(F.sequence(F.lit(0), F.lit(I - 1))).alias("ib"),
+                    _block(cid, C, 31).alias("cb"))
+    names = list(terms)
+    idx = tuple((left_vals.index(lv), right_vals.index(rv)) for lv, rv in terms.values())
+    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("col", T.LongType())]
+                          + [T.StructField(f"t{j}", T.DoubleType()) for j in range(len(names))])
+    nl, nr = len(left_vals), len(right_vals)
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _product_task(pdf, nl, nr, idx)
+    parts = L.unionByName(Rt).unionByName(M).groupBy("rb", "ib", "cb").applyInPandas(fn, schema)
+    if I > 1:
+        parts = parts.groupBy("row", "col").agg(*[F.sum(f"t{j}").alias(f"t{j}")
+                                                   for j in range(len(names))])
+    return parts.select(F.col("row").alias(row), F.col("col").alias(col),
+                        *[F.col(f"t{j}").alias(n) for j, n in enumerate(names)])

@@ -58,3 +58,120 @@ def predict_baseline(train: DataFrame, pairs: DataFrame, lo: float = 1.0,
     p = (pairs.join(fx.user_means(train), "user_id", "left")
          .join(fx.item_mean_deviation(train, lo, hi), "item_id", "left"))
     return _finish(p, "item_dev", True, g, lo, hi)
+
+
+# ---------------------------------------------------------------- similarity-weighted
+def _persisted(df: DataFrame) -> DataFrame:
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def weighted_deviation(weights: DataFrame, dev: DataFrame, pairs: DataFrame,
+                       weight_cols: dict[str, str] | None = None) -> DataFrame:
+    """P6 core: for each requested (user_id, item_id), the sums over users v
+    with weight w(user, v) who rated the item of w·dev(v, item) and |w|.
+
+    ``weights`` is (user_id, other_id, <weight columns>); by default one weight
+    ``sim`` giving (num, den). Computed as a sampled block product, so neither
+    a hot user nor a hot item is ever enumerated whole in one task.
+    """
+    weight_cols = weight_cols or {"sim": ""}
+    left_vals, terms = [], {}
+    sel = [F.col("user_id"), F.col("other_id").alias("v")]
+    for wcol, suffix in weight_cols.items():
+        sel += [F.col(wcol).alias(f"w{suffix}"), F.abs(F.col(wcol)).alias(f"a{suffix}")]
+        left_vals += [f"w{suffix}", f"a{suffix}"]
+        terms[f"num{suffix}"] = (f"w{suffix}", "dev")
+        terms[f"den{suffix}"] = (f"a{suffix}", "one")
+    left = weights.select(*sel)
+    right = dev.select(F.col("user_id").alias("v"), "item_id", "dev", F.lit(1.0).alias("one"))
+    mask = pairs.select("user_id", "item_id").distinct()
+    from nearrate.operators.blocks import masked_product
+    return masked_product(left, right, mask, row="user_id", inner="v", col="item_id",
+                          left_vals=left_vals, right_vals=["dev", "one"], terms=terms)
+
+
+def _ratio(num: str, den: str):
+    n, d = F.coalesce(F.col(num), F.lit(0.0)), F.coalesce(F.col(den), F.lit(0.0))
+    return F.when(d != 0, n / d).otherwise(F.lit(0.0))
+
+
+def predict_personalized(train: DataFrame, pairs: DataFrame, similarity: str = "cosine",
+                         sim: DataFrame | None = None, lo: float = 1.0,
+                         hi: float = 5.0) -> DataFrame:
+    """P5: baseline whose item deviation is the similarity-weighted mean
+    deviation of all users who rated the item (the user itself included with
+    weight 1 when it rated the item in train)."""
+    if similarity == "unit" and sim is None:
+        # All weights 1: the weighted mean deviation is the item's mean deviation.
+        return predict_baseline(train, pairs, lo, hi)
+    from nearrate.operators import similarity as sm
+    if sim is None:
+        sim = sm.cosine_similarity(train, lo, hi) if similarity == "cosine" else \
+            sm.jaccard_similarity(train)
+    sim = _persisted(sim)
+    g = fx.global_mean_col(train)
+    dev = fx.deviations(train, lo, hi)
+    wd = weighted_deviation(sim, dev, pairs)
+    own = dev.select("user_id", "item_id", F.col("dev").alias("self_dev"))
+    p = (pairs.join(fx.user_means(train), "user_id", "left")
+         .join(wd, ["user_id", "item_id"], "left")
+         .join(own, ["user_id", "item_id"], "left"))
+    num = F.coalesce(F.col("num"), F.lit(0.0)) + F.coalesce(F.col("self_dev"), F.lit(0.0))
+    den = F.coalesce(F.col("den"), F.lit(0.0)) + F.when(F.col("self_dev").isNotNull(), 1.0) \
+        .otherwise(0.0)
+    p = p.withColumn("wdev", F.when(den != 0, num / den).otherwise(F.lit(0.0)))
+    return _finish(p.drop("num", "den", "self_dev"), "wdev", True, g, lo, hi)
+
+
+def knn_neighbours(train: DataFrame, k: int, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
+    """K4: exact k nearest neighbours by adjusted cosine."""
+    from nearrate.operators import neighbours as nb
+    from nearrate.operators import similarity as sm
+    n_users = train.agg(F.countDistinct("user_id")).scalar()
+    return nb.top_k(sm.cosine_similarity(train, lo, hi), k, n_users)
+
+
+def predict_knn(train: DataFrame, pairs: DataFrame, k: int,
+                neighbours: DataFrame | None = None, lo: float = 1.0,
+                hi: float = 5.0) -> DataFrame:
+    """P7/P8/P9 (and P10 when given approximate ``neighbours``): user mean moved
+    by the weighted deviation over the k nearest neighbours who rated the item;
+    an unknown user gets the global mean."""
+    if neighbours is None:
+        neighbours = knn_neighbours(train, k, lo, hi)
+    neighbours = _persisted(neighbours)
+    g = fx.global_mean_col(train)
+    wd = weighted_deviation(neighbours, fx.deviations(train, lo, hi), pairs)
+    p = (pairs.join(fx.user_means(train), "user_id", "left")
+         .join(wd, ["user_id", "item_id"], "left")
+         .withColumn("wdev", _ratio("num", "den")).drop("num", "den"))
+    return _finish(p, "wdev", False, g, lo, hi)
+
+
+def predict_knn_sweep(train: DataFrame, pairs: DataFrame, ks: list[int],
+                      lo: float = 1.0, hi: float = 5.0) -> DataFrame:
+    """kNN predictions for several k at once: pairs × ks with column ``k``.
+
+    Neighbours are ranked once at max(ks); each k keeps its own weight columns
+    (weight 0 beyond its rank), so one block product serves every k.
+    """
+    ks = sorted(set(int(k) for k in ks))
+    nbrs = _persisted(knn_neighbours(train, max(ks), lo, hi))
+    cols = {}
+    weights = nbrs.select("user_id", "other_id", *[
+        F.when(F.col("rank") <= k, F.col("sim")).otherwise(F.lit(0.0)).alias(f"s{k}")
+        for k in ks])
+    for k in ks:
+        cols[f"s{k}"] = f"_{k}"
+    wd = weighted_deviation(weights, fx.deviations(train, lo, hi), pairs, cols)
+    g = fx.global_mean_col(train)
+    per_k = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), F.col(f"num_{k}").alias("num"), F.col(f"den_{k}").alias("den"))
+        for k in ks])).alias("kk")
+    p = (pairs.join(fx.user_means(train), "user_id", "left")
+         .join(wd, ["user_id", "item_id"], "left"))
+    keep = [c for c in p.columns if not c.startswith(("num_", "den_"))]
+    p = p.select(*keep, per_k).select(*keep, "kk.k", "kk.num", "kk.den")
+    p = p.withColumn("wdev", _ratio("num", "den")).drop("num", "den")
+    return _finish(p, "wdev", False, g, lo, hi)
