@@ -210,3 +210,207 @@ def q_mae_by_method(spark, d):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["mae_by_method"](spark, sf_dir)
+
+
+# ---------------------------------------------------------------- similarities
+from nearrate.operators import buckets as bk  # noqa: E402
+from nearrate.operators import neighbours as nbm  # noqa: E402
+from nearrate.operators import similarity as sm  # noqa: E402
+
+
+def _sim_out(df: DataFrame) -> DataFrame:
+    return df.select("user_id", "other_id", r6("sim").alias("sim"))
+
+
+@register("cosine_similarity", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE) +
+          "SELECT user_id, other_id, round(sim, 6) AS sim FROM cos")
+def q_cosine(spark, d):
+    return _sim_out(sm.cosine_similarity(data(spark, d)[1]))
+
+
+@register("jaccard_similarity", S.with_ctes(S.JACCARD_CTE) +
+          "SELECT user_id, other_id, round(sim, 6) AS sim FROM jac")
+def q_jaccard(spark, d):
+    return _sim_out(sm.jaccard_similarity(data(spark, d)[1]))
+
+
+_REQ_SQL = """,
+req AS (SELECT DISTINCT user_id, user_id + 1 AS other_id FROM train
+        UNION ALL SELECT DISTINCT user_id, user_id AS other_id FROM train)
+"""
+
+
+def _requested(train: DataFrame) -> DataFrame:
+    """Pair requests derived from the data: each user with itself and with the
+    next user id (which may or may not be similar, or exist)."""
+    users = train.select("user_id").distinct()
+    return users.select("user_id", (F.col("user_id") + 1).alias("other_id")).unionByName(
+        users.select("user_id", F.col("user_id").alias("other_id")))
+
+
+@register("similarity_lookup", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE).rstrip("\n") + _REQ_SQL +
+          "SELECT r.user_id, r.other_id, round(CASE WHEN r.user_id = r.other_id THEN 1.0 "
+          "ELSE coalesce(c.sim, 0) END, 6) AS sim FROM req r LEFT JOIN cos c "
+          "ON c.user_id = r.user_id AND c.other_id = r.other_id")
+def q_similarity_lookup(spark, d):
+    train = data(spark, d)[1]
+    return _sim_out(sm.lookup(sm.cosine_similarity(train), _requested(train)))
+
+
+def _p5_sql(sim_table: str) -> str:
+    return (S.weighted(sim_table) + """,
+pers AS (SELECT p.user_id, p.item_id, p.rating,
+                coalesce(w.num, 0) + coalesce(s.dev, 0) AS num,
+                coalesce(w.den, 0) + CASE WHEN s.dev IS NULL THEN 0 ELSE 1 END AS den,
+                coalesce(um.um, g.g) AS uu, g.g
+         FROM test p CROSS JOIN g LEFT JOIN um ON um.user_id = p.user_id
+         LEFT JOIN wsum w ON w.user_id = p.user_id AND w.item_id = p.item_id
+         LEFT JOIN dev s ON s.user_id = p.user_id AND s.item_id = p.item_id),
+pred AS (SELECT user_id, item_id, rating, CASE WHEN uu = g THEN g ELSE """ +
+            S.combine("uu", "CASE WHEN den <> 0 THEN num / den ELSE 0 END") +
+            " END AS pred FROM pers)\n")
+
+
+_P5_SQL = {
+    "cosine": S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, _p5_sql("cos")),
+    "jaccard": S.with_ctes(S.MEANS_CTE, S.JACCARD_CTE, _p5_sql("jac")),
+}
+_P5_SQL["unit"] = S.with_ctes(S.MEANS_CTE) + (
+    "SELECT p.user_id, p.item_id, p.rating, " + _BASE_PRED_SQL["predict_baseline"] +
+    " AS pred FROM test p CROSS JOIN g LEFT JOIN um ON p.user_id = um.user_id "
+    "LEFT JOIN idev ON p.item_id = idev.item_id")
+
+
+def _make_p5(kind: str):
+    def q(spark, d):
+        _, train, test = data(spark, d)
+        return _pairs(pr.predict_personalized(train, test, kind))
+    if kind == "unit":
+        sql = f"SELECT user_id, item_id, round(pred, 6) AS pred FROM ({_P5_SQL[kind]}) t"
+    else:
+        sql = _P5_SQL[kind] + "SELECT user_id, item_id, round(pred, 6) AS pred FROM pred"
+    register(f"predict_personalized_{kind}", sql)(q)
+
+
+for _k in ("unit", "cosine", "jaccard"):
+    _make_p5(_k)
+
+
+@register("mae_personalized", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.JACCARD_CTE) + f"""
+, cos_pred AS ({_P5_SQL['cosine'].replace('WITH ', 'SELECT * FROM (WITH ', 1)} SELECT * FROM pred)),
+jac_pred AS ({_P5_SQL['jaccard'].replace('WITH ', 'SELECT * FROM (WITH ', 1)} SELECT * FROM pred)),
+unit_pred AS ({_P5_SQL['unit']})
+SELECT 'unit' AS method, round(avg(abs(pred - rating)), 6) AS mae FROM unit_pred
+UNION ALL SELECT 'cosine', round(avg(abs(pred - rating)), 6) FROM cos_pred
+UNION ALL SELECT 'jaccard', round(avg(abs(pred - rating)), 6) FROM jac_pred""")
+def q_mae_personalized(spark, d):
+    _, train, test = data(spark, d)
+    methods = {k: (lambda kind: lambda tr, te: pr.predict_personalized(tr, te, kind))(k)
+               for k in ("unit", "cosine", "jaccard")}
+    return ev.mae_by_method(train, test, methods).select("method", r6("mae").alias("mae"))
+
+
+# ---------------------------------------------------------------- neighbours
+def _nb_out(df: DataFrame) -> DataFrame:
+    return df.select("user_id", "other_id", r6("sim").alias("sim"),
+                     F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("knn_neighbours_k10", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.NEIGHBOURS_CTE) +
+          "SELECT user_id, other_id, round(sim, 6) AS sim, CAST(rank AS BIGINT) AS rank "
+          "FROM nb WHERE rank <= 10")
+def q_knn_neighbours(spark, d):
+    return _nb_out(pr.knn_neighbours(data(spark, d)[1], 10))
+
+
+@register("knn_similarity_lookup",
+          S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.NEIGHBOURS_CTE).rstrip("\n") + _REQ_SQL +
+          "SELECT r.user_id, r.other_id, round(coalesce(nb.sim, 0), 6) AS sim FROM req r "
+          "LEFT JOIN nb ON nb.user_id = r.user_id AND nb.other_id = r.other_id AND nb.rank <= 10")
+def q_knn_similarity_lookup(spark, d):
+    train = data(spark, d)[1]
+    return _sim_out(nbm.knn_similarity(pr.knn_neighbours(train, 10), _requested(train)))
+
+
+def _knn_sql(nb_table: str, k: int, pairs: str = "test") -> str:
+    return (S.weighted(nb_table, pairs, f"AND w.rank <= {k}") + f""",
+kpred AS (SELECT p.user_id, p.item_id, p.rating,
+                 CASE WHEN um.um IS NULL THEN g.g ELSE """ +
+            S.combine("um.um", "CASE WHEN coalesce(w.den, 0) <> 0 THEN w.num / w.den ELSE 0 END") +
+            f""" END AS pred
+          FROM {pairs} p CROSS JOIN g LEFT JOIN um ON um.user_id = p.user_id
+          LEFT JOIN wsum w ON w.user_id = p.user_id AND w.item_id = p.item_id)
+""")
+
+
+@register("predict_knn_k10", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.NEIGHBOURS_CTE,
+                                         _knn_sql("nb", 10)) +
+          "SELECT user_id, item_id, round(pred, 6) AS pred FROM kpred")
+def q_predict_knn(spark, d):
+    _, train, test = data(spark, d)
+    return _pairs(pr.predict_knn(train, test, 10))
+
+
+SWEEP_KS = [10, 30, 50, 100, 200, 300, 400, 800, 943, 1499]
+
+
+@register("mae_knn_sweep", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.NEIGHBOURS_CTE) + f""",
+ks AS (SELECT CAST(k AS BIGINT) AS k FROM (VALUES {', '.join(f'({k})' for k in SWEEP_KS)}) t(k)),
+sw AS (SELECT p.user_id, p.item_id, ks.k, sum(nb.sim * d.dev) AS num, sum(abs(nb.sim)) AS den
+       FROM test p JOIN nb ON nb.user_id = p.user_id
+       JOIN dev d ON d.user_id = nb.other_id AND d.item_id = p.item_id
+       JOIN ks ON nb.rank <= ks.k
+       GROUP BY p.user_id, p.item_id, ks.k),
+sp AS (SELECT ks.k, p.rating, CASE WHEN um.um IS NULL THEN g.g ELSE """ +
+          S.combine("um.um", "CASE WHEN coalesce(sw.den, 0) <> 0 THEN sw.num / sw.den ELSE 0 END") +
+          """ END AS pred
+       FROM test p CROSS JOIN ks CROSS JOIN g LEFT JOIN um ON um.user_id = p.user_id
+       LEFT JOIN sw ON sw.user_id = p.user_id AND sw.item_id = p.item_id AND sw.k = ks.k)
+SELECT k, round(avg(abs(pred - rating)), 6) AS mae FROM sp GROUP BY k""")
+def q_mae_knn_sweep(spark, d):
+    _, train, test = data(spark, d)
+    out = pr.predict_knn_sweep(train, test, SWEEP_KS)
+    return (out.groupBy(F.col("k").cast("bigint").alias("k"))
+            .agg(r6(F.avg(F.abs(F.col("pred") - F.col("rating")))).alias("mae")))
+
+
+# ---------------------------------------------------------------- approximate
+APPROX = dict(partitions=10, replication=2, seed=1337)
+
+
+@register("user_buckets", S.with_ctes(S.buckets_cte(10, 2, 1337).split(",\nshared")[0]) +
+          "SELECT user_id, bucket FROM ub")
+def q_user_buckets(spark, d):
+    b = bk.user_buckets(data(spark, d)[1], APPROX["partitions"], APPROX["replication"],
+                        APPROX["seed"])
+    return b.select("user_id", F.col("bucket").cast("bigint").alias("bucket"))
+
+
+@register("approx_neighbours", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.buckets_cte(10, 2, 1337)) +
+          "SELECT user_id, other_id, round(sim, 6) AS sim, CAST(rank AS BIGINT) AS rank "
+          "FROM anb WHERE rank <= 10")
+def q_approx_neighbours(spark, d):
+    return _nb_out(bk.approximate_neighbours(data(spark, d)[1], 10, **APPROX))
+
+
+@register("mae_approx_knn", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.buckets_cte(10, 2, 1337)) + """,
+ks AS (SELECT CAST(k AS BIGINT) AS k FROM (VALUES (10), (300)) t(k)),
+sw AS (SELECT p.user_id, p.item_id, ks.k, sum(nb.sim * d.dev) AS num, sum(abs(nb.sim)) AS den
+       FROM test p JOIN anb nb ON nb.user_id = p.user_id
+       JOIN dev d ON d.user_id = nb.other_id AND d.item_id = p.item_id
+       JOIN ks ON nb.rank <= ks.k
+       GROUP BY p.user_id, p.item_id, ks.k),
+sp AS (SELECT ks.k, p.rating, CASE WHEN um.um IS NULL THEN g.g ELSE """ +
+          S.combine("um.um", "CASE WHEN coalesce(sw.den, 0) <> 0 THEN sw.num / sw.den ELSE 0 END") +
+          """ END AS pred
+       FROM test p CROSS JOIN ks CROSS JOIN g LEFT JOIN um ON um.user_id = p.user_id
+       LEFT JOIN sw ON sw.user_id = p.user_id AND sw.item_id = p.item_id AND sw.k = ks.k)
+SELECT k, round(avg(abs(pred - rating)), 6) AS mae FROM sp GROUP BY k""")
+def q_mae_approx_knn(spark, d):
+    _, train, test = data(spark, d)
+    parts = []
+    for k in (10, 300):
+        nbk = bk.approximate_neighbours(train, k, **APPROX)
+        parts.append(ev.mae(pr.predict_knn(train, test, k, neighbours=nbk))
+                     .select(F.lit(k).cast("bigint").alias("k"), r6("mae").alias("mae")))
+    return parts[0].unionByName(parts[1])

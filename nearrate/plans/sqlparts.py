@@ -58,3 +58,40 @@ jac AS (SELECT u AS user_id, v AS other_id, sim FROM jac_half WHERE sim <> 0
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip("\n") for c in (RATINGS_CTE,) + ctes) + "\n"
+
+NEIGHBOURS_CTE = """
+nusers AS (SELECT count(DISTINCT user_id) AS n FROM train),
+ranked AS (SELECT user_id, other_id, sim,
+                  row_number() OVER (PARTITION BY user_id ORDER BY sim DESC, other_id) AS rn,
+                  count(*) OVER (PARTITION BY user_id) AS stored
+           FROM cos),
+nb AS (SELECT user_id, other_id, sim,
+              CASE WHEN sim > 0 THEN rn ELSE rn + (nusers.n - 1 - stored) END AS rank
+       FROM ranked CROSS JOIN nusers)"""
+
+
+def weighted(sim_table: str, pairs: str = "test", extra_on: str = "") -> str:
+    """Σ w·dev and Σ|w| over users with a weight who rated the item."""
+    return f"""
+wsum AS (SELECT p.user_id, p.item_id, sum(w.sim * d.dev) AS num, sum(abs(w.sim)) AS den
+         FROM {pairs} p JOIN {sim_table} w ON w.user_id = p.user_id {extra_on}
+         JOIN dev d ON d.user_id = w.other_id AND d.item_id = p.item_id
+         GROUP BY p.user_id, p.item_id)"""
+
+
+def buckets_cte(p: int, r: int, seed: int) -> str:
+    return f"""
+ub AS (SELECT user_id, CAST(bucket AS BIGINT) AS bucket FROM (
+         SELECT u.user_id, b.bucket,
+                row_number() OVER (PARTITION BY u.user_id ORDER BY
+                  md5(concat_ws(':', '{seed}', CAST(u.user_id AS VARCHAR), CAST(b.bucket AS VARCHAR))),
+                  b.bucket) AS r
+         FROM (SELECT DISTINCT user_id FROM train) u CROSS JOIN range(0, {p}) b(bucket)) t
+       WHERE r <= {r}),
+shared AS (SELECT DISTINCT a.user_id AS u, b.user_id AS v FROM ub a JOIN ub b
+           ON a.bucket = b.bucket AND a.user_id <> b.user_id),
+apos AS (SELECT c.user_id, c.other_id, c.sim FROM cos c JOIN shared s
+         ON c.user_id = s.u AND c.other_id = s.v WHERE c.sim > 0),
+anb AS (SELECT user_id, other_id, sim,
+               row_number() OVER (PARTITION BY user_id ORDER BY sim DESC, other_id) AS rank
+        FROM apos)"""
