@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F, types as T
 
 # Per-task budgets. Rows are Arrow-shipped to a Python worker and held as one
@@ -64,10 +65,12 @@ def plan_gram(df: DataFrame, key: str, inner: str, group: tuple[str, ...] = (),
     deg = df.groupBy(*group, inner).agg(F.count(F.lit(1)).alias("d"))
     s = deg.agg(F.sum("d").alias("n"), F.sum(F.col("d") * F.col("d")).alias("w"),
                 F.max("d").alias("dmax")).first()
-    kmax = (df.groupBy(*group, key).agg(F.count(F.lit(1)).alias("c"))
-            .agg(F.max("c").alias("m")).first()["m"])
     n, w, dmax = (s["n"] or 0), float(s["w"] or 0), (s["dmax"] or 0)
-    kmax = kmax or 0
+    # The hottest key only matters when the whole input exceeds a task budget.
+    kmax = n
+    if n > TARGET_ROWS:
+        kmax = (df.groupBy(*group, key).agg(F.count(F.lit(1)).alias("c"))
+                .agg(F.max("c").alias("m")).first()["m"]) or 0
     min_tasks = min_tasks or _parallelism(df)
     # A hot inner key splits over key blocks: its pairs in one task ~ (dmax/b)^2.
     b = max(1, math.ceil(dmax / math.sqrt(TARGET_PAIRS)))
@@ -133,7 +136,10 @@ def gram(df: DataFrame, key: str, inner: str, values: list[str],
     with no shared inner value are absent. Each pair's orientation is fixed
     by its blocks, so partial sums from different inner blocks line up.
     """
-    plan = plan or plan_gram(df, key, inner, group)
+    if plan is None:
+        # Planning reads the input once more; keep it (recomputable on loss).
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        plan = plan_gram(df, key, inner, group)
     b, l = plan.key_blocks, plan.inner_blocks
     x = df.select(*group, F.col(key).cast("long").alias("key"),
                   F.col(inner).cast("long").alias("inner"),
@@ -241,6 +247,7 @@ def masked_product(left: DataFrame, right: DataFrame, mask: DataFrame,
     pairs without any shared inner key are absent from the output.
     """
     if plan is None:
+        left, right, mask = (x.persist(StorageLevel.MEMORY_AND_DISK) for x in (left, right, mask))
         plan = plan_product(left.count(), right.count(), mask.count(), _parallelism(left))
     R, I, C = plan.row_blocks, plan.inner_blocks, plan.col_blocks
     lcols = [F.col(v).cast("double").alias(f"l{i}") for i, v in enumerate(left_vals)]

@@ -14,9 +14,14 @@ from nearrate.operators.blocks import GramPlan, gram
 
 
 def mirror(half: DataFrame) -> DataFrame:
-    """Both directions of an unordered pair table."""
-    return half.unionByName(half.select(F.col("other_id").alias("user_id"),
-                                        F.col("user_id").alias("other_id"), "sim"))
+    """Both directions of an unordered pair table, in one pass (an explode of
+    the two orientations, so the input is computed once, not once per branch
+    of a union)."""
+    both = F.explode(F.array(
+        F.struct(F.col("user_id").alias("u"), F.col("other_id").alias("v")),
+        F.struct(F.col("other_id").alias("u"), F.col("user_id").alias("v")))).alias("p")
+    return half.select(both, "sim").select(F.col("p.u").alias("user_id"),
+                                           F.col("p.v").alias("other_id"), "sim")
 
 
 def cosine_half(train: DataFrame, lo: float = 1.0, hi: float = 5.0,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from nearrate.operators import evaluate as ev
@@ -37,7 +38,9 @@ def r6(c) -> Column:
 
 
 def data(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    ratings = ratings_from_orders(spark, sf_dir)
+    # Persisted: every plan below reads ratings several times (means, deviations,
+    # planning statistics); blocks lost with an executor are recomputed.
+    ratings = ratings_from_orders(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = split_train_test(ratings)
     return ratings, train, test
 
