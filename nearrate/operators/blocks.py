@@ -204,26 +204,42 @@ def plan_product(n_left: int, n_right: int, n_mask: int, min_tasks: int = 8) ->
     return best[1] if best else ProductPlan(16, 16, 16)
 
 
-def _product_task(pdf: pd.DataFrame, nl: int, nr: int, terms: tuple[tuple[int, int], ...]
-                  ) -> pd.DataFrame:
+def _product_task(pdf: pd.DataFrame, nl: int, nr: int, terms: tuple[tuple[int, int], ...],
+                  masked: bool) -> pd.DataFrame:
     cols = ["row", "col"] + [f"t{j}" for j in range(len(terms))]
     lv = [f"l{i}" for i in range(nl)]
     rv = [f"r{i}" for i in range(nr)]
-    mask = pdf[pdf["side"] == 2][["row", "col"]]
     left = pdf[pdf["side"] == 0][["row", "inner"] + lv]
     right = pdf[pdf["side"] == 1][["inner", "col"] + rv]
-    if mask.empty or left.empty or right.empty:
+    if left.empty or right.empty:
         return pd.DataFrame(columns=cols)
-    # Enumerate (mask pair, inner) through the cheaper side first.
-    via_left = mask["row"].map(left.groupby("row").size()).fillna(0).sum()
-    via_right = mask["col"].map(right.groupby("col").size()).fillna(0).sum()
-    first, key1, second, key2 = ((left, "row", right, ["inner", "col"]) if via_left <= via_right
-                                 else (right, "col", left, ["row", "inner"]))
-    fdeg = mask[key1].map(first.groupby(key1).size()).fillna(0).to_numpy()
-    chunk = (np.cumsum(fdeg) // CHUNK_PAIRS).astype(np.int64)
+    if masked:
+        mask = pdf[pdf["side"] == 2][["row", "col"]]
+        if mask.empty:
+            return pd.DataFrame(columns=cols)
+        # Enumerate (mask pair, inner) through the cheaper side first.
+        via_left = mask["row"].map(left.groupby("row").size()).fillna(0).sum()
+        via_right = mask["col"].map(right.groupby("col").size()).fillna(0).sum()
+        first, key1, second, key2 = ((left, "row", right, ["inner", "col"])
+                                     if via_left <= via_right
+                                     else (right, "col", left, ["row", "inner"]))
+        driver, dkey = mask, key1
+        fdeg = mask[key1].map(first.groupby(key1).size()).fillna(0).to_numpy()
+    else:
+        # Plain product: chunk the left rows by row key (disjoint output rows).
+        first, key1, second, key2 = None, None, right, ["inner"]
+        driver, dkey = left.sort_values("row", kind="stable"), "row"
+        fdeg = driver["inner"].map(right.groupby("inner").size()).fillna(0).to_numpy()
+    if masked:
+        chunk = (np.cumsum(fdeg) // CHUNK_PAIRS).astype(np.int64)
+    else:
+        per_row = pd.Series(fdeg).groupby(driver["row"].to_numpy(), sort=True).sum()
+        chunk = driver["row"].map((per_row.cumsum() // CHUNK_PAIRS).astype(np.int64)).to_numpy()
     out = []
-    for _, mpart in mask.assign(_c=chunk).groupby("_c", sort=False):
-        m = mpart.drop(columns="_c").merge(first, on=key1).merge(second, on=key2)
+    for _, part in driver.assign(_c=chunk).groupby("_c", sort=False):
+        part = part.drop(columns="_c")
+        m = part.merge(first, on=key1).merge(second, on=key2) if masked else \
+            part.merge(second, on=key2)
         if m.empty:
             continue
         data = {"row": m["row"].to_numpy(), "col": m["col"].to_numpy()}
@@ -235,7 +251,7 @@ def _product_task(pdf: pd.DataFrame, nl: int, nr: int, terms: tuple[tuple[int, i
     return pd.concat(out, ignore_index=True)[cols]
 
 
-def masked_product(left: DataFrame, right: DataFrame, mask: DataFrame,
+def masked_product(left: DataFrame, right: DataFrame, mask: DataFrame | None,
                    row: str, inner: str, col: str,
                    left_vals: list[str], right_vals: list[str],
                    terms: dict[str, tuple[str, str]],
@@ -244,11 +260,17 @@ def masked_product(left: DataFrame, right: DataFrame, mask: DataFrame,
     (row, col) pairs listed in ``mask`` (sampled sparse product).
 
     ``terms`` maps an output name to a (left value, right value) pair. Mask
-    pairs without any shared inner key are absent from the output.
+    pairs without any shared inner key are absent from the output. With
+    ``mask=None`` the whole sparse product is returned.
     """
+    masked = mask is not None
     if plan is None:
-        left, right, mask = (x.persist(StorageLevel.MEMORY_AND_DISK) for x in (left, right, mask))
-        plan = plan_product(left.count(), right.count(), mask.count(), _parallelism(left))
+        left, right = (x.persist(StorageLevel.MEMORY_AND_DISK) for x in (left, right))
+        n_mask = 0
+        if masked:
+            mask = mask.persist(StorageLevel.MEMORY_AND_DISK)
+            n_mask = mask.count()
+        plan = plan_product(left.count(), right.count(), n_mask, _parallelism(left))
     R, I, C = plan.row_blocks, plan.inner_blocks, plan.col_blocks
     lcols = [F.col(v).cast("double").alias(f"l{i}") for i, v in enumerate(left_vals)]
     rcols = [F.col(v).cast("double").alias(f"r{i}") for i, v in enumerate(right_vals)]
@@ -263,7 +285,7 @@ def masked_product(left: DataFrame, right: DataFrame, mask: DataFrame,
                       iid.alias("inner"), cid.alias("col"), *nulls_l, *rcols,
                       F.explode(F.sequence(F.lit(0), F.lit(R - 1))).alias("rb"),
                       _block(iid, I, 29).alias("ib"), _block(cid, C, 31).alias("cb"))
-    M = mask.select(F.lit(2).alias("side"), rid.alias("row"), F.lit(None).cast("long").alias("inner"),
+    M = None if not masked else mask.select(F.lit(2).alias("side"), rid.alias("row"), F.lit(None).cast("long").alias("inner"),
                     cid.alias("col"), *nulls_l, *nulls_r,
                     _block(rid, R, 17).alias("rb"),
                     F.explode(F.sequence(F.lit(0), F.lit(I - 1))).alias("ib"),
@@ -275,8 +297,9 @@ def masked_product(left: DataFrame, right: DataFrame, mask: DataFrame,
     nl, nr = len(left_vals), len(right_vals)
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _product_task(pdf, nl, nr, idx)
-    parts = L.unionByName(Rt).unionByName(M).groupBy("rb", "ib", "cb").applyInPandas(fn, schema)
+        return _product_task(pdf, nl, nr, idx, masked)
+    rows = L.unionByName(Rt) if M is None else L.unionByName(Rt).unionByName(M)
+    parts = rows.groupBy("rb", "ib", "cb").applyInPandas(fn, schema)
     if I > 1:
         parts = parts.groupBy("row", "col").agg(*[F.sum(f"t{j}").alias(f"t{j}")
                                                    for j in range(len(names))])

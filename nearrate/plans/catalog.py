@@ -335,9 +335,10 @@ def q_knn_similarity_lookup(spark, d):
     return _sim_out(nbm.knn_similarity(pr.knn_neighbours(train, 10), _requested(train)))
 
 
-def _knn_sql(nb_table: str, k: int, pairs: str = "test") -> str:
+def _knn_sql(nb_table: str, k: int, pairs: str = "test", rating: bool = True) -> str:
+    rcol = "p.rating," if rating else ""
     return (S.weighted(nb_table, pairs, f"AND w.rank <= {k}") + f""",
-kpred AS (SELECT p.user_id, p.item_id, p.rating,
+kpred AS (SELECT p.user_id, p.item_id, {rcol}
                  CASE WHEN um.um IS NULL THEN g.g ELSE """ +
             S.combine("um.um", "CASE WHEN coalesce(w.den, 0) <> 0 THEN w.num / w.den ELSE 0 END") +
             f""" END AS pred
@@ -417,3 +418,146 @@ def q_mae_approx_knn(spark, d):
         parts.append(ev.mae(pr.predict_knn(train, test, k, neighbours=nbk))
                      .select(F.lit(k).cast("bigint").alias("k"), r6("mae").alias("mae")))
     return parts[0].unionByName(parts[1])
+
+
+# ---------------------------------------------------------------- cold start
+def _cold_pairs(test: DataFrame) -> DataFrame:
+    """Test pairs turned unknown: negated user, negated item, or both (ids that
+    never occur in train)."""
+    t = test.select("user_id", "item_id", "rating")
+    return (t.select((-F.col("user_id")).alias("user_id"), "item_id", "rating")
+            .unionByName(t.select("user_id", (-F.col("item_id")).alias("item_id"), "rating"))
+            .unionByName(t.select((-F.col("user_id")).alias("user_id"),
+                                  (-F.col("item_id")).alias("item_id"), "rating")))
+
+
+_COLD_SQL = """,
+cold AS (SELECT -user_id AS user_id, item_id, rating FROM test
+         UNION ALL SELECT user_id, -item_id, rating FROM test
+         UNION ALL SELECT -user_id, -item_id, rating FROM test)"""
+
+
+@register("predict_cold_start",
+          S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.NEIGHBOURS_CTE).rstrip("\n") + _COLD_SQL +
+          "," + _knn_sql("nb", 10, "cold").lstrip("\n,") + " " + " UNION ALL ".join(
+              f"SELECT '{m}' AS method, p.user_id, p.item_id, round({_BASE_PRED_SQL[q]}, 6) AS pred "
+              "FROM cold p CROSS JOIN g LEFT JOIN um ON p.user_id = um.user_id "
+              "LEFT JOIN im ON p.item_id = im.item_id LEFT JOIN idev ON p.item_id = idev.item_id"
+              for m, q in [("user", "predict_user"), ("item", "predict_item"),
+                           ("baseline", "predict_baseline")])
+          + " UNION ALL SELECT 'knn10' AS method, user_id, item_id, round(pred, 6) AS pred FROM kpred")
+def q_predict_cold_start(spark, d):
+    _, train, test = data(spark, d)
+    cold = _cold_pairs(test)
+    outs = {"user": pr.predict_user_mean(train, cold), "item": pr.predict_item_mean(train, cold),
+            "baseline": pr.predict_baseline(train, cold), "knn10": pr.predict_knn(train, cold, 10)}
+    parts = [df.select(F.lit(m).alias("method"), "user_id", "item_id", r6("pred").alias("pred"))
+             for m, df in outs.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ---------------------------------------------------------------- recommendation
+from nearrate.operators import recommend as rc  # noqa: E402
+
+# The ratings two new users give, as (user offset above the
+# largest customer key, item id, rating).
+NEW_USER_RATINGS = [
+    (1, 1, 5.0), (1, 2, 5.0), (1, 3, 4.0), (1, 4, 1.0), (1, 5, 1.0),
+    (1, 6, 2.0), (1, 7, 5.0), (1, 8, 3.0), (1, 9, 4.0), (1, 10, 1.0),
+    (2, 11, 1.0), (2, 12, 2.0), (2, 13, 5.0), (2, 14, 5.0), (2, 15, 4.0),
+    (2, 16, 3.0), (2, 17, 1.0), (2, 18, 5.0), (2, 19, 2.0), (2, 20, 4.0),
+]
+RECOMMEND_K = 300
+RECOMMEND_N = 3
+
+_NEW_SQL = ("newr AS (SELECT CAST((SELECT max(c_custkey) FROM customer) + off AS BIGINT) AS user_id, "
+            "CAST(item_id AS BIGINT) AS item_id, CAST(rating AS DOUBLE) AS rating FROM (VALUES " +
+            ", ".join(f"({o}, {i}, {r})" for o, i, r in NEW_USER_RATINGS) + ") t(off, item_id, rating))")
+
+_REC_BASE = S.RATINGS_CTE.split("train AS")[0].rstrip().rstrip(",") + ",\n" + _NEW_SQL + """,
+train AS (SELECT user_id, item_id, rating FROM ratings
+          UNION ALL SELECT user_id, item_id, rating FROM newr),
+targets AS (SELECT DISTINCT user_id FROM newr),
+items AS (SELECT DISTINCT item_id FROM train),
+cand AS (SELECT t.user_id, i.item_id FROM targets t CROSS JOIN items i
+         WHERE NOT EXISTS (SELECT 1 FROM train r WHERE r.user_id = t.user_id AND r.item_id = i.item_id))"""
+
+_REC_SQL = ("WITH " + _REC_BASE.strip() + "," + ",".join(
+    c.strip("\n") for c in (S.MEANS_CTE, S.COSINE_CTE, S.NEIGHBOURS_CTE,
+                            _knn_sql("nb", RECOMMEND_K, "cand", rating=False).lstrip("\n,"))) + f""",
+recs AS (SELECT user_id, item_id, pred, row_number() OVER (PARTITION BY user_id
+           ORDER BY round(pred, 12) DESC, item_id) AS rank FROM kpred)
+""")
+
+
+def _new_users(spark: SparkSession, d: str) -> DataFrame:
+    top = spark.read.parquet(f"{d}/customer.parquet").agg(F.max("c_custkey")).scalar()
+    lit = spark.createDataFrame(NEW_USER_RATINGS, "off int, item_id bigint, rating double")
+    return lit.select((top + F.col("off")).cast("bigint").alias("user_id"), "item_id", "rating")
+
+
+def _rec_inputs(spark, d):
+    ratings = data(spark, d)[0]
+    new = _new_users(spark, d)
+    return rc.add_ratings(ratings, new), new.select("user_id").distinct()
+
+
+@register("candidates", "WITH " + _REC_BASE.strip() + "\nSELECT user_id, item_id FROM cand")
+def q_candidates(spark, d):
+    full, _ = _rec_inputs(spark, d)
+    top = spark.read.parquet(f"{d}/customer.parquet").agg(F.max("c_custkey")).scalar()
+    offsets = sorted({o for o, _, _ in NEW_USER_RATINGS})
+    items = full.select("item_id").distinct()
+    grid = (items.select(F.explode(F.array(*[F.lit(o) for o in offsets])).alias("off"), "item_id")
+            .select((F.col("off") + top).cast("bigint").alias("user_id"), "item_id"))
+    return grid.join(full.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+
+
+@register("recommend_top3", _REC_SQL + f"SELECT user_id, item_id, round(pred, 6) AS pred, "
+          f"CAST(rank AS BIGINT) AS rank FROM recs WHERE rank <= {RECOMMEND_N}")
+def q_recommend_top3(spark, d):
+    full, targets = _rec_inputs(spark, d)
+    recs = rc.recommend(full, targets, RECOMMEND_K, RECOMMEND_N)
+    return recs.select("user_id", "item_id", r6("pred").alias("pred"),
+                       F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("recommend_with_names", _REC_SQL +
+          f"SELECT r.user_id, r.item_id, round(r.pred, 6) AS pred, CAST(r.rank AS BIGINT) AS rank, "
+          f"p.p_name AS name FROM recs r LEFT JOIN part p ON p.p_partkey = r.item_id "
+          f"WHERE r.rank <= {RECOMMEND_N}")
+def q_recommend_with_names(spark, d):
+    full, targets = _rec_inputs(spark, d)
+    names = spark.read.parquet(f"{d}/part.parquet").select(
+        F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"))
+    recs = rc.with_names(rc.recommend(full, targets, RECOMMEND_K, RECOMMEND_N), names)
+    return recs.select("user_id", "item_id", r6("pred").alias("pred"),
+                       F.col("rank").cast("bigint").alias("rank"), "name")
+
+
+# ---------------------------------------------------------------- report
+@register("report_json", S.with_ctes(S.MEANS_CTE) + """,
+m AS (""" + " UNION ALL ".join(
+    f"SELECT '{m}' AS method, round(avg(abs(pred - rating)), 6) AS mae FROM "
+    f"(SELECT p.rating, {_BASE_PRED_SQL[q]} AS pred FROM test p CROSS JOIN g "
+    "LEFT JOIN um ON p.user_id = um.user_id LEFT JOIN im ON p.item_id = im.item_id "
+    "LEFT JOIN idev ON p.item_id = idev.item_id)"
+    for m, q in [("global", "predict_global"), ("user", "predict_user"),
+                 ("item", "predict_item"), ("baseline", "predict_baseline")]) + """)
+SELECT CAST(to_json({'global_mean': (SELECT round(g, 6) FROM g),
+        'mae': {'global': max(CASE WHEN method = 'global' THEN mae END),
+                'user': max(CASE WHEN method = 'user' THEN mae END),
+                'item': max(CASE WHEN method = 'item' THEN mae END),
+                'baseline': max(CASE WHEN method = 'baseline' THEN mae END)}}) AS VARCHAR) AS report
+FROM m""")
+def q_report_json(spark, d):
+    from nearrate.sources import report_row
+    _, train, test = data(spark, d)
+    m = ev.mae_by_method(train, test, _MAE_METHODS).select("method", r6("mae").alias("mae"))
+    pick = {k: F.max(F.when(F.col("method") == k, F.col("mae"))) for k in _MAE_METHODS}
+    g = fx.global_mean(train).select(r6("global_mean")).scalar()
+    return m.agg(report_row(global_mean=g, mae=F.struct(*[c.alias(k) for k, c in pick.items()]))
+                 .alias("report"))
