@@ -95,9 +95,10 @@ def dedupe(ratings: DataFrame, order_by: list[str] | None = None) -> DataFrame:
     """One row per (user_id, item_id): the row with the greatest ``order_by``
     (default: the rating itself). An aggregate, so it combines map-side."""
     order_by = order_by or ["rating"]
-    best = F.max(F.struct(*order_by, "rating")).alias("best")
+    keys = [F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)]
+    best = F.max(F.struct(*keys, F.col("rating").alias("value"))).alias("best")
     return (ratings.groupBy("user_id", "item_id").agg(best)
-            .select("user_id", "item_id", F.col("best.rating").alias("rating")))
+            .select("user_id", "item_id", F.col("best.value").alias("rating")))
 
 
 def new_user_ratings(spark: SparkSession, user_id: int,
