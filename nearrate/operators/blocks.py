@@ -126,6 +126,87 @@ def _gram_task(pdf: pd.DataFrame, group: tuple[str, ...], nvals: int) -> pd.Data
     return res[cols]
 
 
+def _gram_topk_task(pdf: pd.DataFrame, group: tuple[str, ...], k: int, digits: int,
+                    positive_only: bool) -> pd.DataFrame:
+    """Complete sums of one task -> per user (both directions) its top k
+    partners by (rounded sim desc, partner asc), plus in ``stored`` the
+    number of non-zero partners the task saw for that user (on one row)."""
+    cols = list(group) + ["a", "b", "s0", "stored"]
+    res = _gram_task(pdf, group, 1)
+    if res.empty:
+        return pd.DataFrame(columns=cols)
+    sim = np.round(res["s0"].to_numpy(), digits)
+    keep = sim > 0 if positive_only else sim != 0
+    a, b, sim = res["a"].to_numpy()[keep], res["b"].to_numpy()[keep], sim[keep]
+    if len(sim) == 0:
+        return pd.DataFrame(columns=cols)
+    both = pd.DataFrame({"a": np.concatenate([a, b]), "b": np.concatenate([b, a]),
+                         "s0": np.concatenate([sim, sim])})
+    both = both.sort_values(["a", "s0", "b"], ascending=[True, False, True], kind="stable")
+    pos = both.groupby("a", sort=False).cumcount().to_numpy()
+    counts = both.groupby("a", sort=False)["b"].transform("size").to_numpy()
+    top = both[pos < k].copy()
+    top["stored"] = np.where(pos[pos < k] == 0, counts[pos < k], 0).astype(np.int64)
+    for i, g in enumerate(group):
+        top.insert(i, g, pdf[g].iat[0])
+    return top[cols]
+
+
+def gram_top_k(df: DataFrame, key: str, inner: str, value: str, k: int, digits: int,
+               group: tuple[str, ...] = (), positive_only: bool = False,
+               plan: GramPlan | None = None) -> DataFrame:
+    """Top-k candidates of every key by rounded Σ x(a)·x(b) over shared inner
+    values, both directions: (group..., user_id, other_id, sim, stored).
+
+    The union of the candidates contains every key's k best non-zero partners
+    (ties by smaller partner id), and ``sum(stored)`` per key (and group) is
+    its number of non-zero partners. When the plan splits the inner values
+    (sums are not complete inside a task) every non-zero pair is returned with
+    ``stored = 1`` instead.
+    """
+    if plan is None:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        plan = plan_gram(df, key, inner, group)
+    if plan.inner_blocks > 1:
+        full = gram(df, key, inner, [value], group, plan)
+        sim = F.round(F.col(value), digits)
+        full = full.select(*group, "user_id", "other_id", sim.alias("sim"))
+        full = full.where(F.col("sim") > 0) if positive_only else full.where(F.col("sim") != 0)
+        both = F.explode(F.array(
+            F.struct(F.col("user_id").alias("u"), F.col("other_id").alias("v")),
+            F.struct(F.col("other_id").alias("u"), F.col("user_id").alias("v")))).alias("p")
+        return full.select(*group, both, "sim").select(
+            *group, F.col("p.u").alias("user_id"), F.col("p.v").alias("other_id"), "sim",
+            F.lit(1).cast("long").alias("stored"))
+    x = _replicate(df, key, inner, [value], group, plan)
+    schema = T.StructType(
+        [df.schema[g] for g in group]
+        + [T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
+           T.StructField("s0", T.DoubleType()), T.StructField("stored", T.LongType())])
+    grp = tuple(group)
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _gram_topk_task(pdf, grp, k, digits, positive_only)
+    parts = x.groupBy(*group, "rb", "cb", "ib").applyInPandas(fn, schema)
+    return parts.select(*group, F.col("a").alias("user_id"), F.col("b").alias("other_id"),
+                        F.col("s0").alias("sim"), "stored")
+
+
+def _replicate(df: DataFrame, key: str, inner: str, values: list[str],
+               group: tuple[str, ...], plan: GramPlan) -> DataFrame:
+    b, l = plan.key_blocks, plan.inner_blocks
+    x = df.select(*group, F.col(key).cast("long").alias("key"),
+                  F.col(inner).cast("long").alias("inner"),
+                  *[F.col(v).cast("double").alias(f"x{i}") for i, v in enumerate(values)])
+    x = x.withColumn("kb0", _block(F.col("key"), b, 17)).withColumn("ib", _block(F.col("inner"), l, 29))
+    # Row in key block k goes to cells (k, o) for o >= k as the left side and
+    # to (o, k) for o < k as the right side.
+    x = x.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
+    return (x.withColumn("side", F.when(F.col("o") >= F.col("kb0"), 0).otherwise(1))
+             .withColumn("rb", F.least("kb0", "o")).withColumn("cb", F.greatest("kb0", "o"))
+             .drop("kb0", "o"))
+
+
 def gram(df: DataFrame, key: str, inner: str, values: list[str],
          group: tuple[str, ...] = (), plan: GramPlan | None = None,
          out_names: tuple[str, str] = ("user_id", "other_id")) -> DataFrame:
@@ -140,17 +221,8 @@ def gram(df: DataFrame, key: str, inner: str, values: list[str],
         # Planning reads the input once more; keep it (recomputable on loss).
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         plan = plan_gram(df, key, inner, group)
-    b, l = plan.key_blocks, plan.inner_blocks
-    x = df.select(*group, F.col(key).cast("long").alias("key"),
-                  F.col(inner).cast("long").alias("inner"),
-                  *[F.col(v).cast("double").alias(f"x{i}") for i, v in enumerate(values)])
-    x = x.withColumn("kb0", _block(F.col("key"), b, 17)).withColumn("ib", _block(F.col("inner"), l, 29))
-    # Row in key block k goes to cells (k, o) for o >= k as the left side and
-    # to (o, k) for o < k as the right side.
-    x = x.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
-    x = (x.withColumn("side", F.when(F.col("o") >= F.col("kb0"), 0).otherwise(1))
-          .withColumn("rb", F.least("kb0", "o")).withColumn("cb", F.greatest("kb0", "o"))
-          .drop("kb0", "o"))
+    l = plan.inner_blocks
+    x = _replicate(df, key, inner, values, group, plan)
     schema = T.StructType(
         [df.schema[g] for g in group]
         + [T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]

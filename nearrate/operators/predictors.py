@@ -126,10 +126,19 @@ def predict_personalized(train: DataFrame, pairs: DataFrame, similarity: str = "
 
 def knn_neighbours(train: DataFrame, k: int, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
     """K4: exact k nearest neighbours by adjusted cosine."""
+    from pyspark import StorageLevel
+
+    from nearrate.functions import SIM_DIGITS
     from nearrate.operators import neighbours as nb
-    from nearrate.operators import similarity as sm
+    from nearrate.operators.blocks import gram_top_k, plan_gram
     n_users = train.agg(F.countDistinct("user_id")).scalar()
-    return nb.top_k(sm.cosine_similarity(train, lo, hi), k, n_users)
+    rui = fx.preprocessed(fx.deviations(train, lo, hi)).persist(StorageLevel.MEMORY_AND_DISK)
+    plan = plan_gram(rui, "user_id", "item_id")
+    cands = gram_top_k(rui, "user_id", "item_id", "rui", k, SIM_DIGITS, plan=plan)
+    if plan.inner_blocks == 1:
+        # Complete sums per task: rank the bounded per-task candidates.
+        return nb.top_k_from_candidates(cands, k, n_users)
+    return nb.top_k(cands.drop("stored"), k, n_users)
 
 
 def predict_knn(train: DataFrame, pairs: DataFrame, k: int,
@@ -150,14 +159,18 @@ def predict_knn(train: DataFrame, pairs: DataFrame, k: int,
 
 
 def predict_knn_sweep(train: DataFrame, pairs: DataFrame, ks: list[int],
-                      lo: float = 1.0, hi: float = 5.0) -> DataFrame:
+                      neighbours: DataFrame | None = None, lo: float = 1.0,
+                      hi: float = 5.0) -> DataFrame:
     """kNN predictions for several k at once: pairs × ks with column ``k``.
 
-    Neighbours are ranked once at max(ks); each k keeps its own weight columns
-    (weight 0 beyond its rank), so one block product serves every k.
+    Neighbours are ranked once at max(ks) (or given, with a ``rank`` column);
+    each k keeps its own weight columns (weight 0 beyond its rank), so one
+    block product serves every k.
     """
     ks = sorted(set(int(k) for k in ks))
-    nbrs = _persisted(knn_neighbours(train, max(ks), lo, hi))
+    if neighbours is None:
+        neighbours = knn_neighbours(train, max(ks), lo, hi)
+    nbrs = _persisted(neighbours)
     cols = {}
     weights = nbrs.select("user_id", "other_id", *[
         F.when(F.col("rank") <= k, F.col("sim")).otherwise(F.lit(0.0)).alias(f"s{k}")
