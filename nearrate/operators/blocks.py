@@ -20,6 +20,7 @@ job (row counts, degree maxima, the sum of squared inner degrees = the work).
 from __future__ import annotations
 
 import math
+import os
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +34,9 @@ TARGET_ROWS = 2_000_000
 TARGET_PAIRS = 40_000_000
 CHUNK_PAIRS = 4_000_000
 MAX_BLOCKS = 4096
+# Tasks per core for block products (load balance vs replication).
+GRAM_TASKS_PER_CORE = int(os.environ.get("NEARRATE_GRAM_TASKS_PER_CORE", "1"))
+PRODUCT_TASKS_PER_CORE = int(os.environ.get("NEARRATE_PRODUCT_TASKS_PER_CORE", "1"))
 
 
 def _block(col, n: int, seed: int):
@@ -71,7 +75,8 @@ def plan_gram(df: DataFrame, key: str, inner: str, group: tuple[str, ...] = (),
     if n > TARGET_ROWS:
         kmax = (df.groupBy(*group, key).agg(F.count(F.lit(1)).alias("c"))
                 .agg(F.max("c").alias("m")).first()["m"]) or 0
-    min_tasks = min_tasks or _parallelism(df)
+    # A few tasks per core, so uneven cells (diagonal ones are half-size) balance.
+    min_tasks = min_tasks or GRAM_TASKS_PER_CORE * _parallelism(df)
     # A hot inner key splits over key blocks: its pairs in one task ~ (dmax/b)^2.
     b = max(1, math.ceil(dmax / math.sqrt(TARGET_PAIRS)))
     # Input rows per task ~ 2n/(b*l); a hot key's rows split over inner blocks.
@@ -82,7 +87,7 @@ def plan_gram(df: DataFrame, key: str, inner: str, group: tuple[str, ...] = (),
     l = max(1, l_rows, l_hot, l_work)
     while b * (b + 1) // 2 * l < min_tasks and b * (b + 1) // 2 * l < MAX_BLOCKS:
         # Prefer more key blocks while they are few (cheap replication), then inner.
-        if b < 4:
+        if b < 8:
             b += 1
         else:
             l += 1
@@ -278,10 +283,10 @@ def plan_product(n_left: int, n_right: int, n_mask: int, min_tasks: int = 8) ->
 
 def _product_task(pdf: pd.DataFrame, nl: int, nr: int, terms: tuple[tuple[int, int], ...],
                   masked: bool) -> pd.DataFrame:
-    cols = ["row", "col"] + [f"t{j}" for j in range(len(terms))]
+    cols = ["row", "col", "lg"] + [f"t{j}" for j in range(len(terms))]
     lv = [f"l{i}" for i in range(nl)]
     rv = [f"r{i}" for i in range(nr)]
-    left = pdf[pdf["side"] == 0][["row", "inner"] + lv]
+    left = pdf[pdf["side"] == 0][["row", "inner", "lg"] + lv]
     right = pdf[pdf["side"] == 1][["inner", "col"] + rv]
     if left.empty or right.empty:
         return pd.DataFrame(columns=cols)
@@ -314,10 +319,11 @@ def _product_task(pdf: pd.DataFrame, nl: int, nr: int, terms: tuple[tuple[int, i
             part.merge(second, on=key2)
         if m.empty:
             continue
-        data = {"row": m["row"].to_numpy(), "col": m["col"].to_numpy()}
+        data = {"row": m["row"].to_numpy(), "col": m["col"].to_numpy(), "lg": m["lg"].to_numpy()}
         for j, (li, ri) in enumerate(terms):
             data[f"t{j}"] = m[f"l{li}"].to_numpy() * m[f"r{ri}"].to_numpy()
-        out.append(pd.DataFrame(data).groupby(["row", "col"], sort=False, as_index=False).sum())
+        out.append(pd.DataFrame(data).groupby(["row", "col", "lg"], sort=False,
+                                              as_index=False).sum())
     if not out:
         return pd.DataFrame(columns=cols)
     return pd.concat(out, ignore_index=True)[cols]
@@ -327,44 +333,55 @@ def masked_product(left: DataFrame, right: DataFrame, mask: DataFrame | None,
                    row: str, inner: str, col: str,
                    left_vals: list[str], right_vals: list[str],
                    terms: dict[str, tuple[str, str]],
-                   plan: ProductPlan | None = None) -> DataFrame:
+                   plan: ProductPlan | None = None,
+                   sizes: tuple[int, int, int] | None = None,
+                   left_group: str | None = None) -> DataFrame:
     """Σ over ``inner`` of left[row, inner]·right[inner, col], only at the
     (row, col) pairs listed in ``mask`` (sampled sparse product).
 
     ``terms`` maps an output name to a (left value, right value) pair. Mask
     pairs without any shared inner key are absent from the output. With
-    ``mask=None`` the whole sparse product is returned.
+    ``mask=None`` the whole sparse product is returned. ``sizes`` (row counts
+    of left, right, mask) lets the caller skip the counting jobs;
+    ``left_group`` names an integer column of ``left`` that is kept as an
+    extra output key (sums are split by it).
     """
     masked = mask is not None
+    if plan is None and sizes is not None:
+        plan = plan_product(*sizes, min_tasks=PRODUCT_TASKS_PER_CORE * _parallelism(left))
     if plan is None:
         left, right = (x.persist(StorageLevel.MEMORY_AND_DISK) for x in (left, right))
         n_mask = 0
         if masked:
             mask = mask.persist(StorageLevel.MEMORY_AND_DISK)
             n_mask = mask.count()
-        plan = plan_product(left.count(), right.count(), n_mask, _parallelism(left))
+        plan = plan_product(left.count(), right.count(), n_mask,
+                            PRODUCT_TASKS_PER_CORE * _parallelism(left))
     R, I, C = plan.row_blocks, plan.inner_blocks, plan.col_blocks
     lcols = [F.col(v).cast("double").alias(f"l{i}") for i, v in enumerate(left_vals)]
     rcols = [F.col(v).cast("double").alias(f"r{i}") for i, v in enumerate(right_vals)]
     nulls_l = [F.lit(None).cast("double").alias(f"l{i}") for i in range(len(left_vals))]
     nulls_r = [F.lit(None).cast("double").alias(f"r{i}") for i in range(len(right_vals))]
     rid, iid, cid = (F.col(row).cast("long"), F.col(inner).cast("long"), F.col(col).cast("long"))
+    lg = (F.col(left_group).cast("long") if left_group else F.lit(0).cast("long")).alias("lg")
+    nolg = F.lit(0).cast("long").alias("lg")
     L = left.select(F.lit(0).alias("side"), rid.alias("row"), iid.alias("inner"),
-                    F.lit(None).cast("long").alias("col"), *lcols, *nulls_r,
+                    F.lit(None).cast("long").alias("col"), lg, *lcols, *nulls_r,
                     _block(rid, R, 17).alias("rb"), _block(iid, I, 29).alias("ib"),
                     F.explode(F.sequence(F.lit(0), F.lit(C - 1))).alias("cb"))
     Rt = right.select(F.lit(1).alias("side"), F.lit(None).cast("long").alias("row"),
-                      iid.alias("inner"), cid.alias("col"), *nulls_l, *rcols,
+                      iid.alias("inner"), cid.alias("col"), nolg, *nulls_l, *rcols,
                       F.explode(F.sequence(F.lit(0), F.lit(R - 1))).alias("rb"),
                       _block(iid, I, 29).alias("ib"), _block(cid, C, 31).alias("cb"))
     M = None if not masked else mask.select(F.lit(2).alias("side"), rid.alias("row"), F.lit(None).cast("long").alias("inner"),
-                    cid.alias("col"), *nulls_l, *nulls_r,
+                    cid.alias("col"), nolg, *nulls_l, *nulls_r,
                     _block(rid, R, 17).alias("rb"),
                     F.explode(F.sequence(F.lit(0), F.lit(I - 1))).alias("ib"),
                     _block(cid, C, 31).alias("cb"))
     names = list(terms)
     idx = tuple((left_vals.index(lv), right_vals.index(rv)) for lv, rv in terms.values())
-    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("col", T.LongType())]
+    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("col", T.LongType()),
+                           T.StructField("lg", T.LongType())]
                           + [T.StructField(f"t{j}", T.DoubleType()) for j in range(len(names))])
     nl, nr = len(left_vals), len(right_vals)
 
@@ -373,7 +390,9 @@ def masked_product(left: DataFrame, right: DataFrame, mask: DataFrame | None,
     rows = L.unionByName(Rt) if M is None else L.unionByName(Rt).unionByName(M)
     parts = rows.groupBy("rb", "ib", "cb").applyInPandas(fn, schema)
     if I > 1:
-        parts = parts.groupBy("row", "col").agg(*[F.sum(f"t{j}").alias(f"t{j}")
-                                                   for j in range(len(names))])
-    return parts.select(F.col("row").alias(row), F.col("col").alias(col),
-                        *[F.col(f"t{j}").alias(n) for j, n in enumerate(names)])
+        parts = parts.groupBy("row", "col", "lg").agg(*[F.sum(f"t{j}").alias(f"t{j}")
+                                                         for j in range(len(names))])
+    keys = [F.col("row").alias(row), F.col("col").alias(col)]
+    if left_group:
+        keys.append(F.col("lg").alias(left_group))
+    return parts.select(*keys, *[F.col(f"t{j}").alias(n) for j, n in enumerate(names)])

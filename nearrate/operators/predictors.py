@@ -67,28 +67,26 @@ def _persisted(df: DataFrame) -> DataFrame:
 
 
 def weighted_deviation(weights: DataFrame, dev: DataFrame, pairs: DataFrame,
-                       weight_cols: dict[str, str] | None = None) -> DataFrame:
+                       sizes: tuple[int, int, int] | None = None,
+                       group: str | None = None) -> DataFrame:
     """P6 core: for each requested (user_id, item_id), the sums over users v
-    with weight w(user, v) who rated the item of w·dev(v, item) and |w|.
+    with weight ``sim`` = w(user, v) who rated the item of w·dev(v, item)
+    (``num``) and |w| (``den``); split by the integer column ``group`` of
+    ``weights`` when given.
 
-    ``weights`` is (user_id, other_id, <weight columns>); by default one weight
-    ``sim`` giving (num, den). Computed as a sampled block product, so neither
-    a hot user nor a hot item is ever enumerated whole in one task.
+    Computed as a sampled block product, so neither a hot user nor a hot item
+    is ever enumerated whole in one task.
     """
-    weight_cols = weight_cols or {"sim": ""}
-    left_vals, terms = [], {}
-    sel = [F.col("user_id"), F.col("other_id").alias("v")]
-    for wcol, suffix in weight_cols.items():
-        sel += [F.col(wcol).alias(f"w{suffix}"), F.abs(F.col(wcol)).alias(f"a{suffix}")]
-        left_vals += [f"w{suffix}", f"a{suffix}"]
-        terms[f"num{suffix}"] = (f"w{suffix}", "dev")
-        terms[f"den{suffix}"] = (f"a{suffix}", "one")
-    left = weights.select(*sel)
+    from nearrate.operators.blocks import masked_product
+    extra = [group] if group else []
+    left = weights.select("user_id", F.col("other_id").alias("v"), F.col("sim").alias("w"),
+                          F.abs(F.col("sim")).alias("a"), *extra)
     right = dev.select(F.col("user_id").alias("v"), "item_id", "dev", F.lit(1.0).alias("one"))
     mask = pairs.select("user_id", "item_id").distinct()
-    from nearrate.operators.blocks import masked_product
     return masked_product(left, right, mask, row="user_id", inner="v", col="item_id",
-                          left_vals=left_vals, right_vals=["dev", "one"], terms=terms)
+                          left_vals=["w", "a"], right_vals=["dev", "one"],
+                          terms={"num": ("w", "dev"), "den": ("a", "one")},
+                          sizes=sizes, left_group=group)
 
 
 def _ratio(num: str, den: str):
@@ -106,13 +104,17 @@ def predict_personalized(train: DataFrame, pairs: DataFrame, similarity: str = "
         # All weights 1: the weighted mean deviation is the item's mean deviation.
         return predict_baseline(train, pairs, lo, hi)
     from nearrate.operators import similarity as sm
+    sizes = None
     if sim is None:
-        sim = sm.cosine_similarity(train, lo, hi) if similarity == "cosine" else \
-            sm.jaccard_similarity(train)
-    sim = _persisted(sim)
+        # Keep the unordered half (half the rows); both directions are
+        # generated again where the product replicates its inputs.
+        half = _persisted(sm.cosine_half(train, lo, hi) if similarity == "cosine"
+                          else sm.jaccard_half(train))
+        sim = sm.mirror(half)
+        sizes = (2 * half.count(), train.count(), pairs.count())
     g = fx.global_mean_col(train)
     dev = fx.deviations(train, lo, hi)
-    wd = weighted_deviation(sim, dev, pairs)
+    wd = weighted_deviation(sim, dev, pairs, sizes)
     own = dev.select("user_id", "item_id", F.col("dev").alias("self_dev"))
     p = (pairs.join(fx.user_means(train), "user_id", "left")
          .join(wd, ["user_id", "item_id"], "left")
@@ -151,7 +153,8 @@ def predict_knn(train: DataFrame, pairs: DataFrame, k: int,
         neighbours = knn_neighbours(train, k, lo, hi)
     neighbours = _persisted(neighbours)
     g = fx.global_mean_col(train)
-    wd = weighted_deviation(neighbours, fx.deviations(train, lo, hi), pairs)
+    sizes = (neighbours.count(), train.count(), pairs.count())
+    wd = weighted_deviation(neighbours, fx.deviations(train, lo, hi), pairs, sizes)
     p = (pairs.join(fx.user_means(train), "user_id", "left")
          .join(wd, ["user_id", "item_id"], "left")
          .withColumn("wdev", _ratio("num", "den")).drop("num", "den"))
@@ -163,28 +166,29 @@ def predict_knn_sweep(train: DataFrame, pairs: DataFrame, ks: list[int],
                       hi: float = 5.0) -> DataFrame:
     """kNN predictions for several k at once: pairs × ks with column ``k``.
 
-    Neighbours are ranked once at max(ks) (or given, with a ``rank`` column);
-    each k keeps its own weight columns (weight 0 beyond its rank), so one
-    block product serves every k.
+    Neighbours are ranked once at max(ks) (or given, with a ``rank`` column).
+    Each neighbour falls in the bucket of the smallest k that includes it; the
+    block product sums per bucket, and each k adds up the buckets up to its
+    own (at most len(ks) rows per pair and bucket).
     """
     ks = sorted(set(int(k) for k in ks))
     if neighbours is None:
         neighbours = knn_neighbours(train, max(ks), lo, hi)
     nbrs = _persisted(neighbours)
-    cols = {}
-    weights = nbrs.select("user_id", "other_id", *[
-        F.when(F.col("rank") <= k, F.col("sim")).otherwise(F.lit(0.0)).alias(f"s{k}")
-        for k in ks])
-    for k in ks:
-        cols[f"s{k}"] = f"_{k}"
-    wd = weighted_deviation(weights, fx.deviations(train, lo, hi), pairs, cols)
+    bucket = F.lit(len(ks) - 1)
+    for j in range(len(ks) - 2, -1, -1):
+        bucket = F.when(F.col("rank") <= ks[j], F.lit(j)).otherwise(bucket)
+    weights = nbrs.select("user_id", "other_id", "sim", bucket.alias("kb"))
+    sizes = (nbrs.count(), train.count(), pairs.count())
+    wd = weighted_deviation(weights, fx.deviations(train, lo, hi), pairs, sizes, group="kb")
+    karr = F.array(*[F.lit(k) for k in ks])
+    per_k = (wd.select("user_id", "item_id", "num", "den",
+                       F.explode(F.slice(karr, F.col("kb") + 1, len(ks))).alias("k"))
+             .groupBy("user_id", "item_id", "k")
+             .agg(F.sum("num").alias("num"), F.sum("den").alias("den")))
     g = fx.global_mean_col(train)
-    per_k = F.explode(F.array(*[
-        F.struct(F.lit(k).alias("k"), F.col(f"num_{k}").alias("num"), F.col(f"den_{k}").alias("den"))
-        for k in ks])).alias("kk")
     p = (pairs.join(fx.user_means(train), "user_id", "left")
-         .join(wd, ["user_id", "item_id"], "left"))
-    keep = [c for c in p.columns if not c.startswith(("num_", "den_"))]
-    p = p.select(*keep, per_k).select(*keep, "kk.k", "kk.num", "kk.den")
+         .select("*", F.explode(karr).alias("k"))
+         .join(per_k, ["user_id", "item_id", "k"], "left"))
     p = p.withColumn("wdev", _ratio("num", "den")).drop("num", "den")
     return _finish(p, "wdev", False, g, lo, hi)
