@@ -57,6 +57,7 @@ def _parallelism(df: DataFrame) -> int:
 class GramPlan:
     key_blocks: int
     inner_blocks: int
+    groups: int = 1
 
     @property
     def tasks(self) -> int:
@@ -79,6 +80,14 @@ def plan_gram(df: DataFrame, key: str, inner: str, group: tuple[str, ...] = (),
     min_tasks = min_tasks or GRAM_TASKS_PER_CORE * _parallelism(df)
     # A hot inner key splits over key blocks: its pairs in one task ~ (dmax/b)^2.
     b = max(1, math.ceil(dmax / math.sqrt(TARGET_PAIRS)))
+    # Enough key blocks for a dense per-task accumulator, if that stays cheap
+    # (each extra key block replicates the input once more).
+    gstats = (df.groupBy(*group).agg(F.approx_count_distinct(key).alias("k"))
+              .agg(F.max("k").alias("m"), F.count(F.lit(1)).alias("g")).first())
+    nkeys, ngroups = (gstats["m"] or 0), max(1, gstats["g"] or 1)
+    b_dense = math.ceil(nkeys / math.sqrt(DENSE_CELLS)) if nkeys else 1
+    if b_dense <= 16:
+        b = max(b, b_dense)
     # Input rows per task ~ 2n/(b*l); a hot key's rows split over inner blocks.
     l_rows = math.ceil(2 * n / (b * TARGET_ROWS)) if n else 1
     l_hot = math.ceil(kmax / TARGET_ROWS) if kmax else 1
@@ -91,41 +100,102 @@ def plan_gram(df: DataFrame, key: str, inner: str, group: tuple[str, ...] = (),
             b += 1
         else:
             l += 1
-    return GramPlan(min(b, MAX_BLOCKS), min(l, MAX_BLOCKS))
+    return GramPlan(min(b, MAX_BLOCKS), min(l, MAX_BLOCKS), ngroups)
+
+
+DENSE_CELLS = 8_000_000  # per-task accumulator size for the dense path
+
+
+def _block_sums(lkey, linner, lvals, rkey, rinner, rvals, diag: bool):
+    """Σ over shared inner values of lval·rval for every (left key, right key)
+    pair of one block, in numpy. Pairs are generated with repeat/offset
+    arithmetic in chunks of at most CHUNK_PAIRS; sums are accumulated with
+    ``bincount`` into a dense (left keys × right keys) array when that is at
+    most DENSE_CELLS, else per chunk over the distinct pair codes. On the
+    diagonal (left == right) only pairs with a < b are kept.
+
+    Returns (a_keys, b_keys, [sums per value]) for co-occurring pairs.
+    """
+    ua, ia = np.unique(lkey, return_inverse=True)
+    ub, ib = (ua, ia) if diag else np.unique(rkey, return_inverse=True)
+    na, nb = len(ua), len(ub)
+    order = np.argsort(rinner, kind="stable")
+    r_inner, r_idx = rinner[order], ib[order]
+    r_vals = [v[order] for v in rvals]
+    lo = np.searchsorted(r_inner, linner, "left")
+    cnt = np.searchsorted(r_inner, linner, "right") - lo
+    # Left rows ordered by key so that chunks hold disjoint left keys.
+    lorder = np.argsort(ia, kind="stable")
+    csum = np.cumsum(cnt[lorder])
+    cuts = np.searchsorted(csum, np.arange(CHUNK_PAIRS, csum[-1] if len(csum) else 0,
+                                           CHUNK_PAIRS), "right")
+    # Move cuts to key boundaries.
+    key_sorted = ia[lorder]
+    bounds = [0]
+    for c in cuts:
+        c = int(np.searchsorted(key_sorted, key_sorted[min(c, len(key_sorted) - 1)], "left"))
+        if c > bounds[-1]:
+            bounds.append(c)
+    bounds.append(len(lorder))
+    dense = na * nb <= DENSE_CELLS
+    nv = len(lvals)
+    if dense:
+        acc = [np.zeros(na * nb) for _ in range(nv)]
+        hits = np.zeros(na * nb, dtype=np.int64)
+    parts = []
+    for s0, s1 in zip(bounds[:-1], bounds[1:]):
+        rows = lorder[s0:s1]
+        c = cnt[rows]
+        total = int(c.sum())
+        if total == 0:
+            continue
+        rep = np.repeat(rows, c)
+        first = np.repeat(np.cumsum(c) - c, c)
+        pos = np.arange(total) - first + np.repeat(lo[rows], c)
+        a, b = ia[rep], r_idx[pos]
+        prods = [lvals[i][rep] * r_vals[i][pos] for i in range(nv)]
+        if diag:
+            keep = a < b
+            a, b = a[keep], b[keep]
+            prods = [x[keep] for x in prods]
+        code = a.astype(np.int64) * nb + b
+        if dense:
+            hits += np.bincount(code, minlength=na * nb)
+            for i in range(nv):
+                acc[i] += np.bincount(code, weights=prods[i], minlength=na * nb)
+        else:
+            uc, inv = np.unique(code, return_inverse=True)
+            parts.append((uc, [np.bincount(inv, weights=x, minlength=len(uc)) for x in prods]))
+    if dense:
+        code = np.flatnonzero(hits)
+        sums = [x[code] for x in acc]
+    elif parts:
+        code = np.concatenate([p[0] for p in parts])
+        sums = [np.concatenate([p[1][i] for p in parts]) for i in range(nv)]
+    else:
+        code, sums = np.zeros(0, dtype=np.int64), [np.zeros(0) for _ in range(nv)]
+    return ua[code // nb], ub[code % nb], sums
+
+
+def _task_sides(pdf: pd.DataFrame, nvals: int):
+    diag = pdf["rb"].iat[0] == pdf["cb"].iat[0]
+    left = pdf[pdf["side"] == 0]
+    right = left if diag else pdf[pdf["side"] == 1]
+    lv = [left[f"x{i}"].to_numpy(dtype=np.float64) for i in range(nvals)]
+    rv = lv if diag else [right[f"x{i}"].to_numpy(dtype=np.float64) for i in range(nvals)]
+    return (left["key"].to_numpy(), left["inner"].to_numpy(), lv,
+            right["key"].to_numpy(), right["inner"].to_numpy(), rv, diag)
 
 
 def _gram_task(pdf: pd.DataFrame, group: tuple[str, ...], nvals: int) -> pd.DataFrame:
-    vals = [f"x{i}" for i in range(nvals)]
     cols = list(group) + ["a", "b"] + [f"s{i}" for i in range(nvals)]
     if pdf.empty:
         return pd.DataFrame(columns=cols)
-    diag = pdf["rb"].iat[0] == pdf["cb"].iat[0]
-    left = pdf[pdf["side"] == 0][["key", "inner"] + vals]
-    right = left if diag else pdf[pdf["side"] == 1][["key", "inner"] + vals]
-    if left.empty or right.empty:
-        return pd.DataFrame(columns=cols)
-    # Chunk the left side by key so that each merge stays under CHUNK_PAIRS;
-    # chunks hold disjoint left keys, so their aggregates never overlap.
-    rdeg = right.groupby("inner").size()
-    w = left["inner"].map(rdeg).fillna(0).to_numpy()
-    left = left.assign(_w=w).sort_values("key", kind="stable")
-    per_key = left.groupby("key", sort=True)["_w"].sum()
-    chunk_of_key = (per_key.cumsum() // CHUNK_PAIRS).astype(np.int64)
-    left = left.assign(_c=left["key"].map(chunk_of_key).to_numpy())
-    r = right.rename(columns={"key": "b", **{v: v + "_r" for v in vals}})
-    out = []
-    for _, chunk in left.groupby("_c", sort=False):
-        m = chunk.drop(columns=["_w", "_c"]).rename(columns={"key": "a"}).merge(r, on="inner")
-        if diag:
-            m = m[m["a"] < m["b"]]
-        if m.empty:
-            continue
-        prods = {f"s{i}": m[f"x{i}"].to_numpy() * m[f"x{i}_r"].to_numpy() for i in range(nvals)}
-        agg = pd.DataFrame({"a": m["a"].to_numpy(), "b": m["b"].to_numpy(), **prods})
-        out.append(agg.groupby(["a", "b"], sort=False, as_index=False).sum())
-    if not out:
+    lk, li, lv, rk, ri, rv, diag = _task_sides(pdf, nvals)
+    if len(lk) == 0 or len(rk) == 0:
         return pd.DataFrame(columns=cols)
-    res = pd.concat(out, ignore_index=True)
+    a, b, sums = _block_sums(lk, li, lv, rk, ri, rv, diag)
+    res = pd.DataFrame({"a": a, "b": b, **{f"s{i}": x for i, x in enumerate(sums)}})
     for i, g in enumerate(group):
         res.insert(i, g, pdf[g].iat[0])
     return res[cols]
@@ -137,24 +207,29 @@ def _gram_topk_task(pdf: pd.DataFrame, group: tuple[str, ...], k: int, digits: i
     partners by (rounded sim desc, partner asc), plus in ``stored`` the
     number of non-zero partners the task saw for that user (on one row)."""
     cols = list(group) + ["a", "b", "s0", "stored"]
-    res = _gram_task(pdf, group, 1)
-    if res.empty:
+    if pdf.empty:
+        return pd.DataFrame(columns=cols)
+    lk, li, lv, rk, ri, rv, diag = _task_sides(pdf, 1)
+    if len(lk) == 0 or len(rk) == 0:
         return pd.DataFrame(columns=cols)
-    sim = np.round(res["s0"].to_numpy(), digits)
+    a, b, (sums,) = _block_sums(lk, li, lv, rk, ri, rv, diag)
+    sim = np.round(sums, digits)
     keep = sim > 0 if positive_only else sim != 0
-    a, b, sim = res["a"].to_numpy()[keep], res["b"].to_numpy()[keep], sim[keep]
+    a, b, sim = a[keep], b[keep], sim[keep]
     if len(sim) == 0:
         return pd.DataFrame(columns=cols)
-    both = pd.DataFrame({"a": np.concatenate([a, b]), "b": np.concatenate([b, a]),
-                         "s0": np.concatenate([sim, sim])})
-    both = both.sort_values(["a", "s0", "b"], ascending=[True, False, True], kind="stable")
-    pos = both.groupby("a", sort=False).cumcount().to_numpy()
-    counts = both.groupby("a", sort=False)["b"].transform("size").to_numpy()
-    top = both[pos < k].copy()
-    top["stored"] = np.where(pos[pos < k] == 0, counts[pos < k], 0).astype(np.int64)
+    u, v, s_ = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([sim, sim])
+    order = np.lexsort((v, -s_, u))
+    u, v, s_ = u[order], v[order], s_[order]
+    starts = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
+    sizes = np.diff(np.r_[starts, len(u)])
+    pos = np.arange(len(u)) - np.repeat(starts, sizes)
+    top = pos < k
+    stored = np.where(pos == 0, np.repeat(sizes, sizes), 0)[top].astype(np.int64)
+    res = pd.DataFrame({"a": u[top], "b": v[top], "s0": s_[top], "stored": stored})
     for i, g in enumerate(group):
-        top.insert(i, g, pdf[g].iat[0])
-    return top[cols]
+        res.insert(i, g, pdf[g].iat[0])
+    return res[cols]
 
 
 def gram_top_k(df: DataFrame, key: str, inner: str, value: str, k: int, digits: int,
@@ -192,11 +267,21 @@ def gram_top_k(df: DataFrame, key: str, inner: str, value: str, k: int, digits:
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         return _gram_topk_task(pdf, grp, k, digits, positive_only)
-    parts = x.groupBy(*group, "rb", "cb", "ib").applyInPandas(fn, schema)
+    parts = _one_cell_per_task(x, list(group) + ["rb", "cb", "ib"], plan.tasks * plan.groups) \
+        .groupBy(*group, "rb", "cb", "ib").applyInPandas(fn, schema)
     return parts.select(*group, F.col("a").alias("user_id"), F.col("b").alias("other_id"),
                         F.col("s0").alias("sim"), "stored")
 
 
+def _one_cell_per_task(x: DataFrame, cell: list[str], cells: int) -> DataFrame:
+    """Range-partition the replicated rows on the cell key into one partition
+    per cell. An explicit partition count is kept as is by AQE (cells are few
+    and already sized, merging them would only serialise the work), and range
+    partitioning on the grouping key also satisfies the grouping, so no second
+    shuffle is planned."""
+    return x.repartitionByRange(max(1, min(cells, 4 * MAX_BLOCKS)), *cell)
+
+
 def _replicate(df: DataFrame, key: str, inner: str, values: list[str],
                group: tuple[str, ...], plan: GramPlan) -> DataFrame:
     b, l = plan.key_blocks, plan.inner_blocks
@@ -236,7 +321,8 @@ def gram(df: DataFrame, key: str, inner: str, values: list[str],
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         return _gram_task(pdf, grp, nv)
-    parts = x.groupBy(*group, "rb", "cb", "ib").applyInPandas(fn, schema)
+    parts = _one_cell_per_task(x, list(group) + ["rb", "cb", "ib"], plan.tasks * plan.groups) \
+        .groupBy(*group, "rb", "cb", "ib").applyInPandas(fn, schema)
     sums = [F.col(f"s{i}") for i in range(len(values))]
     if l > 1:
         parts = parts.groupBy(*group, "a", "b").agg(*[F.sum(s).alias(f"s{i}") for i, s in
@@ -388,7 +474,8 @@ def masked_product(left: DataFrame, right: DataFrame, mask: DataFrame | None,
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         return _product_task(pdf, nl, nr, idx, masked)
     rows = L.unionByName(Rt) if M is None else L.unionByName(Rt).unionByName(M)
-    parts = rows.groupBy("rb", "ib", "cb").applyInPandas(fn, schema)
+    parts = _one_cell_per_task(rows, ["rb", "ib", "cb"], R * I * C) \
+        .groupBy("rb", "ib", "cb").applyInPandas(fn, schema)
     if I > 1:
         parts = parts.groupBy("row", "col", "lg").agg(*[F.sum(f"t{j}").alias(f"t{j}")
                                                          for j in range(len(names))])
