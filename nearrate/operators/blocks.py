@@ -273,19 +273,118 @@ def gram_top_k(df: DataFrame, key: str, inner: str, value: str, k: int, digits:
                         F.col("s0").alias("sim"), "stored")
 
 
+def _weighted_task(pdf: pd.DataFrame, jaccard: bool, digits: int) -> pd.DataFrame:
+    """One Gram cell fused with the similarity-weighted deviation sums.
+
+    Rows: kind 0 = similarity input (x0 = value, x1 = the user's item count
+    for Jaccard), kind 1 = a deviation (x0 = dev), kind 2 = a requested
+    (user, item) pair. The cell computes the complete similarities between
+    its two user blocks, then for each requested pair of a user in one block
+    the partial Σ s·dev and Σ|s| over the raters of the item in the other block.
+    """
+    cols = ["user_id", "item_id", "num", "den"]
+    empty = pd.DataFrame(columns=cols)
+    diag = pdf["rb"].iat[0] == pdf["cb"].iat[0]
+    A = pdf[pdf["side"] == 0]
+    B = A if diag else pdf[pdf["side"] == 1]
+
+    def part(frame, kind):
+        f = frame[frame["kind"] == kind]
+        return (f["key"].to_numpy(), f["inner"].to_numpy(), f["x0"].to_numpy(dtype=np.float64),
+                f["x1"].to_numpy(dtype=np.float64))
+
+    ak, ai, av, an = part(A, 0)
+    bk, bi, bv, bn = part(B, 0)
+    if len(ak) == 0 or len(bk) == 0:
+        return empty
+    a, b, (dot,) = _block_sums(ak, ai, [av], bk, bi, [bv], diag)
+    if jaccard:
+        keys, first = np.unique(np.concatenate([ak, bk]), return_index=True)
+        n_sorted = np.concatenate([an, bn])[first]
+        na, nb = n_sorted[np.searchsorted(keys, a)], n_sorted[np.searchsorted(keys, b)]
+        sim = dot / (na + nb - dot)
+    else:
+        sim = dot
+    sim = np.round(sim, digits)
+    keep = sim != 0
+    a, b, sim = a[keep], b[keep], sim[keep]
+    if len(sim) == 0:
+        return empty
+    terms = ((0, 0), (1, 1))
+    outs = []
+
+    def weighted(rows, inners, w, dev_side, mask_side):
+        dk, di, dv, _ = part(dev_side, 1)
+        mk, mi, _, _ = part(mask_side, 2)
+        r, c, _, (num, den) = _masked_sums(rows, inners, np.zeros(len(rows), np.int64),
+                                           [w, np.abs(w)], dk, di, [dv, np.ones(len(dv))],
+                                           mk, mi, terms, 1)
+        if len(r):
+            outs.append(pd.DataFrame({"user_id": r, "item_id": c, "num": num, "den": den}))
+
+    if diag:
+        weighted(np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([sim, sim]), A, A)
+    else:
+        weighted(a, b, sim, B, A)   # users of block rb, neighbours in block cb
+        weighted(b, a, sim, A, B)   # users of block cb, neighbours in block rb
+    if not outs:
+        return empty
+    return pd.concat(outs, ignore_index=True)[cols]
+
+
+def gram_weighted_deviation(sim_input: DataFrame, dev: DataFrame, pairs: DataFrame,
+                            digits: int, jaccard: bool = False,
+                            plan: GramPlan | None = None) -> DataFrame | None:
+    """Σ_v s(u,v)·dev(v,i) and Σ_v |s(u,v)| over the users v ≠ u who rated i,
+    for the requested (u, i) pairs, where s is the rounded cosine of
+    ``sim_input`` (user_id, item_id, value) — or, with ``jaccard``, the Jaccard
+    index from co-rating counts (``value`` = 1, ``n`` = the user's item count).
+
+    The similarity is computed inside the Gram cells and used there; it is
+    never materialised as a table. Returns (user_id, item_id, num, den), or
+    None when the plan splits items (sums incomplete in a cell); the caller
+    then uses the materialised route.
+    """
+    if plan is None:
+        sim_input = sim_input.persist(StorageLevel.MEMORY_AND_DISK)
+        plan = plan_gram(sim_input, "user_id", "item_id")
+    if plan.inner_blocks > 1:
+        return None
+    n_col = F.col("n").cast("double") if jaccard else F.lit(0.0)
+    rows = (sim_input.select(F.lit(0).alias("kind"), "user_id", "item_id",
+                             F.col("value").cast("double").alias("x0"), n_col.alias("x1"))
+            .unionByName(dev.select(F.lit(1).alias("kind"), "user_id", "item_id",
+                                    F.col("dev").alias("x0"), F.lit(0.0).alias("x1")))
+            .unionByName(pairs.select("user_id", "item_id").distinct()
+                         .select(F.lit(2).alias("kind"), "user_id", "item_id",
+                                 F.lit(0.0).alias("x0"), F.lit(0.0).alias("x1"))))
+    x = _replicate(rows, "user_id", "item_id", ["x0", "x1"], (), plan, extra=("kind",))
+    schema = "user_id long, item_id long, num double, den double"
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _weighted_task(pdf, jaccard, digits)
+    parts = _one_cell_per_task(x, ["rb", "cb", "ib"], plan.tasks) \
+        .groupBy("rb", "cb", "ib").applyInPandas(fn, schema)
+    return parts.groupBy("user_id", "item_id").agg(F.sum("num").alias("num"),
+                                                   F.sum("den").alias("den"))
+
+
 def _one_cell_per_task(x: DataFrame, cell: list[str], cells: int) -> DataFrame:
-    """Range-partition the replicated rows on the cell key into one partition
-    per cell. An explicit partition count is kept as is by AQE (cells are few
-    and already sized, merging them would only serialise the work), and range
-    partitioning on the grouping key also satisfies the grouping, so no second
-    shuffle is planned."""
-    return x.repartitionByRange(max(1, min(cells, 4 * MAX_BLOCKS)), *cell)
+    """Hash-partition the replicated rows on the cell key with an explicit
+    partition count (two per cell, so few cells share a task). AQE keeps an
+    explicit count as is: the cells are already sized, and merging them into
+    fewer tasks would only serialise the work. The partitioning satisfies the
+    grouping, so no second shuffle is planned."""
+    mode = os.environ.get("NEARRATE_CELL_PARTITIONING", "hash")
+    if mode == "none":
+        return x
+    return x.repartition(max(1, min(2 * cells, 8 * MAX_BLOCKS)), *cell)
 
 
 def _replicate(df: DataFrame, key: str, inner: str, values: list[str],
-               group: tuple[str, ...], plan: GramPlan) -> DataFrame:
+               group: tuple[str, ...], plan: GramPlan, extra: tuple[str, ...] = ()) -> DataFrame:
     b, l = plan.key_blocks, plan.inner_blocks
-    x = df.select(*group, F.col(key).cast("long").alias("key"),
+    x = df.select(*group, *extra, F.col(key).cast("long").alias("key"),
                   F.col(inner).cast("long").alias("inner"),
                   *[F.col(v).cast("double").alias(f"x{i}") for i, v in enumerate(values)])
     x = x.withColumn("kb0", _block(F.col("key"), b, 17)).withColumn("ib", _block(F.col("inner"), l, 29))
@@ -367,52 +466,171 @@ def plan_product(n_left: int, n_right: int, n_mask: int, min_tasks: int = 8) ->
     return best[1] if best else ProductPlan(16, 16, 16)
 
 
+def _expand(starts: np.ndarray, counts: np.ndarray):
+    """For each i the positions starts[i] .. starts[i] + counts[i] - 1,
+    concatenated, with the index i that owns each position."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    pos = (np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+           + np.repeat(starts, counts))
+    return owner, pos
+
+
+def _chunks(weights: np.ndarray, keys: np.ndarray | None = None):
+    """Split 0..len(weights) into runs whose weight sums stay near CHUNK_PAIRS;
+    with sorted ``keys``, cuts move back to key boundaries (a key's entries
+    stay in one run)."""
+    n = len(weights)
+    csum = np.cumsum(weights)
+    cuts = np.searchsorted(csum, np.arange(CHUNK_PAIRS, csum[-1] if n else 0,
+                                           CHUNK_PAIRS), "right") if n else []
+    cuts = [min(int(c), n) for c in cuts]
+    if keys is not None:
+        cuts = [int(np.searchsorted(keys, keys[c], "left")) if c < n else n for c in cuts]
+    bounds = sorted(set([0, *cuts, n]))
+    return zip(bounds[:-1], bounds[1:])
+
+
+def _accumulate(code: np.ndarray, values: list[np.ndarray]):
+    uc, inv = np.unique(code, return_inverse=True)
+    return uc, [np.bincount(inv, weights=v, minlength=len(uc)) for v in values]
+
+
+def _masked_sums(L_row, L_inner, L_g, L_val, R_inner, R_col, R_val, M_row, M_col,
+                 terms, n_lg: int = 1):
+    """Sampled sparse product on arrays: for each distinct mask pair (row, col)
+    and left group g, Σ over inner of L_val[li]·R_val[ri] for each term.
+
+    Preconditions: left unique on (row, inner), right on (inner, col), mask
+    pairs distinct. Each mask pair is expanded through the cheaper side and
+    the partner entry found by binary search on packed codes. Returns
+    (row, col, g, [sums]) for pairs with at least one shared inner key.
+    """
+    nothing = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64),
+               [np.zeros(0) for _ in terms])
+    if len(L_row) == 0 or len(R_inner) == 0 or len(M_row) == 0:
+        return nothing
+    inner_u = np.unique(np.concatenate([L_inner, R_inner]))
+    Li, Ri = np.searchsorted(inner_u, L_inner), np.searchsorted(inner_u, R_inner)
+    col_u = np.unique(np.concatenate([R_col, M_col]))
+    row_u = np.unique(np.concatenate([L_row, M_row]))
+    Rc, Mc = np.searchsorted(col_u, R_col), np.searchsorted(col_u, M_col)
+    Lr, Mr = np.searchsorted(row_u, L_row), np.searchsorted(row_u, M_row)
+    lo_ = np.argsort(Lr, kind="stable")
+    ro_ = np.argsort(Rc, kind="stable")
+    l_start = np.searchsorted(Lr[lo_], Mr, "left")
+    l_cnt = np.searchsorted(Lr[lo_], Mr, "right") - l_start
+    r_start = np.searchsorted(Rc[ro_], Mc, "left")
+    r_cnt = np.searchsorted(Rc[ro_], Mc, "right") - r_start
+    via_left = l_cnt.sum() <= r_cnt.sum()
+    if via_left:
+        key = Ri.astype(np.int64) * len(col_u) + Rc
+        cnt, st = l_cnt, l_start
+    else:
+        key = Lr.astype(np.int64) * len(inner_u) + Li
+        cnt, st = r_cnt, r_start
+    korder = np.argsort(key, kind="stable")
+    ksorted = key[korder]
+    out_codes, out_sums = [], []
+    for c0, c1 in _chunks(cnt):
+        m, pos = _expand(st[c0:c1], cnt[c0:c1])
+        if len(m) == 0:
+            continue
+        m = m + c0
+        if via_left:
+            lp = lo_[pos]
+            want = Li[lp].astype(np.int64) * len(col_u) + Mc[m]
+        else:
+            rp = ro_[pos]
+            want = Mr[m].astype(np.int64) * len(inner_u) + Ri[rp]
+        at = np.minimum(np.searchsorted(ksorted, want), len(ksorted) - 1)
+        hit = ksorted[at] == want
+        if not hit.any():
+            continue
+        m, other = m[hit], korder[at[hit]]
+        lp, rp = (lp[hit], other) if via_left else (other, rp[hit])
+        vals = [L_val[li][lp] * R_val[ri][rp] for li, ri in terms]
+        uc, sums = _accumulate(m.astype(np.int64) * n_lg + L_g[lp], vals)
+        out_codes.append(uc)
+        out_sums.append(sums)
+    if not out_codes:
+        return nothing
+    code = np.concatenate(out_codes)
+    mm = code // n_lg
+    return (M_row[mm], M_col[mm], code % n_lg,
+            [np.concatenate([s_[j] for s_ in out_sums]) for j in range(len(terms))])
+
+
 def _product_task(pdf: pd.DataFrame, nl: int, nr: int, terms: tuple[tuple[int, int], ...],
                   masked: bool) -> pd.DataFrame:
+    """One (row, inner, column) block of the sampled product, in numpy.
+
+    Preconditions: left is unique on (row, inner), right on (inner, col).
+    Masked: every mask pair is expanded through the cheaper side (the left
+    entries of its row, or the right entries of its column) and the partner
+    entry is found by binary search on packed codes. Unmasked: left and right
+    entries are paired on the inner key. Sums are kept per output key and
+    left group (``lg``).
+    """
     cols = ["row", "col", "lg"] + [f"t{j}" for j in range(len(terms))]
-    lv = [f"l{i}" for i in range(nl)]
-    rv = [f"r{i}" for i in range(nr)]
-    left = pdf[pdf["side"] == 0][["row", "inner", "lg"] + lv]
-    right = pdf[pdf["side"] == 1][["inner", "col"] + rv]
+    empty = pd.DataFrame(columns=cols)
+    left = pdf[pdf["side"] == 0]
+    right = pdf[pdf["side"] == 1]
     if left.empty or right.empty:
-        return pd.DataFrame(columns=cols)
+        return empty
+    L_row, L_inner = left["row"].to_numpy(), left["inner"].to_numpy()
+    L_lg = left["lg"].to_numpy()
+    L_val = [left[f"l{i}"].to_numpy(dtype=np.float64) for i in range(nl)]
+    R_inner, R_col = right["inner"].to_numpy(), right["col"].to_numpy()
+    R_val = [right[f"r{i}"].to_numpy(dtype=np.float64) for i in range(nr)]
+    inner_u = np.unique(np.concatenate([L_inner, R_inner]))
+    Li, Ri = np.searchsorted(inner_u, L_inner), np.searchsorted(inner_u, R_inner)
+    lg_u, L_g = np.unique(L_lg, return_inverse=True)
+    n_lg = len(lg_u)
+    out_codes, out_sums, decode = [], [], None
     if masked:
-        mask = pdf[pdf["side"] == 2][["row", "col"]]
+        mask = pdf[pdf["side"] == 2]
         if mask.empty:
-            return pd.DataFrame(columns=cols)
-        # Enumerate (mask pair, inner) through the cheaper side first.
-        via_left = mask["row"].map(left.groupby("row").size()).fillna(0).sum()
-        via_right = mask["col"].map(right.groupby("col").size()).fillna(0).sum()
-        first, key1, second, key2 = ((left, "row", right, ["inner", "col"])
-                                     if via_left <= via_right
-                                     else (right, "col", left, ["row", "inner"]))
-        driver, dkey = mask, key1
-        fdeg = mask[key1].map(first.groupby(key1).size()).fillna(0).to_numpy()
-    else:
-        # Plain product: chunk the left rows by row key (disjoint output rows).
-        first, key1, second, key2 = None, None, right, ["inner"]
-        driver, dkey = left.sort_values("row", kind="stable"), "row"
-        fdeg = driver["inner"].map(right.groupby("inner").size()).fillna(0).to_numpy()
-    if masked:
-        chunk = (np.cumsum(fdeg) // CHUNK_PAIRS).astype(np.int64)
+            return empty
+        row, col, g, sums = _masked_sums(L_row, L_inner, L_g, L_val, R_inner, R_col, R_val,
+                                         mask["row"].to_numpy(), mask["col"].to_numpy(),
+                                         terms, n_lg)
+        if len(row) == 0:
+            return empty
+        data = {"row": row, "col": col, "lg": lg_u[g]}
+        for j in range(len(terms)):
+            data[f"t{j}"] = sums[j]
+        return pd.DataFrame(data)[cols]
     else:
-        per_row = pd.Series(fdeg).groupby(driver["row"].to_numpy(), sort=True).sum()
-        chunk = driver["row"].map((per_row.cumsum() // CHUNK_PAIRS).astype(np.int64)).to_numpy()
-    out = []
-    for _, part in driver.assign(_c=chunk).groupby("_c", sort=False):
-        part = part.drop(columns="_c")
-        m = part.merge(first, on=key1).merge(second, on=key2) if masked else \
-            part.merge(second, on=key2)
-        if m.empty:
-            continue
-        data = {"row": m["row"].to_numpy(), "col": m["col"].to_numpy(), "lg": m["lg"].to_numpy()}
-        for j, (li, ri) in enumerate(terms):
-            data[f"t{j}"] = m[f"l{li}"].to_numpy() * m[f"r{ri}"].to_numpy()
-        out.append(pd.DataFrame(data).groupby(["row", "col", "lg"], sort=False,
-                                              as_index=False).sum())
-    if not out:
-        return pd.DataFrame(columns=cols)
-    return pd.concat(out, ignore_index=True)[cols]
+        col_u = np.unique(R_col)
+        Rc = np.searchsorted(col_u, R_col)
+        row_u, Lr = np.unique(L_row, return_inverse=True)
+        ro_ = np.argsort(Ri, kind="stable")
+        Ri_s = Ri[ro_]
+        lo_ = np.argsort(Lr, kind="stable")
+        st = np.searchsorted(Ri_s, Li[lo_], "left")
+        cnt = np.searchsorted(Ri_s, Li[lo_], "right") - st
+        # Chunk on row boundaries so output keys never straddle chunks.
+        for c0, c1 in _chunks(cnt, Lr[lo_]):
+            own, pos = _expand(st[c0:c1], cnt[c0:c1])
+            if len(own) == 0:
+                continue
+            lp = lo_[own + c0]
+            rp = ro_[pos]
+            vals = [L_val[li][lp] * R_val[ri][rp] for li, ri in terms]
+            code = (Lr[lp].astype(np.int64) * len(col_u) + Rc[rp]) * n_lg + L_g[lp]
+            uc, sums = _accumulate(code, vals)
+            out_codes.append(uc)
+            out_sums.append(sums)
+        if not out_codes:
+            return empty
+        code = np.concatenate(out_codes)
+        gg = code % n_lg
+        rc = code // n_lg
+        row, col = row_u[rc // len(col_u)], col_u[rc % len(col_u)]
+    data = {"row": row, "col": col, "lg": lg_u[gg]}
+    for j in range(len(terms)):
+        data[f"t{j}"] = np.concatenate([s_[j] for s_ in out_sums])
+    return pd.DataFrame(data)[cols]
 
 
 def masked_product(left: DataFrame, right: DataFrame, mask: DataFrame | None,
@@ -433,6 +651,8 @@ def masked_product(left: DataFrame, right: DataFrame, mask: DataFrame | None,
     extra output key (sums are split by it).
     """
     masked = mask is not None
+    if masked:
+        mask = mask.select(row, col).distinct()
     if plan is None and sizes is not None:
         plan = plan_product(*sizes, min_tasks=PRODUCT_TASKS_PER_CORE * _parallelism(left))
     if plan is None:
@@ -446,20 +666,20 @@ def masked_product(left: DataFrame, right: DataFrame, mask: DataFrame | None,
     R, I, C = plan.row_blocks, plan.inner_blocks, plan.col_blocks
     lcols = [F.col(v).cast("double").alias(f"l{i}") for i, v in enumerate(left_vals)]
     rcols = [F.col(v).cast("double").alias(f"r{i}") for i, v in enumerate(right_vals)]
-    nulls_l = [F.lit(None).cast("double").alias(f"l{i}") for i in range(len(left_vals))]
-    nulls_r = [F.lit(None).cast("double").alias(f"r{i}") for i in range(len(right_vals))]
+    nulls_l = [F.lit(0.0).cast("double").alias(f"l{i}") for i in range(len(left_vals))]
+    nulls_r = [F.lit(0.0).cast("double").alias(f"r{i}") for i in range(len(right_vals))]
     rid, iid, cid = (F.col(row).cast("long"), F.col(inner).cast("long"), F.col(col).cast("long"))
     lg = (F.col(left_group).cast("long") if left_group else F.lit(0).cast("long")).alias("lg")
     nolg = F.lit(0).cast("long").alias("lg")
     L = left.select(F.lit(0).alias("side"), rid.alias("row"), iid.alias("inner"),
-                    F.lit(None).cast("long").alias("col"), lg, *lcols, *nulls_r,
+                    F.lit(0).cast("long").alias("col"), lg, *lcols, *nulls_r,
                     _block(rid, R, 17).alias("rb"), _block(iid, I, 29).alias("ib"),
                     F.explode(F.sequence(F.lit(0), F.lit(C - 1))).alias("cb"))
-    Rt = right.select(F.lit(1).alias("side"), F.lit(None).cast("long").alias("row"),
+    Rt = right.select(F.lit(1).alias("side"), F.lit(0).cast("long").alias("row"),
                       iid.alias("inner"), cid.alias("col"), nolg, *nulls_l, *rcols,
                       F.explode(F.sequence(F.lit(0), F.lit(R - 1))).alias("rb"),
                       _block(iid, I, 29).alias("ib"), _block(cid, C, 31).alias("cb"))
-    M = None if not masked else mask.select(F.lit(2).alias("side"), rid.alias("row"), F.lit(None).cast("long").alias("inner"),
+    M = None if not masked else mask.select(F.lit(2).alias("side"), rid.alias("row"), F.lit(0).cast("long").alias("inner"),
                     cid.alias("col"), nolg, *nulls_l, *nulls_r,
                     _block(rid, R, 17).alias("rb"),
                     F.explode(F.sequence(F.lit(0), F.lit(I - 1))).alias("ib"),

@@ -82,7 +82,7 @@ def weighted_deviation(weights: DataFrame, dev: DataFrame, pairs: DataFrame,
     left = weights.select("user_id", F.col("other_id").alias("v"), F.col("sim").alias("w"),
                           F.abs(F.col("sim")).alias("a"), *extra)
     right = dev.select(F.col("user_id").alias("v"), "item_id", "dev", F.lit(1.0).alias("one"))
-    mask = pairs.select("user_id", "item_id").distinct()
+    mask = pairs.select("user_id", "item_id")
     return masked_product(left, right, mask, row="user_id", inner="v", col="item_id",
                           left_vals=["w", "a"], right_vals=["dev", "one"],
                           terms={"num": ("w", "dev"), "den": ("a", "one")},
@@ -103,18 +103,30 @@ def predict_personalized(train: DataFrame, pairs: DataFrame, similarity: str = "
     if similarity == "unit" and sim is None:
         # All weights 1: the weighted mean deviation is the item's mean deviation.
         return predict_baseline(train, pairs, lo, hi)
+    from nearrate.functions import SIM_DIGITS
     from nearrate.operators import similarity as sm
-    sizes = None
-    if sim is None:
-        # Keep the unordered half (half the rows); both directions are
-        # generated again where the product replicates its inputs.
-        half = _persisted(sm.cosine_half(train, lo, hi) if similarity == "cosine"
-                          else sm.jaccard_half(train))
-        sim = sm.mirror(half)
-        sizes = (2 * half.count(), train.count(), pairs.count())
+    from nearrate.operators.blocks import gram_weighted_deviation
     g = fx.global_mean_col(train)
     dev = fx.deviations(train, lo, hi)
-    wd = weighted_deviation(sim, dev, pairs, sizes)
+    wd = None
+    if sim is None:
+        # Fused route: similarities live only inside the Gram cells.
+        if similarity == "cosine":
+            sim_input = fx.preprocessed(dev).withColumnRenamed("rui", "value")
+        else:
+            counts = train.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+            sim_input = train.select("user_id", "item_id", F.lit(1.0).alias("value")) \
+                .join(counts, "user_id")
+        wd = gram_weighted_deviation(sim_input, dev, pairs, SIM_DIGITS,
+                                     jaccard=similarity != "cosine")
+    if wd is None:
+        sizes = None
+        if sim is None:
+            half = _persisted(sm.cosine_half(train, lo, hi) if similarity == "cosine"
+                              else sm.jaccard_half(train))
+            sim = sm.mirror(half)
+            sizes = (2 * half.count(), train.count(), pairs.count())
+        wd = weighted_deviation(sim, dev, pairs, sizes)
     own = dev.select("user_id", "item_id", F.col("dev").alias("self_dev"))
     p = (pairs.join(fx.user_means(train), "user_id", "left")
          .join(wd, ["user_id", "item_id"], "left")

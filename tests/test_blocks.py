@@ -45,3 +45,39 @@ def test_plan_product_bounds_hot_keys():
               10e6 / 3 / min(p.inner_blocks, p.col_blocks),
               1e6 / 3 / min(p.row_blocks, p.col_blocks))
     assert max(load, hot) <= blocks.TARGET_ROWS
+
+
+def _product_frame(left, right, mask):
+    parts = [left.assign(side=0, col=np.nan, r0=np.nan),
+             right.assign(side=1, row=np.nan, lg=0, l0=np.nan, l1=np.nan)]
+    if mask is not None:
+        parts.append(mask.assign(side=2, inner=np.nan, lg=0, l0=np.nan, l1=np.nan, r0=np.nan))
+    return pd.concat(parts, ignore_index=True)
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("chunk", [10**9, 3])
+@pytest.mark.parametrize("masked", [True, False])
+def test_product_task(monkeypatch, seed, chunk, masked):
+    monkeypatch.setattr(blocks, "CHUNK_PAIRS", chunk)
+    rng = np.random.default_rng(seed)
+    n = 80
+    left = pd.DataFrame({"row": rng.integers(0, 12, n), "inner": rng.integers(0, 9, n)}) \
+        .drop_duplicates(["row", "inner"])
+    left = left.assign(l0=rng.normal(size=len(left)), l1=rng.normal(size=len(left)),
+                       lg=rng.integers(0, 3, len(left)))
+    right = pd.DataFrame({"inner": rng.integers(0, 9, n), "col": rng.integers(0, 15, n)}) \
+        .drop_duplicates(["inner", "col"])
+    right = right.assign(r0=rng.normal(size=len(right)))
+    mask = pd.DataFrame({"row": rng.integers(0, 14, 40), "col": rng.integers(0, 15, 40)}) \
+        .drop_duplicates() if masked else None
+    terms = ((0, 0), (1, 0))
+    got = blocks._product_task(_product_frame(left, right, mask), 2, 1, terms, masked)
+    m = left.merge(right, on="inner")
+    if masked:
+        m = m.merge(mask, on=["row", "col"])
+    m = m.assign(t0=m.l0 * m.r0, t1=m.l1 * m.r0)
+    want = m.groupby(["row", "col", "lg"])[["t0", "t1"]].sum()
+    g = got.set_index(["row", "col", "lg"])[["t0", "t1"]].sort_index()
+    assert len(g) == len(want)
+    assert np.allclose(g.loc[want.index].to_numpy(dtype=float), want.to_numpy())
