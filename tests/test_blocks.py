@@ -81,3 +81,55 @@ def test_product_task(monkeypatch, seed, chunk, masked):
     g = got.set_index(["row", "col", "lg"])[["t0", "t1"]].sort_index()
     assert len(g) == len(want)
     assert np.allclose(g.loc[want.index].to_numpy(dtype=float), want.to_numpy())
+
+
+def test_hot_item_is_split_and_exact(spark, monkeypatch):
+    """One item rated by every user (a third of all rows): the planner must
+    split its raters over several key blocks, and the Gram must stay exact."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(blocks, "TARGET_PAIRS", 400)
+    monkeypatch.setattr(blocks, "TARGET_ROWS", 200)
+    rng = np.random.default_rng(7)
+    users = 120
+    rows = [(u, 0, float(rng.normal())) for u in range(users)]            # hot item
+    rows += [(u, int(i), float(rng.normal())) for u in range(users)
+             for i in rng.choice(np.arange(1, 60), 2, replace=False)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, v double")
+    plan = blocks.plan_gram(df, "user_id", "item_id")
+    assert plan.key_blocks >= 6          # 120 raters of item 0 over >= 6 blocks
+    assert (users / plan.key_blocks) ** 2 <= 400 * 1.5
+    got = {(r.user_id, r.other_id): r.v for r in
+           blocks.gram(df, "user_id", "item_id", ["v"], plan=plan).collect()}
+    pdf = pd.DataFrame(rows, columns=["key", "inner", "x"])
+    want = brute(pdf, pdf, True)
+    canon = {tuple(sorted(k)): v for k, v in got.items()}
+    assert len(canon) == len(got) == len(want)
+    assert all(abs(canon[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_hot_user_top_k_candidates_bounded(spark, monkeypatch):
+    """A user co-rating with everyone: its candidate rows from the per-cell
+    top-k stay within k per cell, and the exact top-k is recovered."""
+    from nearrate.operators import neighbours as nb
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(3)
+    rows = [(0, i, float(rng.normal())) for i in range(200)]               # hot user
+    rows += [(u, int(i), float(rng.normal())) for u in range(1, 150)
+             for i in rng.choice(200, 3, replace=False)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rui double")
+    plan = blocks.GramPlan(4, 1)
+    k = 5
+    cands = blocks.gram_top_k(df, "user_id", "item_id", "rui", k, 12, plan=plan)
+    hot = cands.where(F.col("user_id") == 0).count()
+    assert hot <= k * plan.key_blocks
+    top = nb.top_k_from_candidates(cands, k, F.lit(150))
+    got = [r.other_id for r in top.where(F.col("user_id") == 0).orderBy("rank").collect()]
+    full = blocks.gram(df, "user_id", "item_id", ["rui"], plan=plan)
+    sims = {}
+    for r in full.collect():
+        s = round(r.rui, 12)
+        if s != 0 and 0 in (r.user_id, r.other_id):
+            sims[r.other_id if r.user_id == 0 else r.user_id] = s
+    pos = sorted((v, o) for o, v in sims.items() if v > 0)
+    want = [o for v, o in sorted(pos, key=lambda t: (-t[0], t[1]))][:k]
+    assert got[:len(want)] == want
