@@ -32,17 +32,24 @@ def candidates(ratings: DataFrame, targets: list[int]) -> DataFrame:
     return grid.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
 
 
+def _persist(df: DataFrame) -> DataFrame:
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def target_neighbours(train: DataFrame, targets: DataFrame, k: int, lo: float = 1.0,
-                      hi: float = 5.0) -> DataFrame:
+                      hi: float = 5.0, dev: DataFrame | None = None) -> DataFrame:
     """Exact k nearest neighbours of the target users only: the cosine row of a
     target is the block product of its preprocessed ratings with everyone's."""
-    rui = fx.preprocessed(fx.deviations(train, lo, hi))
-    mine = rui.join(targets.select("user_id").distinct(), "user_id")
+    dev = dev if dev is not None else _persist(fx.deviations(train, lo, hi))
+    rui = _persist(fx.preprocessed(dev))
+    mine = _persist(rui.join(targets.select("user_id").distinct(), "user_id"))
     dots = masked_product(
         mine.select("user_id", "item_id", "rui"),
         rui.select("item_id", F.col("user_id").alias("other_id"), F.col("rui").alias("rui_o")),
         None, row="user_id", inner="item_id", col="other_id",
-        left_vals=["rui"], right_vals=["rui_o"], terms={"dot": ("rui", "rui_o")})
+        left_vals=["rui"], right_vals=["rui_o"], terms={"dot": ("rui", "rui_o")},
+        sizes=(mine.count(), rui.count(), 0))
     sim = (dots.where(F.col("user_id") != F.col("other_id"))
            .select("user_id", "other_id", round_sim("dot").alias("sim"))
            .where(F.col("sim") != 0))
@@ -54,24 +61,26 @@ def recommend(train: DataFrame, targets: DataFrame, k: int = 300, n: int = 3,
               lo: float = 1.0, hi: float = 5.0) -> DataFrame:
     """(user_id, item_id, pred, rank) — the n unseen items with the highest
     kNN prediction for each target user; ties go to the smaller item id."""
-    targets = targets.select("user_id").distinct()
-    nbrs = target_neighbours(train, targets, k, lo, hi)
-    dev = fx.deviations(train, lo, hi)
+    targets = _persist(targets.select("user_id").distinct())
+    dev = _persist(fx.deviations(train, lo, hi))   # (user, item, rating, user_mean, dev)
+    nbrs = _persist(target_neighbours(train, targets, k, lo, hi, dev))
     ev = masked_product(
         nbrs.select("user_id", F.col("other_id").alias("v"), "sim", F.abs("sim").alias("a")),
         dev.select(F.col("user_id").alias("v"), "item_id", "dev", F.lit(1.0).alias("one")),
         None, row="user_id", inner="v", col="item_id",
         left_vals=["sim", "a"], right_vals=["dev", "one"],
-        terms={"num": ("sim", "dev"), "den": ("a", "one")})
-    rated = train.join(targets, "user_id").select("user_id", "item_id")
-    evidence = ev.join(rated, ["user_id", "item_id"], "left_anti")
-    means = fx.user_means(train).join(targets, "user_id")
+        terms={"num": ("sim", "dev"), "den": ("a", "one")},
+        sizes=(nbrs.count(), dev.count(), 0))
+    mine = dev.join(targets, "user_id")
+    rated = mine.select("user_id", "item_id")
+    evidence = _persist(ev.join(rated, ["user_id", "item_id"], "left_anti"))
+    means = mine.select("user_id", "user_mean").distinct()
     wdev = F.when(F.col("den") != 0, F.col("num") / F.col("den")).otherwise(F.lit(0.0))
     scored = (evidence.join(means, "user_id")
               .select("user_id", "item_id", combine("user_mean", wdev, lo, hi).alias("pred")))
 
     # Fillers: the n smallest item ids outside rated ∪ evidence, at the user mean.
-    idx = dense_index(train, "item_id")
+    idx = dense_index(dev, "item_id")
     seen = rated.unionByName(evidence.select("user_id", "item_id")).distinct()
     m = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("m"))
     pool = (means.join(m, "user_id", "left")
