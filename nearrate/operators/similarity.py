@@ -72,3 +72,21 @@ def lookup(sim: DataFrame, pairs: DataFrame, self_sim=1.0) -> DataFrame:
     return found.withColumn(
         "sim", F.when(F.col("user_id") == F.col("other_id"), F.lit(self_sim) if isinstance(self_sim, float) else self_sim)
                 .otherwise(F.coalesce(F.col("sim"), F.lit(0.0))))
+
+
+def cosine_lookup(train: DataFrame, pairs: DataFrame, lo: float = 1.0,
+                  hi: float = 5.0) -> DataFrame:
+    """V8 without the all-pairs table: the cosine of each requested
+    (user_id, other_id) pair as a sampled product of the preprocessed ratings
+    with themselves, evaluated only at the requested pairs (0 when they share
+    no item or a norm is 0, 1 for a self pair)."""
+    from nearrate.operators.blocks import masked_product
+    rui = fx.preprocessed(fx.deviations(train, lo, hi))
+    others = pairs.where(F.col("user_id") != F.col("other_id"))
+    dots = masked_product(
+        rui.select("user_id", "item_id", "rui"),
+        rui.select("item_id", F.col("user_id").alias("other_id"), F.col("rui").alias("rui_o")),
+        others, row="user_id", inner="item_id", col="other_id",
+        left_vals=["rui"], right_vals=["rui_o"], terms={"dot": ("rui", "rui_o")})
+    sim = dots.select("user_id", "other_id", round_sim("dot").alias("sim"))
+    return lookup(sim.where(F.col("sim") != 0), pairs)

@@ -257,7 +257,7 @@ def _requested(train: DataFrame) -> DataFrame:
           "ON c.user_id = r.user_id AND c.other_id = r.other_id")
 def q_similarity_lookup(spark, d):
     train = data(spark, d)[1]
-    return _sim_out(sm.lookup(sm.cosine_similarity(train), _requested(train)))
+    return _sim_out(sm.cosine_lookup(train, _requested(train)))
 
 
 def _p5_sql(sim_table: str) -> str:

@@ -118,3 +118,12 @@ def test_buckets_and_approx(tiny):
     assert {(r.user_id, r.other_id) for r in ap.collect()} == {(1, 2), (2, 1), (3, 6), (6, 3)}
     out = pr.predict_knn(tr, te, 2, neighbours=ap)
     assert preds_in_order(out, test) == A(KNN[2][0], abs=1e-6)
+
+
+def test_cosine_lookup_matches_table(spark, tiny):
+    tr, _, _ = tiny
+    pairs = spark.createDataFrame([(1, 2), (2, 1), (1, 4), (3, 3), (5, 6), (1, 9)],
+                                  "user_id long, other_id long")
+    got = {(r.user_id, r.other_id): r.sim for r in sm.cosine_lookup(tr, pairs).collect()}
+    assert got == A({(1, 2): 0.360704, (2, 1): 0.360704, (1, 4): 0.0, (3, 3): 1.0,
+                     (5, 6): -0.297044, (1, 9): 0.0}, abs=1e-6)
