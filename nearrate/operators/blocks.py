@@ -66,25 +66,24 @@ class GramPlan:
 
 def plan_gram(df: DataFrame, key: str, inner: str, group: tuple[str, ...] = (),
               min_tasks: int | None = None) -> GramPlan:
-    """Pick block counts for ``gram`` from the data (one small aggregate job)."""
+    """Pick block counts for ``gram`` from the data (two small aggregate jobs:
+    inner-key degrees, and key counts)."""
     deg = df.groupBy(*group, inner).agg(F.count(F.lit(1)).alias("d"))
     s = deg.agg(F.sum("d").alias("n"), F.sum(F.col("d") * F.col("d")).alias("w"),
                 F.max("d").alias("dmax")).first()
     n, w, dmax = (s["n"] or 0), float(s["w"] or 0), (s["dmax"] or 0)
-    # The hottest key only matters when the whole input exceeds a task budget.
-    kmax = n
-    if n > TARGET_ROWS:
-        kmax = (df.groupBy(*group, key).agg(F.count(F.lit(1)).alias("c"))
-                .agg(F.max("c").alias("m")).first()["m"]) or 0
+    # Per key (within its group): the hottest key, and keys per group.
+    ks = (df.groupBy(*group, key).agg(F.count(F.lit(1)).alias("c"))
+          .groupBy(*group).agg(F.max("c").alias("kmax"), F.count(F.lit(1)).alias("nk"))
+          .agg(F.max("kmax").alias("kmax"), F.max("nk").alias("nk"),
+               F.count(F.lit(1)).alias("g")).first())
+    kmax, nkeys, ngroups = (ks["kmax"] or 0), (ks["nk"] or 0), max(1, ks["g"] or 1)
     # A few tasks per core, so uneven cells (diagonal ones are half-size) balance.
     min_tasks = min_tasks or GRAM_TASKS_PER_CORE * _parallelism(df)
     # A hot inner key splits over key blocks: its pairs in one task ~ (dmax/b)^2.
     b = max(1, math.ceil(dmax / math.sqrt(TARGET_PAIRS)))
     # Enough key blocks for a dense per-task accumulator, if that stays cheap
     # (each extra key block replicates the input once more).
-    gstats = (df.groupBy(*group).agg(F.approx_count_distinct(key).alias("k"))
-              .agg(F.max("k").alias("m"), F.count(F.lit(1)).alias("g")).first())
-    nkeys, ngroups = (gstats["m"] or 0), max(1, gstats["g"] or 1)
     b_dense = math.ceil(nkeys / math.sqrt(DENSE_CELLS)) if nkeys else 1
     if b_dense <= 16:
         b = max(b, b_dense)
@@ -94,7 +93,8 @@ def plan_gram(df: DataFrame, key: str, inner: str, group: tuple[str, ...] = (),
     # Work per task ~ w/(b^2 * l)
     l_work = math.ceil(w / (b * b * TARGET_PAIRS)) if w else 1
     l = max(1, l_rows, l_hot, l_work)
-    while b * (b + 1) // 2 * l < min_tasks and b * (b + 1) // 2 * l < MAX_BLOCKS:
+    while (ngroups * b * (b + 1) // 2 * l < min_tasks
+           and b * (b + 1) // 2 * l < MAX_BLOCKS):
         # Prefer more key blocks while they are few (cheap replication), then inner.
         if b < 8:
             b += 1
