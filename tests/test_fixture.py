@@ -127,3 +127,23 @@ def test_cosine_lookup_matches_table(spark, tiny):
     got = {(r.user_id, r.other_id): r.sim for r in sm.cosine_lookup(tr, pairs).collect()}
     assert got == A({(1, 2): 0.360704, (2, 1): 0.360704, (1, 4): 0.0, (3, 3): 1.0,
                      (5, 6): -0.297044, (1, 9): 0.0}, abs=1e-6)
+
+
+def test_split_inner_blocks_give_same_answers(tiny, monkeypatch):
+    """Tiny budgets force items to be split over cells (incomplete sums per
+    cell): the fallback routes must give the same results."""
+    from nearrate.operators import blocks
+    monkeypatch.setattr(blocks, "TARGET_PAIRS", 2)
+    monkeypatch.setattr(blocks, "TARGET_ROWS", 4)
+    tr, te, test = tiny
+    rui = sm.fx.preprocessed(sm.fx.deviations(tr))
+    assert blocks.plan_gram(rui, "user_id", "item_id").inner_blocks > 1
+    test_cosine_and_jaccard(tiny)
+    for name in ("cosine", "jaccard"):
+        out = PRED[name](tr, te)
+        assert preds_in_order(out, test) == A(EXPECTED[name][0], abs=1e-6)
+    for k in (2, 5):
+        out = pr.predict_knn(tr, te, k)
+        assert preds_in_order(out, test) == A(KNN[k][0], abs=1e-6)
+    ap = bk.approximate_neighbours(tr, 2, 3, 2, 1337)
+    assert {(r.user_id, r.other_id) for r in ap.collect()} == {(1, 2), (2, 1), (3, 6), (6, 3)}
