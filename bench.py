@@ -48,7 +48,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "1"))
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
-    spark = get_session(f"local[{cpus}]", int(cpus) * 2, app_name="nearrate-bench")
+    spark = get_session(f"local[{cpus}]", int(cpus) * int(os.environ.get("BENCH_PARTS_PER_CPU", "1")),
+                        app_name="nearrate-bench")
     run(spark, "global_mean", sf_dir)  # warm-up: JVM, parquet footers
     # Start the Python workers once, as any long-running session has them.
     (spark.range(64).withColumn("g", F.col("id") % 8).groupBy("g")
