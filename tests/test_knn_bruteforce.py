@@ -104,3 +104,38 @@ def test_recommend_matches_full_grid(spark, seed, k, n):
     for key in want:
         assert got[key][0] == want[key][0]
         assert got[key][1] == pytest.approx(want[key][1], abs=1e-8)
+
+
+def brute_buckets(users, p, r, seed):
+    import hashlib
+    out = {}
+    for u in users:
+        keys = sorted((hashlib.md5(f"{seed}:{u}:{b}".encode()).hexdigest(), b) for b in range(p))
+        out[u] = {b for _, b in keys[:r]}
+    return out
+
+
+@pytest.mark.parametrize("seed,k,p,r", [(8, 3, 4, 2), (9, 5, 5, 2), (10, 2, 3, 1)])
+def test_approximate_neighbours_brute(spark, seed, k, p, r):
+    from nearrate.operators import buckets as bk
+    rng = np.random.default_rng(seed)
+    rows = {}
+    for u in range(1, 21):
+        for i in rng.choice(np.arange(1, 10), size=int(rng.integers(2, 6)), replace=False):
+            rows[(u, int(i))] = float(rng.integers(1, 6))
+    rows = [(u, i, rt) for (u, i), rt in rows.items()]
+    train = spark.createDataFrame(rows, RATING_SCHEMA)
+    users = sorted({u for u, _, _ in rows})
+    bks = brute_buckets(users, p, r, 1337)
+    got_b = {(x.user_id, x.bucket) for x in bk.user_buckets(train, p, r, 1337).collect()}
+    assert got_b == {(u, b) for u, bs in bks.items() for b in bs}
+    full = brute_neighbours(rows, len(users))          # all non-zero pairs with sims
+    want = {}
+    for u in users:
+        cands = sorted(((s, v) for (uu, v), (s, _) in full.items()
+                        if uu == u and s > 0 and bks[u] & bks[v]), key=lambda t: (-t[0], t[1]))
+        for rank, (s, v) in enumerate(cands[:k], start=1):
+            want[(u, v)] = (s, rank)
+    got = {(x.user_id, x.other_id): (round(x.sim, 9), x.rank)
+           for x in bk.approximate_neighbours(train, k, p, r, 1337).collect()}
+    assert got == want
