@@ -350,6 +350,14 @@ def gram_weighted_deviation(sim_input: DataFrame, dev: DataFrame, pairs: DataFra
         plan = plan_gram(sim_input, "user_id", "item_id")
     if plan.inner_blocks > 1:
         return None
+    # A cell also holds the deviations and requested pairs of its users, which
+    # this route cannot split by item: a user carrying too many of them goes
+    # to the fully blocked route instead.
+    per_user = (dev.select("user_id").unionByName(pairs.select("user_id"))
+                .groupBy("user_id").agg(F.count(F.lit(1)).alias("c"))
+                .agg(F.max("c").alias("m")).first()["m"]) or 0
+    if per_user > TARGET_ROWS:
+        return None
     n_col = F.col("n").cast("double") if jaccard else F.lit(0.0)
     rows = (sim_input.select(F.lit(0).alias("kind"), "user_id", "item_id",
                              F.col("value").cast("double").alias("x0"), n_col.alias("x1"))

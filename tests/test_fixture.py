@@ -147,3 +147,15 @@ def test_split_inner_blocks_give_same_answers(tiny, monkeypatch):
         assert preds_in_order(out, test) == A(KNN[k][0], abs=1e-6)
     ap = bk.approximate_neighbours(tr, 2, 3, 2, 1337)
     assert {(r.user_id, r.other_id) for r in ap.collect()} == {(1, 2), (2, 1), (3, 6), (6, 3)}
+
+
+def test_fused_route_falls_back_for_a_hot_requester(tiny, monkeypatch):
+    from nearrate.operators import blocks
+    tr, te, test = tiny
+    rui = sm.fx.preprocessed(sm.fx.deviations(tr)).withColumnRenamed("rui", "value")
+    assert blocks.gram_weighted_deviation(rui, sm.fx.deviations(tr), te, 12) is not None
+    monkeypatch.setattr(blocks, "TARGET_ROWS", 2)
+    plan = blocks.GramPlan(2, 1)
+    assert blocks.gram_weighted_deviation(rui, sm.fx.deviations(tr), te, 12, plan=plan) is None
+    out = PRED["cosine"](tr, te)
+    assert preds_in_order(out, test) == A(EXPECTED["cosine"][0], abs=1e-6)
