@@ -55,13 +55,21 @@ def main() -> None:
     (spark.range(64).withColumn("g", F.col("id") % 8).groupBy("g")
      .applyInPandas(lambda pdf: pdf, "id long, g long")
      .write.format("noop").mode("overwrite").save())
-    times = {}
+    times, failed = {}, {}
     for name in names:
-        times[name] = round(statistics.median(run(spark, name, sf_dir) for _ in range(repeat)), 3)
-        print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)
+        try:
+            times[name] = round(statistics.median(run(spark, name, sf_dir)
+                                                  for _ in range(repeat)), 3)
+            print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)
+        except Exception as e:  # keep timing the others; report the failure
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            print(f"# {name}: FAILED {failed[name]}", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": int(cpus)}))
+    out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": sf, "cpus": int(cpus)}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
