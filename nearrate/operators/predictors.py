@@ -162,10 +162,15 @@ def predict_knn(train: DataFrame, pairs: DataFrame, k: int,
     by the weighted deviation over the k nearest neighbours who rated the item;
     an unknown user gets the global mean."""
     if neighbours is None:
+        # At most k rows per user: size the product from that bound and let
+        # the neighbour table stream into it (no persist, no counting pass).
         neighbours = knn_neighbours(train, k, lo, hi)
-    neighbours = _persisted(neighbours)
+        n_nb = train.select("user_id").distinct().count() * k
+    else:
+        neighbours = _persisted(neighbours)
+        n_nb = neighbours.count()
     g = fx.global_mean_col(train)
-    sizes = (neighbours.count(), train.count(), pairs.count())
+    sizes = (n_nb, train.count(), pairs.count())
     wd = weighted_deviation(neighbours, fx.deviations(train, lo, hi), pairs, sizes)
     p = (pairs.join(fx.user_means(train), "user_id", "left")
          .join(wd, ["user_id", "item_id"], "left")
@@ -185,13 +190,16 @@ def predict_knn_sweep(train: DataFrame, pairs: DataFrame, ks: list[int],
     """
     ks = sorted(set(int(k) for k in ks))
     if neighbours is None:
-        neighbours = knn_neighbours(train, max(ks), lo, hi)
-    nbrs = _persisted(neighbours)
+        nbrs = knn_neighbours(train, max(ks), lo, hi)
+        n_nb = train.select("user_id").distinct().count() * max(ks)
+    else:
+        nbrs = _persisted(neighbours)
+        n_nb = nbrs.count()
     bucket = F.lit(len(ks) - 1)
     for j in range(len(ks) - 2, -1, -1):
         bucket = F.when(F.col("rank") <= ks[j], F.lit(j)).otherwise(bucket)
     weights = nbrs.select("user_id", "other_id", "sim", bucket.alias("kb"))
-    sizes = (nbrs.count(), train.count(), pairs.count())
+    sizes = (n_nb, train.count(), pairs.count())
     wd = weighted_deviation(weights, fx.deviations(train, lo, hi), pairs, sizes, group="kb")
     karr = F.array(*[F.lit(k) for k in ks])
     per_k = (wd.select("user_id", "item_id", "num", "den",
