@@ -157,15 +157,17 @@ def knn_neighbours(train: DataFrame, k: int, lo: float = 1.0, hi: float = 5.0) -
 
 def predict_knn(train: DataFrame, pairs: DataFrame, k: int,
                 neighbours: DataFrame | None = None, lo: float = 1.0,
-                hi: float = 5.0) -> DataFrame:
+                hi: float = 5.0, max_per_user: int | None = None) -> DataFrame:
     """P7/P8/P9 (and P10 when given approximate ``neighbours``): user mean moved
     by the weighted deviation over the k nearest neighbours who rated the item;
-    an unknown user gets the global mean."""
-    if neighbours is None:
+    an unknown user gets the global mean. ``max_per_user`` bounds the rows per
+    user of given ``neighbours`` (saves a counting pass)."""
+    if neighbours is None or max_per_user:
         # At most k rows per user: size the product from that bound and let
         # the neighbour table stream into it (no persist, no counting pass).
-        neighbours = knn_neighbours(train, k, lo, hi)
-        n_nb = train.select("user_id").distinct().count() * k
+        if neighbours is None:
+            neighbours = knn_neighbours(train, k, lo, hi)
+        n_nb = train.select("user_id").distinct().count() * (max_per_user or k)
     else:
         neighbours = _persisted(neighbours)
         n_nb = neighbours.count()
@@ -180,7 +182,7 @@ def predict_knn(train: DataFrame, pairs: DataFrame, k: int,
 
 def predict_knn_sweep(train: DataFrame, pairs: DataFrame, ks: list[int],
                       neighbours: DataFrame | None = None, lo: float = 1.0,
-                      hi: float = 5.0) -> DataFrame:
+                      hi: float = 5.0, max_per_user: int | None = None) -> DataFrame:
     """kNN predictions for several k at once: pairs × ks with column ``k``.
 
     Neighbours are ranked once at max(ks) (or given, with a ``rank`` column).
@@ -189,9 +191,9 @@ def predict_knn_sweep(train: DataFrame, pairs: DataFrame, ks: list[int],
     own (at most len(ks) rows per pair and bucket).
     """
     ks = sorted(set(int(k) for k in ks))
-    if neighbours is None:
-        nbrs = knn_neighbours(train, max(ks), lo, hi)
-        n_nb = train.select("user_id").distinct().count() * max(ks)
+    if neighbours is None or max_per_user:
+        nbrs = neighbours if neighbours is not None else knn_neighbours(train, max(ks), lo, hi)
+        n_nb = train.select("user_id").distinct().count() * (max_per_user or max(ks))
     else:
         nbrs = _persisted(neighbours)
         n_nb = nbrs.count()

@@ -415,7 +415,7 @@ def q_mae_approx_knn(spark, d):
     # Approximate ranks are plain ranks among positive similarities, so the
     # k=10 neighbours are the first 10 of the k=300 ones.
     nbrs = bk.approximate_neighbours(train, 300, **APPROX)
-    out = pr.predict_knn_sweep(train, test, [10, 300], neighbours=nbrs)
+    out = pr.predict_knn_sweep(train, test, [10, 300], neighbours=nbrs, max_per_user=300)
     return (out.groupBy(F.col("k").cast("bigint").alias("k"))
             .agg(r6(F.avg(F.abs(F.col("pred") - F.col("rating")))).alias("mae")))
 
