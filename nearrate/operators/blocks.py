@@ -8,13 +8,19 @@ product is cut into blocks, as in a distributed block-matrix multiply:
 * each row is hash-assigned to a key block and an inner (item) block;
 * a task owns one (row block, column block, inner block) cell and receives
   the rows of those blocks, replicated once per partner block;
-* inside the task pandas multiplies the two sparse blocks and emits one row
+* inside the task a numpy kernel multiplies the two sparse blocks (pairs by
+  offset arithmetic in bounded chunks, sums by ``bincount``) and emits one row
   per (row key, column key) with the partial sums (pre-aggregated);
 * a final ``groupBy`` adds the partial sums of the inner blocks.
 
 A hot item is split over the key blocks and a hot user over the inner blocks,
-so no task sees a whole hot group. Block counts come from a small statistics
-job (row counts, degree maxima, the sum of squared inner degrees = the work).
+so no task sees a whole hot group. Block counts come from small statistics
+jobs (row counts, degree maxima, the sum of squared inner degrees = the work).
+
+Variants: ``gram`` (all pairs), ``gram_top_k`` (per-cell top-k candidates),
+``gram_weighted_deviation`` (similarities used inside the cell for weighted
+sums at requested pairs, never materialised), and ``masked_product`` (a
+sampled product L·R at requested (row, col) pairs, or the whole product).
 """
 
 from __future__ import annotations
