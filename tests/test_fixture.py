@@ -159,3 +159,21 @@ def test_fused_route_falls_back_for_a_hot_requester(tiny, monkeypatch):
     assert blocks.gram_weighted_deviation(rui, sm.fx.deviations(tr), te, 12, plan=plan) is None
     out = PRED["cosine"](tr, te)
     assert preds_in_order(out, test) == A(EXPECTED["cosine"][0], abs=1e-6)
+
+
+def test_half_star_bounds(spark):
+    """The scale bounds are parameters; out-of-range ratings fail loudly."""
+    from nearrate.sources import RATING_SCHEMA
+    rows = [(1, 1, 0.5), (1, 2, 1.0), (1, 3, 1.5), (2, 1, 1.0), (2, 2, 1.0), (2, 3, 1.0),
+            (3, 1, 5.0), (3, 2, 0.5)]
+    df = spark.createDataFrame(rows, RATING_SCHEMA)
+    dev = {(r.user_id, r.item_id): r.dev for r in sm.fx.deviations(df, lo=0.5).collect()}
+    assert all(-1.0 <= v <= 1.0 for v in dev.values())
+    assert dev[(1, 1)] == A(-1.0)
+    # User 2's mean is 1.0; with lo = 1 a rating of 0.5 for a user with mean 1
+    # would divide by zero: add one such row and expect an error, not infinity.
+    bad = spark.createDataFrame([(4, 1, 0.5), (4, 2, 1.5)], RATING_SCHEMA)  # mean 1.0
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        sm.fx.deviations(bad, lo=1.0).collect()
+    ok = {r.item_id: r.dev for r in sm.fx.deviations(bad, lo=0.5).collect()}
+    assert ok == A({1: -1.0, 2: 0.125})
