@@ -15,13 +15,15 @@ RATING_SCHEMA = T.StructType([
 ])
 
 
-def load_ratings(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+def load_ratings(spark: SparkSession, path: str, sep: str = "\t",
+                 dedupe_pairs: bool = False) -> DataFrame:
     """Delimited ratings file.
 
     ``sep`` is a regular expression, as the field splitter of the original
     programs. Fields are trimmed; rows whose first field is not an integer
     (headers, blank lines) are skipped; fields after the third are ignored.
     A bad item or rating field fails the job (ANSI cast), it is not skipped.
+    With ``dedupe_pairs`` a repeated (user, item) keeps one row (``dedupe``).
     """
     parts = F.split(F.col("value"), sep)
     fields = spark.read.text(path).select(
@@ -29,11 +31,12 @@ def load_ratings(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
         F.trim(parts.getItem(1)).alias("i"),
         F.trim(parts.getItem(2)).alias("r"),
     )
-    return (fields
-            .where(F.col("u").try_cast("int").isNotNull())
-            .select(F.col("u").cast("int").cast("bigint").alias("user_id"),
-                    F.col("i").cast("int").cast("bigint").alias("item_id"),
-                    F.col("r").cast("double").alias("rating")))
+    out = (fields
+           .where(F.col("u").try_cast("int").isNotNull())
+           .select(F.col("u").cast("int").cast("bigint").alias("user_id"),
+                   F.col("i").cast("int").cast("bigint").alias("item_id"),
+                   F.col("r").cast("double").alias("rating")))
+    return dedupe(out) if dedupe_pairs else out
 
 
 _PERSONAL_SCHEMA = T.StructType([

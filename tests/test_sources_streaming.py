@@ -74,3 +74,10 @@ def test_stream_scoring_matches_batch(spark, tiny, tmp_path):
     want = {(r.user_id, r.item_id): r.pred for r in pr.predict_baseline(tr, te).collect()}
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_load_ratings_dedupe(spark, tmp_path):
+    p = _write(tmp_path / "dup.txt", "1\t10\t4\n1\t10\t2\n2\t10\t3\n")
+    assert load_ratings(spark, p).count() == 3
+    rows = sorted(tuple(r) for r in load_ratings(spark, p, dedupe_pairs=True).collect())
+    assert rows == [(1, 10, 4.0), (2, 10, 3.0)]
