@@ -18,6 +18,7 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": os.environ.get("NEARRATE_ARROW_BATCH", "100000"),
 }
 
 
