@@ -13,9 +13,13 @@ from collections.abc import Callable
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from nearrate.operators import buckets as bk
 from nearrate.operators import evaluate as ev
 from nearrate.operators import features as fx
+from nearrate.operators import neighbours as nbm
 from nearrate.operators import predictors as pr
+from nearrate.operators import recommend as rc
+from nearrate.operators import similarity as sm
 from nearrate.plans import sqlparts as S
 from nearrate.sources import ratings_from_orders, split_train_test
 
@@ -216,9 +220,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- similarities
-from nearrate.operators import buckets as bk  # noqa: E402
-from nearrate.operators import neighbours as nbm  # noqa: E402
-from nearrate.operators import similarity as sm  # noqa: E402
 
 
 def _sim_out(df: DataFrame) -> DataFrame:
@@ -460,7 +461,6 @@ def q_predict_cold_start(spark, d):
 
 
 # ---------------------------------------------------------------- recommendation
-from nearrate.operators import recommend as rc  # noqa: E402
 
 # The ratings two new users give, as (user offset above the
 # largest customer key, item id, rating).
