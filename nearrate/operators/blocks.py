@@ -14,8 +14,9 @@ product is cut into blocks, as in a distributed block-matrix multiply:
 * a final ``groupBy`` adds the partial sums of the inner blocks.
 
 A hot item is split over the key blocks and a hot user over the inner blocks,
-so no task sees a whole hot group. Block counts come from small statistics
-jobs (row counts, degree maxima, the sum of squared inner degrees = the work).
+so no task sees a whole hot group. Block counts follow a sizing rule fed by
+small statistics jobs (row counts, degree maxima, the sum of squared inner
+degrees = the work).
 
 Variants: ``gram`` (all pairs), ``gram_top_k`` (per-cell top-k candidates),
 ``gram_weighted_deviation`` (similarities used inside the cell for weighted
