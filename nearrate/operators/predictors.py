@@ -214,3 +214,20 @@ def predict_knn_sweep(train: DataFrame, pairs: DataFrame, ks: list[int],
          .join(per_k, ["user_id", "item_id", "k"], "left"))
     p = p.withColumn("wdev", _ratio("num", "den")).drop("num", "den")
     return _finish(p, "wdev", False, g, lo, hi)
+
+
+def predict_mean_family(train: DataFrame, pairs: DataFrame, lo: float = 1.0,
+                        hi: float = 5.0) -> DataFrame:
+    """P1-P4 in one pass: ``pairs`` with pred_global, pred_user, pred_item and
+    pred_baseline, sharing the means joins instead of repeating them."""
+    g = fx.global_mean_col(train)
+    p = (pairs.join(fx.user_means(train), "user_id", "left")
+         .join(fx.item_means(train), "item_id", "left")
+         .join(fx.item_mean_deviation(train, lo, hi), "item_id", "left"))
+    known = F.coalesce(F.col("user_mean"), g)
+    dev = F.coalesce(F.col("item_dev"), F.lit(0.0))
+    return (p.withColumn("pred_global", g)
+            .withColumn("pred_user", known)
+            .withColumn("pred_item", F.coalesce(F.col("item_mean"), g))
+            .withColumn("pred_baseline", F.when(known == g, g).otherwise(combine(known, dev, lo, hi)))
+            .drop("user_mean", "item_mean", "item_dev"))

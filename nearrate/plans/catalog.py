@@ -204,8 +204,7 @@ for _n in _BASE_PRED_FN:
     _make_base(_n)
 
 
-_MAE_METHODS = {"global": pr.predict_global, "user": pr.predict_user_mean,
-                "item": pr.predict_item_mean, "baseline": pr.predict_baseline}
+MEAN_METHODS = ["global", "user", "item", "baseline"]
 
 
 @register("mae_by_method", S.with_ctes(S.MEANS_CTE) + " UNION ALL ".join(
@@ -217,7 +216,7 @@ _MAE_METHODS = {"global": pr.predict_global, "user": pr.predict_user_mean,
                  ("item", "predict_item"), ("baseline", "predict_baseline")]))
 def q_mae_by_method(spark, d):
     _, train, test = data(spark, d)
-    return ev.mae_by_method(train, test, _MAE_METHODS).select("method", r6("mae").alias("mae"))
+    return ev.mae_mean_family(train, test).select("method", r6("mae").alias("mae"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -561,8 +560,8 @@ FROM m""")
 def q_report_json(spark, d):
     from nearrate.sources import report_row
     _, train, test = data(spark, d)
-    m = ev.mae_by_method(train, test, _MAE_METHODS).select("method", r6("mae").alias("mae"))
-    pick = {k: F.max(F.when(F.col("method") == k, F.col("mae"))) for k in _MAE_METHODS}
+    m = ev.mae_mean_family(train, test).select("method", r6("mae").alias("mae"))
+    pick = {k: F.max(F.when(F.col("method") == k, F.col("mae"))) for k in MEAN_METHODS}
     g = fx.global_mean(train).select(r6("global_mean")).scalar()
     return m.agg(report_row(global_mean=g, mae=F.struct(*[c.alias(k) for k, c in pick.items()]))
                  .alias("report"))

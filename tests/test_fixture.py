@@ -177,3 +177,13 @@ def test_half_star_bounds(spark):
         sm.fx.deviations(bad, lo=1.0).collect()
     ok = {r.item_id: r.dev for r in sm.fx.deviations(bad, lo=0.5).collect()}
     assert ok == A({1: -1.0, 2: 0.125})
+
+
+def test_mean_family_matches_separate_predictors(tiny):
+    tr, te, test = tiny
+    fam = pr.predict_mean_family(tr, te)
+    for name in ("global", "user", "item", "baseline"):
+        got = {(r.user_id, r.item_id): r[f"pred_{name}"] for r in fam.collect()}
+        assert [got[(u, i)] for u, i, _ in test] == A(EXPECTED[name][0], abs=1e-6)
+    maes = {r.method: r.mae for r in ev.mae_mean_family(tr, te).collect()}
+    assert maes == A({k: EXPECTED[k][1] for k in ("global", "user", "item", "baseline")}, abs=1e-6)
