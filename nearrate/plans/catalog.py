@@ -454,14 +454,14 @@ cold AS (SELECT -user_id AS user_id, item_id, rating FROM test
 def q_predict_cold_start(spark, d):
     _, train, test = data(spark, d)
     cold = _cold_pairs(test)
-    outs = {"user": pr.predict_user_mean(train, cold), "item": pr.predict_item_mean(train, cold),
-            "baseline": pr.predict_baseline(train, cold), "knn10": pr.predict_knn(train, cold, 10)}
-    parts = [df.select(F.lit(m).alias("method"), "user_id", "item_id", r6("pred").alias("pred"))
-             for m, df in outs.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    fam = pr.predict_mean_family(train, cold)
+    means = fam.select("user_id", "item_id", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("method"), F.col(f"pred_{m}").alias("pred"))
+        for m in ("user", "item", "baseline")])).alias("e"))
+    means = means.select("e.method", "user_id", "item_id", r6("e.pred").alias("pred"))
+    knn = pr.predict_knn(train, cold, 10).select(F.lit("knn10").alias("method"), "user_id",
+                                                  "item_id", r6("pred").alias("pred"))
+    return means.unionByName(knn)
 
 
 # ---------------------------------------------------------------- recommendation
