@@ -100,6 +100,8 @@ def predict_personalized(train: DataFrame, pairs: DataFrame, similarity: str = "
     """P5: baseline whose item deviation is the similarity-weighted mean
     deviation of all users who rated the item (the user itself included with
     weight 1 when it rated the item in train)."""
+    if similarity not in ("unit", "cosine", "jaccard"):
+        raise ValueError(f"similarity must be unit, cosine or jaccard, not {similarity!r}")
     if similarity == "unit" and sim is None:
         # All weights 1: the weighted mean deviation is the item's mean deviation.
         return predict_baseline(train, pairs, lo, hi)

@@ -187,3 +187,9 @@ def test_mean_family_matches_separate_predictors(tiny):
         assert [got[(u, i)] for u, i, _ in test] == A(EXPECTED[name][0], abs=1e-6)
     maes = {r.method: r.mae for r in ev.mae_mean_family(tr, te).collect()}
     assert maes == A({k: EXPECTED[k][1] for k in ("global", "user", "item", "baseline")}, abs=1e-6)
+
+
+def test_unknown_similarity_rejected(tiny):
+    tr, te, _ = tiny
+    with pytest.raises(ValueError):
+        pr.predict_personalized(tr, te, "pearson")
