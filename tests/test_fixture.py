@@ -193,3 +193,11 @@ def test_unknown_similarity_rejected(tiny):
     tr, te, _ = tiny
     with pytest.raises(ValueError):
         pr.predict_personalized(tr, te, "pearson")
+
+
+def test_bucket_similarity_materialised(tiny):
+    tr, _, _ = tiny
+    b = bk.user_buckets(tr, 3, 2, 1337)
+    got = {(r.user_id, r.other_id): r.sim for r in bk.bucket_similarity(tr, b).collect()}
+    assert got == A({(1, 2): 0.360704, (2, 1): 0.360704, (3, 6): 0.408248, (6, 3): 0.408248},
+                    abs=1e-6)
