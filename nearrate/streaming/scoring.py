@@ -30,9 +30,14 @@ def fit_baseline(train: DataFrame, lo: float = 1.0, hi: float = 5.0,
                  table_dir: str | None = None) -> BaselineModel:
     """Build the static side of P4. With ``table_dir`` (a shared folder) the
     tables are written there and read back, so every micro-batch reads files
-    instead of recomputing the training aggregates."""
+    instead of recomputing the training aggregates; without it they are
+    persisted (recomputed from lineage only if an executor is lost)."""
+    from pyspark import StorageLevel
     users = fx.user_means(train)
     items = fx.item_mean_deviation(train, lo, hi)
+    if not table_dir:
+        users = users.persist(StorageLevel.MEMORY_AND_DISK)
+        items = items.persist(StorageLevel.MEMORY_AND_DISK)
     if table_dir:
         users.write.mode("overwrite").parquet(f"{table_dir}/user_means")
         items.write.mode("overwrite").parquet(f"{table_dir}/item_devs")

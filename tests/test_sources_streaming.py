@@ -81,3 +81,16 @@ def test_load_ratings_dedupe(spark, tmp_path):
     assert load_ratings(spark, p).count() == 3
     rows = sorted(tuple(r) for r in load_ratings(spark, p, dedupe_pairs=True).collect())
     assert rows == [(1, 10, 4.0), (2, 10, 3.0)]
+
+
+def test_stream_scoring_without_table_dir(spark, tiny, tmp_path):
+    tr, te, _ = tiny
+    src = str(tmp_path / "req")
+    te.write.parquet(src)
+    model = fit_baseline(tr)
+    q = (score_stream(spark.readStream.schema(te.schema).parquet(src), model)
+         .writeStream.format("memory").queryName("scored_nodir")
+         .option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.processAllAvailable()
+    q.stop()
+    assert spark.sql("SELECT count(*) FROM scored_nodir").first()[0] == te.count()
