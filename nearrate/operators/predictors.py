@@ -99,7 +99,11 @@ def predict_personalized(train: DataFrame, pairs: DataFrame, similarity: str = "
                          hi: float = 5.0) -> DataFrame:
     """P5: baseline whose item deviation is the similarity-weighted mean
     deviation of all users who rated the item (the user itself included with
-    weight 1 when it rated the item in train)."""
+    weight 1 when it rated the item in train).
+
+    ``sim`` optionally supplies the weights as (user_id, other_id, sim) without
+    self pairs; by default they are computed from ``train`` for the named
+    ``similarity``."""
     if similarity not in ("unit", "cosine", "jaccard"):
         raise ValueError(f"similarity must be unit, cosine or jaccard, not {similarity!r}")
     if similarity == "unit" and sim is None:
