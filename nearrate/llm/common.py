@@ -68,7 +68,23 @@ def remainder(doc_id: Column, m: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % m
 
 
+def packed(docs: DataFrame, *columns) -> DataFrame:
+    """Each row whole in ``row_``, beside the given columns: helper columns can
+    then clash with none of the caller's. ``unpacked`` brings the rows back."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row_"), *columns)
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.select("row_.*")
+
+
 def byte_list(column) -> list:
     """An Arrow string column as a list of bytes (None for null)."""
     import pyarrow as pa
     return column.cast(pa.large_binary()).to_pylist()
+
+
+def own_exchange(df: DataFrame, column: str) -> DataFrame:
+    """``df``, aggregated by a long column, laid out anew for a join on it: with
+    an exchange of its own on both sides, adaptive execution can split a hot key."""
+    return df.withColumn(column, F.col(column).bitwiseXOR(F.lit(0).cast("long")))

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from nearrate.llm.common import BROADCAST_ROWS, TERM, lower_ascii, saved, small, words
+from nearrate.llm.common import BROADCAST_ROWS, TERM, lower_ascii, packed, saved, small, unpacked, words
 
 WINDOW = 10
 SLOP = 5
@@ -145,7 +145,8 @@ def report(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The documents without a hit, unchanged."""
     bad = report(docs, benchmark, **how).where("contaminated").select(F.col("doc_id").alias("b_id"), F.col("key").alias("b_key")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.xxhash64(docs["text"]) == F.col("b_key")), "left_anti")
+    rows = packed(docs, F.col("doc_id").alias("i_"), F.xxhash64("text").alias("k_"))
+    return unpacked(rows.join(bad, F.col("i_").eqNullSafe(F.col("b_id")) & (F.col("k_") == F.col("b_key")), "left_anti"))
 
 
 #: DuckDB: the same from plain word lists and joins on whole windows.

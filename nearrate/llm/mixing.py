@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from nearrate.llm.common import SPACES, WORD, saved
+from nearrate.llm.common import SPACES, WORD, packed, saved, unpacked
 
 BLOCK_WORDS = 16
 SHARD_WORDS = 1 << 22
@@ -129,12 +129,12 @@ def mix_texts(docs: DataFrame, block: int = BLOCK_WORDS, **how) -> DataFrame:
         (F.least((j + 1) * block, at + size) - F.greatest(j * block, at)).cast("int"))))
     part = F.when(F.size("m_picked") > 0, F.array(F.array_join(cut, ""))).otherwise(F.array().cast("array<string>"))
     copies = F.concat(F.array_repeat(F.col("text"), F.col("m_whole")), part)
-    joined = docs.withColumn("m_hash", F.xxhash64("text")).join(
+    joined = packed(docs, "doc_id", "text", F.xxhash64("text").alias("m_hash")).join(
         mine, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("m_hash") == F.col("m_key")))
-    out = joined.withColumn("text", F.explode(copies))
+    out = joined.select("row_", F.explode(copies).alias("t_")).withColumn("row_", F.col("row_").withField("text", F.col("t_")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        out = out.withColumn("row_", F.col("row_").withField("n_chars", F.length("t_").cast(docs.schema["n_chars"].dataType)))
+    return unpacked(out)
 
 
 def mixed(docs: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nearrate.llm import decontam, licenses, mixing, topk
+from nearrate.llm import decontam, language, licenses, lm, mixing, repeats, tokens_out, topk, toxicity
 from nearrate.llm.common import table
 
 
@@ -18,11 +18,36 @@ def op3_decontamination(spark, sf_dir):
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key", "n_near")
 
 
+def op4_substrings(spark, sf_dir):
+    return repeats.deduplicate(table(spark, sf_dir, "documents"), texts=False)
+
+
+def op5_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark, sf_dir):
+    return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op7_token_output(spark, sf_dir):
+    return tokens_out.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_topk, op3_decontamination, op9_licenses)}
+def op10_lm_scoring(spark, sf_dir):
+    return lm.score(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_topk, op3_decontamination, op4_substrings, op5_language, op6_toxicity, op7_token_output, op9_licenses, op10_lm_scoring)}
 ORACLES = {
     "op2_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
@@ -30,4 +55,5 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOU
 s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
     "op3_decontamination": decontam.SQL,
+    "op4_substrings": repeats.SQL,
 }
