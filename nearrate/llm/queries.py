@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nearrate.llm import decontam, language, licenses, lm, mixing, repeats, tokens_out, topk, toxicity
+from nearrate.llm import decontam, jaccard, language, licenses, lm, mixing, repeats, tokens_out, topk, toxicity
 from nearrate.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op7_token_output(spark, sf_dir):
     return tokens_out.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_jaccard(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents")).drop("key")
+
+
 def op9_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_lm_scoring(spark, sf_dir):
     return lm.score(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_topk, op3_decontamination, op4_substrings, op5_language, op6_toxicity, op7_token_output, op9_licenses, op10_lm_scoring)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_topk, op3_decontamination, op4_substrings, op5_language, op6_toxicity, op7_token_output, op8_jaccard, op9_licenses, op10_lm_scoring)}
 ORACLES = {
     "op2_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
@@ -56,4 +60,5 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c
 SELECT query_id, rank::INT AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5""",
     "op3_decontamination": decontam.SQL,
     "op4_substrings": repeats.SQL,
+    "op8_jaccard": jaccard.SQL,
 }
