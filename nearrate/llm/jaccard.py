@@ -78,8 +78,8 @@ def sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
             for i, j in chunks(texts):
                 h, at = shingle_sets(texts[i:j], k)
                 n = np.diff(at)
-                total = [np.concatenate(([0], np.cumsum(mix(h.astype(np.uint64) ^ np.uint64(c)))))[at] for c in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
-                one, two = (np.diff(x.astype(np.uint64)).view(np.int64) for x in total)
+                total = [np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(h.astype(np.uint64) ^ np.uint64(c)))))[at] for c in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
+                one, two = (np.diff(x).view(np.int64) for x in total)
                 low = np.concatenate(([0], np.cumsum(h < LOW)))
                 low = low[at[1:]] - low[at[:-1]]
                 keep = np.minimum(n, np.maximum(low, probe_length(n, percent)))

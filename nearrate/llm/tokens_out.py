@@ -15,7 +15,7 @@ tasks return are read, so a lost executor or a second attempt does no harm.
 Files go through pyarrow's file systems, which open the shared folder's URI.
 
 Tokens: any white space ends a token of this tokenizer, so texts are encoded
-word by word and a bounded table of words already encoded is kept per task.
+word by word, and a bounded table of words already met is kept per task.
 
 Defined cases: null text is empty and has only the end id; a null doc_id comes
 first; equal doc_ids follow in the order of a hash of their text; an empty table
@@ -24,6 +24,7 @@ gives no files and no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -37,37 +38,63 @@ from nearrate.llm.common import byte_list, fresh_path, saved
 END = 1
 FRAME_IDS = 1 << 16
 FILE_BYTES = 16 << 20
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 150_000
 MAGIC = 0x5A49444B
 ENTRY = "<QIQIQI"
 TAIL = "<IIII"
 ITEM = np.dtype("<u4")
 
 
+#: Fixed values of the tokenizer's file: how it cuts a lower-cased word. Here for
+#: words of ASCII and Latin-1 letters; all others go through the tokenizer itself.
+PLAIN = re.compile("[!-~\u00c0-\u00ff]+")
+PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable
+    bytes stand for themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
 class WordEncoder:
-    """Encode texts word by word; equal to encoding them whole."""
+    """Encode texts word by word; equal to encoding them whole. Words and pieces
+    met first are kept, up to KNOWN_WORDS of either."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, list[int]] = {}
+        self.pieces: dict[str, list[int]] = {}
+        self.letters = byte_letters()
+
+    def word(self, word: bytes) -> list[int]:
+        text = word.decode()
+        if not PLAIN.fullmatch(text) or "<|" in text:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        out: list[int] = []
+        for piece in PIECE.findall(text.lower()):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                letters = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+                ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
+                if len(self.pieces) < KNOWN_WORDS:
+                    self.pieces[piece] = ids
+            out += ids
+        return out
 
     def __call__(self, text: bytes | None) -> list[int]:
-        if not text:
-            return []
-        parts, known = text.split(), self.known
-        fresh = [w for w in set(parts) if w not in known]
-        if fresh:
-            if len(known) > KNOWN_WORDS:
-                known.clear()
-                fresh = list(set(parts))
-            for a in range(0, len(fresh), 4096):
-                some = fresh[a : a + 4096]
-                for w, e in zip(some, self.tokenizer.encode_batch([x.decode() for x in some], add_special_tokens=False), strict=True):
-                    known[w] = e.ids
         out: list[int] = []
-        for w in parts:
-            out += known[w]
+        known = self.known
+        for w in (text or b"").split():
+            ids = known.get(w)
+            if ids is None:
+                ids = self.word(w)
+                if len(known) < KNOWN_WORDS:
+                    known[w] = ids
+            out += ids
         return out
 
 
