@@ -1,15 +1,14 @@
 """N-gram Jaccard join (operator 8) with a token-group matrix.
 
 Documents are sets of word shingles; two link when 100 * shared >= 85 * union.
-Equal sets are one class, compared once. Within a class tokens (63-bit shingle
-hashes) are ordered, rare ones first: the low part of the hash range - tokens
-counted over all classes - in hash order without the frequent ones, then these,
-then the rest of the range. Of a pair that links, the larger set holds a common
+Equal sets are one class, compared once. Tokens (63-bit shingle hashes) are ordered,
+rare ones first: those of the low part of the hash range, which are counted over
+all classes, by their frequency, then the rest of the range by hash. Of a pair that links, the larger set holds a common
 token among its first a - ceil(0.85 a) + 1 and the smaller one among its first
 b - ceil(1.7 b / 1.85) + 1 (prefix filters).
 
-Classes are partitioned into groups by their first token that any other class
-holds, large groups further by hash. The matrix stores, for each group, the
+Classes that share first tokens are partitioned into groups by their most
+frequent counted token, large groups further by class. The matrix stores, for each group, the
 union of its members' first tokens with the members' sizes. A query class's
 overlap with a group is bounded from its own first tokens found in that union;
 only groups where the bound can reach the threshold are opened: the members' and
@@ -36,9 +35,8 @@ from nearrate.llm.common import BROADCAST_ROWS, byte_list, own_exchange, packed,
 from nearrate.llm.text import Runs, chunks, mix, word_hashes
 
 SHINGLE, PERCENT = 4, 85
-LOW = int(0.2 * 2**63)
-FREQUENT = 32
-GROUP_MEMBERS, TASK_QUERIES = 128, 2048
+LOW = int(0.3 * 2**63)
+GROUP_MEMBERS, GROUP_TOKENS, TASK_QUERIES = 1024, 500_000, 2048
 
 
 def shingle_sets(texts: list[bytes | None], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,29 +91,32 @@ def sketches(docs: DataFrame, k: int, percent: int) -> DataFrame:
     return rows.mapInArrow(task, "rid long, doc_id long, key long, n long, one long, two long, n_low long, low array<bigint>")
 
 
-def first_tokens(classes: DataFrame, percent: int) -> DataFrame:
-    """(node, n, token, place, probe, index): of each class, the tokens within
-    its prefix that another class counted as well."""
-    tokens = classes.select("node", F.posexplode("low").alias("rank", "token"))
+def first_tokens(classes: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """(node, n, head, token, place, index): of each class, the tokens within its
+    prefix that another class counted as well. ``tokens``: (node, rank, token)."""
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("count")).where("count > 1")
-    held = tokens.join(own_exchange(shared, "token"), "token")
-    held = held.withColumn("late", (F.col("token") < LOW) & (F.col("count") > FREQUENT))
+    held = tokens.join(own_exchange(shared, "token"), "token").withColumn("low", F.col("token") < LOW)
     of = Window.partitionBy("node")
-    before = F.coalesce(F.sum(F.col("late").cast("long")).over(of.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    held = (held.withColumn("before", before).withColumn("all_late", F.sum(F.col("late").cast("long")).over(of))
+    # tokens that no other class has come first, and need no row here
+    turn = F.sum(F.col("low").cast("long")).over(of.orderBy("count", "token").rowsBetween(Window.unboundedPreceding, 0))
+    held = (held.withColumn("turn", turn).withColumn("shared_low", F.sum(F.col("low").cast("long")).over(of))
+            .withColumn("head", F.max(F.struct("count", "token")).over(of)["token"])
             .join(classes.select("node", "n", "n_low"), "node"))
-    place = F.when(F.col("token") >= LOW, F.col("rank")).when(F.col("late"), F.col("n_low") - F.col("all_late") + F.col("before")).otherwise(F.col("rank") - F.col("before"))
+    place = F.when(F.col("low"), F.col("n_low") - F.col("shared_low") + F.col("turn") - 1).otherwise(F.col("rank"))
     whole = 100 + percent
     probe = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     index = F.col("n") - F.ceil(F.col("n") * (2 * percent) / whole) + 1
     return (held.withColumn("place", place).where(F.col("place") < probe)
-            .select("node", "n", "token", "place", (F.col("place") < index).alias("index")))
+            .select("node", "n", "head", "token", "place", (F.col("place") < index).alias("index")))
 
 
 def grouped(firsts: DataFrame) -> DataFrame:
-    """(node, n, gid): the group of each class that has a shared first token."""
-    head = firsts.groupBy("node").agg(F.min(F.struct("place", "token")).alias("h"), F.first("n").alias("n")).select("node", "n", F.col("h.token").alias("head"))
-    sizes = head.groupBy("head").agg(F.ceil(F.count(F.lit(1)) / GROUP_MEMBERS).alias("parts"))
+    """(node, n, gid): the group of each class that has a shared first token, by
+    its most frequent counted token: that of a cluster of near copies is in
+    nearly all of them. A group holds bounded numbers of members and tokens."""
+    head = firsts.groupBy("node").agg(F.first("head").alias("head"), F.first("n").alias("n"))
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / GROUP_MEMBERS, F.sum("n") / GROUP_TOKENS))
+    sizes = head.groupBy("head").agg(parts.alias("parts"))
     return (head.join(own_exchange(sizes, "head"), "head")
             .select("node", "n", F.xxhash64("head", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("gid")))
 
@@ -265,11 +266,13 @@ def join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame
     """rid-free result: doc_id, key, n_shingles, component_id, n_links."""
     rows = saved(sketches(docs, k, percent), "sketches")
     full = rows.where("n > 0")
-    classes = (full.groupBy("one", "two").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.count(F.lit(1)).alias("mult"),
-                                             F.first("n").alias("n"), F.first("n_low").alias("n_low"), F.first("low").alias("low"))
-               .withColumn("node", F.monotonically_increasing_id()))
+    classes = full.groupBy("one", "two").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.count(F.lit(1)).alias("mult"),
+                                             F.first("n").alias("n"), F.first("n_low").alias("n_low"), F.min("rid").alias("node"))
     classes = saved(classes, "classes")
-    firsts = saved(first_tokens(classes, percent), "first-tokens")
+    ids = classes.select(F.col("node").alias("rid"))
+    ids = F.broadcast(ids) if classes.count() <= BROADCAST_ROWS else ids
+    tokens = rows.select("rid", "low").join(ids, "rid", "left_semi").select(F.col("rid").alias("node"), F.posexplode("low").alias("rank", "token"))
+    firsts = saved(first_tokens(classes, tokens, percent), "first-tokens")
     groups = saved(grouped(firsts), "groups")
     pairs = saved(qualifying(firsts, groups, percent), "open-groups")
 
