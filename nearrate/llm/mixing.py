@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from nearrate.llm.common import SPACES, WORD, packed, saved, unpacked
 
 BLOCK_WORDS = 16
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 20
 #: Primes above 2^30, multipliers of the block permutations.
 PRIMES = (1073741827, 1073741831, 1073741833, 1073741839, 1073741843)
 

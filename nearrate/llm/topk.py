@@ -61,7 +61,6 @@ def best_in_cell(q: np.ndarray, c: np.ndarray, same, k: int, step: int = 2048):
     own = {}
     for i, j in same:
         own.setdefault(i, set()).add(j)
-    skip = np.zeros((len(q), 0), bool)
     floor = np.full(len(q), -np.inf)
     top_s, top_c = np.full((len(q), k), np.iinfo(np.int64).min), np.full((len(q), k), -1, np.int64)
     for lo in range(0, len(c), step):
