@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from nearrate.functions import normalized_deviation
+from nearrate.operators.products import own_exchange
 
 
 def global_mean(ratings: DataFrame) -> DataFrame:
@@ -71,7 +72,7 @@ def deviations(train: DataFrame, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
     Every training user has a mean, so the join to user means is inner and the
     global-mean fallback of E2 never fires here.
     """
-    return (train.join(user_means(train), "user_id")
+    return (train.join(own_exchange(user_means(train), "user_id"), "user_id")
             .withColumn("dev", normalized_deviation("rating", "user_mean", lo, hi)))
 
 
@@ -89,7 +90,7 @@ def preprocessed(dev: DataFrame) -> DataFrame:
     """V2: (user_id, item_id, rui) = deviation / user norm; users with norm 0
     (all ratings equal to their mean) are dropped, they have similarity 0 with
     everyone."""
-    return (dev.join(user_norms(dev).where(F.col("norm") > 0), "user_id")
+    return (dev.join(own_exchange(user_norms(dev).where(F.col("norm") > 0), "user_id"), "user_id")
             .select("user_id", "item_id", (F.col("dev") / F.col("norm")).alias("rui")))
 
 

@@ -50,16 +50,3 @@ def knn_similarity(neighbours: DataFrame, pairs: DataFrame) -> DataFrame:
                        ["user_id", "other_id"], "left")
             .withColumn("sim", F.coalesce(F.col("sim"), F.lit(0.0))))
 
-
-def top_k_from_candidates(cands: DataFrame, k: int, n_users) -> DataFrame:
-    """K1 over per-task candidates (``blocks.gram_top_k``): a user has at most
-    k candidates per task, so one window per user with both the rank and the
-    total non-zero count is bounded whatever the user's degree."""
-    part = Window.partitionBy("user_id")
-    ranked = (cands.withColumn("stored_all", F.sum("stored").over(part))
-              .withColumn("rn", F.row_number().over(_ordered()))
-              .where(F.col("rn") <= k))
-    zeros = (n_users - 1) - F.col("stored_all")
-    rank = F.when(F.col("sim") > 0, F.col("rn")).otherwise(F.col("rn") + zeros)
-    return (ranked.select("user_id", "other_id", "sim", rank.cast("int").alias("rank"))
-            .where(F.col("rank") <= k))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from nearrate.functions import combine
 from nearrate.operators import features as fx
+from nearrate.operators.products import blocked_join
 
 
 def predict_global(train: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -22,14 +23,14 @@ def predict_global(train: DataFrame, pairs: DataFrame) -> DataFrame:
 def predict_user_mean(train: DataFrame, pairs: DataFrame) -> DataFrame:
     """The user's mean, the global mean for unknown users."""
     g = fx.global_mean_col(train)
-    return (pairs.join(fx.user_means(train), "user_id", "left")
+    return (pairs.join(fx.own_exchange(fx.user_means(train), "user_id"), "user_id", "left")
             .withColumn("pred", F.coalesce(F.col("user_mean"), g)).drop("user_mean"))
 
 
 def predict_item_mean(train: DataFrame, pairs: DataFrame) -> DataFrame:
     """The item's mean, the global mean for unknown items."""
     g = fx.global_mean_col(train)
-    return (pairs.join(fx.item_means(train), "item_id", "left")
+    return (pairs.join(fx.own_exchange(fx.item_means(train), "item_id"), "item_id", "left")
             .withColumn("pred", F.coalesce(F.col("item_mean"), g)).drop("item_mean"))
 
 
@@ -55,38 +56,28 @@ def predict_baseline(train: DataFrame, pairs: DataFrame, lo: float = 1.0,
                      hi: float = 5.0) -> DataFrame:
     """User mean moved by the item's mean normalized deviation."""
     g = fx.global_mean_col(train)
-    p = (pairs.join(fx.user_means(train), "user_id", "left")
-         .join(fx.item_mean_deviation(train, lo, hi), "item_id", "left"))
+    p = (pairs.join(fx.own_exchange(fx.user_means(train), "user_id"), "user_id", "left")
+         .join(fx.own_exchange(fx.item_mean_deviation(train, lo, hi), "item_id"), "item_id", "left"))
     return _finish(p, "item_dev", True, g, lo, hi)
 
 
 # ---------------------------------------------------------------- similarity-weighted
-def _persisted(df: DataFrame) -> DataFrame:
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def weighted_deviation(weights: DataFrame, dev: DataFrame, pairs: DataFrame,
-                       sizes: tuple[int, int, int] | None = None,
-                       group: str | None = None) -> DataFrame:
+def weighted_deviation(weights, dev: DataFrame, pairs: DataFrame, group: str | None = None) -> DataFrame:
     """P6 core: for each requested (user_id, item_id), the sums over users v
-    with weight ``sim`` = w(user, v) who rated the item of w·dev(v, item)
+    with weight ``sim`` = w(user, v) who rated the item of w * dev(v, item)
     (``num``) and |w| (``den``); split by the integer column ``group`` of
-    ``weights`` when given.
+    ``weights`` when given. ``weights`` is a table (user_id, other_id, sim), or a
+    function from requested (user_id, other_id) rows to those with ``sim``.
 
-    Computed as a sampled block product, so neither a hot user nor a hot item
-    is ever enumerated whole in one task.
+    Requests meet the raters of their item first (a hot item's raters in
+    blocks), then the weights: one plan for any size.
     """
-    from nearrate.operators.blocks import masked_product
-    extra = [group] if group else []
-    left = weights.select("user_id", F.col("other_id").alias("v"), F.col("sim").alias("w"),
-                          F.abs(F.col("sim")).alias("a"), *extra)
-    right = dev.select(F.col("user_id").alias("v"), "item_id", "dev", F.lit(1.0).alias("one"))
-    mask = pairs.select("user_id", "item_id")
-    return masked_product(left, right, mask, row="user_id", inner="v", col="item_id",
-                          left_vals=["w", "a"], right_vals=["dev", "one"],
-                          terms={"num": ("w", "dev"), "den": ("a", "one")},
-                          sizes=sizes, left_group=group)
+    mask = pairs.select("user_id", "item_id").distinct()
+    raters = dev.select("item_id", F.col("user_id").alias("other_id"), "dev")
+    met = blocked_join(mask, raters, "item_id", "other_id").where(F.col("user_id") != F.col("other_id"))
+    weighted = weights(met) if callable(weights) else met.join(weights, ["user_id", "other_id"])
+    return (weighted.groupBy("user_id", "item_id", *([group] if group else []))
+            .agg(F.sum(F.col("sim") * F.col("dev")).alias("num"), F.sum(F.abs("sim")).alias("den")))
 
 
 def _ratio(num: str, den: str):
@@ -94,47 +85,38 @@ def _ratio(num: str, den: str):
     return F.when(d != 0, n / d).otherwise(F.lit(0.0))
 
 
-def predict_personalized(train: DataFrame, pairs: DataFrame, similarity: str = "cosine",
+def similarity_function(similarity):
+    """A similarity by name, or any function ``(ratings, lo, hi) -> (user_id,
+    other_id, sim)``."""
+    from nearrate.operators import similarity as sm
+    known = {"cosine": sm.cosine_similarity, "jaccard": sm.jaccard_similarity}
+    if callable(similarity):
+        return similarity
+    if similarity not in known:
+        raise ValueError(f"similarity must be unit, cosine, jaccard or a function, not {similarity!r}")
+    return known[similarity]
+
+
+def predict_personalized(train: DataFrame, pairs: DataFrame, similarity="cosine",
                          sim: DataFrame | None = None, lo: float = 1.0,
                          hi: float = 5.0) -> DataFrame:
     """P5: baseline whose item deviation is the similarity-weighted mean
     deviation of all users who rated the item (the user itself included with
     weight 1 when it rated the item in train).
 
-    ``sim`` optionally supplies the weights as (user_id, other_id, sim) without
-    self pairs; by default they are computed from ``train`` for the named
-    ``similarity``."""
-    if similarity not in ("unit", "cosine", "jaccard"):
-        raise ValueError(f"similarity must be unit, cosine or jaccard, not {similarity!r}")
-    if similarity == "unit" and sim is None:
-        # All weights 1: the weighted mean deviation is the item's mean deviation.
-        return predict_baseline(train, pairs, lo, hi)
-    from nearrate.functions import SIM_DIGITS
+    ``similarity`` is "unit", "cosine", "jaccard" or a function from ratings to
+    (user_id, other_id, sim); ``sim`` optionally supplies that table, without
+    self pairs."""
     from nearrate.operators import similarity as sm
-    from nearrate.operators.blocks import gram_weighted_deviation
     g = fx.global_mean_col(train)
     dev = fx.deviations(train, lo, hi)
-    wd = None
-    if sim is None:
-        # Fused route: similarities live only inside the Gram cells.
-        if similarity == "cosine":
-            sim_input = fx.preprocessed(dev).withColumnRenamed("rui", "value")
-        else:
-            counts = train.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-            sim_input = train.select("user_id", "item_id", F.lit(1.0).alias("value")) \
-                .join(counts, "user_id")
-        wd = gram_weighted_deviation(sim_input, dev, pairs, SIM_DIGITS,
-                                     jaccard=similarity != "cosine")
-    if wd is None:
-        sizes = None
-        if sim is None:
-            half = _persisted(sm.cosine_half(train, lo, hi) if similarity == "cosine"
-                              else sm.jaccard_half(train))
-            sim = sm.mirror(half)
-            sizes = (2 * half.count(), train.count(), pairs.count())
-        wd = weighted_deviation(sim, dev, pairs, sizes)
+    if sim is not None:
+        weights = sim
+    else:
+        weights = sm.unit_similarity if similarity == "unit" else similarity_function(similarity)(train, lo, hi)
+    wd = weighted_deviation(weights, dev, pairs)
     own = dev.select("user_id", "item_id", F.col("dev").alias("self_dev"))
-    p = (pairs.join(fx.user_means(train), "user_id", "left")
+    p = (pairs.join(fx.own_exchange(fx.user_means(train), "user_id"), "user_id", "left")
          .join(wd, ["user_id", "item_id"], "left")
          .join(own, ["user_id", "item_id"], "left"))
     num = F.coalesce(F.col("num"), F.lit(0.0)) + F.coalesce(F.col("self_dev"), F.lit(0.0))
@@ -144,43 +126,25 @@ def predict_personalized(train: DataFrame, pairs: DataFrame, similarity: str = "
     return _finish(p.drop("num", "den", "self_dev"), "wdev", True, g, lo, hi)
 
 
-def knn_neighbours(train: DataFrame, k: int, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
-    """K4: exact k nearest neighbours by adjusted cosine."""
-    from pyspark import StorageLevel
-
-    from nearrate.functions import SIM_DIGITS
+def knn_neighbours(train: DataFrame, k: int, lo: float = 1.0, hi: float = 5.0,
+                   similarity="cosine") -> DataFrame:
+    """K4: exact k nearest neighbours by a similarity (adjusted cosine)."""
     from nearrate.operators import neighbours as nb
-    from nearrate.operators.blocks import gram_top_k, plan_gram
     n_users = train.agg(F.countDistinct("user_id")).scalar()
-    rui = fx.preprocessed(fx.deviations(train, lo, hi)).persist(StorageLevel.MEMORY_AND_DISK)
-    plan = plan_gram(rui, "user_id", "item_id")
-    cands = gram_top_k(rui, "user_id", "item_id", "rui", k, SIM_DIGITS, plan=plan)
-    if plan.inner_blocks == 1:
-        # Complete sums per task: rank the bounded per-task candidates.
-        return nb.top_k_from_candidates(cands, k, n_users)
-    return nb.top_k(cands.drop("stored"), k, n_users)
+    return nb.top_k(similarity_function(similarity)(train, lo, hi), k, n_users)
 
 
 def predict_knn(train: DataFrame, pairs: DataFrame, k: int,
                 neighbours: DataFrame | None = None, lo: float = 1.0,
-                hi: float = 5.0, max_per_user: int | None = None) -> DataFrame:
+                hi: float = 5.0) -> DataFrame:
     """P7/P8/P9 (and P10 when given approximate ``neighbours``): user mean moved
     by the weighted deviation over the k nearest neighbours who rated the item;
-    an unknown user gets the global mean. ``max_per_user`` bounds the rows per
-    user of given ``neighbours`` (saves a counting pass)."""
-    if neighbours is None or max_per_user:
-        # At most k rows per user: size the product from that bound and let
-        # the neighbour table stream into it (no persist, no counting pass).
-        if neighbours is None:
-            neighbours = knn_neighbours(train, k, lo, hi)
-        n_nb = train.select("user_id").distinct().count() * (max_per_user or k)
-    else:
-        neighbours = _persisted(neighbours)
-        n_nb = neighbours.count()
+    an unknown user gets the global mean."""
+    if neighbours is None:
+        neighbours = knn_neighbours(train, k, lo, hi)
     g = fx.global_mean_col(train)
-    sizes = (n_nb, train.count(), pairs.count())
-    wd = weighted_deviation(neighbours, fx.deviations(train, lo, hi), pairs, sizes)
-    p = (pairs.join(fx.user_means(train), "user_id", "left")
+    wd = weighted_deviation(neighbours.select("user_id", "other_id", "sim"), fx.deviations(train, lo, hi), pairs)
+    p = (pairs.join(fx.own_exchange(fx.user_means(train), "user_id"), "user_id", "left")
          .join(wd, ["user_id", "item_id"], "left")
          .withColumn("wdev", _ratio("num", "den")).drop("num", "den"))
     return _finish(p, "wdev", False, g, lo, hi)
@@ -188,7 +152,7 @@ def predict_knn(train: DataFrame, pairs: DataFrame, k: int,
 
 def predict_knn_sweep(train: DataFrame, pairs: DataFrame, ks: list[int],
                       neighbours: DataFrame | None = None, lo: float = 1.0,
-                      hi: float = 5.0, max_per_user: int | None = None) -> DataFrame:
+                      hi: float = 5.0) -> DataFrame:
     """kNN predictions for several k at once: pairs × ks with column ``k``.
 
     Neighbours are ranked once at max(ks) (or given, with a ``rank`` column).
@@ -197,25 +161,19 @@ def predict_knn_sweep(train: DataFrame, pairs: DataFrame, ks: list[int],
     own (at most len(ks) rows per pair and bucket).
     """
     ks = sorted(set(int(k) for k in ks))
-    if neighbours is None or max_per_user:
-        nbrs = neighbours if neighbours is not None else knn_neighbours(train, max(ks), lo, hi)
-        n_nb = train.select("user_id").distinct().count() * (max_per_user or max(ks))
-    else:
-        nbrs = _persisted(neighbours)
-        n_nb = nbrs.count()
+    nbrs = neighbours if neighbours is not None else knn_neighbours(train, max(ks), lo, hi)
     bucket = F.lit(len(ks) - 1)
     for j in range(len(ks) - 2, -1, -1):
         bucket = F.when(F.col("rank") <= ks[j], F.lit(j)).otherwise(bucket)
     weights = nbrs.select("user_id", "other_id", "sim", bucket.alias("kb"))
-    sizes = (n_nb, train.count(), pairs.count())
-    wd = weighted_deviation(weights, fx.deviations(train, lo, hi), pairs, sizes, group="kb")
+    wd = weighted_deviation(weights, fx.deviations(train, lo, hi), pairs, group="kb")
     karr = F.array(*[F.lit(k) for k in ks])
     per_k = (wd.select("user_id", "item_id", "num", "den",
                        F.explode(F.slice(karr, F.col("kb") + 1, len(ks))).alias("k"))
              .groupBy("user_id", "item_id", "k")
              .agg(F.sum("num").alias("num"), F.sum("den").alias("den")))
     g = fx.global_mean_col(train)
-    p = (pairs.join(fx.user_means(train), "user_id", "left")
+    p = (pairs.join(fx.own_exchange(fx.user_means(train), "user_id"), "user_id", "left")
          .select("*", F.explode(karr).alias("k"))
          .join(per_k, ["user_id", "item_id", "k"], "left"))
     p = p.withColumn("wdev", _ratio("num", "den")).drop("num", "den")
@@ -226,10 +184,10 @@ def predict_mean_family(train: DataFrame, pairs: DataFrame, lo: float = 1.0,
                         hi: float = 5.0) -> DataFrame:
     """P1-P4 in one pass: ``pairs`` with pred_global, pred_user, pred_item and
     pred_baseline, sharing the means joins instead of repeating them."""
+    item = fx.deviations(train, lo, hi).groupBy("item_id").agg(F.avg("rating").alias("item_mean"), F.avg("dev").alias("item_dev"))
     g = fx.global_mean_col(train)
-    p = (pairs.join(fx.user_means(train), "user_id", "left")
-         .join(fx.item_means(train), "item_id", "left")
-         .join(fx.item_mean_deviation(train, lo, hi), "item_id", "left"))
+    p = (pairs.join(fx.own_exchange(fx.user_means(train), "user_id"), "user_id", "left")
+         .join(fx.own_exchange(item, "item_id"), "item_id", "left"))
     known = F.coalesce(F.col("user_mean"), g)
     dev = F.coalesce(F.col("item_dev"), F.lit(0.0))
     return (p.withColumn("pred_global", g)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from nearrate.functions import SIM_DIGITS, combine, round_sim
 from nearrate.operators import features as fx
-from nearrate.operators.blocks import masked_product
+from nearrate.operators.products import blocked_join
 from nearrate.operators.indexing import dense_index
 from nearrate.operators.neighbours import top_k
 
@@ -23,13 +23,13 @@ def add_ratings(ratings: DataFrame, new: DataFrame) -> DataFrame:
     return ratings.unionByName(new.select("user_id", "item_id", "rating"))
 
 
-def candidates(ratings: DataFrame, targets: list[int]) -> DataFrame:
+def candidates(ratings: DataFrame, targets: DataFrame) -> DataFrame:
     """R2: (user_id, item_id) of every distinct item a target user has not
-    rated. The target list is a literal (its size bounds the fan-out)."""
-    items = ratings.select("item_id").distinct()
-    grid = items.select(F.explode(F.array(*[F.lit(int(t)).cast("bigint") for t in targets]))
-                        .alias("user_id"), "item_id")
-    return grid.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    rated. ``targets`` (user_id) meet every item; that is what is asked for, so
+    the caller bounds the number of targets."""
+    items = ratings.select("item_id").distinct().withColumn("all", F.lit(0))
+    grid = targets.select("user_id").distinct().withColumn("all", F.lit(0)).join(items, "all").drop("all")
+    return grid.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti").select("user_id", "item_id")
 
 
 def _persist(df: DataFrame) -> DataFrame:
@@ -41,15 +41,12 @@ def target_neighbours(train: DataFrame, targets: DataFrame, k: int, lo: float =
                       hi: float = 5.0, dev: DataFrame | None = None) -> DataFrame:
     """Exact k nearest neighbours of the target users only: the cosine row of a
     target is the block product of its preprocessed ratings with everyone's."""
-    dev = dev if dev is not None else _persist(fx.deviations(train, lo, hi))
-    rui = _persist(fx.preprocessed(dev))
-    mine = _persist(rui.join(targets.select("user_id").distinct(), "user_id"))
-    dots = masked_product(
-        mine.select("user_id", "item_id", "rui"),
-        rui.select("item_id", F.col("user_id").alias("other_id"), F.col("rui").alias("rui_o")),
-        None, row="user_id", inner="item_id", col="other_id",
-        left_vals=["rui"], right_vals=["rui_o"], terms={"dot": ("rui", "rui_o")},
-        sizes=(mine.count(), rui.count(), 0))
+    dev = dev if dev is not None else fx.deviations(train, lo, hi)
+    rui = fx.preprocessed(dev)
+    mine = rui.join(targets.select("user_id").distinct(), "user_id")
+    others = rui.select("item_id", F.col("user_id").alias("other_id"), F.col("rui").alias("rui_o"))
+    dots = (blocked_join(mine, others, "item_id", "other_id").groupBy("user_id", "other_id")
+            .agg(F.sum(F.col("rui") * F.col("rui_o")).alias("dot")))
     sim = (dots.where(F.col("user_id") != F.col("other_id"))
            .select("user_id", "other_id", round_sim("dot").alias("sim"))
            .where(F.col("sim") != 0))
@@ -58,19 +55,19 @@ def target_neighbours(train: DataFrame, targets: DataFrame, k: int, lo: float =
 
 
 def recommend(train: DataFrame, targets: DataFrame, k: int = 300, n: int = 3,
-              lo: float = 1.0, hi: float = 5.0) -> DataFrame:
+              lo: float = 1.0, hi: float = 5.0, neighbours: DataFrame | None = None) -> DataFrame:
     """(user_id, item_id, pred, rank) — the n unseen items with the highest
-    kNN prediction for each target user; ties go to the smaller item id."""
+    kNN prediction for each target user; ties go to the smaller item id.
+    ``neighbours`` (user_id, other_id, sim), such as approximate ones, replace
+    the exact k nearest."""
     targets = _persist(targets.select("user_id").distinct())
     dev = _persist(fx.deviations(train, lo, hi))   # (user, item, rating, user_mean, dev)
-    nbrs = _persist(target_neighbours(train, targets, k, lo, hi, dev))
-    ev = masked_product(
-        nbrs.select("user_id", F.col("other_id").alias("v"), "sim", F.abs("sim").alias("a")),
-        dev.select(F.col("user_id").alias("v"), "item_id", "dev", F.lit(1.0).alias("one")),
-        None, row="user_id", inner="v", col="item_id",
-        left_vals=["sim", "a"], right_vals=["dev", "one"],
-        terms={"num": ("sim", "dev"), "den": ("a", "one")},
-        sizes=(nbrs.count(), dev.count(), 0))
+    if neighbours is None:
+        neighbours = target_neighbours(train, targets, k, lo, hi, dev)
+    nbrs = _persist(neighbours.join(targets, "user_id", "left_semi"))
+    theirs = dev.select(F.col("user_id").alias("other_id"), "item_id", "dev")
+    ev = (blocked_join(nbrs.select("user_id", "other_id", "sim"), theirs, "other_id", "item_id").groupBy("user_id", "item_id")
+          .agg(F.sum(F.col("sim") * F.col("dev")).alias("num"), F.sum(F.abs("sim")).alias("den")))
     mine = dev.join(targets, "user_id")
     rated = mine.select("user_id", "item_id")
     evidence = _persist(ev.join(rated, ["user_id", "item_id"], "left_anti"))

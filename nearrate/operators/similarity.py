@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from nearrate.functions import round_sim
 from nearrate.operators import features as fx
-from nearrate.operators.blocks import GramPlan, gram
+from nearrate.operators.products import blocked_join, pair_sums
 
 
 def mirror(half: DataFrame) -> DataFrame:
@@ -24,44 +24,38 @@ def mirror(half: DataFrame) -> DataFrame:
                                            F.col("p.v").alias("other_id"), "sim")
 
 
-def cosine_half(train: DataFrame, lo: float = 1.0, hi: float = 5.0,
-                plan: GramPlan | None = None) -> DataFrame:
+def cosine_half(train: DataFrame, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
     """V3/V4/V5: adjusted cosine of each unordered co-rating pair.
 
     Deviations are divided by the user's norm first (V2), so the cosine is a
-    dot product over shared items, computed by the block Gram product.
-    """
+    dot product over shared items."""
     rui = fx.preprocessed(fx.deviations(train, lo, hi))
-    dots = gram(rui, "user_id", "item_id", ["rui"], plan=plan)
+    dots = pair_sums(rui, "user_id", "item_id", "rui")
     return (dots.select("user_id", "other_id", round_sim("rui").alias("sim"))
             .where(F.col("sim") != 0))
 
 
-def cosine_similarity(train: DataFrame, lo: float = 1.0, hi: float = 5.0,
-                      plan: GramPlan | None = None) -> DataFrame:
-    return mirror(cosine_half(train, lo, hi, plan))
+def cosine_similarity(train: DataFrame, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
+    return mirror(cosine_half(train, lo, hi))
 
 
-def jaccard_half(train: DataFrame, plan: GramPlan | None = None) -> DataFrame:
-    """V6: |A ∩ B| / |A ∪ B| of rated-item sets, for pairs with a shared item."""
-    ones = train.select("user_id", "item_id", F.lit(1.0).alias("one"))
-    inter = gram(ones, "user_id", "item_id", ["one"], plan=plan)
+def jaccard_half(train: DataFrame) -> DataFrame:
+    """V6: |A ∩ B| / |A ∪ B| of rated-item sets, for pairs with a shared item.
+    The set sizes travel with the rows, so nothing is joined after the product."""
     counts = train.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    cu = counts.select(F.col("user_id"), F.col("n").alias("n_u"))
-    cv = counts.select(F.col("user_id").alias("other_id"), F.col("n").alias("n_v"))
-    j = inter.join(cu, "user_id").join(cv, "other_id")
+    ones = (train.join(fx.own_exchange(counts, "user_id"), "user_id")
+            .select("user_id", "item_id", F.lit(1.0).alias("one"), "n"))
+    inter = pair_sums(ones, "user_id", "item_id", "one", carry="n")
     sim = F.col("one") / (F.col("n_u") + F.col("n_v") - F.col("one"))
-    return j.select("user_id", "other_id", round_sim(sim).alias("sim")).where(F.col("sim") != 0)
+    return inter.select("user_id", "other_id", round_sim(sim).alias("sim")).where(F.col("sim") != 0)
 
 
-def jaccard_similarity(train: DataFrame, plan: GramPlan | None = None) -> DataFrame:
-    return mirror(jaccard_half(train, plan))
+def jaccard_similarity(train: DataFrame, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
+    return mirror(jaccard_half(train))
 
 
 def unit_similarity(pairs: DataFrame) -> DataFrame:
-    """V7: constant similarity 1 for every requested (user_id, other_id) pair.
-    P5 with unit weights never materialises it: it reduces to the item mean
-    deviation."""
+    """V7: constant similarity 1 for every requested (user_id, other_id) pair."""
     return pairs.withColumn("sim", F.lit(1.0))
 
 
@@ -77,16 +71,13 @@ def lookup(sim: DataFrame, pairs: DataFrame, self_sim=1.0) -> DataFrame:
 def cosine_lookup(train: DataFrame, pairs: DataFrame, lo: float = 1.0,
                   hi: float = 5.0) -> DataFrame:
     """V8 without the all-pairs table: the cosine of each requested
-    (user_id, other_id) pair as a sampled product of the preprocessed ratings
-    with themselves, evaluated only at the requested pairs (0 when they share
-    no item or a norm is 0, 1 for a self pair)."""
-    from nearrate.operators.blocks import masked_product
+    (user_id, other_id) pair, from the items of the two users alone (0 when
+    they share no item or a norm is 0, 1 for a self pair)."""
     rui = fx.preprocessed(fx.deviations(train, lo, hi))
-    others = pairs.where(F.col("user_id") != F.col("other_id"))
-    dots = masked_product(
-        rui.select("user_id", "item_id", "rui"),
-        rui.select("item_id", F.col("user_id").alias("other_id"), F.col("rui").alias("rui_o")),
-        others, row="user_id", inner="item_id", col="other_id",
-        left_vals=["rui"], right_vals=["rui_o"], terms={"dot": ("rui", "rui_o")})
+    others = pairs.where(F.col("user_id") != F.col("other_id")).select("user_id", "other_id").distinct()
+    mine = blocked_join(others, rui, "user_id", "item_id")
+    theirs = rui.select(F.col("user_id").alias("other_id"), "item_id", F.col("rui").alias("rui_o"))
+    dots = (mine.join(theirs, ["other_id", "item_id"]).groupBy("user_id", "other_id")
+            .agg(F.sum(F.col("rui") * F.col("rui_o")).alias("dot")))
     sim = dots.select("user_id", "other_id", round_sim("dot").alias("sim"))
     return lookup(sim.where(F.col("sim") != 0), pairs)

@@ -21,7 +21,7 @@ from nearrate.operators import predictors as pr
 from nearrate.operators import recommend as rc
 from nearrate.operators import similarity as sm
 from nearrate.plans import sqlparts as S
-from nearrate.sources import ratings_from_orders, split_train_test
+from nearrate.sources import parse_personal, parse_ratings, personal_ratings, ratings_from_orders, split_train_test
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -64,6 +64,34 @@ def q_ratings(spark, d):
     return data(spark, d, persist=False)[0]
 
 
+@register("ratings_from_text", S.with_ctes() + "SELECT user_id + 3000000000 AS user_id, item_id, rating FROM ratings")
+def q_ratings_from_text(spark, d):
+    """The derived ratings as lines of text and back: ids above 2^31, padded
+    fields, fields beyond the third, a header and blank lines."""
+    r = data(spark, d, persist=False)[0]
+    line = F.concat_ws("\t", F.concat(F.lit(" "), F.col("user_id") + 3000000000), F.concat("item_id", F.lit(" ")), "rating", F.lit("881250949"))
+    odd = spark.range(3).select(F.element_at(F.array(F.lit("user\titem\trating"), F.lit(""), F.lit("  ")), (F.col("id") + 1).cast("int")).alias("value"))
+    return parse_ratings(r.select(line.alias("value")).unionByName(odd))
+
+
+def _personal_lines(spark, d):
+    p = spark.read.parquet(f"{d}/part.parquet")
+    kind = F.col("p_partkey") % 3
+    line = F.concat(F.lit(" "), F.col("p_partkey"), F.lit(" , "), "p_name", F.when(kind == 0, F.lit("")).when(kind == 1, F.lit(",")).otherwise(F.concat(F.lit(" , "), F.col("p_size") % 6)))
+    return p.select(line.alias("value")).unionByName(spark.range(1).select(F.concat(F.lit("id,name,rating"), F.when(F.col("id") > 0, F.lit(" ")).otherwise(F.lit(""))).alias("value")))
+
+
+@register("personal_from_text", """SELECT 944::BIGINT AS user_id, p_partkey::BIGINT AS item_id, (p_size % 6)::DOUBLE AS rating
+FROM part WHERE p_partkey % 3 = 2 AND p_size % 6 <> 0""")
+def q_personal_from_text(spark, d):
+    return personal_ratings(parse_personal(_personal_lines(spark, d)))
+
+
+@register("item_names_from_text", "SELECT p_partkey::BIGINT AS item_id, trim(p_name) AS name FROM part")
+def q_item_names_from_text(spark, d):
+    return parse_personal(_personal_lines(spark, d)).select("item_id", "name")
+
+
 @register("ratings_train", S.with_ctes() + "SELECT user_id, item_id, rating FROM train")
 def q_train(spark, d):
     return data(spark, d, persist=False)[1]
@@ -283,20 +311,15 @@ _P5_SQL = {
     "cosine": S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, _p5_sql("cos")),
     "jaccard": S.with_ctes(S.MEANS_CTE, S.JACCARD_CTE, _p5_sql("jac")),
 }
-_P5_SQL["unit"] = S.with_ctes(S.MEANS_CTE) + (
-    "SELECT p.user_id, p.item_id, p.rating, " + _BASE_PRED_SQL["predict_baseline"] +
-    " AS pred FROM test p CROSS JOIN g LEFT JOIN um ON p.user_id = um.user_id "
-    "LEFT JOIN idev ON p.item_id = idev.item_id")
+# unit weights through the general formula: every other rater weighs 1
+_P5_SQL["unit"] = S.with_ctes(S.MEANS_CTE, "one AS (SELECT a.user_id, b.user_id AS other_id, 1.0 AS sim FROM um a JOIN um b ON a.user_id <> b.user_id)", _p5_sql("one"))
 
 
 def _make_p5(kind: str):
     def q(spark, d):
         _, train, test = data(spark, d)
         return _pairs(pr.predict_personalized(train, test, kind))
-    if kind == "unit":
-        sql = f"SELECT user_id, item_id, round(pred, 6) AS pred FROM ({_P5_SQL[kind]}) t"
-    else:
-        sql = _P5_SQL[kind] + "SELECT user_id, item_id, round(pred, 6) AS pred FROM pred"
+    sql = _P5_SQL[kind] + "SELECT user_id, item_id, round(pred, 6) AS pred FROM pred"
     register(f"predict_personalized_{kind}", sql)(q)
 
 
@@ -307,7 +330,7 @@ for _k in ("unit", "cosine", "jaccard"):
 @register("mae_personalized", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.JACCARD_CTE) + f"""
 , cos_pred AS ({_P5_SQL['cosine'].replace('WITH ', 'SELECT * FROM (WITH ', 1)} SELECT * FROM pred)),
 jac_pred AS ({_P5_SQL['jaccard'].replace('WITH ', 'SELECT * FROM (WITH ', 1)} SELECT * FROM pred)),
-unit_pred AS ({_P5_SQL['unit']})
+unit_pred AS ({_P5_SQL['unit'].replace('WITH ', 'SELECT * FROM (WITH ', 1)} SELECT * FROM pred))
 SELECT 'unit' AS method, round(avg(abs(pred - rating)), 6) AS mae FROM unit_pred
 UNION ALL SELECT 'cosine', round(avg(abs(pred - rating)), 6) FROM cos_pred
 UNION ALL SELECT 'jaccard', round(avg(abs(pred - rating)), 6) FROM jac_pred""")
@@ -331,6 +354,13 @@ def q_knn_neighbours(spark, d):
     return _nb_out(pr.knn_neighbours(data(spark, d)[1], 10))
 
 
+@register("knn_neighbours_jaccard_k10", S.with_ctes(S.JACCARD_CTE, S.NEIGHBOURS_CTE.replace("cos", "jac")) +
+          "SELECT user_id, other_id, round(sim, 6) AS sim, CAST(rank AS BIGINT) AS rank "
+          "FROM nb WHERE rank <= 10")
+def q_knn_neighbours_jaccard(spark, d):
+    return _nb_out(pr.knn_neighbours(data(spark, d)[1], 10, similarity="jaccard"))
+
+
 @register("knn_similarity_lookup",
           S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.NEIGHBOURS_CTE).rstrip("\n") + _REQ_SQL +
           "SELECT r.user_id, r.other_id, round(coalesce(nb.sim, 0), 6) AS sim FROM req r "
@@ -420,7 +450,7 @@ def q_mae_approx_knn(spark, d):
     # Approximate ranks are plain ranks among positive similarities, so the
     # k=10 neighbours are the first 10 of the k=300 ones.
     nbrs = bk.approximate_neighbours(train, 300, **APPROX)
-    out = pr.predict_knn_sweep(train, test, [10, 300], neighbours=nbrs, max_per_user=300)
+    out = pr.predict_knn_sweep(train, test, [10, 300], neighbours=nbrs)
     return (out.groupBy(F.col("k").cast("bigint").alias("k"))
             .agg(r6(F.avg(F.abs(F.col("pred") - F.col("rating")))).alias("mae")))
 
@@ -514,10 +544,9 @@ def q_candidates(spark, d):
     full, _ = _rec_inputs(spark, d)
     top = spark.read.parquet(f"{d}/customer.parquet").agg(F.max("c_custkey")).scalar()
     offsets = sorted({o for o, _, _ in NEW_USER_RATINGS})
-    items = full.select("item_id").distinct()
-    grid = (items.select(F.explode(F.array(*[F.lit(o) for o in offsets])).alias("off"), "item_id")
-            .select((F.col("off") + top).cast("bigint").alias("user_id"), "item_id"))
-    return grid.join(full.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    targets = (spark.range(1).select(F.explode(F.array(*[F.lit(o) for o in offsets])).alias("off"))
+               .select((F.col("off") + top).cast("bigint").alias("user_id")))
+    return rc.candidates(full, targets)
 
 
 @register("recommend_top3", _REC_SQL + f"SELECT user_id, item_id, round(pred, 6) AS pred, "

@@ -6,7 +6,6 @@ that are missing, so that tests and the bench run the same plans locally.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -18,8 +17,7 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": os.environ.get("NEARRATE_ARROW_BATCH", "100000"),
-}
+    }
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -32,7 +30,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("NEARRATE_DRIVER_MEMORY", "16g"))
+    builder = builder.config("spark.driver.memory", "8g")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
@@ -54,6 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="nearrate-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)

@@ -15,49 +15,62 @@ RATING_SCHEMA = T.StructType([
 ])
 
 
-def load_ratings(spark: SparkSession, path: str, sep: str = "\t",
-                 dedupe_pairs: bool = False) -> DataFrame:
-    """Delimited ratings file.
+def parse_ratings(lines: DataFrame, sep: str = "\t", dedupe_pairs: bool = False) -> DataFrame:
+    """Ratings from lines of text, the column ``value``.
 
     ``sep`` is a regular expression, as the field splitter of the original
-    programs. Fields are trimmed; rows whose first field is not an integer
+    programs. Fields are trimmed; lines whose first field is not an integer
     (headers, blank lines) are skipped; fields after the third are ignored.
-    A bad item or rating field fails the job (ANSI cast), it is not skipped.
-    With ``dedupe_pairs`` a repeated (user, item) keeps one row (``dedupe``).
+    A first field that is an integer too large for BIGINT, and a bad item or
+    rating field, fail the job (ANSI cast); they are not skipped. With
+    ``dedupe_pairs`` a repeated (user, item) keeps one row (``dedupe``).
     """
     parts = F.split(F.col("value"), sep)
-    fields = spark.read.text(path).select(
-        F.trim(parts.getItem(0)).alias("u"),
-        F.trim(parts.getItem(1)).alias("i"),
-        F.trim(parts.getItem(2)).alias("r"),
-    )
-    out = (fields
-           .where(F.col("u").try_cast("int").isNotNull())
-           .select(F.col("u").cast("int").cast("bigint").alias("user_id"),
-                   F.col("i").cast("int").cast("bigint").alias("item_id"),
-                   F.col("r").cast("double").alias("rating")))
+    field = lambda i: F.trim(F.get(parts, F.lit(i)))
+    kept = lines.where(field(0).rlike("^[+-]?[0-9]+$"))
+    out = kept.select(field(0).cast("bigint").alias("user_id"), field(1).cast("bigint").alias("item_id"),
+                      field(2).cast("double").alias("rating"))
     return dedupe(out) if dedupe_pairs else out
 
 
-_PERSONAL_SCHEMA = T.StructType([
-    T.StructField("item_id", T.LongType(), True),
-    T.StructField("name", T.StringType(), True),
-    T.StructField("rating", T.DoubleType(), True),
-])
+def load_ratings(spark: SparkSession, path: str, sep: str = "\t",
+                 dedupe_pairs: bool = False) -> DataFrame:
+    """Delimited ratings file, see ``parse_ratings``."""
+    return parse_ratings(spark.read.text(path), sep, dedupe_pairs)
+
+
+_PERSONAL_SCHEMA = "item_id string, name string, rating string"
+
+
+def _personal_fields(df: DataFrame) -> DataFrame:
+    """Every field is trimmed before it is cast; an empty rating is missing."""
+    rating = F.nullif(F.trim("rating"), F.lit("")).cast("double")
+    return df.select(F.trim("item_id").cast("bigint").alias("item_id"), F.trim("name").alias("name"), rating.alias("rating"))
 
 
 def _personal_csv(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.read.option("header", True).option("mode", "FAILFAST")
-            .schema(_PERSONAL_SCHEMA).csv(path))
+    return _personal_fields(spark.read.option("header", True).option("mode", "PERMISSIVE")
+                            .schema(_PERSONAL_SCHEMA).csv(path))
+
+
+def parse_personal(lines: DataFrame) -> DataFrame:
+    """(item_id, name, rating) from lines ``id,name[,rating]``, the column
+    ``value``; the header line is the one that starts with ``id``."""
+    row = F.from_csv("value", _PERSONAL_SCHEMA)
+    return _personal_fields(lines.where(~F.trim("value").startswith("id") & (F.trim("value") != "")).select(row.alias("r")).select("r.*"))
+
+
+def personal_ratings(fields: DataFrame, user_id: int = 944) -> DataFrame:
+    """A missing rating reads as 0 and zero ratings are dropped; every row
+    belongs to ``user_id``."""
+    return (fields.select(F.lit(user_id).cast("bigint").alias("user_id"), "item_id",
+                          F.coalesce(F.col("rating"), F.lit(0.0)).alias("rating"))
+            .where(F.col("rating") != 0.0))
 
 
 def load_personal(spark: SparkSession, path: str, user_id: int = 944) -> DataFrame:
-    """Personal ratings CSV ``id,name[,rating]`` (S5): a missing rating reads as 0
-    and zero ratings are dropped; every row belongs to ``user_id``."""
-    df = _personal_csv(spark, path)
-    return (df.select(F.lit(user_id).cast("bigint").alias("user_id"), "item_id",
-                      F.coalesce(F.col("rating"), F.lit(0.0)).alias("rating"))
-              .where(F.col("rating") != 0.0))
+    """Personal ratings CSV ``id,name[,rating]``."""
+    return personal_ratings(_personal_csv(spark, path), user_id)
 
 
 def load_item_names(spark: SparkSession, path: str) -> DataFrame:

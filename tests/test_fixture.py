@@ -129,15 +129,11 @@ def test_cosine_lookup_matches_table(spark, tiny):
                      (5, 6): -0.297044, (1, 9): 0.0}, abs=1e-6)
 
 
-def test_split_inner_blocks_give_same_answers(tiny, monkeypatch):
-    """Tiny budgets force items to be split over cells (incomplete sums per
-    cell): the fallback routes must give the same results."""
-    from nearrate.operators import blocks
-    monkeypatch.setattr(blocks, "TARGET_PAIRS", 2)
-    monkeypatch.setattr(blocks, "TARGET_ROWS", 4)
+def test_hot_items_in_blocks_give_same_answers(tiny, monkeypatch):
+    """One row per block: every item counts as hot and is dealt over cells."""
+    from nearrate.operators import products
+    monkeypatch.setattr(products, "BLOCK_ROWS", 1)
     tr, te, test = tiny
-    rui = sm.fx.preprocessed(sm.fx.deviations(tr))
-    assert blocks.plan_gram(rui, "user_id", "item_id").inner_blocks > 1
     test_cosine_and_jaccard(tiny)
     for name in ("cosine", "jaccard"):
         out = PRED[name](tr, te)
@@ -149,18 +145,6 @@ def test_split_inner_blocks_give_same_answers(tiny, monkeypatch):
     assert {(r.user_id, r.other_id) for r in ap.collect()} == {(1, 2), (2, 1), (3, 6), (6, 3)}
 
 
-def test_fused_route_falls_back_for_a_hot_requester(tiny, monkeypatch):
-    from nearrate.operators import blocks
-    tr, te, test = tiny
-    rui = sm.fx.preprocessed(sm.fx.deviations(tr)).withColumnRenamed("rui", "value")
-    assert blocks.gram_weighted_deviation(rui, sm.fx.deviations(tr), te, 12) is not None
-    monkeypatch.setattr(blocks, "TARGET_ROWS", 2)
-    plan = blocks.GramPlan(2, 1)
-    assert blocks.gram_weighted_deviation(rui, sm.fx.deviations(tr), te, 12, plan=plan) is None
-    out = PRED["cosine"](tr, te)
-    assert preds_in_order(out, test) == A(EXPECTED["cosine"][0], abs=1e-6)
-
-
 def test_half_star_bounds(spark):
     """The scale bounds are parameters; out-of-range ratings fail loudly."""
     from nearrate.sources import RATING_SCHEMA

@@ -7,7 +7,8 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from nearrate.plans import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -36,17 +37,17 @@ def _rows(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry(spark):
     assert entry(spark).count() == 4
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = queries()[name](spark, SF)
-    rel = duck.sql(oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    rel = duck.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert _rows(df.columns, df.collect()) == _rows(rel.columns, rel.fetchall())
 
@@ -56,11 +57,8 @@ SPLIT_QUERIES = ["cosine_similarity", "jaccard_similarity", "predict_personalize
 
 
 @pytest.mark.parametrize("name", SPLIT_QUERIES)
-def test_query_matches_oracle_with_split_cells(spark, duck, name, monkeypatch):
-    """Budgets small enough that items are split over cells: the fallback
-    routes must give the same answers as the oracle."""
-    from nearrate.operators import blocks
-    monkeypatch.setattr(blocks, "TARGET_PAIRS", 2_000)
-    monkeypatch.setattr(blocks, "TARGET_ROWS", 1_000)
-    monkeypatch.setattr(blocks, "CHUNK_PAIRS", 1_000)
+def test_query_matches_oracle_with_split_items(spark, duck, name, monkeypatch):
+    """Blocks small enough that popular items are dealt over several cells."""
+    from nearrate.operators import products
+    monkeypatch.setattr(products, "BLOCK_ROWS", 4)
     test_query_matches_oracle(spark, duck, name)
