@@ -38,21 +38,21 @@ def pair_sums(df: DataFrame, key: str, inner: str, value: str, carry: str | None
     share an ``inner`` (within a group), the sum of the products of their values,
     user_id < other_id. ``carry`` is a column that depends on the key alone; it
     comes back as ``<carry>_u`` and ``<carry>_v``. (key, inner) must be unique."""
-    cols = [*group, inner, key, value] + ([carry] if carry else [])
-    rows = with_blocks(df.select(*cols), inner, group, block_rows).withColumn("own", _block(key))
-    one = F.struct(key, value, *([carry] if carry else []))
-    left = rows.select(*group, inner, F.col("own").alias("rb"), F.explode(F.sequence("own", F.col("n_blocks") - 1)).alias("cb"), one.alias("a"))
-    right = rows.select(*group, inner, F.explode(F.sequence(F.lit(0), "own")).alias("rb"), F.col("own").alias("cb"), one.alias("b"))
-    met = left.join(right, [*group, inner, "rb", "cb"]).where((F.col("rb") < F.col("cb")) | (F.col(f"a.{key}") < F.col(f"b.{key}")))
-    swap = F.col(f"a.{key}") > F.col(f"b.{key}")
-    u, v = F.when(swap, F.col("b")).otherwise(F.col("a")), F.when(swap, F.col("a")).otherwise(F.col("b"))
-    sums = [F.sum(F.col(f"a.{value}") * F.col(f"b.{value}")).alias(value)]
-    if carry:
-        sums += [F.first("u").getField(carry).alias(f"{carry}_u"), F.first("v").getField(carry).alias(f"{carry}_v")]
-        return (met.select(*group, u.alias("u"), v.alias("v"), "a", "b")
-                .groupBy(*group, F.col("u").getField(key).alias("user_id"), F.col("v").getField(key).alias("other_id")).agg(*sums))
-    return (met.select(*group, F.least(f"a.{key}", f"b.{key}").alias("user_id"), F.greatest(f"a.{key}", f"b.{key}").alias("other_id"), "a", "b")
-            .groupBy(*group, "user_id", "other_id").agg(*sums))
+    extra = [carry] if carry else []
+    rows = with_blocks(df.select(*group, inner, key, value, *extra), inner, group, block_rows).withColumn("own", _block(key))
+
+    def side(mark: str, rb, cb):
+        return rows.select(*group, inner, rb.alias("rb"), cb.alias("cb"), *[F.col(c).alias(f"{c}_{mark}") for c in (key, value, *extra)])
+
+    left = side("a", F.col("own"), F.explode(F.sequence("own", F.col("n_blocks") - 1)))
+    right = side("b", F.explode(F.sequence(F.lit(0), "own")), F.col("own"))
+    a, b = F.col(f"{key}_a"), F.col(f"{key}_b")
+    met = left.join(right, [*group, inner, "rb", "cb"]).where((F.col("rb") < F.col("cb")) | (a < b))
+    sums = [F.sum(F.col(f"{value}_a") * F.col(f"{value}_b")).alias(value)]
+    for c in extra:
+        sums += [F.first(F.when(a < b, F.col(f"{c}_a")).otherwise(F.col(f"{c}_b"))).alias(f"{c}_u"),
+                 F.first(F.when(a < b, F.col(f"{c}_b")).otherwise(F.col(f"{c}_a"))).alias(f"{c}_v")]
+    return met.groupBy(*group, F.least(a, b).alias("user_id"), F.greatest(a, b).alias("other_id")).agg(*sums)
 
 
 def blocked_join(left: DataFrame, right: DataFrame, inner: str, spread: str, block_rows: int | None = None) -> DataFrame:
