@@ -124,10 +124,11 @@ def mix_texts(docs: DataFrame, block: int = BLOCK_WORDS, **how) -> DataFrame:
     mine = mine.where(F.col("m_size") > 0).dropDuplicates(["m_id", "m_key"])
     pieces = F.regexp_extract_all("text", F.lit(f"{WORD}{SPACES}*"), F.lit(0))
     at, size = F.col("m_first"), F.col("m_size")
-    cut = F.flatten(F.transform("m_picked", lambda j: F.slice(
-        pieces, (F.greatest(j * block, at) - at + 1).cast("int"),
-        (F.least((j + 1) * block, at + size) - F.greatest(j * block, at)).cast("int"))))
-    part = F.when(F.size("m_picked") > 0, F.array(F.array_join(cut, ""))).otherwise(F.array().cast("array<string>"))
+    # bound to a lambda's variable, the pieces are cut once for a document, not once for a block
+    cut = F.transform(F.array(pieces), lambda p: F.array_join(F.flatten(F.transform("m_picked", lambda j: F.slice(
+        p, (F.greatest(j * block, at) - at + 1).cast("int"),
+        (F.least((j + 1) * block, at + size) - F.greatest(j * block, at)).cast("int")))), ""))
+    part = F.when(F.size("m_picked") > 0, cut).otherwise(F.array().cast("array<string>"))
     copies = F.concat(F.array_repeat(F.col("text"), F.col("m_whole")), part)
     joined = packed(docs, "doc_id", "text", F.xxhash64("text").alias("m_hash")).join(
         mine, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("m_hash") == F.col("m_key")))
