@@ -46,7 +46,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "1"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
     spark = get_session(f"local[{cpus}]", int(cpus) * int(os.environ.get("BENCH_PARTS_PER_CPU", "1")),
                         app_name="nearrate-bench")
