@@ -264,12 +264,29 @@ def test_lm(spark, docs_of, messy, monkeypatch):
         assert all(r["score"] < 0 for r in got)
 
 
+def test_lm_rest_shares():
+    rest = lm.RestShares({7: 0}, 6)  # ids 1 to 5 are in REST, 7 is a class
+    for ids, times in (([1, 2, 7, 3], 9), ([2], 4), ([7, 1], 2)):
+        rest.add(ids, times)
+    for last in (None, 1, 2, 7, 5):
+        front = [] if last is None else [last]
+        before = rest.log10(front)
+        assert sum(10 ** (rest.log10([*front, i]) - before) for i in range(1, 6)) == pytest.approx(1)
+    assert rest.log10([7]) == 0 and rest.log10([7, 3]) > rest.log10([1, 3]) - rest.log10([1])
+
+
+def test_lm_model_is_as_good_as_word_counts_on_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = lm.score(docs, tokenizer_path()).where("held_out").agg(*[F.sum(c) for c in ("score", "base_score", "n_tokens")]).first()
+    assert got[0] / got[2] > got[1] / got[2] - 0.1
+
+
 def test_lm_scores_each_token_once():
     model = lm.AttentionModel(seed=1)
     model.prepare()
     rng = np.random.default_rng(2)
     seq = np.append(rng.integers(0, lm.CLASSES, 70), lm.END).astype(np.uint8)
-    got = lm.Scorer(model, {}, {}, 0.0, "").scores([(seq.tobytes(), 0.0), (bytes([lm.END]), -1.0)])
+    got = lm.Scorer(model, lm.RestShares({}, 10), "").scores([(seq.tobytes(), 0.0), (bytes([lm.END]), -1.0)])
     total, gap = 0.0, lm.CONTEXT - lm.SCORED
     for i, want in enumerate(seq):
         start = i - i % lm.SCORED - gap
