@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from nearrate.functions import normalized_deviation
-from nearrate.operators.products import own_exchange
+from nearrate.operators.products import in_chunks, own_exchange
+
+#: About so many elements are in one array of a set or list.
+CHUNK_ROWS = 1024
 
 
 def global_mean(ratings: DataFrame) -> DataFrame:
@@ -95,24 +98,39 @@ def preprocessed(dev: DataFrame) -> DataFrame:
 
 
 def items_per_user(ratings: DataFrame) -> DataFrame:
-    """A10: facts of each user's distinct item set (n_items, min_item, max_item).
-
-    The set itself is the long-form rating table grouped by user; it is never
-    collected into one row, since a hot user would then sit whole in one task.
-    """
+    """Facts of each user's distinct item set (n_items, min_item, max_item)."""
     return ratings.groupBy("user_id").agg(
         F.countDistinct("item_id").alias("n_items"),
         F.min("item_id").alias("min_item"), F.max("item_id").alias("max_item"))
 
 
 def users_per_item(ratings: DataFrame) -> DataFrame:
-    """Facts of each item's distinct rater set (n_users, min_user, max_user)."""
+    """Facts of each item's distinct rater set (n_users, min_user, max_user)."""
     return ratings.groupBy("item_id").agg(
         F.countDistinct("user_id").alias("n_users"),
         F.min("user_id").alias("min_user"), F.max("user_id").alias("max_user"))
 
 
 def rating_lists(ratings: DataFrame, key: str = "user_id") -> DataFrame:
-    """The ratings of each key summarised as (n, rating_sum)."""
+    """The ratings of each key summarised as (n, rating_sum)."""
     return ratings.groupBy(key).agg(F.count(F.lit(1)).alias("n"),
                                     F.sum("rating").alias("rating_sum"))
+
+
+def _other(key: str) -> str:
+    return "item_id" if key == "user_id" else "user_id"
+
+
+def member_sets(ratings: DataFrame, key: str = "user_id", rows: int = CHUNK_ROWS) -> DataFrame:
+    """A10 (key user_id) and A11 (key item_id): (key, chunk, elements), the
+    distinct items of each user or users of each item, whole, in arrays of about
+    ``rows``: a hot key is never collected into one row."""
+    other = _other(key)
+    return in_chunks(ratings.select(key, other).distinct(), key, other, other, rows)
+
+
+def rating_chunks(ratings: DataFrame, key: str = "user_id", rows: int = CHUNK_ROWS) -> DataFrame:
+    """(key, chunk, elements), all ratings of each user or item as
+    (other id, rating), in arrays of about ``rows``; repeated ratings stay."""
+    other = _other(key)
+    return in_chunks(ratings.select(key, other, "rating"), key, other, F.struct(other, "rating"), rows)

@@ -32,6 +32,14 @@ def _block(key: str):
     return F.pmod(F.xxhash64(key), F.col("n_blocks")).cast("int")
 
 
+def in_chunks(df: DataFrame, key: str, member: str, element, rows: int) -> DataFrame:
+    """(key, chunk, elements): each key's elements, in arrays of about ``rows``
+    (dealt by a hash of ``member``), sorted within a chunk; none is left out and
+    a hot key is spread over as many rows as it needs."""
+    dealt = with_blocks(df, key, block_rows=rows).withColumn("chunk", _block(member))
+    return dealt.groupBy(key, "chunk").agg(F.sort_array(F.collect_list(element)).alias("elements"))
+
+
 def pair_sums(df: DataFrame, key: str, inner: str, value: str, carry: str | None = None,
               group: tuple[str, ...] = (), block_rows: int | None = None) -> DataFrame:
     """(group..., user_id, other_id, value): for each unordered pair of keys that

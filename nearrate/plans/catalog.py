@@ -195,6 +195,30 @@ def q_item_rating_lists(spark, d):
     return fx.rating_lists(data(spark, d, persist=False)[1], "item_id")
 
 
+@register("user_item_sets", S.with_ctes() + "SELECT DISTINCT user_id, item_id FROM train")
+def q_user_item_sets(spark, d):
+    sets = fx.member_sets(data(spark, d)[1], "user_id")
+    return sets.select("user_id", F.explode("elements").alias("item_id"))
+
+
+@register("item_user_sets", S.with_ctes() + "SELECT DISTINCT item_id, user_id FROM train")
+def q_item_user_sets(spark, d):
+    sets = fx.member_sets(data(spark, d)[1], "item_id")
+    return sets.select("item_id", F.explode("elements").alias("user_id"))
+
+
+@register("user_rating_chunks", S.with_ctes() + "SELECT user_id, item_id, rating FROM train")
+def q_user_rating_chunks(spark, d):
+    lists = fx.rating_chunks(data(spark, d)[1], "user_id")
+    return lists.select("user_id", F.explode("elements").alias("e")).select("user_id", "e.item_id", "e.rating")
+
+
+@register("item_rating_chunks", S.with_ctes() + "SELECT item_id, user_id, rating FROM train")
+def q_item_rating_chunks(spark, d):
+    lists = fx.rating_chunks(data(spark, d)[1], "item_id")
+    return lists.select("item_id", F.explode("elements").alias("e")).select("item_id", "e.user_id", "e.rating")
+
+
 # ---------------------------------------------------------------- baseline predictors
 _BASE_PRED_SQL = {
     "predict_global": "g.g",

@@ -185,3 +185,18 @@ def test_bucket_similarity_materialised(tiny):
     got = {(r.user_id, r.other_id): r.sim for r in bk.bucket_similarity(tr, b).collect()}
     assert got == A({(1, 2): 0.360704, (2, 1): 0.360704, (3, 6): 0.408248, (6, 3): 0.408248},
                     abs=1e-6)
+
+
+def test_sets_and_lists_are_whole_and_in_chunks(spark):
+    from nearrate.operators import features as fx
+    rows = [(1, i, float(i % 5)) for i in range(500)] + [(2, 7, 3.0), (2, 7, 3.0), (3, 9, 1.0)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    sets = fx.member_sets(df, "user_id", rows=20).collect()
+    got = sorted((r["user_id"], i) for r in sets for i in r["elements"])
+    assert got == sorted({(u, i) for u, i, _ in rows})
+    assert max(len(r["elements"]) for r in sets) < 60 and sum(r["user_id"] == 1 for r in sets) > 15
+    assert all(list(r["elements"]) == sorted(r["elements"]) for r in sets)
+    for key, k in (("user_id", 0), ("item_id", 1)):
+        lists = fx.rating_chunks(df, key, rows=20).collect()
+        assert sorted((r[key], *e) for r in lists for e in r["elements"]) == sorted((x[k], x[1 - k], x[2]) for x in rows)
+    assert fx.member_sets(df.limit(0)).count() == 0
