@@ -78,21 +78,30 @@ def recommend(train: DataFrame, targets: DataFrame, k: int = 300, n: int = 3,
 
     # Fillers: the n smallest item ids outside rated ∪ evidence, at the user mean.
     idx = dense_index(dev, "item_id")
-    seen = rated.unionByName(evidence.select("user_id", "item_id")).distinct()
-    m = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("m"))
-    pool = (means.join(m, "user_id", "left")
-            .select("user_id", "user_mean",
-                    F.explode(F.sequence(F.lit(1).cast("bigint"),
-                                         F.lit(n) + F.coalesce(F.col("m"), F.lit(0)))).alias("idx"))
-            .join(idx, "idx")
-            .join(seen, ["user_id", "item_id"], "left_anti"))
-    first = Window.partitionBy("user_id").orderBy("idx")
-    fillers = (pool.withColumn("r", F.row_number().over(first)).where(F.col("r") <= n)
-               .select("user_id", "item_id", F.col("user_mean").alias("pred")))
+    # Before the j-th free index stand as many seen ones as have fewer than j free
+    # indexes before them, so it is j plus their number.
+    seen = rated.unionByName(evidence.select("user_id", "item_id")).distinct().join(idx, "item_id")
+    free = F.col("idx") - F.row_number().over(Window.partitionBy("user_id").orderBy("idx"))
+    before = seen.withColumn("free", free).groupBy("user_id").agg(
+        *[F.count_if(F.col("free") < j).alias(f"before{j}") for j in range(1, n + 1)])
+    places = F.array(*[F.coalesce(F.col(f"before{j}"), F.lit(0)) + j for j in range(1, n + 1)])
+    fillers = (means.join(before, "user_id", "left").select("user_id", "user_mean", F.explode(places).alias("idx"))
+               .join(idx, "idx").select("user_id", "item_id", F.col("user_mean").alias("pred")))
 
+    return _best(scored.unionByName(fillers), n)
+
+
+def _best(predicted: DataFrame, n: int) -> DataFrame:
     best = Window.partitionBy("user_id").orderBy(F.desc(F.round("pred", SIM_DIGITS)), "item_id")
-    return (scored.unionByName(fillers)
-            .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n))
+    return predicted.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
+
+
+def recommend_with(train: DataFrame, targets: DataFrame, predictor, n: int = 3) -> DataFrame:
+    """R3 with any predictor (U2): ``predictor(train, pairs)`` adds ``pred`` to the
+    target users' unseen items; (user_id, item_id, pred, rank) of the n best. All
+    candidates are scored, so the caller bounds the number of targets."""
+    predicted = predictor(train, candidates(train, targets)).select("user_id", "item_id", "pred")
+    return _best(predicted, n)
 
 
 def with_names(recs: DataFrame, names: DataFrame) -> DataFrame:

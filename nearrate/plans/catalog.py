@@ -582,6 +582,32 @@ def q_recommend_top3(spark, d):
                        F.col("rank").cast("bigint").alias("rank"))
 
 
+_BEST_SQL = """,
+recs AS (SELECT user_id, item_id, pred, row_number() OVER (PARTITION BY user_id
+           ORDER BY round(pred, 12) DESC, item_id) AS rank FROM scored)
+SELECT user_id, item_id, round(pred, 6) AS pred, CAST(rank AS BIGINT) AS rank FROM recs WHERE rank <= """ + str(RECOMMEND_N)
+
+
+def _recs_out(recs):
+    return recs.select("user_id", "item_id", r6("pred").alias("pred"), F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("recommend_top3_baseline", "WITH " + _REC_BASE.strip() + "," + S.MEANS_CTE.strip("\n") + ",\nscored AS (" +
+          _base_sql(_BASE_PRED_SQL["predict_baseline"], "cand").replace("round(", "(").replace(", 6)", ")") + ")" + _BEST_SQL)
+def q_recommend_top3_baseline(spark, d):
+    return _recs_out(rc.recommend_with(*_rec_inputs(spark, d), pr.predict_baseline, RECOMMEND_N))
+
+
+@register("recommend_top3_approx", "WITH " + _REC_BASE.strip() + "," + ",".join(
+    c.strip("\n") for c in (S.MEANS_CTE, S.COSINE_CTE, S.buckets_cte(10, 2, 1337),
+                            _knn_sql("anb", RECOMMEND_K, "cand", rating=False).lstrip("\n,"))) +
+          ",\nscored AS (SELECT * FROM kpred)" + _BEST_SQL)
+def q_recommend_top3_approx(spark, d):
+    full, targets = _rec_inputs(spark, d)
+    near = bk.approximate_neighbours(full, RECOMMEND_K, **APPROX)
+    return _recs_out(rc.recommend(full, targets, RECOMMEND_K, RECOMMEND_N, neighbours=near))
+
+
 @register("recommend_with_names", _REC_SQL +
           f"SELECT r.user_id, r.item_id, round(r.pred, 6) AS pred, CAST(r.rank AS BIGINT) AS rank, "
           f"p.p_name AS name FROM recs r LEFT JOIN part p ON p.p_partkey = r.item_id "

@@ -36,3 +36,13 @@ def test_dense_index(spark):
     from nearrate.operators.indexing import dense_index
     got = sorted((r.item_id, r.idx) for r in dense_index(df, "item_id").collect())
     assert got == [(10, 1), (20, 2), (30, 3), (40, 4), (50, 5)]
+
+
+def test_recommend_with_any_predictor(spark, tiny):
+    from nearrate.operators import predictors as pr
+    tr, _, _ = tiny
+    targets = tr.where("user_id in (1, 5)")
+    scored = sorted(((r.user_id, -round(r.pred, 12), r.item_id) for r in pr.predict_baseline(tr, rc.candidates(tr, targets)).collect()))
+    want = {(u, i) for u in (1, 5) for _, i in [(p, i) for v, p, i in scored if v == u][:2]}
+    got = rc.recommend_with(tr, targets, pr.predict_baseline, n=2).collect()
+    assert {(r.user_id, r.item_id) for r in got} == want and {r["rank"] for r in got} == {1, 2}
