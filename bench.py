@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
+from nearrate.keep import releasing  # noqa: E402
 from nearrate.plans import QUERIES  # noqa: E402
 from nearrate.session import get_session  # noqa: E402
 
@@ -38,8 +39,8 @@ HEADLINE = [
 
 def run(spark, name: str, sf_dir: str) -> float:
     t0 = time.perf_counter()
-    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    spark.catalog.clearCache()
+    with releasing():
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0
 
 

@@ -1,7 +1,7 @@
 """nearrate: rating prediction and k-nearest-neighbour recommendation on Spark.
 
-Every operator takes and returns lazy DataFrames. Nothing is collected to the
-driver except a handful of size statistics used to plan block products.
+Every operator takes and returns DataFrames. Recommendation checkpoints its item
+index when its plan is built; all else runs when the result is read.
 """
 
 import sys as _sys

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from nearrate.functions import SIM_DIGITS, combine, round_sim
+from nearrate.keep import keep
 from nearrate.operators import features as fx
 from nearrate.operators.products import blocked_join
 from nearrate.operators.indexing import dense_index
@@ -32,11 +33,6 @@ def candidates(ratings: DataFrame, targets: DataFrame) -> DataFrame:
     return grid.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti").select("user_id", "item_id")
 
 
-def _persist(df: DataFrame) -> DataFrame:
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def target_neighbours(train: DataFrame, targets: DataFrame, k: int, lo: float = 1.0,
                       hi: float = 5.0, dev: DataFrame | None = None) -> DataFrame:
     """Exact k nearest neighbours of the target users only: the cosine row of a
@@ -60,17 +56,17 @@ def recommend(train: DataFrame, targets: DataFrame, k: int = 300, n: int = 3,
     kNN prediction for each target user; ties go to the smaller item id.
     ``neighbours`` (user_id, other_id, sim), such as approximate ones, replace
     the exact k nearest."""
-    targets = _persist(targets.select("user_id").distinct())
-    dev = _persist(fx.deviations(train, lo, hi))   # (user, item, rating, user_mean, dev)
+    targets = keep(targets.select("user_id").distinct())
+    dev = keep(fx.deviations(train, lo, hi))   # (user, item, rating, user_mean, dev)
     if neighbours is None:
         neighbours = target_neighbours(train, targets, k, lo, hi, dev)
-    nbrs = _persist(neighbours.join(targets, "user_id", "left_semi"))
+    nbrs = keep(neighbours.join(targets, "user_id", "left_semi"))
     theirs = dev.select(F.col("user_id").alias("other_id"), "item_id", "dev")
     ev = (blocked_join(nbrs.select("user_id", "other_id", "sim"), theirs, "other_id", "item_id").groupBy("user_id", "item_id")
           .agg(F.sum(F.col("sim") * F.col("dev")).alias("num"), F.sum(F.abs("sim")).alias("den")))
     mine = dev.join(targets, "user_id")
     rated = mine.select("user_id", "item_id")
-    evidence = _persist(ev.join(rated, ["user_id", "item_id"], "left_anti"))
+    evidence = keep(ev.join(rated, ["user_id", "item_id"], "left_anti"))
     means = mine.select("user_id", "user_mean").distinct()
     wdev = F.when(F.col("den") != 0, F.col("num") / F.col("den")).otherwise(F.lit(0.0))
     scored = (evidence.join(means, "user_id")

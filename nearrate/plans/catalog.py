@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from nearrate.keep import keep
 from nearrate.operators import buckets as bk
 from nearrate.operators import evaluate as ev
 from nearrate.operators import features as fx
@@ -49,7 +49,7 @@ def data(spark: SparkSession, sf_dir: str,
     Catalyst can push their filters and projections down into the scans."""
     ratings = ratings_from_orders(spark, sf_dir)
     if persist:
-        ratings = ratings.persist(StorageLevel.MEMORY_AND_DISK)
+        ratings = keep(ratings)
     train, test = split_train_test(ratings)
     return ratings, train, test
 

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from nearrate.functions import combine
+from nearrate.keep import keep
 from nearrate.operators import features as fx
 
 
@@ -21,7 +22,7 @@ from nearrate.operators import features as fx
 class BaselineModel:
     users: DataFrame      # (user_id, user_mean)
     items: DataFrame      # (item_id, item_dev)
-    global_mean: float
+    global_mean: float | None
     lo: float = 1.0
     hi: float = 5.0
 
@@ -32,12 +33,11 @@ def fit_baseline(train: DataFrame, lo: float = 1.0, hi: float = 5.0,
     tables are written there and read back, so every micro-batch reads files
     instead of recomputing the training aggregates; without it they are
     persisted (recomputed from lineage only if an executor is lost)."""
-    from pyspark import StorageLevel
     users = fx.user_means(train)
     items = fx.item_mean_deviation(train, lo, hi)
     if not table_dir:
-        users = users.persist(StorageLevel.MEMORY_AND_DISK)
-        items = items.persist(StorageLevel.MEMORY_AND_DISK)
+        users = keep(users)
+        items = keep(items)
     if table_dir:
         users.write.mode("overwrite").parquet(f"{table_dir}/user_means")
         items.write.mode("overwrite").parquet(f"{table_dir}/item_devs")
@@ -45,12 +45,12 @@ def fit_baseline(train: DataFrame, lo: float = 1.0, hi: float = 5.0,
         users = spark.read.parquet(f"{table_dir}/user_means")
         items = spark.read.parquet(f"{table_dir}/item_devs")
     g = fx.global_mean(train).first()["global_mean"]  # one scalar
-    return BaselineModel(users, items, float(g), lo, hi)
+    return BaselineModel(users, items, g, lo, hi)
 
 
 def score_stream(requests: DataFrame, model: BaselineModel) -> DataFrame:
     """P4 on a (streaming or batch) DataFrame of requests: adds ``pred``."""
-    g = F.lit(model.global_mean)
+    g = F.lit(model.global_mean).cast("double")  # null without training data
     p = (requests.join(model.users, "user_id", "left")
          .join(model.items, "item_id", "left"))
     known = F.coalesce(F.col("user_mean"), g)

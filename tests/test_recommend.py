@@ -46,3 +46,15 @@ def test_recommend_with_any_predictor(spark, tiny):
     want = {(u, i) for u in (1, 5) for _, i in [(p, i) for v, p, i in scored if v == u][:2]}
     got = rc.recommend_with(tr, targets, pr.predict_baseline, n=2).collect()
     assert {(r.user_id, r.item_id) for r in got} == want and {r["rank"] for r in got} == {1, 2}
+
+
+def test_kept_tables_are_released(spark, tiny):
+    from nearrate.keep import keep, releasing
+    tr, _, _ = tiny
+    outside = keep(tr.where("rating > 2"))
+    with releasing():
+        inside = keep(tr.where("rating > 3"))
+        assert rc.recommend(tr, tr.where("user_id = 1"), k=2, n=2).count() == 2
+        assert inside.storageLevel.useMemory
+    assert not inside.storageLevel.useMemory and outside.storageLevel.useMemory
+    outside.unpersist()

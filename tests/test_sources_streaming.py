@@ -94,3 +94,10 @@ def test_stream_scoring_without_table_dir(spark, tiny, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("SELECT count(*) FROM scored_nodir").first()[0] == te.count()
+
+
+def test_scoring_without_training_data(spark, tiny):
+    from nearrate.streaming.scoring import fit_baseline, score_stream
+    tr, te, _ = tiny
+    scored = score_stream(te, fit_baseline(tr.limit(0))).collect()
+    assert len(scored) == te.count() and all(r["pred"] is None for r in scored)
