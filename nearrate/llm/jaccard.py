@@ -31,7 +31,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from nearrate.llm.common import BROADCAST_ROWS, byte_list, own_exchange, packed, saved, unpacked
+from nearrate.llm.common import BROADCAST_ROWS, WORD, byte_list, own_exchange, packed, saved, unpacked
 from nearrate.llm.text import Runs, chunks, mix, word_hashes
 
 SHINGLE, PERCENT = 4, 85
@@ -264,6 +264,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """rid-free result: doc_id, key, n_shingles, component_id, n_links."""
+    return rooted(docs, k, percent).drop("root")
+
+
+def rooted(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The result of ``join`` with root: the node that names a component whatever
+    the ids in it, null without shingles. Equal keys have equal roots."""
     rows = saved(sketches(docs, k, percent), "sketches")
     full = rows.where("n > 0")
     classes = full.groupBy("one", "two").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.count(F.lit(1)).alias("mult"),
@@ -289,23 +295,26 @@ def join(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame
     slim = classes.select("one", "two", "doc_id", "mult", "node").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = slim.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of = slim.join(own_exchange(least, "root"), "root").join(links, "node", "left").select(
-        "one", "two", "component_id", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
+        "one", "two", "root", "component_id", (F.col("mult") - 1 + F.coalesce("links", F.lit(0))).alias("links"))
     side = rows.select("doc_id", "key", "n", "one", "two")
     a, b = side.alias("a"), of.alias("b")
     return a.join(b, (F.col("a.one") == F.col("b.one")) & (F.col("a.two") == F.col("b.two")) & (F.col("a.n") > 0), "left").select(
         "a.doc_id", "a.key", F.col("a.n").alias("n_shingles"), F.coalesce("b.component_id", "a.doc_id").alias("component_id"),
-        F.coalesce("b.links", F.lit(0)).cast("long").alias("n_links"))
+        F.coalesce("b.links", F.lit(0)).cast("long").alias("n_links"), "b.root")
 
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The document with the smallest id of each component, unchanged; of equal
-    ids in one component, the one with the smallest hash of its text."""
-    found = join(docs, k, percent).select("doc_id", "key", "component_id").distinct()
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", "component_id").agg(F.min("key").alias("key"))
-    rows = packed(docs, F.col("doc_id").alias("i_"), F.xxhash64("text").alias("k_"))
+    """One document of each component, unchanged: the one with the smallest id (a
+    null id comes last), then the smallest hash of its text, then of its row.
+    Documents without shingles all stay, and so do unlinked ones of equal ids."""
+    found = rooted(docs, k, percent).where("root IS NOT NULL")
+    stay = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("s"))
+    stay = stay.select(F.col("s.doc_id").alias("s_id"), F.col("s.key").alias("s_key"))
+    rows = packed(docs, F.col("doc_id").alias("i_"), F.xxhash64("text").alias("k_"), F.coalesce(F.col("text"), F.lit("")).rlike(WORD).alias("any_"))
     first = Window.partitionBy("i_", "k_").orderBy(F.xxhash64("row_"))
-    kept = rows.join(stay.select(F.col("doc_id").alias("s_id"), F.col("key").alias("s_key")), F.col("i_").eqNullSafe(F.col("s_id")) & (F.col("k_") == F.col("s_key")), "left_semi")
-    return unpacked(kept.withColumn("n_", F.row_number().over(first)).where("n_ = 1"))
+    kept = rows.where("any_").join(stay, F.col("i_").eqNullSafe(F.col("s_id")) & (F.col("k_") == F.col("s_key")), "left_semi")
+    kept = kept.withColumn("n_", F.row_number().over(first)).where("n_ = 1")
+    return unpacked(kept.select("row_").unionByName(rows.where("NOT any_").select("row_")))
 
 
 #: DuckDB: all pairs that share a shingle, and the components by recursion.

@@ -167,6 +167,17 @@ def test_jaccard_many_near_copies(docs_of):
         assert got[i]["n_links"] == links
 
 
+def test_keep_one_of_each_component_whatever_the_ids(docs_of):
+    rng = random.Random(11)
+    text = lambda: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(80))
+    a, b, c, d, e, f, g = (text() for _ in range(7))
+    near = " ".join(["new", *d.split()[1:]])
+    made = [(None, a), (None, b), (None, b), (9, c), (9, d), (4, near), (None, near), (9, e), (9, e), (None, None), (None, None), (7, ""), (7, ""),
+            (2, f), (None, f), (3, " ".join([*f.split()[:-1], "end"])), (2, g)]
+    got = [(r["doc_id"], r["text"]) for r in rows(jaccard.keep_one(docs_of(made)))]
+    assert Counter(got) == Counter([(None, a), (None, b), (9, c), (4, near), (9, e), (None, None), (None, None), (7, ""), (7, ""), (2, f), (2, g)])
+
+
 def test_token_files(docs_of, messy, tmp_path):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizer_path())
