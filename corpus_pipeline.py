@@ -18,8 +18,9 @@ def identify_language(spark, docs, sf_dir):
 
 
 def drop_near_copies(spark, docs, sf_dir):
-    """One document of each group of near copies."""
-    return jaccard.keep_one(docs)
+    """One document of each group of near copies: those that share at least 80%
+    of their shingles of five words (op8_jaccard has values of its own)."""
+    return jaccard.keep_one(docs, k=5, percent=80)
 
 
 def drop_contaminated(spark, docs, sf_dir):

@@ -319,3 +319,12 @@ def test_pipeline_stages(spark, docs_of, messy):
         docs = spark.createDataFrame(out.collect(), docs.schema)
     last = corpus_pipeline.STAGES[4][1](spark, docs, "/root/testdata/sf0.001")
     assert last.count() == docs.count()
+
+
+def test_pipeline_drops_near_copies_from_80_percent_of_five_word_shingles(spark, docs_of):
+    import corpus_pipeline
+    rng = random.Random(12)
+    long, other = ([f"w{rng.randint(0, 10**6)}" for _ in range(1004)] for _ in range(2))
+    made = [(1, " ".join(long)), (2, " ".join(long[:824])), (3, " ".join(other)), (4, " ".join(other[:784]))]  # of 1000 shingles 820 and 780
+    assert sorted(r["doc_id"] for r in jaccard.keep_one(docs_of(made)).collect()) == [1, 2, 3, 4]
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs_of(made), None).collect()) == [1, 3, 4]
