@@ -275,6 +275,18 @@ def test_lm(spark, docs_of, messy, monkeypatch):
         assert all(r["score"] < 0 for r in got)
 
 
+def test_lm_shares_count_every_training_word(docs_of, monkeypatch):
+    rng = random.Random(13)
+    table = [(i, " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(40))) for i in range(30)]
+    fit = lm.fit
+    monkeypatch.setattr(lm, "fit", lambda docs, rest, tokenizer: fit(docs, rest, tokenizer, steps=20))
+    monkeypatch.setattr(lm, "CLASSES", 21)  # so that most subwords are in REST
+    want = {r["doc_id"]: r["score"] for r in rows(lm.score(docs_of(table), tokenizer_path()))}
+    monkeypatch.setattr(lm, "FREQUENT", 9)
+    got = {r["doc_id"]: r["score"] for r in rows(lm.score(docs_of(table), tokenizer_path()))}
+    assert got == pytest.approx(want) and len(want) == 30
+
+
 def test_lm_rest_shares():
     rest = lm.RestShares({7: 0}, 6)  # ids 1 to 5 are in REST, 7 is a class
     for ids, times in (([1, 2, 7, 3], 9), ([2], 4), ([7, 1], 2)):
