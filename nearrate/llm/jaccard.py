@@ -10,8 +10,9 @@ b - ceil(1.7 b / 1.85) + 1 (prefix filters).
 Classes that share first tokens are partitioned into groups by their most
 frequent counted token, large groups further by class. The matrix stores, for each group, the
 union of its members' first tokens with the members' sizes. A query class's
-overlap with a group is bounded from its own first tokens found in that union;
-only groups where the bound can reach the threshold are opened: the members' and
+overlap with a group is bounded from its own first tokens found in that union. One
+found token lets the bound reach the threshold, so it reduces to the prefix and
+size filters; the groups that pass them are opened: the members' and
 the queries' texts meet in one task, members as an index, queries streaming
 past it, and the exact overlaps decide. A group's queries are dealt over several
 tasks when there are many. An opened group returns counts of links and a spanning
