@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nearrate.llm import decontam, jaccard, language, licenses, lm, mixing, repeats, tokens_out, topk, toxicity
+from nearrate.llm import decontam, fim, jaccard, language, licenses, lm, mixing, repeats, tokens_out, topk, toxicity
 from nearrate.llm.common import table
 
 
@@ -51,7 +51,11 @@ def op10_lm_scoring(spark, sf_dir):
     return lm.score(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_topk, op3_decontamination, op4_substrings, op5_language, op6_toxicity, op7_token_output, op8_jaccard, op9_licenses, op10_lm_scoring)}
+def op13_fill_in_middle(spark, sf_dir):
+    return fim.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_topk, op3_decontamination, op4_substrings, op5_language, op6_toxicity, op7_token_output, op8_jaccard, op9_licenses, op10_lm_scoring, op13_fill_in_middle)}
 ORACLES = {
     "op2_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
@@ -61,4 +65,5 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM (SELECT *, row_number() O
     "op3_decontamination": decontam.SQL,
     "op4_substrings": repeats.SQL,
     "op8_jaccard": jaccard.SQL,
+    "op13_fill_in_middle": fim.SQL,
 }
