@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from nearrate.llm import alignment, decontam, fim, jaccard, language, licenses, lm, mixing, repeats, tokens_out, topk, toxicity
+from nearrate.llm import alignment, decontam, fim, jaccard, language, licenses, lm, mixing, repeats, tokens_out, topk, toxicity, vptree
 from nearrate.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_lm_scoring(spark, sf_dir):
     return lm.score(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_nearest(spark, sf_dir):
+    return vptree.search(table(spark, sf_dir, "embeddings"))
+
+
 def op12_alignment(spark, sf_dir):
     return alignment.report(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
@@ -59,7 +63,7 @@ def op13_fill_in_middle(spark, sf_dir):
     return fim.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_topk, op3_decontamination, op4_substrings, op5_language, op6_toxicity, op7_token_output, op8_jaccard, op9_licenses, op10_lm_scoring, op12_alignment, op13_fill_in_middle)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_topk, op3_decontamination, op4_substrings, op5_language, op6_toxicity, op7_token_output, op8_jaccard, op9_licenses, op10_lm_scoring, op11_nearest, op12_alignment, op13_fill_in_middle)}
 ORACLES = {
     "op2_topk": """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
