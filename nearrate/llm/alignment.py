@@ -18,7 +18,7 @@ Texts are encoded by segments, cut at single spaces between other characters,
 where both tokenizers cut as well; that is read from the files (A: byte level
 with its own pattern, no normaliser; B: identity normaliser, added space, no
 piece with a space after another character), else a segment is a whole text. Segments
-met before are taken from a bounded table of the task.
+met before are taken from a bounded table of the task, which keeps the ones met most.
 
 Defined cases: null and empty texts, and those whose joined tokens differ from
 space + text, have no tokens, groups or links, and an empty digest; a null
@@ -32,7 +32,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from array import array
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -41,7 +41,7 @@ from nearrate.llm.common import byte_list, own_exchange, saved
 from nearrate.llm.text import chunks
 from nearrate.llm.tokens_out import byte_letters
 
-KNOWN_SEGMENTS, KNOWN_BYTES = 150_000, 16 << 20
+KNOWN_SEGMENTS, KNOWN_BYTES = 250_000, 16 << 20
 FREQUENT = 100_000
 HELD_PAIRS = 1 << 20
 #: A pair is A id << SHIFT | B id.
@@ -96,54 +96,91 @@ class Vocabularies:
                 and not any(re.search("[^▁]▁", p) for p in ordinary))
 
 
-def align(a: list[int], b: list[int], sizes_a, sizes_b) -> list[tuple[int, int, int, int]]:
-    """Ranges (a from, a to, b from, b to) of the groups of one text."""
-    out, i, j, at, i0, j0, end_a, end_b = [], 0, 0, 0, 0, 0, 0, 0
-    while i < len(a) or j < len(b):
-        if end_a <= end_b and i < len(a):
-            end_a += sizes_a[a[i]]
-            i += 1
-        else:
-            end_b += sizes_b[b[j]]
-            j += 1
-        if end_a == end_b and end_a > at:
-            out.append((i0, i, j0, j))
-            i0, j0, at = i, j, end_a
-    return out
-
-
 class Aligner:
     """Segments of text as numbers: counts, group text and links of each."""
 
     def __init__(self, path_a: str, path_b: str):
         self.v = Vocabularies(path_a, path_b)
-        self.sizes_a, self.sizes_b = [len(x) for x in self.v.bytes_a], [len(x) for x in self.v.bytes_b]
-        self.map = self.v.same.tolist()
-        self.plain: dict[tuple[int, int], str] = {}
-        self.forget()
-
-    def forget(self) -> None:
+        self.sizes_a, self.sizes_b = (np.array([len(x) for x in v], np.int64) for v in (self.v.bytes_a, self.v.bytes_b))
+        # how an id is written: inside its part of a group, at its end, at the segment's end
+        self.text_a, self.text_b = (np.array([f"{i}{c}" for i in range(n) for c in ends], object)
+                                    for n, ends in ((self.v.size_a, ",|"), (self.v.size_b, ",;\n")))
         self.known: dict[str, int] = {}
         self.groups: list[str | None] = []  # None: the bytes differ
-        self.n_a, self.n_b, self.n_groups = array("q"), array("q"), array("q")
-        self.first, self.links, self.size = array("q", [0]), array("q"), 0
+        self.facts = np.zeros((3, 0), np.int64)  # numbers of A tokens, B tokens and groups
+        self.first, self.links = np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.used, self.size = np.zeros(0, np.int64), 0
+
+    def forget(self) -> None:
+        """Keep the segments met most, half of the table at most."""
+        least = max(2, int(np.median(self.used)) + 1)
+        stay = np.flatnonzero(self.used >= least)
+        names = list(self.known)
+        names, self.groups = [names[i] for i in stay], [self.groups[i] for i in stay]
+        if sum(map(len, names)) * 2 > KNOWN_BYTES:
+            stay, names, self.groups = stay[:0], [], []
+        self.known = {x: i for i, x in enumerate(names)}
+        count = np.diff(self.first)[stay]
+        at = np.repeat(self.first[stay] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+        self.links, self.first = self.links[at], np.concatenate(([0], np.cumsum(count)))
+        self.facts, self.used = self.facts[:, stay], np.ones(len(stay), np.int64)
+        self.size = sum(map(len, names))
 
     def learn(self, new: list[str]) -> None:
         spaced = [" " + s for s in new]
-        codes_a = [e.ids for e in self.v.a.encode_batch(spaced, add_special_tokens=False)]
+        codes_a = [e.ids for e in self.v.a.encode_batch_fast(spaced, add_special_tokens=False)]
         codes_b = self.v.b.encode(new, num_threads=1)
-        for s, a, b in zip(new, codes_a, codes_b, strict=True):
-            self.known[s] = len(self.groups)
-            self.size += len(s)
-            want = (" " + s).encode()
-            ok = b"".join([self.v.bytes_a[x] for x in a]) == want == b"".join([self.v.bytes_b[x] for x in b])
-            ranges = align(a, b, self.sizes_a, self.sizes_b) if ok else []
-            self.n_a.append(len(a))
-            self.n_b.append(len(b))
-            self.n_groups.append(len(ranges))
-            self.links.extend([a[j - 1] << SHIFT | b[l - 1] if j - i > 1 or l - k > 1 or self.map[a[i]] != b[k] else -1 - a[i] for i, j, k, l in ranges])
-            self.first.append(len(self.links))
-            self.groups.append(";".join([f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:l]))}" for i, j, k, l in ranges]) if ok else None)
+        good = range(len(new))
+        if not self.equal(spaced, codes_a, codes_b):
+            good = [i for i in good if self.equal(spaced[i : i + 1], codes_a[i : i + 1], codes_b[i : i + 1])]
+            kept = set(good)
+            codes_a, codes_b = ([x if i in kept else [] for i, x in enumerate(c)] for c in (codes_a, codes_b))
+        facts, groups, links, count = self.align(codes_a, codes_b)
+        for i, s in enumerate(new):
+            self.known[s] = len(self.known)
+        self.groups += groups
+        self.size += sum(map(len, new))
+        self.facts = np.concatenate((self.facts, facts), 1)
+        self.links = np.concatenate((self.links, links))
+        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(count)))
+        self.used = np.concatenate((self.used, np.zeros(len(new), np.int64)))
+
+    def equal(self, spaced: list[str], codes_a: list, codes_b: list) -> bool:
+        """Whether the tokens of each segment join to space + segment."""
+        want, a, b = [s.encode() for s in spaced], self.v.bytes_a, self.v.bytes_b
+        joined_a, joined_b = (b"".join([v[i] for c in codes for i in c]) for v, codes in ((a, codes_a), (b, codes_b)))
+        if not joined_a == joined_b == b"".join(want):
+            return False
+        sizes = np.array([len(x) for x in want])
+        return all((np.bincount(np.repeat(np.arange(len(codes)), [len(c) for c in codes]), v[np.fromiter((i for c in codes for i in c), np.int64)], len(codes)) == sizes).all()
+                   for v, codes in ((self.sizes_a, codes_a), (self.sizes_b, codes_b)))
+
+    def align(self, codes_a: list, codes_b: list):
+        """All segments at once: their numbers of tokens and groups, the text of
+        the groups (None without tokens), the links and how many each has."""
+        n_a, n_b = (np.array([len(c) for c in codes], np.int64) for codes in (codes_a, codes_b))
+        a, b = (np.fromiter((i for c in codes for i in c), np.int64) for codes in (codes_a, codes_b))
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        last_a, last_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        size_a, size_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        owner = np.repeat(np.arange(len(n_a)), n_a)[last_a]
+        x, y = a[last_a], b[last_b]
+        exact = (size_a == 1) & (size_b == 1) & (self.v.same[x] == y)
+        links = np.where(exact, -1 - x, x << SHIFT | y)
+        # the groups as text: the A ids of a group, then its B ids
+        group_a, group_b = (np.repeat(np.arange(len(ends)), n) for n in (size_a, size_b))
+        before_a, before_b = last_a + 1, last_b + 1 - size_b
+        out = np.empty(len(a) + len(b), object)
+        end_a, end_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        end_a[last_a] = end_b[last_b] = 1
+        end_b[np.cumsum(n_b)[n_b > 0] - 1] = 2
+        out[np.arange(len(a)) + before_b[group_a]] = self.text_a[2 * a + end_a]
+        out[np.arange(len(b)) + before_a[group_b]] = self.text_b[3 * b + end_b]
+        texts = iter("".join(out.tolist()).split("\n"))
+        groups = [next(texts) if n else None for n in n_a.tolist()]
+        n_groups = np.bincount(owner, minlength=len(n_a)).astype(np.int64)
+        return np.stack((n_a, n_b, n_groups)), groups, links, n_groups
 
     def segments(self, text: bytes | None) -> list[str] | None:
         """None: without tokens."""
@@ -170,13 +207,13 @@ class Aligner:
                 places[x], parts = [], []
             digests.append(hashlib.sha256(";".join(parts).encode()).hexdigest() if parts else "")
         n = np.array([len(p) for p in places], np.int64)
-        flat = np.fromiter((i for p in places for i in p), np.int64, int(n.sum()))
+        flat = np.fromiter(chain.from_iterable(places), np.int64, int(n.sum()))
+        self.used += np.bincount(flat, minlength=len(self.used))
         text = np.repeat(np.arange(len(texts)), n)
-        n_a, n_b, n_groups = (np.bincount(text, np.array(x, np.int64)[flat], len(texts)).astype(np.int64) for x in (self.n_a, self.n_b, self.n_groups))
-        first, links = np.array(self.first, np.int64), np.array(self.links, np.int64)
-        count = first[flat + 1] - first[flat]
-        at = np.repeat(first[flat] - np.concatenate(([0], np.cumsum(count)[:-1])) if len(flat) else flat, count) + np.arange(int(count.sum()))
-        return n_a, n_b, n_groups, digests, links[at], np.repeat(text, count)
+        n_a, n_b, n_groups = (np.bincount(text, x[flat], len(texts)).astype(np.int64) for x in self.facts)
+        count = np.diff(self.first)[flat]
+        at = np.repeat(self.first[flat] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+        return n_a, n_b, n_groups, digests, self.links[at], np.repeat(text, count)
 
 
 def lists(values: np.ndarray, owner: np.ndarray, n: int, kind, counts: np.ndarray):
