@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from nearrate.functions import combine
+from nearrate.keep import keep
 from nearrate.operators import features as fx
 from nearrate.operators.products import blocked_join
 
@@ -97,6 +98,25 @@ def similarity_function(similarity):
     return known[similarity]
 
 
+def _asked_weights(train: DataFrame, dev: DataFrame, similarity, lo: float, hi: float):
+    """Weights of requested (user, rater) rows: a named similarity is computed for
+    those pairs alone, a function's table is joined."""
+    from nearrate.operators import similarity as sm
+    if similarity == "unit":
+        return sm.unit_similarity
+    if similarity == "cosine":
+        rui = keep(fx.preprocessed(dev))
+    elif similarity != "jaccard":
+        return similarity_function(similarity)(train, lo, hi)
+
+    def weights(met: DataFrame) -> DataFrame:
+        met = keep(met)
+        pairs = met.select("user_id", "other_id")
+        return sm.attach(met, sm.asked_sums(rui, pairs) if similarity == "cosine" else sm.asked_jaccards(train, pairs))
+
+    return weights
+
+
 def predict_personalized(train: DataFrame, pairs: DataFrame, similarity="cosine",
                          sim: DataFrame | None = None, lo: float = 1.0,
                          hi: float = 5.0) -> DataFrame:
@@ -107,13 +127,9 @@ def predict_personalized(train: DataFrame, pairs: DataFrame, similarity="cosine"
     ``similarity`` is "unit", "cosine", "jaccard" or a function from ratings to
     (user_id, other_id, sim); ``sim`` optionally supplies that table, without
     self pairs."""
-    from nearrate.operators import similarity as sm
     g = fx.global_mean_col(train)
-    dev = fx.deviations(train, lo, hi)
-    if sim is not None:
-        weights = sim
-    else:
-        weights = sm.unit_similarity if similarity == "unit" else similarity_function(similarity)(train, lo, hi)
+    dev = keep(fx.deviations(train, lo, hi))
+    weights = sim if sim is not None else _asked_weights(train, dev, similarity, lo, hi)
     wd = weighted_deviation(weights, dev, pairs)
     own = dev.select("user_id", "item_id", F.col("dev").alias("self_dev"))
     p = (pairs.join(fx.own_exchange(fx.user_means(train), "user_id"), "user_id", "left")
@@ -130,8 +146,12 @@ def knn_neighbours(train: DataFrame, k: int, lo: float = 1.0, hi: float = 5.0,
                    similarity="cosine") -> DataFrame:
     """K4: exact k nearest neighbours by a similarity (adjusted cosine)."""
     from nearrate.operators import neighbours as nb
-    n_users = train.agg(F.countDistinct("user_id")).scalar()
-    return nb.top_k(similarity_function(similarity)(train, lo, hi), k, n_users)
+    if similarity == "cosine":
+        return nb.cosine_neighbours(train, k, lo, hi)
+    sim = similarity_function(similarity)(train, lo, hi)
+    if similarity == "jaccard":
+        return nb.top_k_positive(sim, k)  # never negative
+    return nb.top_k(sim, k, train.agg(F.countDistinct("user_id")).scalar())
 
 
 def predict_knn(train: DataFrame, pairs: DataFrame, k: int,

@@ -41,21 +41,30 @@ def in_chunks(df: DataFrame, key: str, member: str, element, rows: int) -> DataF
 
 
 def pair_sums(df: DataFrame, key: str, inner: str, value: str, carry: str | None = None,
-              group: tuple[str, ...] = (), block_rows: int | None = None) -> DataFrame:
+              group: tuple[str, ...] = (), block_rows: int | None = None, apart: str | None = None) -> DataFrame:
     """(group..., user_id, other_id, value): for each unordered pair of keys that
     share an ``inner`` (within a group), the sum of the products of their values,
     user_id < other_id. ``carry`` is a column that depends on the key alone; it
-    comes back as ``<carry>_u`` and ``<carry>_v``. (key, inner) must be unique."""
+    comes back as ``<carry>_u`` and ``<carry>_v``. (key, inner) must be unique.
+    Two rows for which the boolean column ``apart`` holds never meet."""
     extra = [carry] if carry else []
-    rows = with_blocks(df.select(*group, inner, key, value, *extra), inner, group, block_rows).withColumn("own", _block(key))
+    marks = [apart] if apart else []
+    rows = with_blocks(df.select(*group, inner, key, value, *extra, *marks), inner, group, block_rows).withColumn("own", _block(key))
 
-    def side(mark: str, rb, cb):
-        return rows.select(*group, inner, rb.alias("rb"), cb.alias("cb"), *[F.col(c).alias(f"{c}_{mark}") for c in (key, value, *extra)])
+    def side(mark: str, rb, cb, meets):
+        kept = rows.select("*", F.explode(meets).alias("meet")) if apart else rows
+        return kept.select(*group, inner, *(["meet"] if apart else []), rb.alias("rb"), cb.alias("cb"),
+                           *[F.col(c).alias(f"{c}_{mark}") for c in (key, value, *extra)])
 
-    left = side("a", F.col("own"), F.explode(F.sequence("own", F.col("n_blocks") - 1)))
-    right = side("b", F.explode(F.sequence(F.lit(0), "own")), F.col("own"))
+    def meets(with_other: str):
+        # plain rows meet plain rows, and rows set apart on either side
+        either = F.array(F.lit("plain"), F.lit("left" if with_other == "right" else "right"))
+        return F.when(F.col(apart), F.array(F.lit(with_other))).otherwise(either) if apart else None
+
+    left = side("a", F.col("own"), F.explode(F.sequence("own", F.col("n_blocks") - 1)), meets("left"))
+    right = side("b", F.explode(F.sequence(F.lit(0), "own")), F.col("own"), meets("right"))
     a, b = F.col(f"{key}_a"), F.col(f"{key}_b")
-    met = left.join(right, [*group, inner, "rb", "cb"]).where((F.col("rb") < F.col("cb")) | (a < b))
+    met = left.join(right, [*group, inner, *(["meet"] if apart else []), "rb", "cb"]).where((F.col("rb") < F.col("cb")) | (a < b))
     sums = [F.sum(F.col(f"{value}_a") * F.col(f"{value}_b")).alias(value)]
     for c in extra:
         sums += [F.first(F.when(a < b, F.col(f"{c}_a")).otherwise(F.col(f"{c}_b"))).alias(f"{c}_u"),
@@ -63,12 +72,29 @@ def pair_sums(df: DataFrame, key: str, inner: str, value: str, carry: str | None
     return met.groupBy(*group, F.least(a, b).alias("user_id"), F.greatest(a, b).alias("other_id")).agg(*sums)
 
 
+def asked_pair_sums(df: DataFrame, pairs: DataFrame, key: str, inner: str, value: str, carry: str | None = None) -> DataFrame:
+    """``pair_sums`` of the requested pairs alone. ``pairs`` (user_id, other_id)
+    have user_id < other_id and may repeat; only rows of their keys meet, and the
+    sums of other pairs go in the aggregate that adds the requests."""
+    extra = [carry] if carry else []
+    asked_keys = pairs.select(F.explode(F.array("user_id", "other_id")).alias("user_id")).distinct()
+    rows = df.select(inner, F.col(key).alias("user_id"), F.col(value).alias("x"), *extra).join(asked_keys, "user_id", "left_semi")
+    theirs = rows.select(inner, F.col("user_id").alias("other_id"), F.col("x").alias("y"), *[F.col(c).alias(f"{c}_v") for c in extra])
+    met = blocked_join(rows, theirs, inner, "other_id").where(F.col("user_id") < F.col("other_id"))
+    columns = [(F.col("x") * F.col("y")).alias(value), *[c for x in extra for c in (F.col(x).alias(f"{x}_u"), F.col(f"{x}_v"))]]
+    met = met.select("user_id", "other_id", *columns, F.lit(0).alias("asked"))
+    none = [F.lit(None).cast(met.schema[f"{c}_{m}"].dataType).alias(f"{c}_{m}") for c in extra for m in "uv"]
+    asked = pairs.select("user_id", "other_id", F.lit(None).cast("double").alias(value), *none, F.lit(1).alias("asked"))
+    carried = [F.max(f"{c}_{m}").alias(f"{c}_{m}") for c in extra for m in "uv"]
+    return (met.unionByName(asked).groupBy("user_id", "other_id").agg(F.sum(value).alias(value), *carried, F.max("asked").alias("asked"))
+            .where((F.col("asked") == 1) & F.col(value).isNotNull()).drop("asked"))
+
+
 def blocked_join(left: DataFrame, right: DataFrame, inner: str, spread: str, block_rows: int | None = None) -> DataFrame:
     """Inner join on ``inner``. The rows of a key that is hot on the right are
     dealt over blocks by the column ``spread``, and its left rows go to each."""
-    rows = with_blocks(right, inner, (), block_rows)
-    sizes = rows.groupBy(inner).agg(F.max("n_blocks").alias("n_blocks"))
-    dealt = rows.withColumn("blk", _block(spread)).drop("n_blocks")
-    every = (left.join(own_exchange(sizes, inner), inner)
+    sizes = own_exchange(right.groupBy(inner).agg(F.ceil(F.count(F.lit(1)) / (block_rows or BLOCK_ROWS)).cast("int").alias("n_blocks")), inner)
+    dealt = right.join(sizes, inner).withColumn("blk", _block(spread)).drop("n_blocks")
+    every = (left.join(sizes, inner)
              .withColumn("blk", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).drop("n_blocks"))
     return every.join(dealt, [inner, "blk"]).drop("blk")

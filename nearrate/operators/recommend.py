@@ -11,12 +11,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from nearrate.functions import SIM_DIGITS, combine, round_sim
+from nearrate.functions import SIM_DIGITS, combine
 from nearrate.keep import keep
 from nearrate.operators import features as fx
 from nearrate.operators.products import blocked_join
 from nearrate.operators.indexing import dense_index
-from nearrate.operators.neighbours import top_k
+from nearrate.operators.neighbours import target_neighbours
+
+#: Items of one block of the targets' grid.
+BLOCK_ITEMS = 4096
 
 
 def add_ratings(ratings: DataFrame, new: DataFrame) -> DataFrame:
@@ -24,30 +27,18 @@ def add_ratings(ratings: DataFrame, new: DataFrame) -> DataFrame:
     return ratings.unionByName(new.select("user_id", "item_id", "rating"))
 
 
-def candidates(ratings: DataFrame, targets: DataFrame) -> DataFrame:
-    """R2: (user_id, item_id) of every distinct item a target user has not
-    rated. ``targets`` (user_id) meet every item; that is what is asked for, so
-    the caller bounds the number of targets."""
-    items = ratings.select("item_id").distinct().withColumn("all", F.lit(0))
-    grid = targets.select("user_id").distinct().withColumn("all", F.lit(0)).join(items, "all").drop("all")
-    return grid.join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti").select("user_id", "item_id")
-
-
-def target_neighbours(train: DataFrame, targets: DataFrame, k: int, lo: float = 1.0,
-                      hi: float = 5.0, dev: DataFrame | None = None) -> DataFrame:
-    """Exact k nearest neighbours of the target users only: the cosine row of a
-    target is the block product of its preprocessed ratings with everyone's."""
-    dev = dev if dev is not None else fx.deviations(train, lo, hi)
-    rui = fx.preprocessed(dev)
-    mine = rui.join(targets.select("user_id").distinct(), "user_id")
-    others = rui.select("item_id", F.col("user_id").alias("other_id"), F.col("rui").alias("rui_o"))
-    dots = (blocked_join(mine, others, "item_id", "other_id").groupBy("user_id", "other_id")
-            .agg(F.sum(F.col("rui") * F.col("rui_o")).alias("dot")))
-    sim = (dots.where(F.col("user_id") != F.col("other_id"))
-           .select("user_id", "other_id", round_sim("dot").alias("sim"))
-           .where(F.col("sim") != 0))
-    n_users = train.agg(F.countDistinct("user_id")).scalar()
-    return top_k(sim, k, n_users)
+def candidates(ratings: DataFrame, targets: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """R2: (user_id, item_id) of every distinct item a target user has not rated.
+
+    That is targets times items by definition, so the caller bounds the targets.
+    The items are dealt over blocks of about ``block_items`` by hash, each target
+    goes to every block, and they meet on the block's number."""
+    items = keep(ratings.select("item_id").distinct())
+    blocks = items.agg(F.greatest(F.ceil(F.count(F.lit(1)) / block_items), F.lit(1)).cast("int")).scalar()
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id"), blocks).cast("int"))
+    every = targets.select("user_id").distinct().withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return (every.join(dealt, "block").select("user_id", "item_id")
+            .join(ratings.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti"))
 
 
 def recommend(train: DataFrame, targets: DataFrame, k: int = 300, n: int = 3,
@@ -59,7 +50,7 @@ def recommend(train: DataFrame, targets: DataFrame, k: int = 300, n: int = 3,
     targets = keep(targets.select("user_id").distinct())
     dev = keep(fx.deviations(train, lo, hi))   # (user, item, rating, user_mean, dev)
     if neighbours is None:
-        neighbours = target_neighbours(train, targets, k, lo, hi, dev)
+        neighbours = target_neighbours(train, targets, k, lo, hi, keep(fx.preprocessed(dev)))
     nbrs = keep(neighbours.join(targets, "user_id", "left_semi"))
     theirs = dev.select(F.col("user_id").alias("other_id"), "item_id", "dev")
     ev = (blocked_join(nbrs.select("user_id", "other_id", "sim"), theirs, "other_id", "item_id").groupBy("user_id", "item_id")

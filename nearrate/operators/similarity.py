@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from nearrate.functions import round_sim
+from nearrate.keep import keep
 from nearrate.operators import features as fx
-from nearrate.operators.products import blocked_join, pair_sums
+from nearrate.operators.products import asked_pair_sums, pair_sums
 
 
 def mirror(half: DataFrame) -> DataFrame:
@@ -24,13 +25,17 @@ def mirror(half: DataFrame) -> DataFrame:
                                            F.col("p.v").alias("other_id"), "sim")
 
 
+def unit_vectors(train: DataFrame, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
+    """V2 kept: products read these rows several times."""
+    return keep(fx.preprocessed(fx.deviations(train, lo, hi)))
+
+
 def cosine_half(train: DataFrame, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
     """V3/V4/V5: adjusted cosine of each unordered co-rating pair.
 
     Deviations are divided by the user's norm first (V2), so the cosine is a
     dot product over shared items."""
-    rui = fx.preprocessed(fx.deviations(train, lo, hi))
-    dots = pair_sums(rui, "user_id", "item_id", "rui")
+    dots = pair_sums(unit_vectors(train, lo, hi), "user_id", "item_id", "rui")
     return (dots.select("user_id", "other_id", round_sim("rui").alias("sim"))
             .where(F.col("sim") != 0))
 
@@ -42,14 +47,50 @@ def cosine_similarity(train: DataFrame, lo: float = 1.0, hi: float = 5.0) -> Dat
 def jaccard_half(train: DataFrame) -> DataFrame:
     """V6: |A ∩ B| / |A ∪ B| of rated-item sets, for pairs with a shared item.
     The set sizes travel with the rows, so nothing is joined after the product."""
+    inter = pair_sums(keep(_set_rows(train)), "user_id", "item_id", "one", carry="n")
+    return _jaccard_of(inter)
+
+
+def _set_rows(train: DataFrame) -> DataFrame:
     counts = train.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    ones = (train.join(fx.own_exchange(counts, "user_id"), "user_id")
+    return (train.join(fx.own_exchange(counts, "user_id"), "user_id")
             .select("user_id", "item_id", F.lit(1.0).alias("one"), "n"))
-    inter = pair_sums(ones, "user_id", "item_id", "one", carry="n")
+
+
+def _jaccard_of(inter: DataFrame) -> DataFrame:
     sim = F.col("one") / (F.col("n_u") + F.col("n_v") - F.col("one"))
     return inter.select("user_id", "other_id", round_sim(sim).alias("sim")).where(F.col("sim") != 0)
 
 
+def unordered(pairs: DataFrame) -> DataFrame:
+    """The pairs of two users, the smaller id first."""
+    two = pairs.where(F.col("user_id") != F.col("other_id"))
+    return two.select(F.least("user_id", "other_id").alias("user_id"), F.greatest("user_id", "other_id").alias("other_id"))
+
+
+def asked_cosines(train: DataFrame, pairs: DataFrame, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
+    """The non-zero adjusted cosines of requested pairs alone, smaller id first."""
+    return asked_sums(unit_vectors(train, lo, hi), pairs)
+
+
+def asked_sums(rui: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``asked_cosines`` from unit vectors."""
+    dots = asked_pair_sums(rui, unordered(pairs), "user_id", "item_id", "rui")
+    return dots.select("user_id", "other_id", round_sim("rui").alias("sim")).where(F.col("sim") != 0)
+
+
+def asked_jaccards(train: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The Jaccard similarities of requested pairs alone, smaller id first."""
+    return _jaccard_of(asked_pair_sums(keep(_set_rows(train)), unordered(pairs), "user_id", "item_id", "one", carry="n"))
+
+
+def attach(pairs: DataFrame, half: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows of ``pairs`` with ``sim`` from a table of pairs, smaller id first."""
+    known = half.select(F.col("user_id").alias("_lo"), F.col("other_id").alias("_hi"), "sim")
+    keyed = pairs.withColumn("_lo", F.least("user_id", "other_id")).withColumn("_hi", F.greatest("user_id", "other_id"))
+    return keyed.join(known, ["_lo", "_hi"], how).drop("_lo", "_hi")
+
+
 def jaccard_similarity(train: DataFrame, lo: float = 1.0, hi: float = 5.0) -> DataFrame:
     return mirror(jaccard_half(train))
 
@@ -73,11 +114,6 @@ def cosine_lookup(train: DataFrame, pairs: DataFrame, lo: float = 1.0,
     """V8 without the all-pairs table: the cosine of each requested
     (user_id, other_id) pair, from the items of the two users alone (0 when
     they share no item or a norm is 0, 1 for a self pair)."""
-    rui = fx.preprocessed(fx.deviations(train, lo, hi))
-    others = pairs.where(F.col("user_id") != F.col("other_id")).select("user_id", "other_id").distinct()
-    mine = blocked_join(others, rui, "user_id", "item_id")
-    theirs = rui.select(F.col("user_id").alias("other_id"), "item_id", F.col("rui").alias("rui_o"))
-    dots = (mine.join(theirs, ["other_id", "item_id"]).groupBy("user_id", "other_id")
-            .agg(F.sum(F.col("rui") * F.col("rui_o")).alias("dot")))
-    sim = dots.select("user_id", "other_id", round_sim("dot").alias("sim"))
-    return lookup(sim.where(F.col("sim") != 0), pairs)
+    found = attach(pairs, asked_cosines(train, pairs, lo, hi), "left")
+    return found.withColumn("sim", F.when(F.col("user_id") == F.col("other_id"), F.lit(1.0))
+                            .otherwise(F.coalesce(F.col("sim"), F.lit(0.0))))

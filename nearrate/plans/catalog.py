@@ -391,7 +391,7 @@ def q_knn_neighbours_jaccard(spark, d):
           "LEFT JOIN nb ON nb.user_id = r.user_id AND nb.other_id = r.other_id AND nb.rank <= 10")
 def q_knn_similarity_lookup(spark, d):
     train = data(spark, d)[1]
-    return _sim_out(nbm.knn_similarity(pr.knn_neighbours(train, 10), _requested(train)))
+    return _sim_out(nbm.knn_similarity_of(train, _requested(train), 10))
 
 
 def _knn_sql(nb_table: str, k: int, pairs: str = "test", rating: bool = True) -> str:
@@ -456,6 +456,19 @@ def q_approx_neighbours(spark, d):
     return _nb_out(bk.approximate_neighbours(data(spark, d)[1], 10, **APPROX))
 
 
+@register("bucket_neighbours", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.buckets_cte(10, 2, 1337)) + """,
+inb AS (SELECT a.bucket, c.user_id, c.other_id, c.sim,
+               row_number() OVER (PARTITION BY a.bucket, c.user_id ORDER BY c.sim DESC, c.other_id) AS rank
+        FROM cos c JOIN ub a ON a.user_id = c.user_id JOIN ub b ON b.user_id = c.other_id AND b.bucket = a.bucket
+        WHERE c.sim > 0)
+SELECT bucket, user_id, other_id, round(sim, 6) AS sim, CAST(rank AS BIGINT) AS rank FROM inb WHERE rank <= 10""")
+def q_bucket_neighbours(spark, d):
+    train = data(spark, d)[1]
+    buckets = bk.user_buckets(train, APPROX["partitions"], APPROX["replication"], APPROX["seed"])
+    lists = bk.bucket_neighbours(train, buckets, 10)
+    return lists.select(F.col("bucket").cast("bigint").alias("bucket"), "user_id", "other_id", r6("sim").alias("sim"), F.col("rank").cast("bigint").alias("rank"))
+
+
 @register("mae_approx_knn", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.buckets_cte(10, 2, 1337)) + """,
 ks AS (SELECT CAST(k AS BIGINT) AS k FROM (VALUES (10), (300)) t(k)),
 sw AS (SELECT p.user_id, p.item_id, ks.k, sum(nb.sim * d.dev) AS num, sum(abs(nb.sim)) AS den

@@ -139,3 +139,97 @@ def test_approximate_neighbours_brute(spark, seed, k, p, r):
     got = {(x.user_id, x.other_id): (round(x.sim, 9), x.rank)
            for x in bk.approximate_neighbours(train, k, p, r, 1337).collect()}
     assert got == want
+
+
+def popular_rows(seed, users=40, items=30):
+    """Ratings in which a few items have most raters."""
+    rng = np.random.default_rng(seed)
+    weight = 1 / np.arange(1, items + 1)
+    rows = {}
+    for u in range(1, users + 1):
+        for i in rng.choice(items, size=int(rng.integers(3, 12)), replace=False, p=weight / weight.sum()):
+            rows[(u, int(i) + 1)] = float(rng.integers(1, 6))
+    return [(u, i, r) for (u, i), r in rows.items()]
+
+
+@pytest.mark.parametrize("seed,k,frequent,probe", [(1, 2, 6, 6), (2, 1, 3, 20), (3, 3, 8, 8), (4, 1, 12, 40), (5, 30, 6, 6)])
+def test_cut_frequent_items_lose_no_neighbour(spark, seed, k, frequent, probe):
+    from nearrate.operators import neighbours as nb
+    rows = popular_rows(seed)
+    train = spark.createDataFrame(rows, RATING_SCHEMA)
+    got = {(r.user_id, r.other_id): (round(r.sim, 9), r.rank)
+           for r in nb.cosine_neighbours(train, k, frequent=frequent, probe=probe).collect()}
+    assert got == brute_neighbours(rows, k)
+
+
+def test_frequent_items_are_cut(spark):
+    """Near copies on rare items give high thresholds: the popular item, rated by
+    all, is then cut for them, and its pairs are not made."""
+    from pyspark.sql import functions as F
+
+    from nearrate.operators import neighbours as nb
+    from nearrate.operators import similarity as sm
+    rows = [(u, 1, 3.0 + u % 2) for u in range(1, 81)]
+    for u in range(1, 81):
+        pair = 100 * ((u + 1) // 2)
+        rows += [(u, pair + j, float(1 + 4 * (j % 2))) for j in range(8)]
+    train = spark.createDataFrame(rows, RATING_SCHEMA)
+    raters = train.groupBy("item_id").agg(F.count(F.lit(1)).alias("raters"))
+    rui = sm.unit_vectors(train)
+    cut = nb._cut(rui, raters, None, 1, 10, 10)
+    assert {(r.user_id, r.item_id) for r in cut.collect()} == {(u, 1) for u in range(1, 81)}
+    made = nb._survivors(rui, cut, 0.0)
+    assert made.count() == 80  # of 80 * 79 directions that share the popular item
+    got = {(r.user_id, r.other_id): (round(r.sim, 9), r.rank) for r in nb.cosine_neighbours(train, 1, frequent=10, probe=10).collect()}
+    assert got == brute_neighbours(rows, 1)
+
+
+def test_requested_similarities_equal_the_tables(spark):
+    from nearrate.operators import neighbours as nb
+    from nearrate.operators import similarity as sm
+    rows = popular_rows(7)
+    train = spark.createDataFrame(rows, RATING_SCHEMA)
+    asked = [(u, v) for u in range(1, 41, 3) for v in range(1, 45, 4)] + [(1, 1), (1, 5), (1, 5)]
+    pairs = spark.createDataFrame(asked, "user_id long, other_id long")
+    for table, some in ((sm.cosine_similarity(train), sm.asked_cosines(train, sm.unordered(pairs))),
+                        (sm.jaccard_similarity(train), sm.asked_jaccards(train, sm.unordered(pairs)))):
+        want = {(r.user_id, r.other_id): r.sim for r in table.collect() if r.user_id < r.other_id and ((r.user_id, r.other_id) in asked or (r.other_id, r.user_id) in asked)}
+        assert {(r.user_id, r.other_id): pytest.approx(r.sim, abs=1e-11) for r in some.collect()} == want
+    near = brute_neighbours(rows, 3)
+    got = sorted((r.user_id, r.other_id, round(r.sim, 9)) for r in nb.knn_similarity_of(train, pairs, 3).collect())
+    assert got == sorted((u, v, near.get((u, v), (0.0,))[0]) for u, v in asked)
+
+
+def test_local_top_k_then_merge_equals_brute_force(spark):
+    from nearrate.operators import buckets as bk
+    rows = popular_rows(9)
+    train = spark.createDataFrame(rows, RATING_SCHEMA)
+    spread = [(u, b) for u in range(1, 41) for b in ((u * 7) % 4, (u * 5 + 1) % 4)]
+    buckets = spark.createDataFrame(sorted(set(spread)), "user_id long, bucket int")
+    held = set(spread)
+    full = {key: s for key, (s, _) in brute_neighbours(rows, 39).items() if s > 0}
+    lists = {}
+    for b in range(4):
+        for u in {u for u, c in held if c == b}:
+            near = sorted((-s, v) for (x, v), s in full.items() if x == u and (v, b) in held)[:2]
+            lists.update({(b, u, v): (-s, i + 1) for i, (s, v) in enumerate(near)})
+    got = {(r.bucket, r.user_id, r.other_id): (round(r.sim, 9), r.rank) for r in bk.bucket_neighbours(train, buckets, 2).collect()}
+    assert got == lists
+    best = {}
+    for u in range(1, 41):
+        near = sorted({(-s, v) for (b, x, v), (s, _) in lists.items() if x == u})[:2]
+        best.update({(u, v): (-s, i + 1) for i, (s, v) in enumerate(near)})
+    got = {(r.user_id, r.other_id): (round(r.sim, 9), r.rank) for r in bk.approximate_neighbours(train, 2, 4, 2, buckets=buckets).collect()}
+    assert got == best
+
+
+def test_candidates_in_blocks(spark):
+    from nearrate.operators import recommend as rc
+    rows = popular_rows(11)
+    train = spark.createDataFrame(rows, RATING_SCHEMA)
+    targets = spark.createDataFrame([(1,), (2,), (2,), (99,)], "user_id long")
+    rated, items = {(u, i) for u, i, _ in rows}, {i for _, i, _ in rows}
+    want = sorted((u, i) for u in (1, 2, 99) for i in items if (u, i) not in rated)
+    for size in (1, 4, 4096):
+        assert sorted(map(tuple, rc.candidates(train, targets, size).collect())) == want
+    assert rc.candidates(train.limit(0), targets).count() == 0
