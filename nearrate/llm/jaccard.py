@@ -37,7 +37,9 @@ from nearrate.llm.text import Runs, chunks, mix, word_hashes
 
 SHINGLE, PERCENT = 4, 85
 LOW = int(0.3 * 2**63)
-GROUP_MEMBERS, GROUP_TOKENS, TASK_QUERIES = 1024, 500_000, 2048
+GROUP_MEMBERS, GROUP_TOKENS, TASK_QUERIES = 512, 250_000, 1024
+#: Numbers of one table of an opened group.
+CELLS = 1 << 19
 
 
 def shingle_sets(texts: list[bytes | None], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,17 +124,30 @@ def grouped(firsts: DataFrame) -> DataFrame:
             .select("node", "n", F.xxhash64("head", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("gid")))
 
 
-def qualifying(firsts: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """(node, gid): the groups that a class's overlap bound leaves open."""
+def candidates(firsts: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """(node, gid, n): the groups with a member of fitting size that a class shares
+    a first token with."""
     matrix = (firsts.where("index").join(groups.select("node", "gid"), "node").groupBy("token", "gid")
               .agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count(F.lit(1)).alias("members"), F.min("node").alias("one")))
     q, m = firsts.alias("q"), matrix.alias("m")
     sizes = (F.col("m.least") <= F.col("q.n")) & (F.col("m.most") * 100 >= F.col("q.n") * percent)
     other = (F.col("m.members") > 1) | (F.col("m.one") != F.col("q.node"))
     found = q.join(m, (F.col("q.token") == F.col("m.token")) & sizes & other)
-    bound = F.count(F.lit(1)) + F.first("q.n") - (F.first("q.n") - F.ceil(F.first("q.n") * percent / 100) + 1)
-    return (found.groupBy("q.node", "m.gid").agg(bound.alias("bound"), F.ceil(F.first("q.n") * percent / 100).alias("need"))
-            .where("bound >= need").select("node", "gid"))
+    return found.groupBy("q.node", "m.gid").agg(F.first("q.n").alias("n"))
+
+
+def qualifying(pairs: DataFrame, groups: DataFrame, lows: DataFrame, percent: int) -> DataFrame:
+    """The candidate (node, gid) whose overlap bound reaches the need: the class's
+    low tokens found in the union of the members' ones, and all its others.
+    ``lows``: (node, n_low, low), each class's tokens of the low range."""
+    token = F.explode(F.slice("low", 1, F.greatest("n_low", F.lit(1)).cast("int"))).alias("token")
+    asked_groups = pairs.select("gid").distinct()
+    union = (groups.join(asked_groups, "gid", "left_semi").join(lows.where("n_low > 0"), "node").select("gid", token).distinct())
+    asked = pairs.join(lows.where("n_low > 0"), "node").select("node", "gid", token)
+    found = asked.join(union, ["gid", "token"], "left_semi").groupBy("node", "gid").agg(F.count(F.lit(1)).alias("found"))
+    bound = F.coalesce("found", F.lit(0)) + F.col("n") - F.col("n_low")
+    return (pairs.join(lows.select("node", "n_low"), "node").join(found, ["node", "gid"], "left")
+            .where(bound >= F.ceil(F.col("n") * percent / 100)).select("node", "gid"))
 
 
 def opened(pairs: DataFrame, groups: DataFrame, classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -210,20 +225,33 @@ class Group:
             i = self.root[i]
         return i
 
-    def queries(self, texts, node, n, mult):
+    def pieces(self, texts):
+        """Ranges of queries whose texts and table of shared counts are bounded."""
+        rows = max(CELLS // max(len(self.node), 1), 1)
+        for i, j in chunks(texts, 1 << 17):
+            for a in range(i, j, rows):
+                yield a, min(a + rows, j)
+
+    def queries(self, texts, node, n_, mult):
         if self.index is None:
             self.build()
         out, most = [], len(self.node)
         if not most:
             return out
-        for i, j in chunks(texts, 1 << 17):
+        for i, j in self.pieces(texts):
             tokens, at = shingle_sets(texts[i:j], self.k)
             left, right = np.searchsorted(self.index, tokens, "left"), np.searchsorted(self.index, tokens, "right")
-            count = right - left
-            q = np.repeat(np.repeat(np.arange(j - i), np.diff(at)), count)
-            place = np.repeat(left - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(len(q))
-            shared = np.bincount(q * most + self.owner[place], minlength=(j - i) * most).reshape(j - i, most)
-            nq, mq, wq = (np.array(x[i:j], np.int64)[:, None] for x in (n, node, mult))
+            count, query = right - left, np.repeat(np.arange(j - i), np.diff(at))
+            shared = np.zeros((j - i) * most, np.int64)
+            # a token that many members hold meets them all: a bounded number at once
+            ends = np.cumsum(count)
+            cut = np.searchsorted(ends, np.arange(CELLS, int(ends[-1]) if len(ends) else 0, CELLS)) + 1
+            for a, b in zip([0, *cut], [*cut, len(count)], strict=True):
+                n = count[a:b]
+                place = np.repeat(left[a:b] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+                shared += np.bincount(np.repeat(query[a:b], n) * most + self.owner[place], minlength=len(shared))
+            shared = shared.reshape(j - i, most)
+            nq, mq, wq = (np.array(x[i:j], np.int64)[:, None] for x in (n_, node, mult))
             smaller = (self.n < nq) | ((self.n == nq) & (self.node < mq))
             linked = smaller & (shared > 0) & ((100 + self.percent) * shared >= self.percent * (nq + self.n))
             self.links += (linked * wq).sum(0)
@@ -281,7 +309,11 @@ def rooted(docs: DataFrame, k: int, percent: int) -> DataFrame:
     tokens = rows.select("rid", "low").join(ids, "rid", "left_semi").select(F.col("rid").alias("node"), F.posexplode("low").alias("rank", "token"))
     firsts = saved(first_tokens(classes, tokens, percent), "first-tokens")
     groups = saved(grouped(firsts), "groups")
-    pairs = saved(qualifying(firsts, groups, percent), "open-groups")
+    tried = saved(candidates(firsts, groups, percent), "candidate-groups")
+    asked = saved(tried.select("node").unionByName(groups.join(tried.select("gid").distinct(), "gid", "left_semi").select("node")).distinct(), "asked")
+    asked = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked
+    lows = rows.select(F.col("rid").alias("node"), "n_low", "low").join(asked, "node", "left_semi")
+    pairs = saved(qualifying(tried, groups, lows, percent), "open-groups")
 
     gids = pairs.select("gid").distinct()
     involved = saved(pairs.select("node").unionByName(groups.join(gids, "gid").select("node")).distinct()
