@@ -91,8 +91,10 @@ def branches(docs: DataFrame, length: int, prefix: int) -> DataFrame:
                 cut[1:] = (start[1:] != start[:-1] + 1) | (least[1:] != least[:-1]) | (text[1:] != text[:-1])
                 begin = np.flatnonzero(cut)
                 size = np.diff(np.append(begin, len(start)))
-                label = mix(runs(start[begin], size + (length - 1)) + size.astype(np.uint64))
-                nodes = pa.ListArray.from_arrays(pa.array(np.append(begin, len(start)), pa.int32()), pa.array(runs(start, length).view(np.int64)))
+                node = runs(start, length)
+                rank = np.arange(len(start)) - np.repeat(begin, size)
+                label = mix(np.add.reduceat(mix(node ^ mix(rank.astype(np.uint64))), begin) + size.astype(np.uint64))
+                nodes = pa.ListArray.from_arrays(pa.array(np.append(begin, len(start)), pa.int32()), pa.array(node.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(label.view(np.int64)), pa.array(ids[i:j][text[begin]], pa.int64()), pa.array(keys[i:j][text[begin]], pa.int64()),
                      pa.array((start[begin] - offsets[text[begin]]).astype(np.int32)), nodes], names=["label", "doc_id", "key", "first", "nodes"])
