@@ -14,8 +14,9 @@ range under a name of its own attempt, and only the names that the committed
 tasks return are read, so a lost executor or a second attempt does no harm.
 Files go through pyarrow's file systems, which open the shared folder's URI.
 
-Tokens: any white space ends a token of this tokenizer, so texts are encoded
-word by word, and a bounded table of words already met is kept per task.
+Tokens: where the tokenizer's file says that white space ends every token, texts
+are encoded by their words, and a bounded table of words already met is kept per
+task; any other tokenizer gets whole texts.
 
 Defined cases: null text is empty and has only the end id; a null doc_id comes
 first; equal doc_ids follow in the order of a hash of their text; an empty table
@@ -24,31 +25,33 @@ gives no files and no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from nearrate.llm.common import byte_list, fresh_path, saved
+from nearrate.llm.text import chunks
 
 END = 1
 FRAME_IDS = 1 << 16
 FILE_BYTES = 16 << 20
-KNOWN_WORDS = 150_000
+KNOWN_WORDS = 250_000
 MAGIC = 0x5A49444B
 ENTRY = "<QIQIQI"
 TAIL = "<IIII"
 ITEM = np.dtype("<u4")
 
 
-#: Fixed values of the tokenizer's file: how it cuts a lower-cased word. Here for
-#: words of ASCII and Latin-1 letters; all others go through the tokenizer itself.
-PLAIN = re.compile("[!-~\u00c0-\u00ff]+")
-PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+#: Fixed value: a pre-tokenizer pattern of which no match holds white space, so
+#: that a text's ids are those of its words, one after another.
+BY_WORD = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
 def byte_letters() -> dict[int, str]:
@@ -60,42 +63,76 @@ def byte_letters() -> dict[int, str]:
 
 
 class WordEncoder:
-    """Encode texts word by word; equal to encoding them whole. Words and pieces
-    met first are kept, up to KNOWN_WORDS of either."""
+    """Ids of whole texts. If the tokenizer's file says that it drops white space
+    and joins nothing across it, texts are cut into words, and the words not met
+    before are encoded in one batch; else each text is. The table of words met
+    is bounded: when it is full, the half met most stays."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
-        self.letters = byte_letters()
-
-    def word(self, word: bytes) -> list[int]:
-        text = word.decode()
-        if not PLAIN.fullmatch(text) or "<|" in text:
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        out: list[int] = []
-        for piece in PIECE.findall(text.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                letters = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-                ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
-                if len(self.pieces) < KNOWN_WORDS:
-                    self.pieces[piece] = ids
-            out += ids
-        return out
-
-    def __call__(self, text: bytes | None) -> list[int]:
-        out: list[int] = []
+        self.cuts = self.by_word(path)
+        self.known: dict[bytes, int] = {}
+        self.names: list[bytes] = []
+        self.turn = 0  # how often words were numbered anew
+        self.first, self.flat, self.used = np.zeros(1, np.int64), np.zeros(0, ITEM), np.zeros(0, np.int64)
+
+    @staticmethod
+    def by_word(path: str) -> bool:
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        normal = (made["normalizer"] or {"type": "Sequence", "normalizers": []}).get("normalizers", [{}])
+        steps = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+        split = {"type": "Split", "pattern": {"Regex": BY_WORD}, "behavior": "Removed", "invert": True}
+        return (all(x.get("type") in ("NFC", "Lowercase") or x == {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "} for x in normal)
+                and len(steps) == 2 and steps[0] == split and steps[1]["type"] == "ByteLevel" and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
+                and not made["truncation"] and not made["padding"]
+                and not any(re.search(r"\s", t["content"]) or t["lstrip"] or t["rstrip"] for t in made["added_tokens"]))
+
+    def batch(self, texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def places(self, words: list[list[bytes]]) -> np.ndarray:
+        """The numbers, in the table, of the words of all lists."""
         known = self.known
-        for w in (text or b"").split():
-            ids = known.get(w)
-            if ids is None:
-                ids = self.word(w)
-                if len(known) < KNOWN_WORDS:
-                    known[w] = ids
-            out += ids
-        return out
+        if len(known) > KNOWN_WORDS:
+            self.forget()
+            known = self.known
+        new = list(dict.fromkeys([w for ws in words for w in ws if w not in known]))
+        if new:
+            ids = self.batch(new)
+            for w in new:
+                known[w] = len(known)
+            self.names += new
+            n = np.array([len(x) for x in ids], np.int64)
+            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), ITEM, int(n.sum()))))
+            self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(n)))
+            self.used = np.concatenate((self.used, np.zeros(len(new), np.int64)))
+        at = np.fromiter([known[w] for ws in words for w in ws], np.int64)
+        self.used += np.bincount(at, minlength=len(self.used))
+        return at
+
+    def forget(self) -> None:
+        stay = np.flatnonzero(self.used > max(1, int(np.median(self.used))))
+        self.names = [self.names[i] for i in stay]
+        self.known = {w: k for k, w in enumerate(self.names)}
+        self.turn += 1
+        self.flat, n = self.ids_at(stay)
+        self.first, self.used = np.concatenate(([0], np.cumsum(n))), np.ones(len(stay), np.int64)
+
+    def ids_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words of the table, joined, and the number of each."""
+        n = np.diff(self.first)[at]
+        return self.flat[np.repeat(self.first[at] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))], n
+
+    def __call__(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """The ids of each text."""
+        if not self.cuts:
+            return [np.array(x, ITEM) for x in self.batch([t or b"" for t in texts])]
+        words = [(t or b"").split() for t in texts]
+        ids, n = self.ids_at(self.places(words))
+        ends = np.concatenate(([0], np.cumsum(n)))[np.cumsum([len(w) for w in words])]
+        return np.split(ids, ends[:-1])
 
 
 def encoder(path: str) -> WordEncoder:
@@ -200,11 +237,12 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None) -> DataFra
                 fs.create_dir(root, recursive=True)
                 name = f"{uuid.uuid4().hex}.ids"
                 writer = FrameWriter(fs.open_output_stream(f"{root}/{name}"))
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), byte_list(b.column("text")), strict=True):
-                x = np.array([*encode(text), END], ITEM)
-                writer.add(x)
-                ids.append(doc_id)
-                n += len(x)
+            doc_ids, texts = b.column("doc_id").to_pylist(), byte_list(b.column("text"))
+            ids += doc_ids
+            for i, j in chunks(texts):
+                for x in encode(texts[i:j]):
+                    writer.add(np.append(x, np.array([END], ITEM)))
+                    n += len(x) + 1
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({"path": [f"{folder.rstrip('/')}/{name}"], "part": [part()], "doc_ids": [ids], "n_docs": [len(ids)], "n_ids": [n]},
