@@ -88,11 +88,11 @@ def _ratio(num: str, den: str):
 
 def similarity_function(similarity):
     """A similarity by name, or any function ``(ratings, lo, hi) -> (user_id,
-    other_id, sim)``."""
+    other_id, sim)``, whose table is checked (``similarity.checked``)."""
     from nearrate.operators import similarity as sm
     known = {"cosine": sm.cosine_similarity, "jaccard": sm.jaccard_similarity}
     if callable(similarity):
-        return similarity
+        return lambda train, lo, hi: sm.checked(similarity(train, lo, hi))
     if similarity not in known:
         raise ValueError(f"similarity must be unit, cosine, jaccard or a function, not {similarity!r}")
     return known[similarity]

@@ -117,3 +117,26 @@ def cosine_lookup(train: DataFrame, pairs: DataFrame, lo: float = 1.0,
     found = attach(pairs, asked_cosines(train, pairs, lo, hi), "left")
     return found.withColumn("sim", F.when(F.col("user_id") == F.col("other_id"), F.lit(1.0))
                             .otherwise(F.coalesce(F.col("sim"), F.lit(0.0))))
+
+
+def checked(sim: DataFrame) -> DataFrame:
+    """A supplied similarity table as it was given, checked on the way. The job
+    fails, naming the pair, if one has a missing id, is a self pair, does not stand
+    exactly once in each direction, has a similarity that is missing, not finite,
+    zero, not rounded to SIM_DIGITS places or different in the two directions."""
+    given = sim.select("user_id", "other_id", F.col("sim").cast("double").alias("sim"))
+    one = (given.groupBy(F.least("user_id", "other_id").alias("a"), F.greatest("user_id", "other_id").alias("b"))
+           .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("user_id") < F.col("other_id")).alias("forward"), F.count("sim").alias("known"),
+                F.count_if(F.col("user_id").isNull() | F.col("other_id").isNull()).alias("lost"), F.min("sim").alias("low"), F.max("sim").alias("sim")))
+    finite = F.abs("sim") < F.lit(float("inf"))
+    wrong = (F.when(F.col("lost") > 0, "an id is missing")
+             .when(F.col("a") == F.col("b"), "a user is paired with itself")
+             .when((F.col("n") != 2) | (F.col("forward") != 1), "it must stand once in each direction")
+             .when((F.col("known") != 2) | F.isnan("sim") | ~finite, "its similarity is missing or not finite")
+             .when(F.col("low") != F.col("sim"), "its directions differ")
+             .when(F.col("sim") == 0, "zero must be left out")
+             .when(round_sim("sim") != F.col("sim"), "it is not rounded"))
+    place = F.concat(F.lit("supplied similarity of "), F.coalesce(F.col("a").cast("string"), F.lit("null")), F.lit(" and "),
+                     F.coalesce(F.col("b").cast("string"), F.lit("null")), F.lit(": "))
+    value = F.when(wrong.isNull(), F.col("sim")).otherwise(F.raise_error(F.concat(place, wrong)).cast("double"))
+    return mirror(one.select(F.col("a").alias("user_id"), F.col("b").alias("other_id"), value.alias("sim")))

@@ -20,8 +20,11 @@ from nearrate.operators import neighbours as nbm
 from nearrate.operators import predictors as pr
 from nearrate.operators import recommend as rc
 from nearrate.operators import similarity as sm
+from nearrate.operators import updates as up
+from nearrate.operators.sets import set_operations
 from nearrate.plans import sqlparts as S
-from nearrate.sources import parse_personal, parse_ratings, personal_ratings, ratings_from_orders, split_train_test
+from nearrate.sources import parse_personal, parse_ratings, personal_ratings, ratings_from_orders, report_row, split_train_test
+from nearrate.sources.stored import store_ratings
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -136,6 +139,18 @@ def q_one_item_mean(spark, d):
     return fx.one_item_mean(data(spark, d, persist=False)[1], 1).select("item_id", r6("item_mean").alias("item_mean"))
 
 
+@register("one_user_mean_stored", ORACLES["one_user_mean"])
+def q_one_user_mean_stored(spark, d):
+    kept = store_ratings(data(spark, d, persist=False)[1], "user_id")
+    return kept.mean(1).select("user_id", r6("user_mean").alias("user_mean"))
+
+
+@register("one_item_mean_stored", ORACLES["one_item_mean"])
+def q_one_item_mean_stored(spark, d):
+    kept = store_ratings(data(spark, d, persist=False)[1], "item_id")
+    return kept.mean(1).select("item_id", r6("item_mean").alias("item_mean"))
+
+
 @register("user_rating_stats", S.with_ctes() +
           "SELECT user_id, count(*) AS n, round(coalesce(avg(rating), 0), 6) AS mean, "
           "round(coalesce(stddev_pop(rating), 0), 6) AS std_pop FROM train GROUP BY user_id")
@@ -317,6 +332,30 @@ def q_similarity_lookup(spark, d):
     return _sim_out(sm.cosine_lookup(train, _requested(train)))
 
 
+@register("user_set_operations", S.with_ctes() + """,
+pairs AS (SELECT DISTINCT user_id, user_id + 1 AS other_id FROM train),
+held AS (SELECT p.user_id, p.other_id, t.item_id FROM pairs p JOIN train t ON t.user_id = p.user_id
+         UNION ALL SELECT p.user_id, p.other_id, t.item_id FROM pairs p JOIN train t ON t.user_id = p.other_id)
+SELECT user_id, other_id, item_id, CAST(count(*) - 1 AS BIGINT) AS in_both FROM held GROUP BY user_id, other_id, item_id""")
+def q_user_set_operations(spark, d):
+    train = data(spark, d)[1]
+    pairs = train.select("user_id", (F.col("user_id") + 1).alias("other_id"))
+    made = set_operations(train, pairs)
+    return (made.select("user_id", "other_id", "both", F.explode("either").alias("item_id"))
+            .select("user_id", "other_id", "item_id", F.array_contains("both", F.col("item_id")).cast("bigint").alias("in_both")))
+
+
+def dice_similarity(train: DataFrame, lo: float, hi: float) -> DataFrame:
+    """A similarity of the caller's own (U1): 2 |A and B| / (|A| + |B|) of item
+    sets, from the Jaccard similarity j as 2 j / (1 + j)."""
+    j = sm.jaccard_similarity(train)
+    return j.select("user_id", "other_id", F.round(2 * F.col("sim") / (1 + F.col("sim")), 10).alias("sim"))
+
+
+_DICE_CTE = """
+dice AS (SELECT user_id, other_id, round(2 * sim / (1 + sim), 10) AS sim FROM jac)"""
+
+
 def _p5_sql(sim_table: str) -> str:
     return (S.weighted(sim_table) + """,
 pers AS (SELECT p.user_id, p.item_id, p.rating,
@@ -351,6 +390,13 @@ for _k in ("unit", "cosine", "jaccard"):
     _make_p5(_k)
 
 
+@register("predict_personalized_supplied", S.with_ctes(S.MEANS_CTE, S.JACCARD_CTE, _DICE_CTE, _p5_sql("dice")) +
+          "SELECT user_id, item_id, round(pred, 6) AS pred FROM pred")
+def q_predict_personalized_supplied(spark, d):
+    _, train, test = data(spark, d)
+    return _pairs(pr.predict_personalized(train, test, dice_similarity))
+
+
 @register("mae_personalized", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.JACCARD_CTE) + f"""
 , cos_pred AS ({_P5_SQL['cosine'].replace('WITH ', 'SELECT * FROM (WITH ', 1)} SELECT * FROM pred)),
 jac_pred AS ({_P5_SQL['jaccard'].replace('WITH ', 'SELECT * FROM (WITH ', 1)} SELECT * FROM pred)),
@@ -634,7 +680,137 @@ def q_recommend_with_names(spark, d):
                        F.col("rank").cast("bigint").alias("rank"), "name")
 
 
+# ---------------------------------------------------------------- appended ratings
+# A batch that arrives later: the new users' ratings and all test ratings of items 1 to 10.
+_LATER = S.RATINGS_CTE.replace("train AS", _NEW_SQL + ",\nold AS", 1) + """,
+train AS (SELECT user_id, item_id, rating FROM old UNION ALL SELECT user_id, item_id, rating FROM newr
+          UNION ALL SELECT user_id, item_id, rating FROM test WHERE item_id <= 10),"""
+
+
+def _updated(spark, d):
+    _, train, test = data(spark, d)
+    later = _new_users(spark, d).unionByName(test.where(F.col("item_id") <= 10).select("user_id", "item_id", "rating"))
+    return up.append(up.fit(train), later)
+
+
+@register("updated_users", "WITH " + _LATER.strip() + S.MEANS_CTE.strip("\n") +
+          " SELECT um.user_id, round(um, 6) AS user_mean, round(norm, 6) AS norm FROM um JOIN norms ON um.user_id = norms.user_id")
+def q_updated_users(spark, d):
+    return _updated(spark, d).user_means().select("user_id", r6("user_mean").alias("user_mean"), r6("norm").alias("norm"))
+
+
+@register("updated_items", "WITH " + _LATER.strip() + S.MEANS_CTE.strip("\n") +
+          " SELECT im.item_id, round(im, 6) AS item_mean, round(item_dev + 0.0, 6) AS item_dev FROM im JOIN idev ON im.item_id = idev.item_id")
+def q_updated_items(spark, d):
+    return _updated(spark, d).item_facts().select("item_id", r6("item_mean").alias("item_mean"), r6("item_dev").alias("item_dev"))
+
+
+@register("updated_similarity", "WITH " + _LATER.strip() + S.MEANS_CTE.strip("\n") + "," + S.COSINE_CTE +
+          " SELECT user_id, other_id, round(sim, 6) AS sim FROM cos")
+def q_updated_similarity(spark, d):
+    return _sim_out(_updated(spark, d).cosines)
+
+
 # ---------------------------------------------------------------- report
+def _text(c: Column) -> Column:
+    """A number as text with six places, so that every engine writes it alike."""
+    return F.format_string("%.6f", F.round(c, 6) + F.lit(0.0))
+
+
+def _one(df: DataFrame, value: str) -> Column:
+    return df.select(_text(F.col(value))).scalar()
+
+
+def _pair(spark, user: int, item: int) -> DataFrame:
+    return spark.range(1).select(F.lit(user).cast("bigint").alias("user_id"), F.lit(item).cast("bigint").alias("item_id"))
+
+
+def _mae_text(predicted: DataFrame) -> Column:
+    return ev.mae(predicted).select(_text(F.col("mae"))).scalar()
+
+
+_TXT = "printf('%.6f', round({}, 6) + 0.0)"
+_ONE_PAIR = "(SELECT CAST(1 AS BIGINT) AS user_id, CAST(1 AS BIGINT) AS item_id)"
+
+
+def _asked_p5(kind: str) -> str:
+    """The predictions of the test pairs and of user 1 and item 1, as one table."""
+    both = "both_" + kind
+    sim = {"cosine": "cos", "jaccard": "jac", "unit": "one"}[kind]
+    ctes = _p5_sql(sim).replace("wsum", "wsum_" + kind).replace("pers", "pers_" + kind).replace("pred AS", f"pred_{kind} AS", 1).replace("FROM test p", f"FROM {both} p")
+    return f"{both} AS (SELECT user_id, item_id, rating FROM test UNION ALL SELECT 1, 1, NULL)," + ctes
+
+
+_REPORT_P_SQL = S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.JACCARD_CTE,
+                            "one AS (SELECT a.user_id, b.user_id AS other_id, 1.0 AS sim FROM um a JOIN um b ON a.user_id <> b.user_id)",
+                            *[_asked_p5(k) for k in ("unit", "cosine", "jaccard")])
+
+
+@register("report_personalized", _REPORT_P_SQL + "SELECT CAST(to_json({" + ", ".join(
+    f"'{k}': {{" + (f"'similarity_1_2': {_TXT.format(f'coalesce((SELECT sim FROM {t} WHERE user_id = 1 AND other_id = 2), 0)')}, " if t else "") +
+    f"'prediction_1_1': {_TXT.format(f'(SELECT pred FROM pred_{k} WHERE user_id = 1 AND item_id = 1 AND rating IS NULL)')}, "
+    f"'mae': {_TXT.format(f'(SELECT avg(abs(pred - rating)) FROM pred_{k})')}}}"
+    for k, t in (("unit", None), ("cosine", "cos"), ("jaccard", "jac"))) + "}) AS VARCHAR) AS report")
+def q_report_personalized(spark, d):
+    """Similarity of users 1 and 2, prediction for user 1 and item 1, and error, of
+    each kind; each kind's predictions are made once, for test and pair together."""
+    _, train, test = data(spark, d)
+    both = test.select("user_id", "item_id", "rating").unionByName(_pair(spark, 1, 1).withColumn("rating", F.lit(None).cast("double")))
+    two = spark.range(1).select(F.lit(1).cast("bigint").alias("user_id"), F.lit(2).cast("bigint").alias("other_id"))
+    parts = {}
+    for kind in ("unit", "cosine", "jaccard"):
+        made = keep(pr.predict_personalized(train, both, kind))
+        asked = {"cosine": sm.asked_cosines, "jaccard": sm.asked_jaccards}.get(kind)
+        sim = {"similarity_1_2": _one(sm.attach(two, asked(train, two), "left").withColumn("sim", F.coalesce("sim", F.lit(0.0))), "sim")} if asked else {}
+        parts[kind] = F.struct(*[c.alias(n) for n, c in {
+            **sim, "prediction_1_1": _one(made.where(F.col("rating").isNull()), "pred"), "mae": _mae_text(made.where(F.col("rating").isNotNull()))}.items()])
+    return spark.range(1).select(report_row(**parts).alias("report"))
+
+
+def _neighbour_report(spark, train, test, nbrs, k, others):
+    """Similarities of user 1 to others if among its k nearest, and the error."""
+    asked = spark.range(1).select(F.lit(1).cast("bigint").alias("user_id"), F.explode(F.array(*[F.lit(o).cast("bigint") for o in others])).alias("other_id"))
+    sims = nbm.knn_similarity(nbrs, asked)
+    fields = {f"similarity_1_{o}": _one(sims.where(F.col("other_id") == o), "sim") for o in others}
+    fields["mae"] = _mae_text(pr.predict_knn(train, test, k, neighbours=nbrs))
+    return fields
+
+
+def _neighbour_report_sql(table: str, k: int, others: list[int], more: str = "") -> str:
+    sims = ", ".join(f"'similarity_1_{o}': {_TXT.format(f'coalesce((SELECT sim FROM {table} WHERE user_id = 1 AND other_id = {o} AND rank <= {k}), 0)')}" for o in others)
+    return ("SELECT CAST(to_json({" + sims + f", 'mae': {_TXT.format('(SELECT avg(abs(pred - rating)) FROM kpred)')}" + more + "}) AS VARCHAR) AS report")
+
+
+REPORT_OTHERS = [1, 2, 16, 334, 344, 864]
+
+
+@register("report_knn", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.NEIGHBOURS_CTE, _knn_sql("nb", 10)) + _neighbour_report_sql("nb", 10, REPORT_OTHERS))
+def q_report_knn(spark, d):
+    _, train, test = data(spark, d)
+    nbrs = keep(pr.knn_neighbours(train, 10))
+    return spark.range(1).select(report_row(**_neighbour_report(spark, train, test, nbrs, 10, REPORT_OTHERS)).alias("report"))
+
+
+@register("report_approximate", S.with_ctes(S.MEANS_CTE, S.COSINE_CTE, S.buckets_cte(10, 2, 1337), _knn_sql("anb", 300)) + _neighbour_report_sql("anb", 300, REPORT_OTHERS))
+def q_report_approximate(spark, d):
+    _, train, test = data(spark, d)
+    nbrs = keep(bk.approximate_neighbours(train, 300, **APPROX))
+    return spark.range(1).select(report_row(**_neighbour_report(spark, train, test, nbrs, 300, REPORT_OTHERS)).alias("report"))
+
+
+@register("report_recommender", _REC_SQL + f""", best AS (SELECT r.user_id, list([CAST(r.item_id AS VARCHAR), p.p_name, printf('%.6f', round(r.pred, 6))] ORDER BY r.rank) AS items
+FROM recs r LEFT JOIN part p ON p.p_partkey = r.item_id WHERE r.rank <= {RECOMMEND_N} GROUP BY r.user_id)
+SELECT CAST(to_json({{'user_id': user_id, 'best': items}}) AS VARCHAR) AS report FROM best""")
+def q_report_recommender(spark, d):
+    """A row a target user: its best items as (id, name, prediction), in order."""
+    full, targets = _rec_inputs(spark, d)
+    names = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("name"))
+    recs = rc.with_names(rc.recommend(full, targets, RECOMMEND_K, RECOMMEND_N), names)
+    entry = F.struct("rank", F.array(F.col("item_id").cast("string"), "name", _text(F.col("pred"))).alias("item"))
+    best = recs.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["item"]).alias("items"))
+    return best.select(report_row(user_id=F.col("user_id"), best=F.col("items")).alias("report"))
+
+
 @register("report_json", S.with_ctes(S.MEANS_CTE) + """,
 m AS (""" + " UNION ALL ".join(
     f"SELECT '{m}' AS method, round(avg(abs(pred - rating)), 6) AS mae FROM "
@@ -650,7 +826,6 @@ SELECT CAST(to_json({'global_mean': (SELECT round(g, 6) FROM g),
                 'baseline': max(CASE WHEN method = 'baseline' THEN mae END)}}) AS VARCHAR) AS report
 FROM m""")
 def q_report_json(spark, d):
-    from nearrate.sources import report_row
     _, train, test = data(spark, d)
     m = ev.mae_mean_family(train, test).select("method", r6("mae").alias("mae"))
     pick = {k: F.max(F.when(F.col("method") == k, F.col("mae"))) for k in MEAN_METHODS}
