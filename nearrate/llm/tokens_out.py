@@ -41,8 +41,8 @@ from nearrate.llm.text import chunks
 
 END = 1
 FRAME_IDS = 1 << 16
-FILE_BYTES = 16 << 20
-KNOWN_WORDS = 250_000
+FILE_BYTES = 32 << 20
+KNOWN_WORDS = 400_000
 MAGIC = 0x5A49444B
 ENTRY = "<QIQIQI"
 TAIL = "<IIII"
@@ -51,6 +51,10 @@ ITEM = np.dtype("<u4")
 
 #: Fixed value: a pre-tokenizer pattern of which no match holds white space, so
 #: that a text's ids are those of its words, one after another.
+# The pieces of words of ASCII and Latin-1 letters, lower-cased, one word a line,
+# are those of the shorter pattern; all other words go through the tokenizer.
+ODD = re.compile("[^\n!-~\u00c0-\u00ff]|<[|]")
+PIECE = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff\n]+")
 BY_WORD = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
 
@@ -62,6 +66,11 @@ def byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
 
 
+def spans(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first[i], first[i] + 1, ..., n[i] of them, one after another."""
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+
+
 class WordEncoder:
     """Ids of whole texts. If the tokenizer's file says that it drops white space
     and joins nothing across it, texts are cut into words, and the words not met
@@ -75,6 +84,8 @@ class WordEncoder:
         self.known: dict[bytes, int] = {}
         self.names: list[bytes] = []
         self.turn = 0  # how often words were numbered anew
+        self.letters = str.maketrans({c: "".join(byte_letters()[b] for b in c.encode()) for c in map(chr, range(128, 256))})
+        self.no_pieces()
         self.first, self.flat, self.used = np.zeros(1, np.int64), np.zeros(0, ITEM), np.zeros(0, np.int64)
 
     @staticmethod
@@ -100,18 +111,54 @@ class WordEncoder:
             known = self.known
         new = list(dict.fromkeys([w for ws in words for w in ws if w not in known]))
         if new:
-            ids = self.batch(new)
-            for w in new:
-                known[w] = len(known)
+            flat, n = self.new_ids(new)
+            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
             self.names += new
-            n = np.array([len(x) for x in ids], np.int64)
-            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), ITEM, int(n.sum()))))
+            self.flat = np.concatenate((self.flat, flat))
             self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(n)))
             self.used = np.concatenate((self.used, np.zeros(len(new), np.int64)))
-        at = np.fromiter([known[w] for ws in words for w in ws], np.int64)
+        at = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.int64)
         self.used += np.bincount(at, minlength=len(self.used))
         return at
 
+    def new_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, joined, and the number of each. Plain words are cut
+        into pieces together; pieces have a bounded table of their own."""
+        texts = [w.decode() for w in words]
+        plain, lines = np.full(len(texts), self.cuts), "\n".join(texts)
+        odd = [m.start() for m in ODD.finditer(lines)]
+        plain[np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), np.array(odd, np.int64), "right")] = False
+        n = np.zeros(len(texts), np.int64)
+        other = self.tokenizer.encode_batch_fast([texts[i] for i in np.flatnonzero(~plain)], add_special_tokens=False)
+        other = [e.ids for e in other]
+        n[~plain] = [len(x) for x in other]
+        rest = np.fromiter(chain.from_iterable(other), ITEM, int(n.sum()))
+        if not plain.any():
+            return rest, n
+        if len(rest) or not plain.all():
+            lines = "\n".join([texts[i] for i in np.flatnonzero(plain)])
+        pieces = PIECE.findall(lines.lower())
+        if len(self.piece_at) > KNOWN_WORDS:
+            self.no_pieces()
+        new = [p for p in dict.fromkeys(pieces) if p not in self.piece_at]
+        tokenize = self.tokenizer.model.tokenize
+        ids = [[t.id for t in tokenize(p if p.isascii() else p.translate(self.letters))] for p in new]
+        self.piece_at.update(zip(new, range(len(self.piece_at), len(self.piece_at) + len(new)), strict=True))
+        sizes = np.array([len(x) for x in ids], np.int64)
+        self.piece_first = np.concatenate((self.piece_first, self.piece_first[-1] + np.cumsum(sizes)))
+        self.piece_ids = np.concatenate((self.piece_ids, np.fromiter(chain.from_iterable(ids), ITEM, int(sizes.sum()))))
+        at = np.fromiter(map(self.piece_at.__getitem__, pieces), np.int64, len(pieces))
+        size = np.diff(self.piece_first)[at]
+        n[plain] = np.bincount(np.cumsum(at == 0), size, int(plain.sum()))
+        out, begin = np.empty(int(n.sum()), ITEM), np.cumsum(n) - n
+        out[spans(begin[plain], n[plain])] = self.piece_ids[spans(self.piece_first[at], size)]
+        out[spans(begin[~plain], n[~plain])] = rest
+        return out, n
+
+    def no_pieces(self) -> None:
+        """An empty table but for the line end, which has no ids."""
+        self.piece_at, self.piece_first, self.piece_ids = {"\n": 0}, np.zeros(2, np.int64), np.zeros(0, ITEM)
+
     def forget(self) -> None:
         stay = np.flatnonzero(self.used > max(1, int(np.median(self.used))))
         self.names = [self.names[i] for i in stay]
@@ -123,7 +170,7 @@ class WordEncoder:
     def ids_at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the words of the table, joined, and the number of each."""
         n = np.diff(self.first)[at]
-        return self.flat[np.repeat(self.first[at] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))], n
+        return self.flat[spans(self.first[at], n)], n
 
     def __call__(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """The ids of each text."""
