@@ -31,7 +31,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
@@ -109,15 +109,18 @@ class WordEncoder:
         if len(known) > KNOWN_WORDS:
             self.forget()
             known = self.known
-        new = list(dict.fromkeys([w for ws in words for w in ws if w not in known]))
-        if new:
+        flat_words = list(chain.from_iterable(words))
+        at = np.fromiter(map(known.get, flat_words, repeat(-1)), np.int64, len(flat_words))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            new = list(dict.fromkeys([flat_words[i] for i in missing]))
             flat, n = self.new_ids(new)
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
             self.names += new
             self.flat = np.concatenate((self.flat, flat))
             self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(n)))
             self.used = np.concatenate((self.used, np.zeros(len(new), np.int64)))
-        at = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.int64)
+            at[missing] = [known[flat_words[i]] for i in missing]
         self.used += np.bincount(at, minlength=len(self.used))
         return at
 
