@@ -40,7 +40,8 @@ LOOKS_LIKE = {
 }
 #: Phrases in which a match is harmless.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "class clown", "clown fish", "idiot proof", "stupid simple", "scum line", "pathetic fallacy")
-FOLD = {ord(x): ord(k) for k, xs in LOOKS_LIKE.items() for x in xs if x != "!"}
+# texts are lower-cased first, so a capital's entry stands for its small letter too
+FOLD = {ord(y): ord(k) for k, xs in LOOKS_LIKE.items() for x in xs if x != "!" for y in (x, x.lower())}
 LETTERS = re.compile(r"[^\W\d_]+")
 
 

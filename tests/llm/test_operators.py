@@ -411,3 +411,9 @@ def test_jaccard_bounded_tables(docs_of, monkeypatch):
         monkeypatch.setattr(jaccard, "GROUP_MEMBERS", members)
         monkeypatch.setattr(jaccard, "TASK_QUERIES", queries)
         assert {r["doc_id"]: r["component_id"] for r in rows(jaccard.join(docs_of(made)))} == want
+
+
+def test_toxicity_folds_every_look_alike():
+    for letter, alike in toxicity.LOOKS_LIKE.items():
+        for x in alike.replace("!", ""):
+            assert toxicity.fold(f"q{x}q") == toxicity.fold(f"Q{x.lower()}q") == [f"q{letter}q"], x
