@@ -210,27 +210,75 @@ def test_frames_are_random_access(tmp_path, monkeypatch):
         list(tokens_out.FrameReader(f"file://{tmp_path}/b.ids").documents(0, 100))
 
 
+def licenses_by_hand(text, templates=None):
+    """Labels and score from every block's word set, without any filter."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    at = {x: [p for p in range(len(w)) if w[p : p + len(k.split())] == k.split()] for k, x in licenses.PHRASES.items()}
+    base = sorted(x for x in at if at[x])
+    best, more = 0.0, set(base)
+    for label, t in licenses.template_words(templates):
+        n = licenses.block_of(len(t))
+        pairs = {*zip(t, t[1:])}
+        for a in range(0, max(len(w) - n // 2, 1), n // 2):
+            block = w[a : a + n]
+            share = len(set(t) & set(block)) / len(set(t))
+            beside = len(pairs & {*zip(block, block[1:])})
+            if share >= licenses.CONTAINMENT - 1e-9 and beside >= math.ceil(licenses.PAIRS * len(pairs) - 1e-9):
+                more.add(label)
+                best = max(best, share)
+    starts = sum(at.values(), [])
+    return (len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(base), ",".join(sorted(more)), 1.0 if base else best)
+
+
 def test_licenses(docs_of, messy):
     long = licenses.TEMPLATES["mit"][1]
     more = [*messy, (30, "Released UNDER the (MIT) License. Also under the mit license"), (31, "licensed under CC BY-NC 4.0 and Apache License, Version 2.0."),
-            (32, "x " * 500 + long + " y" * 300), (33, "mit license the under"), (34, "This work is licensed under the GNU General Public License, version 3.")]
+            (32, "x " * 500 + long + " y" * 300), (33, "mit license the under"), (34, "This work is licensed under the GNU General Public License, version 3."),
+            (35, "The book was released last year, under review; see the notes on mit students"),
+            (36, long[:400]), (37, " ".join(reversed(long.split()))), (38, "a b " * 200 + long.replace("Software", "Program"))]
+    more += [(100 + 10 * i + j, "q " * pad + text + " z" * pad) for i, (_, text) in enumerate((x, t) for x, ts in licenses.TEMPLATES.items() for t in ts)
+             for j, pad in enumerate((0, 7, 130))]
     got = {(r["doc_id"], r["n_words"]): r for r in rows(licenses.scan(docs_of(more)))}
-    for i, t, *_ in more:
-        w = TERM.findall((t or "").translate(LOW))
-        at = {x: [p for p in range(len(w)) if w[p : p + len(k.split())] == k.split()] for k, x in licenses.PHRASES.items()}
-        every, r = sorted(p for v in at.values() for p in v), got[i, len(w)]
-        assert (r["n_base"], r["first_word"], r["last_word"]) == (len(every), every[0] if every else None, every[-1] if every else None)
-        assert r["base_labels"] == ",".join(sorted(x for x, v in at.items() if v))
-        found = set()
-        for label, s in licenses.template_sets():
-            for a in range(0, max(len(w) - licenses.BLOCK // 2, 1), licenses.BLOCK // 2):
-                if len(set(s) & set(w[a : a + licenses.BLOCK])) >= math.ceil(licenses.CONTAINMENT * len(s) - 1e-9):
-                    found.add(label)
-        assert r["labels"] == ",".join(sorted(found | {x for x, v in at.items() if v})), i
-    assert "mit" in got[32, len(TERM.findall(more[-3][1]))]["labels"]
+    for i, text, *_ in more:
+        want = licenses_by_hand(text)
+        r = got[i, want[0]]
+        assert tuple(r[c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels")) == want[:6], text
+        assert r["score"] == pytest.approx(want[6])
+    labels = {i: r["labels"] for (i, _), r in got.items()}
+    assert labels[35] == labels[33] == labels[37] == "" and labels[32] == "mit" and labels[34] == "gpl-3"
+    for i, (label, _) in enumerate((x, t) for x, ts in licenses.TEMPLATES.items() for t in ts):
+        assert all(label in labels[100 + 10 * i + j].split(",") for j in range(3))
     assert licenses.scan(docs_of(more).limit(0)).count() == 0
 
 
+def test_licenses_template_of_any_length_at_every_offset(docs_of):
+    text = " ".join(f"w{i}" for i in range(250))
+    docs = docs_of([(i, "pad " * i + text + " end" * 40) for i in range(0, 1100, 23)] + [(5000, "pad " * 400), (5001, " ".join(text.split()[:190]))])
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in rows(licenses.scan(docs, {"own": [text, " ,"]}))}
+    assert got.pop(5000) == got.pop(5001) == ("", 0.0)
+    assert set(got.values()) == {("own", 1.0)}
+    assert {r["labels"] for r in rows(licenses.scan(docs, {}))} == {""}
+
+
+def test_licenses_filters_reject(spark):
+    """The template's words in rising frequency are a to j, and 8 are needed. A
+    block with the rare end, one with the frequent end, one with too few."""
+    from pyspark.sql import functions as F
+    template = "a b c d e f g h i j"
+    index = licenses.Index({x: n for n, x in enumerate(template.split())}, {"own": [template], "other": ["k l m n o p q r s t"]})
+    tokens = spark.createDataFrame([(1, 1, template.split()), (2, 2, "c d e f g h i j".split()), (3, 3, "a b c d e f g".split()),
+                                    (4, 4, "c d e f k l m n o p q r".split())], "doc_id long, key long, words array<string>")
+    tried = licenses.candidate_blocks(tokens, index, licenses.block_of(10))
+    own = 1
+    assert index.entries[own][1] == "own"
+    pairs = {(r["doc_id"], r["tid"]) for r in tried.collect()}
+    assert {(1, own), (2, own)} <= pairs and (3, own) not in pairs  # 3: fewer than 8 of the words
+    # 4 holds 12 known words and the prefix word c, but k to r stand before it: 4 words are left
+    assert {t for i, t in pairs if i == 4} == {1 - own}
+    assert {(r["doc_id"], r["label"], round(r["share"], 3)) for r in licenses.matching_blocks(tokens, index).collect()} == {
+        (1, "own", 1.0), (2, "own", 0.8), (4, "other", 0.8)}
+
+
 def test_language(spark, docs_of, messy):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
