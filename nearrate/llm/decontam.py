@@ -5,6 +5,9 @@ Test items are cut into windows; the corpus frequencies of all test terms are
 counted, and each window is searched from its rarest terms: the posting lists
 of its two rarest terms, shifted by their offsets, are intersected on (document,
 start), and the survivors are compared with the document's words at that place.
+The lists meet within ``SLOP`` words, so the survivors give proximity matches too:
+places where the rarest term stands and each term of the window is found within
+``SLOP`` words of its own place (an exact phrase is one of them).
 Only lists that some window searches by are stored: a frequent word's list is
 never read, whatever its length.
 
@@ -21,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from nearrate.llm.common import BROADCAST_ROWS, TERM, lower_ascii, packed, saved, small, unpacked, words
+from nearrate.llm.common import TERM, lower_ascii, packed, saved, small, unpacked, words
 
 WINDOW = 10
 SLOP = 5
@@ -83,33 +86,43 @@ def candidates(index: DataFrame, windows: DataFrame, slop: int = SLOP) -> DataFr
              .select("doc_id", "key", "wid", (F.col("pos") - F.col("off1")).alias("start"), "term2", "off2")
              .where(F.col("start") >= 0))
     alone = first.where(F.col("term2").isNull()).select("doc_id", "key", "wid", "start", F.lit(True).alias("exact"))
-    a, b = first.where(F.col("term2").isNotNull()).alias("a"), index.alias("b")
+    # positions meet in blocks: a repeated term is compared with its neighbourhood alone
+    width = 4 * max(slop, 1)
+    due = F.col("start") + F.col("off2")
+    reach = F.sequence(F.floor((due - slop) / width), F.floor((due + slop) / width))
+    a = first.where(F.col("term2").isNotNull()).withColumn("place", F.explode(reach)).alias("a")
+    b = index.withColumn("place", F.floor(F.col("pos") / width)).alias("b")
     off = F.col("b.pos") - F.col("a.start") - F.col("a.off2")
-    both = (a.join(b, same_doc("a", "b") & (F.col("a.term2") == F.col("b.term")) & (F.abs(off) <= slop))
+    meet = same_doc("a", "b") & (F.col("a.term2") == F.col("b.term")) & (F.col("a.place") == F.col("b.place"))
+    both = (a.join(b, meet & (F.abs(off) <= slop))
             .groupBy("a.doc_id", "a.key", "a.wid", "a.start").agg(F.max(off == 0).alias("exact")))
     return both.unionByName(alone)
 
 
-def phrase_hits(docs: DataFrame, found: DataFrame, windows: DataFrame) -> DataFrame:
-    """Compare each exact candidate with the document's words: doc_id, key, hits
+def within(all_words: Column, wwords: Column, start: Column, slop: int) -> Column:
+    """Each word of a window stands within ``slop`` words of its place."""
+    def there(w, j):
+        low = F.greatest(start + j - slop, F.lit(0))
+        return F.array_contains(F.slice(all_words, low + 1, F.greatest(start + j + slop + 1 - low, F.lit(0))), w)
+    return F.forall(F.transform(wwords, there), lambda x: x)
+
+
+def phrase_hits(docs: DataFrame, found: DataFrame, windows: DataFrame, slop: int = SLOP) -> DataFrame:
+    """Compare each candidate with the document's words: doc_id, key, hits
     (start, end, items), n_near. ``found`` is a written table."""
     per_doc = (found.join(windows.select("wid", "wwords", "items"), "wid").groupBy("doc_id", "key")
-               .agg(F.collect_set(F.when(F.col("exact"), F.struct("start", "wwords", "items"))).alias("tried"),
-                    F.count_distinct("wid", "start").alias("n_near")))
-    ids = found.where("exact").select("doc_id", "key").distinct()
-    ids = saved(ids, "candidate-docs")
-    n = ids.count()
-    d = keyed(docs)
-    if n <= BROADCAST_ROWS:
-        d = d.alias("d").join(F.broadcast(ids).alias("i"), same_doc("d", "i"), "left_semi")
+               .agg(F.collect_set(F.struct("start", "wwords", "items")).alias("tried")))
+    ids = saved(found.select("doc_id", "key").distinct(), "candidate-docs")
+    # only candidates' texts are moved, however many they are
+    d = keyed(docs).alias("d").join(small(ids).alias("i"), same_doc("d", "i"), "left_semi")
     d = d.dropDuplicates(["doc_id", "key"]).withColumn("all", terms(F.col("text"))).drop("text")
     at = lambda c: F.slice(F.col("all"), c["start"] + 1, F.size(c["wwords"]))
     real = F.filter("tried", lambda c: at(c) == c["wwords"])
-    shaped = F.sort_array(F.transform("real", lambda c: F.struct(
+    near = F.filter("tried", lambda c: within(F.col("all"), c["wwords"], c["start"], slop))
+    shaped = F.sort_array(F.transform(real, lambda c: F.struct(
         c["start"].alias("start"), (c["start"] + F.size(c["wwords"])).alias("end"), c["items"].alias("items"))))
-    return (per_doc.alias("p").join(d.alias("d"), same_doc("p", "d"), "left").select("p.*", "d.all")
-            .withColumn("real", F.when(F.col("all").isNull(), F.slice("tried", 1, 0)).otherwise(real))
-            .select("doc_id", "key", "n_near", shaped.alias("hits")))
+    return (per_doc.alias("p").join(d.alias("d"), same_doc("p", "d")).select("p.*", "d.all")
+            .select("doc_id", "key", F.size(near).alias("n_near"), shaped.alias("hits")))
 
 
 def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = SLOP) -> DataFrame:
@@ -121,7 +134,7 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: in
                 .where(F.col("term").isNotNull()).unionByName(docs.sparkSession.createDataFrame([("",)], "term string")).distinct())
     index = saved(postings(docs, saved(searched, "searched-terms")), "postings")
     found = saved(candidates(index.where(F.col("term") != ""), rare, slop), "candidates")
-    hits = phrase_hits(docs, found, windows)
+    hits = phrase_hits(docs, found, windows, slop)
     ends = index.where(F.col("term") == "").select("doc_id", "key", F.col("pos").alias("n_words"))
     return ends.alias("e").join(hits.alias("h"), same_doc("e", "h"), "left").select("e.doc_id", "e.key", "e.n_words", "h.hits", "h.n_near")
 
@@ -158,8 +171,12 @@ lens AS (SELECT DISTINCT n FROM win),
 spot AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n),
 hit AS (SELECT DISTINCT spot.r, spot.i, spot.n, item_id FROM spot JOIN win ON win.n = spot.n AND win.s = array_to_string(spot.w[spot.i:spot.i + spot.n - 1], ' ')),
 pos AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r),
+cnt AS (SELECT t, count(*) AS c FROM (SELECT unnest(w) AS t FROM d) GROUP BY t),
+rare AS (SELECT s, n, min({'c': c, 't': t, 'o': o}) AS f FROM (SELECT DISTINCT s, n, unnest(string_split(s, ' ')) AS t, unnest(range(0, n)) AS o FROM win) JOIN cnt USING (t) GROUP BY s, n HAVING count(*) = n),
+spots AS (SELECT r, p - f.o AS b, string_split(s, ' ') AS v FROM (SELECT r, unnest(w) AS t, unnest(range(0, len(w))) AS p FROM d) AS x JOIN rare ON x.t = f.t WHERE p >= f.o),
+near AS (SELECT r, count(*) AS n_near FROM spots JOIN d USING (r) WHERE list_bool_and(list_transform(range(0, len(v)), lambda j: list_contains(w[greatest(b + j - 5, 0) + 1:b + j + 6], v[j + 1]))) GROUP BY r),
 it AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM hit GROUP BY r)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN pos USING (r) LEFT JOIN it USING (r)
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN pos USING (r) LEFT JOIN it USING (r) LEFT JOIN near USING (r)
 """

@@ -15,7 +15,7 @@ def op2_topk(spark, sf_dir):
 
 
 def op3_decontamination(spark, sf_dir):
-    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key", "n_near")
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
 
 
 def op4_substrings(spark, sf_dir):

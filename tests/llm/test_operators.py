@@ -105,6 +105,29 @@ def test_decontamination(spark, docs_of, messy):
     assert decontam.report(docs_of(messy).limit(0), df).count() == 0
 
 
+def test_decontamination_proximity(spark, docs_of):
+    rng = random.Random(3)
+    item = [f"w{i}" for i in range(14)]
+    swapped = item[:]
+    swapped[3], swapped[6] = swapped[6], swapped[3]
+    texts = [" ".join(item), " ".join(swapped), " ".join(item[:7] + ["x"] * 4 + item[7:]), " ".join(item[:7] + ["x"] * 6 + item[7:]),
+             " ".join(item[4:]), " ".join(reversed(item)), "a b " * 3000, "a " * 40 + "b " * 40, None, ""]
+    texts += [" ".join(rng.choice([*item, "a", "b"]) for _ in range(200)) for _ in range(6)]
+    bench = [(1, " ".join(item)), (2, "a b a b a b a b a b a"), (3, "b a"), (4, "w3"), (5, None)]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0])]
+    ws = [(i, TERM.findall((t or "").translate(LOW))) for i, t in docs]
+    count = Counter(x for _, w in ws for x in w)
+    windows = {tuple(v[a : a + 10]) for _, y in bench for v in [TERM.findall(y or "")] for a in range(max(len(v) - 9, 1) if v else 0)}
+    got = {r["doc_id"]: r["n_near"] for r in rows(decontam.report(docs_of(docs), spark.createDataFrame(bench, "item_id long, text string")))}
+    for i, w in ws:
+        n = 0
+        for win in windows:
+            _, term, off = min((count[x], x, o) for o, x in enumerate(win))
+            n += sum(all(x in w[max(p - off + j - 5, 0) : p - off + j + 6] for j, x in enumerate(win)) for p in range(off, len(w)) if w[p] == term)
+        assert got[i] == n, i
+    assert got[0] == 6 and got[1] == 6 and got[5] < 6 and got[6] > 5000
+
+
 def test_repeats(docs_of, messy):
     got = {(r["doc_id"], r["n_words"]): r for r in rows(repeats.deduplicate(docs_of(messy)))}
     first = {}
