@@ -4,14 +4,14 @@ Bytes go through filters of several widths, each filter keeps its maximum over
 a fixed-length window, and a softmax over those maxima gives the language. It is
 trained in numpy, with Adam, on a bounded sample of labelled documents
 (``TRAIN_DOCS``, the smallest by a hash of doc_id, the same number for every
-language), and applied to all windows of every whole text in Arrow batches; a
+language; of each, ``TRAIN_WINDOWS`` windows spread over the whole text), and applied to all windows of every whole text in Arrow batches; a
 document's probabilities are the mean of its windows' log probabilities.
 
 A filter of width w over one-hot bytes is a sum of w table rows; for scoring the
 tables of two neighbouring bytes are added beforehand.
 
 Defined cases: null text and text without a letter get ``und`` and score 0, as
-does every text when no labelled row exists; with one learned language it is
+does every text when no labelled row with text exists; with one learned language it is
 always that; ties go to the smaller language name; equal texts get equal
 results; an empty table gives no rows; other columns are never read.
 """
@@ -31,9 +31,12 @@ TRAIN_WINDOWS = 4
 UNKNOWN = "und"
 
 
-def windows_of(text: bytes, window: int = WINDOW) -> list[bytes]:
-    """The whole text in windows of equal length; the last is padded by zeros."""
-    return [text[a : a + window].ljust(window, b"\0") for a in range(0, len(text), window)]
+def spread_windows(text: bytes, most: int = TRAIN_WINDOWS, window: int = WINDOW) -> list[bytes]:
+    """``most`` of the whole text's windows, evenly spread from its first to its
+    last (all, if it has no more); the last is padded by zeros."""
+    n = -(-len(text) // window)
+    chosen = range(n) if n <= most else [i * (n - 1) // (most - 1) for i in range(most)]
+    return [text[i * window : (i + 1) * window].ljust(window, b"\0") for i in chosen]
 
 
 class ByteNet:
@@ -117,23 +120,27 @@ def fit(docs: DataFrame, per_language: int = TRAIN_DOCS) -> ByteNet | None:
     names = sorted(total)
     if not names:
         return None
-    # characters from the middle of each document, a fixed number of them
-    n, span = F.length("text"), WINDOW * TRAIN_WINDOWS
-    piece = F.substring("text", F.greatest(F.lit(1), F.floor((n - span) / 2)).cast("int"), F.lit(span))
     # a hash threshold leaves a few times the wanted number, of which the smallest hashes count
     part = F.create_map(*[x for name in names for x in (F.lit(name), F.lit(min(1.0, 3.0 * per_language / total[name])))])
     h = F.xxhash64("doc_id", F.lit(5))
-    some = (known.where(F.pmod(h, F.lit(1 << 20)) < part[F.col("lang")] * (1 << 20)).select("lang", h.alias("h"), piece.alias("t"))
-            .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "t"))).where(F.col("n") <= per_language))
-    rows = sorted((r["lang"], r["h"], r["t"]) for r in some.collect())
-    x, y = [], []
-    for name, _, t in rows:
-        for w in windows_of(t.encode())[:TRAIN_WINDOWS]:
-            x.append(np.frombuffer(w, np.uint8))
-            y.append(names.index(name))
+    some = known.where(F.pmod(h, F.lit(1 << 20)) < part[F.col("lang")] * (1 << 20)).select("lang", h.alias("h"), "text")
+
+    def spread(batches):
+        import pyarrow as pa
+        for b in batches:
+            chosen = [spread_windows(t or b"") for t in byte_list(b.column("text"))]
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("h"), pa.array(chosen, pa.list_(pa.binary()))], names=["lang", "h", "w"])
+
+    some = (some.mapInArrow(spread, "lang string, h long, w array<binary>").where(F.size("w") > 0)
+            .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "w"))).where(F.col("n") <= per_language))
+    # per_language * TRAIN_WINDOWS windows of a language at most
+    rows = sorted((r["lang"], r["h"], [bytes(w) for w in r["w"]]) for r in some.collect())
+    x = [np.frombuffer(w, np.uint8) for _, _, ws in rows for w in ws]
+    y = [names.index(name) for name, _, ws in rows for _ in ws]
+    if not x:
+        return None
     net = ByteNet(names)
-    if x:
-        net.train(np.stack(x), np.array(y))
+    net.train(np.stack(x), np.array(y))
     net.prepare()
     return net
 

@@ -9,8 +9,9 @@ once, by its heaviest entry. A document's weight, its number of matches and both
 per number of words go through a logistic curve fitted on the same documents.
 
 The lexicon is learned from at most ``TRAIN_DOCS`` labelled documents of either
-label (by a hash of doc_id) and has at most ``ENTRIES`` entries; every whole text
-of the table is scored.
+label (by a hash of doc_id): entries of ``LEAST_DOCS`` toxic documents whose log odds
+stay high with ``CONFIDENCE`` standard errors taken off, at most ``ENTRIES``, those
+of the highest such bound; every whole text of the table is scored.
 
 Defined cases: null and empty text have no matches and the score of such a text;
 without labelled toxic documents the lexicon is empty and all scores are 0;
@@ -30,7 +31,9 @@ from pyspark.sql import DataFrame, functions as F
 from nearrate.llm.common import byte_list, remainder
 
 TRAIN_DOCS = 6000
-ENTRIES = 600
+ENTRIES = 5000
+#: Documents that an entry needs, and standard errors taken off its log odds.
+LEAST_DOCS, CONFIDENCE = 3, 1.64
 STEMS = (4, 5, 6, 7)
 THRESHOLD = 0.3
 #: Characters that stand for a letter (Cyrillic, Greek, full width, digits, signs).
@@ -52,7 +55,7 @@ def fold(text: str) -> list[str]:
 
 def entries_of(ws: set[str]) -> set[str]:
     """Lexicon entries that a document could have: ' word ' and ' stem'."""
-    out = {f" {w} " for w in ws if len(w) >= 3}
+    out = {f" {w} " for w in ws}
     for n in STEMS:
         out.update(" " + w[:n] for w in ws if len(w) > n)
     return out
@@ -137,8 +140,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DOCS) -> Scor
         return Scorer({})
     n_bad, n_good = head["bad"], head["good"]
     odds = F.log((F.col("bad") + 0.5) / (n_bad + 1)) - F.log((F.col("good") + 0.5) / (n_good + 1))
-    chosen = (counted.where((F.col("entry") != "") & (F.col("bad") >= max(3, 0.01 * n_bad))).withColumn("odds", odds)
-              .where(F.col("odds") > 3).orderBy(F.desc("bad"), "entry").limit(ENTRIES).collect())
+    sure = F.col("odds") - CONFIDENCE * F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
+    chosen = (counted.where((F.col("entry") != "") & (F.col("bad") >= LEAST_DOCS)).withColumn("odds", odds).withColumn("sure", sure)
+              .where((F.col("odds") > 3) & (F.col("sure") > 1)).orderBy(F.desc("sure"), "entry").limit(ENTRIES).collect())
     counted.unpersist()
     scorer = Scorer({r["entry"]: float(r["odds"]) for r in chosen})
 

@@ -312,11 +312,65 @@ def test_language(spark, docs_of, messy):
     assert odd[1]["lang_pred"] == odd[2]["lang_pred"] and all(odd[i]["held_out"] == (mod(i, 5) == 0) for i in odd)
     none = docs_of([(1, "abc"), (2, None)])
     assert {r["lang_pred"] for r in rows(language.identify(none))} == {"und"}
+    empty = docs_of([(i, "", "en") for i in range(9)] + [(9, "abc")])
+    assert {r["lang_pred"] for r in rows(language.identify(empty))} == {"und"}
     kept = language.keep_identified(docs_of(messy))
     assert kept.columns == docs_of(messy).columns and not {4, 5, 6, 12} & {r["doc_id"] for r in kept.collect()}
     assert language.identify(none.limit(0)).count() == 0
 
 
+def test_language_network_against_plain_convolution():
+    rng = np.random.default_rng(2)
+    net = language.ByteNet(["a", "b", "c"])
+    x = rng.integers(0, 256, (40, language.WINDOW)).astype(np.uint8)
+    net.train(x, rng.integers(0, 3, 40))
+    net.prepare()
+    got = net.log_probabilities(x)
+    for row, lp in zip(x, got):
+        hidden = []
+        for table in net.tables:
+            one_hot = np.eye(256)[row]
+            at = [sum(one_hot[p + j] @ table[j] for j in range(len(table))) for p in range(len(row) - len(table) + 1)]
+            hidden.append(np.maximum(np.max(at, 0), 0))
+        z = np.concatenate(hidden) @ net.out + net.bias
+        assert np.allclose(lp, z - np.log(np.exp(z - z.max()).sum()) - z.max(), atol=1e-3)
+
+
+def test_language_trains_on_windows_from_all_of_a_text():
+    text = bytes(range(1, 200)) * 9
+    cut = [text[a : a + 128].ljust(128, b"\0") for a in range(0, len(text), 128)]
+    got = language.spread_windows(text)
+    assert got[0] == cut[0] and got[-1] == cut[-1] and len(got) == language.TRAIN_WINDOWS and all(w in cut for w in got)
+    assert language.spread_windows(text[:300]) == [text[:128], text[128:256], text[256:300].ljust(128, b"\0")] and language.spread_windows(b"") == []
+
+
+def test_toxicity_matcher_against_plain_search():
+    rng = random.Random(4)
+    pool = ["".join(rng.choice("abe") for _ in range(rng.randint(1, 7))) for _ in range(60)]
+    weights = {f" {w} " if i % 2 else " " + w: 1.0 + i for i, w in enumerate(pool[:24])}
+    exceptions = [f"{pool[1]} {pool[30]}", f"{pool[40]} {pool[3]}"]
+    s = toxicity.Scorer(weights, exceptions=exceptions)
+    for _ in range(200):
+        ws = [rng.choice(pool) for _ in range(rng.randint(0, 30))]
+        free = {k for i in range(len(ws) - 1) if f"{ws[i]} {ws[i + 1]}" in exceptions for k in (i, i + 1)}
+        best = [max([v for e, v in weights.items() if (e == f" {w} " if e.endswith(" ") else w.startswith(e[1:]))], default=0)
+                for i, w in enumerate(ws) if i not in free]
+        best = [b for b in best if b]
+        n = max(len(ws), 1)
+        assert s.features(" ".join(ws)) == pytest.approx((math.log1p(sum(best)), math.log1p(len(best)), math.log1p(100 * sum(best) / n), math.log1p(100 * len(best) / n)))
+
+
+def test_toxicity_learns_rare_words(spark):
+    rng = random.Random(5)
+    rare = [f"vile{a}{b}" for a in "abcdefgh" for b in "klmnopqr"]
+    rows_ = [(i, i % 2, " ".join(rng.choice(["the", "a", "sun", "rain"]) for _ in range(20)) + (" " + rare[i // 2 % 64] if i % 2 else "")) for i in range(6000)]
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows_], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, y, _ in rows_], "doc_id long, toxic int")
+    scorer = toxicity.fit(docs, labels)
+    assert sum(f" {toxicity.fold(w)[0]} " in scorer.weights for w in rare) == 64  # each in 1 of 64 toxic documents
+    assert min(scorer.score("the sun " + w) for w in rare) > 0.3 > scorer.score("the sun rain")
+
+
 def test_toxicity(spark, docs_of, messy):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.detect(docs, labels).join(labels, "doc_id").toPandas()
