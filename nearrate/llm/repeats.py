@@ -1,23 +1,32 @@
 """Substring deduplication (operator 4) with prefix-partitioned suffix trees.
 
 A suffix is a window of ``LENGTH`` words; the question is which windows start in
-a document with a smaller id as well. Suffixes are split by prefixes, words that
-they must share: the prefix of a window is its smallest fingerprint of ``PREFIX``
-consecutive words, so equal windows have equal prefixes and neighbouring windows
-mostly the same one. Prefixes are counted over all documents; one that stands in
-a single document has no inner node and is dropped, which leaves the repeated
-parts of the corpus. Where a prefix is shared it is lengthened: consecutive
-windows under one prefix form a branch whose label is the whole run of words that
-they span. Equal branches are merged into one with the smallest document
-(aggregated before the shuffle, so thousands of copies cost one row per task);
-only the distinct branches are opened into their suffixes, the nodes of depth
-``LENGTH`` - fingerprints of the window's words - and an inner node is one whose
-leaves lie in two documents or more. Runs of repeated suffixes are the maximal
-repeats.
-
-Groups never meet in one task: branches and nodes are aggregates, hot ones are
-combined on the map side, and the joins back are ones that adaptive execution
-can split. Fingerprints have 64 bits.
+a document with a smaller id as well.
+
+1. Suffixes are split by prefixes, words that they must share: the prefix of a
+   window is the smallest fingerprint of ``PREFIX`` consecutive words in it, so
+   equal windows have equal prefixes and neighbouring windows mostly the same
+   one. Prefixes are counted over all documents; one that stands in a single
+   document has no inner node and is dropped.
+2. Consecutive windows under one shared prefix form a branch, whose label is the
+   run of words that they span. Equal branches are merged into one with the
+   smallest document (aggregated before the shuffle, so thousands of copies
+   cost one row per task).
+3. The suffixes of the distinct branches under each prefix are counted. Up to
+   ``GROUP`` of them are a group, which one task can hold; under a prefix with
+   more, all are cut again by a prefix of twice the length, and so on. What is
+   still too many under a prefix of almost the whole window is joined as a
+   table of nodes of depth ``LENGTH``, which needs no group at all.
+4. Each group's suffix tree is built top-down: its suffixes are split by their
+   next words, edge by edge, and a node whose leaves lie in one document is
+   closed, as no repeat is below it. Nodes that are open at depth ``LENGTH`` are
+   the repeats; their leaves outside the smallest document are marked, and
+   runs of marked neighbours are the maximal repeats.
+
+A group never has more than ``GROUP`` suffixes, however common its words are;
+everything else is aggregates that combine on the map side and joins that
+adaptive execution can split. Words and edges are compared by 64-bit
+fingerprints.
 
 Defined cases: null text has no words; a document of fewer than ``LENGTH`` words
 is kept whole; a row with a null doc_id is kept whole and no source of others;
@@ -36,6 +45,8 @@ from nearrate.llm.common import BROADCAST_ROWS, byte_list, own_exchange, saved
 from nearrate.llm.text import Runs, chunks, mix, sliding_min, word_hashes
 
 LENGTH, PREFIX = 50, 12
+#: Suffixes that one task holds as a tree (about 100 bytes each), and windows in one branch.
+GROUP, BRANCH = 16384, 512
 
 
 def window_prefixes(words: np.ndarray, offsets: np.ndarray, length: int, prefix: int):
@@ -67,9 +78,29 @@ def prefixes(docs: DataFrame, length: int, prefix: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(task, "prefix long, doc_id long")
 
 
+def cut_branches(start: np.ndarray, text: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where branches begin among the windows, and their numbers of windows:
+    neighbours under one prefix, at most ``BRANCH`` of them."""
+    cut = np.ones(len(start), bool)
+    cut[1:] = (start[1:] != start[:-1] + 1) | (least[1:] != least[:-1]) | (text[1:] != text[:-1])
+    begin = np.flatnonzero(cut)
+    rank = np.arange(len(start)) - np.repeat(begin, np.diff(np.append(begin, len(start))))
+    begin = np.flatnonzero(rank % BRANCH == 0)
+    return begin, np.diff(np.append(begin, len(start)))
+
+
+def word_lists(words: np.ndarray, first: np.ndarray, count: np.ndarray):
+    """An Arrow array of lists: ``count`` words from ``first`` on."""
+    import pyarrow as pa
+    ends = np.concatenate(([0], np.cumsum(count)))
+    flat = np.repeat(first - ends[:-1], count) + np.arange(ends[-1])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words[flat].view(np.int64)))
+
+
 def branches(docs: DataFrame, length: int, prefix: int) -> DataFrame:
     """``docs`` with an array ``shared`` of prefixes -> the branches under those
-    prefixes: label, doc_id, key, first (start of its first suffix), nodes."""
+    prefixes: label, prefix, doc_id, key, first (start of its first suffix),
+    words (hashes of the words that its suffixes span)."""
     def task(batches):
         import pyarrow as pa
         for b in batches:
@@ -87,22 +118,164 @@ def branches(docs: DataFrame, length: int, prefix: int) -> DataFrame:
                 start, text, least = start[live], text[live], least[live]
                 if not len(start):
                     continue
-                cut = np.ones(len(start), bool)
-                cut[1:] = (start[1:] != start[:-1] + 1) | (least[1:] != least[:-1]) | (text[1:] != text[:-1])
-                begin = np.flatnonzero(cut)
-                size = np.diff(np.append(begin, len(start)))
-                node = runs(start, length)
+                begin, size = cut_branches(start, text, least)
                 rank = np.arange(len(start)) - np.repeat(begin, size)
-                label = mix(np.add.reduceat(mix(node ^ mix(rank.astype(np.uint64))), begin) + size.astype(np.uint64))
-                nodes = pa.ListArray.from_arrays(pa.array(np.append(begin, len(start)), pa.int32()), pa.array(node.view(np.int64)))
+                label = mix(np.add.reduceat(mix(runs(start, length) ^ mix(rank.astype(np.uint64))), begin) + size.astype(np.uint64))
+                of = text[begin]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(label.view(np.int64)), pa.array(ids[i:j][text[begin]], pa.int64()), pa.array(keys[i:j][text[begin]], pa.int64()),
-                     pa.array((start[begin] - offsets[text[begin]]).astype(np.int32)), nodes], names=["label", "doc_id", "key", "first", "nodes"])
+                    [pa.array(label.view(np.int64)), pa.array(least[begin].view(np.int64)), pa.array(ids[i:j][of], pa.int64()),
+                     pa.array(keys[i:j][of], pa.int64()), pa.array((start[begin] - offsets[of]).astype(np.int32)),
+                     word_lists(words, start[begin], size + length - 1)], names=["label", "prefix", "doc_id", "key", "first", "words"])
+
+    return docs.select("doc_id", "key", "text", "shared").mapInArrow(
+        task, "label long, prefix long, doc_id long, key long, first int, words array<bigint>")
+
+
+PARTS = "label long, base int, least long, prefix long, words array<bigint>"
+
+
+def lengthened(parts: DataFrame, length: int, prefix: int) -> DataFrame:
+    """Parts of branches (``PARTS``), cut again by prefixes of ``prefix`` words."""
+    def task(batches):
+        import pyarrow as pa
+        for b in batches:
+            offsets, words = list_column(b.column("words"))
+            start, text, least, _ = window_prefixes(words, offsets, length, prefix)
+            begin, size = cut_branches(start, text, least)
+            of = text[begin]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("label").take(pa.array(of)), pa.array((b.column("base").to_numpy()[of] + start[begin] - offsets[of]).astype(np.int32)),
+                 b.column("least").take(pa.array(of)), pa.array(least[begin].view(np.int64)), word_lists(words, start[begin], size + length - 1)],
+                names=["label", "base", "least", "prefix", "words"])
+
+    return parts.select("label", "base", "least", "prefix", "words").mapInArrow(task, PARTS)
+
+
+def list_column(column) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets from 0 and values of an Arrow list column of word hashes."""
+    offsets = np.asarray(column.offsets).astype(np.int64)
+    return offsets - offsets[0], np.asarray(column.flatten()).view(np.uint64)
+
+
+def open_nodes(group: np.ndarray, least: np.ndarray, offsets: np.ndarray, words: np.ndarray, length: int):
+    """The suffix trees of whole groups. Part i belongs to ``group[i]``, stands
+    in document ``least[i]`` and spans words[offsets[i]:offsets[i + 1]]. Returns the
+    suffixes (part, offset in it) that end in a node of depth ``length`` whose
+    smallest document is another one."""
+    size = np.maximum(np.diff(offsets) - length + 1, 0)
+    part = np.repeat(np.arange(len(group)), size)
+    off = np.arange(len(part)) - np.repeat(np.cumsum(size) - size, size)
+    node, at, doc = group[part], offsets[part] + off, least[part]
+    runs, depth, edge = Runs(words), 0, 2
+    lowest = doc
+    while len(part) and depth < length:
+        edge = min(edge, length - depth)
+        label = runs(at + depth, edge)
+        order = np.lexsort((label, node))
+        node, label, part, off, at, doc = (x[order] for x in (node, label, part, off, at, doc))
+        new = np.ones(len(node), bool)
+        new[1:] = (node[1:] != node[:-1]) | (label[1:] != label[:-1])
+        begin = np.flatnonzero(new)
+        node = np.cumsum(new)
+        low, high = np.minimum.reduceat(doc, begin), np.maximum.reduceat(doc, begin)
+        alive = (low < high)[node - 1]
+        lowest = low[node - 1][alive]
+        node, part, off, at, doc = (x[alive] for x in (node, part, off, at, doc))
+        depth, edge = depth + edge, edge * 2
+    later = doc > lowest
+    return part[later], off[later]
+
+
+def trees(groups: DataFrame, length: int) -> DataFrame:
+    """Parts in whole groups -> (label, offs), the marked suffixes of a branch."""
+    def task(batches):
+        import pyarrow as pa
+        held = None
+        for b in _then_none(batches):
+            if b is not None:
+                b = pa.Table.from_batches([b])
+                held = b if held is None else pa.concat_tables([held, b])
+            if held is None:
+                continue
+            prefix = held.column("prefix").to_numpy()
+            # the last group may go on in the next batch
+            whole = held.num_rows if b is None else int(np.searchsorted(prefix, prefix[-1])) if len(prefix) else 0
+            done, held = held.slice(0, whole).combine_chunks(), held.slice(whole)
+            for i, j in _slices(prefix[:whole]):
+                now = done.slice(i, j - i)
+                offsets, words = list_column(now.column("words").combine_chunks())
+                least, label, base = (now.column(n).to_numpy() for n in ("least", "label", "base"))
+                part, off = open_nodes(prefix[i:j], least, offsets, words, length)
+                order = np.lexsort((off, part))
+                part, off = part[order], off[order]
+                mine, begin = np.unique(part, return_index=True)
+                ends = np.append(begin, len(part))
+                offs = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array((base[part] + off).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([pa.array(label[mine]), offs], names=["label", "offs"])
+
+    return groups.select("label", "base", "least", "prefix", "words").mapInArrow(task, "label long, offs array<int>")
+
+
+def _then_none(batches):
+    yield from batches
+    yield None
+
+
+def _slices(prefix: np.ndarray, rows: int = 512):
+    """Ranges of about ``rows`` rows that do not cut a group."""
+    i = 0
+    while i < len(prefix):
+        j = min(i + rows, len(prefix))
+        j = int(np.searchsorted(prefix, prefix[j - 1], side="right"))
+        yield i, j
+        i = j
+
+
+def deepest(parts: DataFrame, length: int) -> DataFrame:
+    """Parts under prefixes that stay too common -> (label, offs), from a table of
+    nodes of depth ``length``: an aggregate and a join, no group."""
+    def task(batches):
+        import pyarrow as pa
+        for b in batches:
+            offsets, words = list_column(b.column("words"))
+            start, text, _, runs = window_prefixes(words, offsets, length, length)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("label").take(pa.array(text)), pa.array((b.column("base").to_numpy()[text] + start - offsets[text]).astype(np.int32)),
+                 b.column("least").take(pa.array(text)), pa.array(runs(start, length).view(np.int64))], names=["label", "off", "least", "node"])
+
+    leaves = parts.select("label", "base", "least", "words").mapInArrow(task, "label long, off int, least long, node long")
+    inner = leaves.groupBy("node").agg(F.min("least").alias("a"), F.max("least").alias("b")).where("a < b").select("node", "a")
+    return (leaves.join(own_exchange(inner, "node"), "node").where(F.col("least") > F.col("a"))
+            .groupBy("label").agg(F.collect_set("off").alias("offs")))
+
+
+def sized_groups(parts: DataFrame, length: int) -> DataFrame:
+    """Parts under prefixes of several documents, with ``n``, the prefix's suffixes."""
+    windows = (F.size("words") - F.lit(length - 1)).cast("long")
+    sizes = (parts.groupBy("prefix").agg(F.sum(windows).alias("n"), F.min("least").alias("a"), F.max("least").alias("b"))
+             .where("a < b").select("prefix", "n"))
+    return parts.join(own_exchange(sizes, "prefix"), "prefix")
+
 
-    return docs.select("doc_id", "key", "text", "shared").mapInArrow(task, "label long, doc_id long, key long, first int, nodes array<bigint>")
+def marked(parts: DataFrame, length: int, prefix: int, group: int) -> DataFrame:
+    """(label, offs): the suffixes of distinct branches that another branch of a
+    smaller document has too."""
+    found = None
+    while True:
+        sized = saved(sized_groups(parts, length), "groups")
+        mine = trees(sized.where(F.col("n") <= group).repartition("prefix").sortWithinPartitions("prefix"), length)
+        found = mine if found is None else found.unionByName(mine)
+        parts, prefix = sized.where(F.col("n") > group), 2 * prefix
+        if parts.isEmpty():
+            break
+        if prefix >= length:
+            found = found.unionByName(deepest(parts, length))
+            break
+        parts = saved(lengthened(parts, length, prefix), "lengthened")
+    return found.groupBy("label").agg(F.sort_array(F.flatten(F.collect_list("offs"))).alias("offs"))
 
 
-def repeated_suffixes(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX) -> DataFrame:
+def repeated_suffixes(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX, group: int = GROUP) -> DataFrame:
     """(doc_id, key, starts): runs (first, n) of the suffixes of a document that
     also start in one with a smaller id. ``key`` is a hash of the text."""
     known = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -116,15 +289,11 @@ def repeated_suffixes(docs: DataFrame, length: int = LENGTH, prefix: int = PREFI
     source = source.withColumn("key", F.xxhash64("text")).join(per_doc, "doc_id")
     leaves = saved(branches(source, length, prefix), "branches")
 
-    merged = leaves.groupBy("label").agg(F.min(F.struct("doc_id", "nodes")).alias("m"))
-    merged = merged.select("label", F.col("m.doc_id").alias("least"), "m.nodes")
-    suffixes = merged.select("label", "least", F.posexplode("nodes").alias("off", "node"))
-    inner = suffixes.groupBy("node").agg(F.min("least").alias("a"), F.max("least").alias("b")).where("a < b").select("node", "a")
-    again = (suffixes.join(own_exchange(inner, "node"), "node").where(F.col("least") > F.col("a"))
-             .groupBy("label").agg(F.sort_array(F.collect_set("off")).alias("offs")))
-    whole = leaves.groupBy("label").agg(F.min("doc_id").alias("least"))
-    marks = own_exchange(whole.join(again, "label", "left"), "label")
-    slim = leaves.select("label", "doc_id", "key", "first", F.size("nodes").alias("size"))
+    merged = leaves.groupBy("label").agg(F.min(F.struct("doc_id", "prefix", "words")).alias("m"))
+    parts = saved(merged.select("label", F.lit(0).alias("base"), F.col("m.doc_id").alias("least"), "m.prefix", "m.words"), "distinct-branches")
+    again = marked(parts, length, prefix, group)
+    marks = own_exchange(parts.select("label", "least").join(again, "label", "left"), "label")
+    slim = leaves.select("label", "doc_id", "key", "first", (F.size("words") - F.lit(length - 1)).alias("size"))
     runs = F.when(F.col("doc_id") > F.col("least"), F.array(F.struct(F.col("first"), F.col("size").alias("n")))).otherwise(
         F.transform("offs", lambda o: F.struct((F.col("first") + o).alias("first"), F.lit(1).alias("n"))))
     return (slim.join(marks, "label").select("doc_id", "key", runs.alias("runs")).where(F.size("runs") > 0)
@@ -139,10 +308,10 @@ def covered(n: int, first: np.ndarray, count: np.ndarray, length: int) -> np.nda
     return np.cumsum(edge[:n]) > 0
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX, texts: bool = True) -> DataFrame:
+def deduplicate(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX, texts: bool = True, group: int = GROUP) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and, if ``texts``, kept: the words
     that stay, joined by one space."""
-    marks = saved(repeated_suffixes(docs, length, prefix), "repeats")
+    marks = saved(repeated_suffixes(docs, length, prefix, group), "repeats")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key"))
     marks = marks.withColumnsRenamed({"doc_id": "m_id", "key": "m_key"})
     here = (F.col("doc_id") == F.col("m_id")) & (F.col("key") == F.col("m_key"))

@@ -150,6 +150,61 @@ def test_repeats(docs_of, messy):
     assert repeats.deduplicate(docs_of(messy).limit(0)).count() == 0
 
 
+def repeats_plainly(made, length):
+    first = {}
+    for i, t in made:
+        w = words(t)
+        for p in range(len(w) - length + 1):
+            s = tuple(w[p : p + length])
+            first[s] = min(first.get(s, i), i)
+    out = {}
+    for i, t in made:
+        w = words(t)
+        out[i] = {q for p in range(len(w) - length + 1) if first[tuple(w[p : p + length])] < i for q in range(p, p + length)}
+    return {i: (len(words(t)), len(out[i]), " ".join(x for n, x in enumerate(words(t)) if n not in out[i])) for i, t in made}
+
+
+@pytest.mark.parametrize("group", [1, 60, 1 << 14])
+def test_repeats_in_groups_of_any_size(docs_of, monkeypatch, group):
+    """Groups that fit at once, after longer prefixes, and never."""
+    rng = random.Random(group)
+    passages = [[rng.choice("abcdefgh") for _ in range(rng.randint(30, 90))] for _ in range(6)]
+    made = []
+    for i in range(40):
+        w = []
+        for _ in range(rng.randint(1, 4)):
+            w += rng.choice(passages) if rng.random() < 0.7 else [f"x{rng.randint(0, 99)}" for _ in range(rng.randint(1, 60))]
+            if rng.random() < 0.5:
+                w[rng.randrange(len(w))] = "y"
+        made.append((i, " ".join(w)))
+    made += [(40, " ".join(["a"] * 1500)), (41, " ".join(["a"] * 700)), (42, " ".join(["a", "b"] * 60)), (43, " ".join(["b", "a"] * 60))]
+    sizes, real = [], repeats.trees
+
+    def trees(groups, length):
+        sizes.extend(r[0] for r in groups.groupBy("prefix").agg(F.sum(F.size("words") - F.lit(length - 1))).select("sum((size(words) - %d))" % (length - 1)).collect())
+        return real(groups, length)
+    monkeypatch.setattr(repeats, "trees", trees)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in rows(repeats.deduplicate(docs_of(made), 20, 5, group=group))}
+    assert got == repeats_plainly(made, 20)
+    assert all(n <= group for n in sizes) and (sizes or group == 1)
+
+
+def test_repeats_trees_against_plain_search():
+    from nearrate.llm.text import word_hashes
+    rng = random.Random(3)
+    parts = [[rng.choice("ab") for _ in range(rng.randint(3, 40))] for _ in range(60)]
+    group, least = np.array([rng.randint(0, 3) for _ in parts]), np.array([rng.randint(0, 9) for _ in parts])
+    hashes, offsets = word_hashes([" ".join(p).encode() for p in parts])
+    for length in (4, 7, 11):
+        lowest = {}
+        for g, d, p in zip(group, least, parts, strict=True):
+            for o in range(len(p) - length + 1):
+                s = (g, *p[o : o + length])
+                lowest[s] = min(lowest.get(s, d), d)
+        want = {(i, o) for i, p in enumerate(parts) for o in range(len(p) - length + 1) if lowest[(group[i], *p[o : o + length])] < least[i]}
+        assert set(zip(*(x.tolist() for x in repeats.open_nodes(group, least, offsets, hashes, length)), strict=True)) == want and want
+
+
 def test_jaccard(docs_of, messy):
     got = rows(jaccard.join(docs_of(messy)))
     sets = []
