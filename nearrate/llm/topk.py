@@ -16,7 +16,10 @@ scores. Each cell returns at most k rows per query; a window keeps the best.
 Defined cases: a null vector, or one with null or non-finite components, and a
 row with a null id take no part; vectors of unequal length compare as if padded
 with zeros; repeated ids are separate rows (a query skips only itself); fewer
-than k candidates give fewer rows; equal scores go to the smaller id.
+than k candidates give fewer rows; equal scores go to the smaller id. Finite
+components so large that an inner product could leave 64 bits (in size, the
+number of components times the square of the largest one reaches 2^63) fail
+with an error, as they do in SQL.
 """
 
 from __future__ import annotations
@@ -36,7 +39,10 @@ def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
     """(vec_id, row, v): ``row`` numbers repeated ids, v is array<long>."""
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     ok = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & fine
+    largest = F.array_max(F.transform("embedding", lambda x: F.abs(F.floor(x.cast("double") * scale).cast("double"))))
+    wide = F.size("embedding") * largest * largest >= F.lit(2.0**63)
     v = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("long"))
+    v = F.when(wide, F.raise_error(F.lit("components too large for integer scores of 64 bits")).cast("array<bigint>")).otherwise(v)
     number = F.row_number().over(Window.partitionBy("vec_id").orderBy(F.xxhash64("v")))
     return vectors.where(ok).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).withColumn("row", number)
 
@@ -58,6 +64,7 @@ def best_in_cell(q: np.ndarray, c: np.ndarray, same, k: int, step: int = 2048):
     ``c`` must be in id order; ``same`` lists (query, candidate) pairs to skip."""
     qf, cf = q.astype(np.float64), c.astype(np.float64)
     stats = [(*segment_stats(qf, s), *segment_stats(cf, s)) for s in LEVELS]
+    q_norm, c_norm = np.sqrt((qf**2).sum(1)), np.sqrt((cf**2).sum(1))
     own = {}
     for i, j in same:
         own.setdefault(i, set()).add(j)
@@ -76,7 +83,7 @@ def best_in_cell(q: np.ndarray, c: np.ndarray, same, k: int, step: int = 2048):
             if not len(rows):
                 break
             bound = qm[rows] @ cm[lo:hi].T + qd[rows] @ cd[lo:hi].T
-            bound += 1e-9 * np.abs(bound) + 1e-6
+            bound += 1e-9 * np.outer(q_norm[rows], c_norm[lo:hi]) + 1e-6  # rounding, also where terms cancel
             alive[rows] &= bound >= floor[rows, None]
             if np.isinf(floor[rows]).any() and len(rows):
                 # no threshold yet: score the k candidates with the best bounds
