@@ -80,7 +80,7 @@ def apportion(parties: DataFrame, group: list[str], key: str, votes: str, seats:
 
 def plan_mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: float = 2.0,
              block: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = 17) -> DataFrame:
-    """One row per document: doc_id, key (hash of the text), size, source_size,
+    """One row per document: doc_id, key (hash of the text), source, size, source_size,
     target, whole (times that the whole document is taken), first (its first
     word's place in the shard), picked (block numbers taken once more), taken.
     A block is taken at most ceil(cap) times."""
@@ -112,16 +112,19 @@ def plan_mix(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, cap: float
             .withColumn("picked", F.when(F.col("size") > 0, chosen).otherwise(F.array().cast("array<bigint>"))))
     part = F.aggregate("picked", F.lit(0).cast("long"), lambda acc, j: acc + F.least((j + 1) * block, at + F.col("size")) - F.greatest(j * block, at))
     return (laid.withColumn("taken", F.col("whole") * F.col("size") + part)
-            .select("doc_id", "key", "size", "source_size", "target", "taken", "whole", "first", "picked"))
+            .select("doc_id", "key", "source", "size", "source_size", "target", "taken", "whole", "first", "picked"))
 
 
 def mix_texts(docs: DataFrame, block: int = BLOCK_WORDS, **how) -> DataFrame:
     """The mix itself, with the columns of ``docs``: one row per copy taken of
-    a document; a copy that lacks blocks holds the words of its own blocks."""
+    a document; a copy that lacks blocks holds the words of its own blocks. Rows
+    with equal doc_id, text and source are all taken like the first of them in the
+    shard."""
     plan = plan_mix(docs, block=block, **how)
-    mine = plan.select(F.col("doc_id").alias("m_id"), F.col("key").alias("m_key"), F.col("whole").alias("m_whole"),
-                       F.col("first").alias("m_first"), F.col("picked").alias("m_picked"), F.col("size").alias("m_size"))
-    mine = mine.where(F.col("m_size") > 0).dropDuplicates(["m_id", "m_key"])
+    mine = (plan.where(F.col("size") > 0).groupBy(F.col("doc_id").alias("m_id"), F.col("key").alias("m_key"), F.col("source").alias("m_source"))
+            .agg(F.min(F.struct("first", "whole", "picked", "size")).alias("m")))
+    mine = mine.select("m_id", "m_key", "m_source", F.col("m.whole").alias("m_whole"), F.col("m.first").alias("m_first"),
+                       F.col("m.picked").alias("m_picked"), F.col("m.size").alias("m_size"))
     pieces = F.regexp_extract_all("text", F.lit(f"{WORD}{SPACES}*"), F.lit(0))
     at, size = F.col("m_first"), F.col("m_size")
     # bound to a lambda's variable, the pieces are cut once for a document, not once for a block
@@ -130,8 +133,8 @@ def mix_texts(docs: DataFrame, block: int = BLOCK_WORDS, **how) -> DataFrame:
         (F.least((j + 1) * block, at + size) - F.greatest(j * block, at)).cast("int")))), ""))
     part = F.when(F.size("m_picked") > 0, cut).otherwise(F.array().cast("array<string>"))
     copies = F.concat(F.array_repeat(F.col("text"), F.col("m_whole")), part)
-    joined = packed(docs, "doc_id", "text", F.xxhash64("text").alias("m_hash")).join(
-        mine, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("m_hash") == F.col("m_key")))
+    joined = packed(docs, "doc_id", "text", "source", F.xxhash64("text").alias("m_hash")).join(
+        mine, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("m_hash") == F.col("m_key")) & F.col("source").eqNullSafe(F.col("m_source")))
     out = joined.select("row_", F.explode(copies).alias("t_")).withColumn("row_", F.col("row_").withField("text", F.col("t_")))
     if "n_chars" in docs.columns:
         out = out.withColumn("row_", F.col("row_").withField("n_chars", F.length("t_").cast(docs.schema["n_chars"].dataType)))

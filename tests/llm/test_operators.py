@@ -20,12 +20,7 @@ rows = lambda df: [r.asDict() for r in df.collect()]
 mod = lambda i, m: zlib.crc32(("" if i is None else str(i)).encode()) % m
 
 
-def test_mixing(docs_of, messy):
-    got = rows(mixing.mixed(docs_of(messy)))
-    assert sorted(r["size"] for r in got) == sorted(len(words(t)) for _, t, *_ in messy)
-    size = defaultdict(int)
-    for _, t, _, s in messy:
-        size[s] += len(words(t))
+def targets_plainly(size):
     names = sorted(size, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
     target, left, open_ = dict.fromkeys(names, 0.0), 1.5 * sum(size.values()), set(names)
@@ -35,6 +30,17 @@ def test_mixing(docs_of, messy):
             target[s] = min(2 * size[s], before[s] + left * weight[s] / total)
         left -= sum(target[s] - before[s] for s in open_)
         open_ = {s for s in open_ if target[s] < 2 * size[s] - 1e-9}
+    return target
+
+
+def test_mixing(docs_of, messy):
+    got = rows(mixing.mixed(docs_of(messy)))
+    assert sorted(r["size"] for r in got) == sorted(len(words(t)) for _, t, *_ in messy)
+    size = defaultdict(int)
+    for _, t, _, s in messy:
+        size[s] += len(words(t))
+    target = targets_plainly(size)
+    names = list(target)
     by_size = {size[s]: target[s] for s in names}
     taken = defaultdict(int)
     for r in got:
@@ -77,6 +83,23 @@ def test_top_k(spark):
     assert topk.search(df.limit(0)).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    """Scores near the edge of 64 bits are exact, beyond it the query fails."""
+    rng = np.random.default_rng(5)
+    big = 2.0**21  # 256 * big squared, eight times, is under 2^63
+    vec = [(int(i), (np.round(rng.uniform(-1, 1, 8) * big) * rng.choice([-1, 1])).tolist()) for i in range(60)] + [(60, [big] * 8), (100, [big, -big] * 4)]
+    ok = [(i, [int(256 * x) for x in v]) for i, v in vec]
+    want = set()
+    for i, v in ok:
+        if i % 50 == 0:
+            s = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in ok if j != i)[:5]
+            want |= {(i, r + 1, j, -n) for r, (n, j) in enumerate(s)}
+    df = spark.createDataFrame(vec, "vec_id long, embedding array<double>")
+    assert {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.search(df).collect()} == want
+    with pytest.raises(Exception, match="too large"):
+        topk.search(spark.createDataFrame([(0, [1e300, 1.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")).collect()
+
+
 def test_decontamination(spark, docs_of, messy):
     t = {i: x for i, x, *_ in messy}
     item = words(t[7])
@@ -513,6 +536,92 @@ def test_pipeline_stages(spark, docs_of, messy):
     assert last.count() == docs.count()
 
 
+def without_near_copies(made):
+    """Of each component of documents that share 80% of five-word shingles the
+    smallest id; those without words all stay."""
+    sets = []
+    for _, t, *_ in made:
+        w = [x.translate(LOW) for x in words(t)]
+        sets.append({tuple(w[p : p + 5]) for p in range(max(len(w) - 4, 1))} if w else set())
+    root = list(range(len(made)))
+
+    def top(n):
+        return n if root[n] == n else top(root[n])
+    for a in range(len(made)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                root[top(a)] = top(b)
+    groups = defaultdict(list)
+    for n, row in enumerate(made):
+        groups[top(n)].append(row)
+    return [min(g, key=lambda r: (r[0] is None, r[0] or 0)) for g in groups.values()]
+
+
+def without_passages(made, items):
+    terms = lambda t: TERM.findall((t or "").translate(LOW))
+    windows = {tuple(w[p : p + 10]) for w in map(terms, items) if w for p in range(max(len(w) - 9, 1))}
+    holds = lambda w: any(tuple(w[p : p + n]) in windows for n in {len(x) for x in windows} for p in range(len(w) - n + 1))
+    return [r for r in made if not holds(terms(r[1]))]
+
+
+def test_pipeline_keeps_what_plain_python_keeps(spark, docs_of, messy, tmp_path):
+    """Each stage on all that the stage before it kept, then run()."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+    rng = random.Random(31)
+    text = lambda n: " ".join(f"{rng.choice('abcdefg')}{rng.choice('aeiou')}{rng.randint(0, 400)}" for _ in range(n))
+    passage, phrase = text(30), "Seven Rare words"
+    near = text(200).split()
+    more = [(100 + i, text(rng.randint(5, 90)), "en", "abc"[i % 3]) for i in range(12)]
+    more += [(130, f"{text(20)} {passage[:90]} {text(5)}", "en", "a"), (131, f"{text(9)} seven, RARE words! {text(9)}", "de", "b"), (132, f"seven rare {text(4)}", "fr", "c")]
+    more += [(140 + i, " ".join([*near[: 20 * i], "changed", *near[20 * i + 1 :]]), "en", "a") for i in range(4)] + [(150, "5 6 7 8", "en", "a")]
+    made, items = messy + more, [passage, phrase, None, "", passage]
+    folder = str(tmp_path)
+    docs_of(made).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(f"i{n}", t) for n, t in enumerate(items)], "item_id string, text string").write.parquet(f"{folder}/benchmark.parquet")
+
+    def stage(name, given):
+        out = dict(corpus_pipeline.STAGES)[name](spark, docs_of(given), folder)
+        assert out.columns == docs_of(given).columns
+        return [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in out.collect()]
+    # three languages: the likeliest always has a third, so that a letter is what counts
+    kept = [r for r in made if r[1] and any(c.isalpha() for c in r[1])]
+    assert Counter(stage("language", made)) == Counter(kept) and len(kept) < len(made)
+    before, kept = kept, without_near_copies(kept)
+    assert Counter(stage("near_copies", before)) == Counter(kept) and len(before) - len(kept) == 6
+    before, kept = kept, without_passages(kept, items)
+    assert Counter(stage("decontamination", before)) == Counter(kept) and {r[0] for r in before} - {r[0] for r in kept} == {130, 131}
+
+    mixed = stage("mixing", kept)
+    size, taken, of = defaultdict(int), defaultdict(int), {r[0]: r for r in kept}
+    for _, t, _, s in kept:
+        size[s] += len(words(t))
+    by_doc = Counter()
+    for i, t, lang, s in mixed:
+        assert (lang, s) == of[i][2:]
+        left = iter(words(of[i][1]))
+        assert all(w in left for w in words(t))  # words of the document, in order
+        taken[s] += len(words(t))
+        by_doc[i] += len(words(t))
+    assert all(n <= 2 * len(words(of[i][1])) for i, n in by_doc.items())
+    for s, n in targets_plainly(size).items():
+        assert abs(taken[s] - n) <= 2 * mixing.BLOCK_WORDS
+    assert Counter(stage("mixing", kept)) == Counter(mixed)
+
+    t = Tokenizer.from_file(tokenizer_path())
+    encoded = [(i, np.array([*t.encode(x or "", add_special_tokens=False).ids, 1], "<u4")) for i, x, *_ in mixed]
+    got = sorted(rows(corpus_pipeline.run(spark, folder)), key=lambda r: r["start"])
+    assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == Counter((i, len(e), zlib.crc32(e.tobytes())) for i, e in encoded)
+    assert [r["start"] for r in got] == np.cumsum([0] + [r["n_tokens"] for r in got[:-1]]).tolist()
+
+
+def test_pipeline_on_empty_tables(spark, docs_of, tmp_path):
+    import corpus_pipeline
+    docs_of([]).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline_drops_near_copies_from_80_percent_of_five_word_shingles(spark, docs_of):
     import corpus_pipeline
     rng = random.Random(12)
