@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all documents that the stage
 before it kept; its result is written as Parquet and read again by the next. All
-stages but the last return the columns of documents.
+stages but the last return the columns of documents, extra ones included, whatever
+their names. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -13,28 +14,35 @@ from nearrate.llm.queries import tokenizer_path
 
 
 def identify_language(spark, docs, sf_dir):
-    """Documents in an identified language; those without letters go."""
+    """Documents in an identified language; those without letters, null and empty
+    texts among them, go. Equal texts get equal decisions."""
     return language.keep_identified(docs)
 
 
 def drop_near_copies(spark, docs, sf_dir):
     """One document of each group of near copies: those that share at least 80%
-    of their shingles of five words (op8_jaccard has values of its own)."""
+    of their shingles of five words (op8_jaccard has values of its own): the one
+    with the smallest id, a null id last. Equal rows are copies like any other;
+    documents without words all stay."""
     return jaccard.keep_one(docs, k=5, percent=80)
 
 
 def drop_contaminated(spark, docs, sf_dir):
-    """Documents without a passage of a benchmark item."""
+    """Documents without a passage of a benchmark item. Null and empty texts and
+    items have no words; equal rows stay or go together."""
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark, docs, sf_dir):
-    """The mix of sources: whole copies and cut copies of documents."""
+    """The mix of sources: whole copies and cut copies of documents. A null source
+    is one of its own, documents without words are not taken, and equal rows are
+    all taken like the first of them."""
     return mixing.mix_texts(docs)
 
 
 def write_tokens(spark, docs, sf_dir):
-    """Token files of the mix, and what a reader finds in them."""
+    """Token files of the mix, and what a reader finds in them: in the order of
+    doc_id, nulls first; a null text is written as an empty one."""
     return tokens_out.round_trip(docs, tokenizer_path())
 
 
