@@ -490,6 +490,44 @@ def test_lm_shares_count_every_training_word(docs_of, monkeypatch):
     assert got == pytest.approx(want) and len(want) == 30
 
 
+def test_lm_model_is_trained_on_every_training_document(spark, docs_of, monkeypatch):
+    table = [(i, f"w{i} " * (i % 5 + 1)) for i in range(4000)]
+    docs = docs_of(table)
+    pieces = lm.training_pieces(docs, {}, tokenizer_path()).collect()
+    assert len(pieces) == 4000 and all(r["ids"][-1] == lm.END for r in pieces)
+    # over the rounds every window of a partition is taken, and none twice
+    rng = np.random.default_rng(3)
+    seq = rng.integers(0, lm.REST, 16 * 333).astype(lm.IDS)
+    seq[::16] = np.arange(333)  # the window's first wanted id names it
+    x, y = lm.windows_of(seq)
+    taken = []
+    monkeypatch.setattr(lm.AttentionModel, "gradient", lambda self, ids, want: taken.extend(want[:: lm.SCORED]) or {k: np.zeros_like(w) for k, w in self.p.items()})
+    for turn in range(4):
+        lm.AttentionModel().train(x, y, turn=turn, turns=4)
+    assert sorted(taken) == list(range(333))
+
+
+def test_lm_gradient():
+    model, rng = lm.AttentionModel(seed=2), np.random.default_rng(4)
+    model.p = {k: w * 5 for k, w in model.p.items()}
+    x, y = lm.windows_of(np.append(rng.integers(0, lm.CLASSES, 500), lm.END).astype(lm.IDS))
+    want = y.ravel().astype(int)
+
+    def loss():
+        model.prepare()
+        return -(model.log_likelihoods(x, np.maximum(want, 0)) * (want >= 0)).sum(dtype=float) / (want >= 0).sum()
+
+    g = model.gradient(x.astype(np.int64), want)
+    for name, w in model.p.items():
+        at = np.unravel_index(np.abs(g[name]).argmax(), w.shape)
+        mid, ends = w[at], []
+        for step in (0.02, -0.02):
+            w[at] = mid + np.float32(step)
+            ends.append(loss())
+        w[at] = mid
+        assert (ends[0] - ends[1]) / 0.04 == pytest.approx(g[name][at], rel=0.02), name
+
+
 def test_lm_rest_shares():
     rest = lm.RestShares({7: 0}, 6)  # ids 1 to 5 are in REST, 7 is a class
     for ids, times in (([1, 2, 7, 3], 9), ([2], 4), ([7, 1], 2)):
