@@ -2,8 +2,10 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from nearrate.operators import buckets as bk
+from nearrate.operators import features as fx
 from nearrate.operators import predictors as pr
 from nearrate.operators import products
 from nearrate.operators import similarity as sm
@@ -37,3 +39,28 @@ def test_same_results_however_pairs_are_dealt(spark, tiny, monkeypatch, block, k
     monkeypatch.setattr(products, "KEY_PAIRS", key)
     monkeypatch.setattr(products, "TASK_PAIRS", task)
     assert made() == want
+
+
+def test_similarities_of_the_same_requests_share_one_product(spark, tiny, monkeypatch):
+    train, test, _ = tiny
+    sizes, made = products._sizes, []
+    monkeypatch.setattr(products, "_sizes", lambda *a: made.append(1) or sizes(*a))
+    asked = pr.asked_deviations(train, fx.deviations(train), test, ("cosine", "jaccard"))
+    assert len(made) == 1
+    rows = lambda df: sorted((r.user_id, r.item_id, round(r.pred, 9)) for r in df.collect())
+    for kind in ("unit", "cosine", "jaccard"):
+        assert rows(pr.predict_personalized(train, test, kind, asked=asked)) == rows(pr.predict_personalized(train, test, kind))
+
+
+@pytest.mark.parametrize("shift, factor", [(-10**15, 1), (-3, 1 << 31), (7, -(1 << 40))])
+def test_ids_of_any_size_and_distance(spark, tiny, shift, factor):
+    train, test, _ = tiny
+    moved = lambda df, *ids: df.select(*[(F.col(c) * factor + shift).alias(c) if c in ids else c for c in df.columns])
+    back = lambda df: sorted(tuple(round((r[c] - shift) / factor if c in ("user_id", "other_id") else r[c], 9) for c in df.columns) for r in df.collect())
+    plain = lambda df: sorted(tuple(round(x, 9) for x in r) for r in df.collect())
+    far = moved(train, "user_id")
+    assert back(sm.cosine_similarity(far)) == plain(sm.cosine_similarity(train))
+    assert back(sm.jaccard_rows(far)) == plain(sm.jaccard_rows(train))
+    for kind in ("cosine", "jaccard"):
+        got, want = (pr.predict_personalized(a, b, kind).select("user_id", "item_id", "pred") for a, b in ((far, moved(test, "user_id")), (train, test)))
+        assert back(got) == plain(want)
