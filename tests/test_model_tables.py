@@ -87,3 +87,19 @@ def test_predictors_check_a_supplied_function(spark, tiny):
     key = lambda df: sorted((r.user_id, r.item_id, round(r.pred, 9)) for r in df.select("user_id", "item_id", "pred").collect())
     assert key(pr.predict_personalized(train, test, whole)) == key(pr.predict_personalized(train, test, "jaccard"))
     assert pr.knn_neighbours(train, 3, similarity=whole).orderBy("user_id", "rank").collect() == pr.knn_neighbours(train, 3, similarity="jaccard").orderBy("user_id", "rank").collect()
+
+
+def test_update_moves_old_cosines_only_for_many_touched_users(spark, tiny, monkeypatch):
+    train, _, _ = tiny
+    new = spark.createDataFrame([(7, 1, 4.0), (7, 3, 2.0), (1, 5, 1.0)], RATING_SCHEMA)
+    made = []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most in (1 << 20, 0):
+            monkeypatch.setattr(up, "BROADCAST_USERS", most)
+            cosines = up.append(up.fit(train), new).cosines
+            sent = re.findall(r"BroadcastHashJoin[^\n]*LeftAnti", cosines._jdf.queryExecution().executedPlan().toString())
+            made.append((len(sent) >= 2, sorted((r.user_id, r.other_id, round(r.sim, 9)) for r in cosines.collect())))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [m[0] for m in made] == [True, False] and made[0][1] == made[1][1]
