@@ -64,3 +64,18 @@ def test_ids_of_any_size_and_distance(spark, tiny, shift, factor):
     for kind in ("cosine", "jaccard"):
         got, want = (pr.predict_personalized(a, b, kind).select("user_id", "item_id", "pred") for a, b in ((far, moved(test, "user_id")), (train, test)))
         assert back(got) == plain(want)
+
+
+@pytest.mark.parametrize("block, key", [(2048, 1 << 22), (1, 1), (2, 3)])
+def test_requests_take_raters_to_the_neighbours_as_lists(spark, tiny, monkeypatch, block, key):
+    train, test, _ = tiny
+    dev, near = fx.deviations(train), pr.knn_neighbours(train, 3).where(F.col("rank") <= 3)
+    rows = lambda df: sorted(tuple(round(x, 9) for x in r) for r in df.select("user_id", "item_id", "num", "den").collect())
+    want = rows(pr.weighted_deviation(near.select("user_id", "other_id", "sim"), dev, test))
+    monkeypatch.setattr(products, "BLOCK_ROWS", block)
+    monkeypatch.setattr(products, "KEY_PAIRS", key)
+    made = pr.neighbour_deviation(near, dev, test)
+    assert want and rows(made) == want
+    assert not pair_exchanges(pr.predict_knn(train, test, 3, neighbours=near))
+    none = pr.neighbour_deviation(near, dev.limit(0), test)
+    assert none.count() == 0 and pr.neighbour_deviation(near.limit(0), dev, test).count() == 0
