@@ -744,3 +744,37 @@ def test_toxicity_folds_every_look_alike():
     for letter, alike in toxicity.LOOKS_LIKE.items():
         for x in alike.replace("!", ""):
             assert toxicity.fold(f"q{x}q") == toxicity.fold(f"Q{x.lower()}q") == [f"q{letter}q"], x
+
+
+def test_lm_training_encodes_no_more_text_at_once_than_scoring(spark, docs_of, monkeypatch):
+    """A batch of many texts is encoded in slices, whatever Arrow puts in a batch."""
+    from nearrate.llm import lm
+    from nearrate.llm.queries import tokenizer_path
+    from nearrate.llm.text import parts
+    import pyarrow as pa
+    texts = [None, "", "é" * 40, *["word " * k for k in range(30)], "x" * 500, None]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(len(texts))), "t": texts})
+    cut = list(parts(batch, "t", 200))
+    assert [x for _, t in cut for x in t] == [t if t is None else t.encode() for t in texts]
+    assert [n for p, _ in cut for n in p.column("n").to_pylist()] == list(range(len(texts)))
+    assert len(cut) > 10 and all(len(t) == 1 or sum(len(x or b"") + 1 for x in t) <= 200 for _, t in cut)
+    assert list(parts(batch.slice(0, 0), "t")) == []
+    sizes = spark.sparkContext.accumulator(0)
+    plain = lm.encoder
+
+    def watched(path):
+        made = plain(path)
+
+        class Watch:
+            tokenizer = made.tokenizer
+
+            def __call__(self, given):
+                sizes.add(sum(map(len, given)) > 2 << 20)
+                return made(given)
+
+        return Watch()
+
+    monkeypatch.setattr(lm, "encoder", watched)
+    docs = docs_of([(i, "ab cd " * 2500) for i in range(300)])
+    got = lm.training_pieces(docs.coalesce(1), {}, tokenizer_path())
+    assert got.count() == 300 and sizes.value == 0
