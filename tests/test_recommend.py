@@ -58,3 +58,26 @@ def test_kept_tables_are_released(spark, tiny):
         assert inside.storageLevel.useMemory
     assert not inside.storageLevel.useMemory and outside.storageLevel.useMemory
     outside.unpersist()
+
+
+def test_approximate_neighbours_of_targets_alone(spark):
+    """The rows of the target users, whether buckets are given, made or hold everyone."""
+    import random
+    from nearrate.operators import buckets as bk
+    from nearrate.operators.products import blocked_join
+    rnd = random.Random(5)
+    pairs = {(rnd.randrange(60), rnd.randrange(25)) for _ in range(500)}
+    train = spark.createDataFrame([(u, i, float(rnd.randint(1, 5))) for u, i in sorted(pairs)], "user_id bigint, item_id bigint, rating double")
+    targets = spark.createDataFrame([(3,), (8,), (41,), (3,), (900,)], "user_id bigint")
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.select("user_id", "other_id", F.round("sim", 9), "rank").collect())
+
+    for partitions, replication in ((4, 2), (3, 3)):
+        every = rows(bk.approximate_neighbours(train, 6, partitions, replication))
+        some = rows(bk.approximate_neighbours(train, 6, partitions, replication, targets=targets))
+        assert some and some == [r for r in every if r[0] in (3, 8, 41)]
+    left = spark.createDataFrame([(b, 1, x) for b in (0, 1) for x in (7, 8)], "g int, item_id bigint, x int")
+    right = spark.createDataFrame([(b, 1, y) for b in (1, 2) for y in range(5)], "g int, item_id bigint, y int")
+    met = blocked_join(left, right, "item_id", "y", block_rows=2, group=("g",))
+    assert sorted((r.g, r.x, r.y) for r in met.collect()) == [(1, x, y) for x in (7, 8) for y in range(5)]
