@@ -1,5 +1,5 @@
 from nearrate.functions.expressions import (
-    scale, normalized_deviation, combine, absolute_error, counts_sim, round_sim, SIM_DIGITS,
+    scale, normalized_deviation, combine, absolute_error, counts_sim, positive_sim, round_sim, SIM_DIGITS,
 )
 
-__all__ = ["scale", "normalized_deviation", "combine", "absolute_error", "counts_sim, round_sim", "SIM_DIGITS"]
+__all__ = ["scale", "normalized_deviation", "combine", "absolute_error", "counts_sim", "positive_sim", "round_sim", "SIM_DIGITS"]

@@ -79,3 +79,21 @@ def test_requests_take_raters_to_the_neighbours_as_lists(spark, tiny, monkeypatc
     assert not pair_exchanges(pr.predict_knn(train, test, 3, neighbours=near))
     none = pr.neighbour_deviation(near, dev.limit(0), test)
     assert none.count() == 0 and pr.neighbour_deviation(near.limit(0), dev, test).count() == 0
+
+
+def test_sums_are_rounded_once(spark, tiny):
+    """Which sums count is told without rounding, exactly as rounded they would."""
+    import math
+    from nearrate.functions import counts_sim, positive_sim, round_sim
+    from nearrate.operators import buckets as bk, neighbours as nb, similarity as sm
+    half = 5e-13
+    values = [half, -half, math.nextafter(half, 0), -math.nextafter(half, 0), math.nextafter(half, 1), 4.9e-13, 1e-12, 1.5e-12, 0.0, -0.0, 1e-300, 0.25,
+              -1.0, math.inf, -math.inf, math.nan, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.select("x", (round_sim("x") != 0).alias("some"), counts_sim("x").alias("counts"), (round_sim("x") > 0).alias("above"), positive_sim("x").alias("positive")).collect()
+    assert all(r.some == r.counts and r.above == r.positive for r in got), got
+    train, _, _ = tiny
+    buckets = bk.user_buckets(train, 3, 2)
+    for df, most in ((sm.cosine_half(train), 1), (sm.jaccard_half(train), 1), (nb.cosine_neighbours(train, 1), 1), (bk.bucket_neighbours(train, buckets, 2), 1)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
+        assert plan.count("round(") <= most, plan
