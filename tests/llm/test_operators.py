@@ -528,6 +528,46 @@ def test_lm_gradient():
         assert (ends[0] - ends[1]) / 0.04 == pytest.approx(g[name][at], rel=0.02), name
 
 
+def test_lm_unseen_places_have_no_share_and_cost_no_slow_arithmetic():
+    """Shares of places that a window's place must not see are 0, not numbers so small
+    that products of them are denormal, which processors multiply some 100 times slower."""
+    model, seen = lm.AttentionModel(seed=2), []
+    x, y = lm.windows_of(np.append(np.random.default_rng(4).integers(0, lm.CLASSES, 500), lm.END).astype(lm.IDS))
+    model.prepare()
+    model.mask = Spy(model.mask, seen)
+    model.log_likelihoods(x, np.maximum(y.ravel(), 0))
+    model.gradient(x.astype(np.int64), y.ravel().astype(int))
+    assert len(seen) == 2 and all((s[:, 0, -1] == 0).all() and (s[:, -1] > 0).any() for s in seen)
+
+
+class Spy:
+    """A mask; when it is added to scores, these are kept, so that their shares can be read later."""
+
+    def __init__(self, mask, seen):
+        self.mask, self.seen = mask, seen
+
+    def __getitem__(self, rows):
+        part, seen = self.mask[rows], self.seen
+
+        class Part(np.ndarray):
+            __array_priority__ = 1
+
+            def __array_ufunc__(self, ufunc, method, *inputs, **more):
+                if more.get("out"):
+                    seen.append(more["out"][0])
+                return getattr(ufunc, method)(*[np.asarray(i) for i in inputs], **more)
+
+        return part.view(Part)
+
+
+def test_lm_rest_shares_travel_without_counts():
+    import pickle
+    rest = lm.RestShares({7: 0}, 6)
+    rest.add([1, 2, 7, 3], 9)
+    sent = pickle.loads(pickle.dumps(rest))
+    assert not sent.pairs and not sent.alone and sent.log10([1, 2, 7, 3]) == rest.log10([1, 2, 7, 3])
+
+
 def test_lm_rest_shares():
     rest = lm.RestShares({7: 0}, 6)  # ids 1 to 5 are in REST, 7 is a class
     for ids, times in (([1, 2, 7, 3], 9), ([2], 4), ([7, 1], 2)):
