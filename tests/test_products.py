@@ -97,3 +97,47 @@ def test_sums_are_rounded_once(spark, tiny):
     for df, most in ((sm.cosine_half(train), 1), (sm.jaccard_half(train), 1), (nb.cosine_neighbours(train, 1), 1), (bk.bucket_neighbours(train, buckets, 2), 1)):
         plan = df._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
         assert plan.count("round(") <= most, plan
+
+
+@pytest.mark.parametrize("block, key, task, factor", [(2048, 1 << 22, 1 << 20, 1), (3, 4, 500, 1), (2048, 1 << 22, 300, -(1 << 40))])
+def test_near_pairs_are_exact_and_lose_none(spark, monkeypatch, block, key, task, factor):
+    """A byte for a value, then whole values for the pairs left: equal sums, ties at the k-th and all."""
+    import random
+    from collections import defaultdict
+    rng, k = random.Random(5), 3
+    rows = [(u, i, rng.choice([-0.9, -0.3001, 0.3, 0.3001, 0.30015, 1.0])) for u in range(40) for i in rng.sample(range(25), 6)]
+    rows += [(100 + u, i, 0.5) for u in range(6) for i in (3, 4)]  # ties
+    sums = defaultdict(float)
+    for u, i, x in rows:
+        for v, j, y in rows:
+            if i == j and u != v:
+                sums[u, v] += x * y
+    want = {}
+    for u in {u for u, _ in sums}:
+        mine = sorted((s for (a, _), s in sums.items() if a == u and s > 1e-9), reverse=True)
+        least = mine[min(k, len(mine)) - 1] if mine else 2
+        want |= {(a, v): s for (a, v), s in sums.items() if a == u and s >= least - 1e-9 and s > 1e-9}
+    monkeypatch.setattr(products, "BLOCK_ROWS", block)
+    monkeypatch.setattr(products, "KEY_PAIRS", key)
+    monkeypatch.setattr(products, "TASK_PAIRS", task)
+    df = spark.createDataFrame([(u * factor + 7, i, x) for u, i, x in rows], "user_id long, item_id long, x double")
+    made = [((r.user_id - 7) // factor, (r.other_id - 7) // factor, r.x) for r in products.near_pairs(df, "user_id", "item_id", "x", k).collect()]
+    got = {(u, v): s for u, v, s in made}
+    assert len(got) == len(made) and set(want) <= set(got)
+    assert len(got) < len(sums) / 2 or key < 100  # a hot key's places have bounds of their own
+    assert all(s == pytest.approx(sums[p]) for p, s in got.items())
+    assert products.near_pairs(df.limit(0), "user_id", "item_id", "x", k).count() == 0
+
+
+def test_neighbours_move_a_byte_for_a_value(spark, monkeypatch):
+    """Where a user meets far more others than k, no list of whole values goes to it."""
+    from nearrate.operators import neighbours as nb
+    train = spark.range(3000).select((F.col("id") % 300).alias("user_id"), (F.xxhash64("id") % 40 + 50).alias("item_id"), (F.abs(F.xxhash64("id", F.lit(3))) % 5 + 1).cast("double").alias("rating"))
+    train = train.dropDuplicates(["user_id", "item_id"])
+    monkeypatch.setattr(nb, "NEAR_OF_MET", 0)
+    monkeypatch.setattr(nb, "reaching_below_zero", lambda train, k, n: train.select("user_id").limit(0))
+    made = nb.cosine_neighbours(train, 2)
+    assert "MapInArrow" in plan(made)
+    near = sorted((r.user_id, r.other_id, r.rank, round(r.sim, 9)) for r in made.collect())
+    monkeypatch.setattr(nb, "NEAR_OF_MET", 1 << 20)
+    assert near == sorted((r.user_id, r.other_id, r.rank, round(r.sim, 9)) for r in nb.cosine_neighbours(train, 2).collect()) and len(near) > 500
