@@ -141,3 +141,18 @@ def test_neighbours_move_a_byte_for_a_value(spark, monkeypatch):
     near = sorted((r.user_id, r.other_id, r.rank, round(r.sim, 9)) for r in made.collect())
     monkeypatch.setattr(nb, "NEAR_OF_MET", 1 << 20)
     assert near == sorted((r.user_id, r.other_id, r.rank, round(r.sim, 9)) for r in nb.cosine_neighbours(train, 2).collect()) and len(near) > 500
+
+
+def test_requests_for_few_neighbours_move_ids_alone(spark, tiny, monkeypatch):
+    train, test, _ = tiny
+    dev, near = fx.deviations(train), pr.knn_neighbours(train, 3)
+    rows = lambda df: sorted(tuple(round(x, 9) for x in r) for r in df.select("user_id", "item_id", "num", "den").collect())
+    lists = lambda df: [x for x in plan(df).split("\n") if "collect_list" in x and "dev" in x]
+    whole = pr.neighbour_deviation(near, dev, test)
+    assert lists(whole) and lists(pr.neighbour_deviation(near, dev, test, k=1 << 20))
+    monkeypatch.setattr(products, "NEAR_OF_MET", 0)
+    for block, key in ((2048, 1 << 22), (1, 1)):
+        monkeypatch.setattr(products, "BLOCK_ROWS", block)
+        monkeypatch.setattr(products, "KEY_PAIRS", key)
+        bare = pr.neighbour_deviation(near, dev, test, k=3)
+        assert not lists(bare) and rows(bare) == rows(whole) != []
